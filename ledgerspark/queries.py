@@ -300,3 +300,257 @@ SELECT customer_id, COUNT(*) AS invoice_count,
 FROM dim_invoices WHERE is_active = 1 GROUP BY customer_id, currency""")
 def q_gold_customer_invoices(spark, d):
     return invoice.gold_customer_invoices(S.dim_invoices(spark, d))
+
+
+# ------------------------------------------------------------------ E-II documented analytics
+
+from .plans import analytics as A  # noqa: E402
+from .plans import profiles as P  # noqa: E402
+
+T_REV, T_EXP = "Tekjur", "Gjöld"
+DATE_FROM, DATE_TO = "1995-01-01", "2002-01-01"
+ACCOUNT = "42"
+YEAR = "1997"
+
+
+@register("monthly_net_revenue", f"""
+SELECT strftime(transaction_date, '%Y-%m') AS month, {D("SUM(credit - debit)")} AS net_revenue
+FROM silver_account_statements_typed
+WHERE transaction_date >= DATE '{DATE_FROM}' AND transaction_date < DATE '{DATE_TO}'
+  AND account_type = '{T_REV}'
+GROUP BY 1""")
+def q_monthly_net_revenue(spark, d):
+    return A.monthly_net_revenue(_stm(spark, d, typed=True), T_REV, DATE_FROM, DATE_TO)
+
+
+@register("account_transactions", f"""
+SELECT id, CAST(transaction_date AS VARCHAR) AS transaction_date, description,
+       {D("amount")} AS amount, {D("balance")} AS balance
+FROM silver_account_statements
+WHERE account_code = '{ACCOUNT}' AND transaction_date BETWEEN DATE '{DATE_FROM}' AND DATE '{DATE_TO}'
+ORDER BY transaction_date DESC, id ASC LIMIT 50""")
+def q_account_transactions(spark, d):
+    return A.account_transactions(_stm(spark, d), ACCOUNT, DATE_FROM, DATE_TO, 50)
+
+
+@register("top_expenses", f"""
+SELECT account_name, {D("SUM(debit)")} AS total
+FROM silver_account_statements_typed
+WHERE account_type = '{T_EXP}' AND strftime(transaction_date, '%Y') = '{YEAR}'
+GROUP BY account_name ORDER BY SUM(debit) DESC, account_name ASC LIMIT 10""")
+def q_top_expenses(spark, d):
+    return A.top_expenses(_stm(spark, d, typed=True), T_EXP, YEAR, 10)
+
+
+@register("quarterly_revenue", f"""
+SELECT strftime(transaction_date, '%Y') || '-Q' || CAST(quarter(transaction_date) AS VARCHAR) AS quarter,
+       {D("SUM(credit - debit)")} AS revenue
+FROM silver_account_statements_typed
+WHERE account_type = '{T_REV}' AND transaction_date >= DATE '{DATE_FROM}'
+GROUP BY 1""")
+def q_quarterly_revenue(spark, d):
+    return A.quarterly_revenue(_stm(spark, d, typed=True), T_REV, DATE_FROM)
+
+
+_MONTHLY_PL = f"""
+SELECT strftime(transaction_date, '%Y-%m') AS month, account_type, account_subtype,
+       SUM(CASE WHEN account_type = 'Tekjur' THEN credit - debit ELSE 0 END) AS revenue,
+       SUM(CASE WHEN account_type = 'Gjöld' THEN debit - credit ELSE 0 END) AS expenses,
+       COUNT(*) AS transaction_count
+FROM silver_account_statements_typed WHERE transaction_date >= DATE '{SINCE}'
+GROUP BY 1, 2, 3"""
+
+
+def _monthly_pl(spark, d):
+    return ledger.gold_monthly_pl(_stm(spark, d, typed=True), SINCE)
+
+
+@register("monthly_revenue_trend", f"""
+SELECT month, {D("SUM(revenue)")} AS total_revenue FROM ({_MONTHLY_PL}) m
+WHERE month >= '1996-01' GROUP BY month""")
+def q_monthly_revenue_trend(spark, d):
+    return A.monthly_revenue_trend(_monthly_pl(spark, d), "1996-01")
+
+
+@register("largest_expenses_by_month", f"""
+SELECT strftime(transaction_date, '%Y-%m') AS month, account_name, {D("SUM(debit)")} AS expense
+FROM silver_account_statements_typed
+WHERE account_type = '{T_EXP}' AND transaction_date >= DATE '{DATE_FROM}'
+GROUP BY 1, 2 HAVING SUM(debit) > 20000""")
+def q_largest_expenses_by_month(spark, d):
+    return A.largest_expenses_by_month(_stm(spark, d, typed=True), T_EXP, DATE_FROM, 20000)
+
+
+@register("expense_categories", f"""
+SELECT account_subtype, {D("SUM(expenses)")} AS total FROM ({_MONTHLY_PL}) m
+WHERE month BETWEEN '1996-01' AND '1999-12' GROUP BY account_subtype""")
+def q_expense_categories(spark, d):
+    return A.expense_categories(_monthly_pl(spark, d), "1996-01", "1999-12")
+
+
+_SUMMARY_V2 = f"""
+SELECT account_code, account_name, account_type, account_subtype,
+       COUNT(id) AS transaction_count, SUM(debit) AS total_debit, SUM(credit) AS total_credit,
+       SUM(credit - debit) AS net_change,
+       CAST(MIN(transaction_date) AS VARCHAR) AS first_transaction,
+       CAST(MAX(transaction_date) AS VARCHAR) AS last_transaction
+FROM silver_account_statements_typed WHERE transaction_date >= DATE '{SINCE}'
+GROUP BY 1, 2, 3, 4"""
+
+
+def _summary_v2(spark, d):
+    return ledger.gold_account_summary_v2(_stm(spark, d, typed=True), SINCE)
+
+
+@register("account_activity", f"""
+SELECT account_name, transaction_count, {D("total_debit")} AS total_debit,
+       {D("total_credit")} AS total_credit, {D("net_change")} AS net_change
+FROM ({_SUMMARY_V2}) s WHERE transaction_count > 30""")
+def q_account_activity(spark, d):
+    return A.account_activity(_summary_v2(spark, d), 30)
+
+
+@register("account_activity_top", f"""
+SELECT account_code, account_name, account_type, account_subtype, transaction_count,
+       {D("total_debit")} AS total_debit, {D("total_credit")} AS total_credit,
+       {D("net_change")} AS net_change, first_transaction, last_transaction
+FROM ({_SUMMARY_V2}) s
+ORDER BY abs(net_change) DESC, account_code, account_type, account_subtype LIMIT 20""")
+def q_account_activity_top(spark, d):
+    return A.account_activity_top(_summary_v2(spark, d), 20)
+
+
+@register("balance_over_time", f"""
+SELECT CAST(transaction_date AS VARCHAR) AS transaction_date, {D("balance")} AS balance
+FROM silver_account_statements
+WHERE account_code = '{ACCOUNT}' AND transaction_date >= DATE '{DATE_FROM}'""")
+def q_balance_over_time(spark, d):
+    return A.balance_over_time(_stm(spark, d), ACCOUNT, DATE_FROM)
+
+
+@register("daily_cash_flow", f"""
+SELECT CAST(transaction_date AS VARCHAR) AS transaction_date, {D("SUM(credit - debit)")} AS daily_net
+FROM silver_account_statements
+WHERE account_code = '{ACCOUNT}' AND transaction_date BETWEEN DATE '{DATE_FROM}' AND DATE '{DATE_TO}'
+GROUP BY transaction_date""")
+def q_daily_cash_flow(spark, d):
+    return A.daily_cash_flow(_stm(spark, d), ACCOUNT, DATE_FROM, DATE_TO)
+
+
+@register("monthly_cash_position", f"""
+SELECT strftime(transaction_date, '%Y-%m') AS month, {_avg_money("balance")} AS avg_balance,
+       {D("MAX(balance)")} AS max_balance, {D("MIN(balance)")} AS min_balance
+FROM silver_account_statements WHERE account_code = '{ACCOUNT}' GROUP BY 1""")
+def q_monthly_cash_position(spark, d):
+    return A.monthly_cash_position(_stm(spark, d), ACCOUNT)
+
+
+@register("monthly_pl_overview", f"""
+SELECT month, {D("SUM(revenue)")} AS revenue, {D("SUM(expenses)")} AS expenses,
+       {D("SUM(revenue - expenses)")} AS net
+FROM ({_MONTHLY_PL}) m GROUP BY month""")
+def q_monthly_pl_overview(spark, d):
+    return A.monthly_pl_overview(_monthly_pl(spark, d))
+
+
+@register("monthly_trend_overview", f"""
+SELECT strftime(s.transaction_date, '%Y-%m') AS month,
+       {D("SUM(CASE WHEN a.account_type = 'Tekjur' THEN s.debit - s.credit ELSE 0 END)")} AS total_revenue,
+       {D("SUM(CASE WHEN a.account_type = 'Gjöld' THEN s.credit - s.debit ELSE 0 END)")} AS total_expenses
+FROM silver_account_statements s JOIN dim_accounts a ON s.account_code = a.account_number
+WHERE s.transaction_date >= DATE '{SINCE}' AND a.account_type IN ('Tekjur', 'Gjöld')
+  AND strftime(s.transaction_date, '%Y') = '{YEAR}'
+GROUP BY 1""")
+def q_monthly_trend_overview(spark, d):
+    return A.monthly_trend_overview(
+        ledger.gold_monthly_pl_trend(_stm(spark, d), _acc(spark, d), SINCE), YEAR)
+
+
+@register("balance_by_type", f"""
+SELECT account_type,
+       {D('''SUM(CASE WHEN account_type IN ('Eignir') THEN debit - credit
+                      WHEN account_type IN ('Skuldir', 'Eigið fé') THEN credit - debit
+                      ELSE 0 END)''')} AS total_balance
+FROM silver_account_statements_typed WHERE transaction_date >= DATE '{SINCE}'
+GROUP BY account_type""")
+def q_balance_by_type(spark, d):
+    return A.balance_by_type(ledger.gold_balance_sheet(_stm(spark, d, typed=True), SINCE))
+
+
+@register("annual_report_detail", f"""
+SELECT year, account_code, account_name, {D("balance")} AS amount
+FROM ({_BY_YEAR}) v WHERE account_type = '{T_EXP}' AND year = '{YEAR}'
+ORDER BY balance DESC, account_code LIMIT 10""")
+def q_annual_report_detail(spark, d):
+    return A.annual_report_detail(
+        ledger.gold_income_statement_by_year(_stm(spark, d), _acc(spark, d), SINCE),
+        T_EXP, YEAR, 10)
+
+
+@register("distinct_account_types", "SELECT DISTINCT account_type FROM dim_accounts")
+def q_distinct_account_types(spark, d):
+    return A.distinct_account_types(_acc(spark, d))
+
+
+# ------------------------------------------------------------------ E-III load profiles
+
+@register("yearly_volume", f"""
+SELECT strftime(transaction_date, '%Y') AS year, COUNT(*) AS transactions,
+       {D("SUM(abs(amount))")} AS total_amount
+FROM silver_account_statements WHERE transaction_date >= DATE '{SINCE}' GROUP BY 1""")
+def q_yearly_volume(spark, d):
+    return P.yearly_volume(_stm(spark, d), SINCE)
+
+
+@register("invoice_status_stats", f"""
+SELECT status, COUNT(*) AS count, {D("SUM(total)")} AS total_amount
+FROM dim_invoices GROUP BY status""")
+def q_invoice_status_stats(spark, d):
+    return P.invoice_status_stats(S.dim_invoices(spark, d))
+
+
+@register("range_volume", f"""
+SELECT COUNT(*) AS count, CAST(MIN(transaction_date) AS VARCHAR) AS min_date,
+       CAST(MAX(transaction_date) AS VARCHAR) AS max_date,
+       {D("SUM(abs(amount))")} AS total_amount, COUNT(DISTINCT account_code) AS unique_accounts
+FROM silver_account_statements
+WHERE transaction_date BETWEEN DATE '{DATE_FROM}' AND DATE '{DATE_TO}'""")
+def q_range_volume(spark, d):
+    return P.range_volume(_stm(spark, d), DATE_FROM, DATE_TO)
+
+
+@register("date_range_invoices", """
+SELECT CAST(MIN(invoice_date) AS VARCHAR) AS min_date, CAST(MAX(invoice_date) AS VARCHAR) AS max_date
+FROM dim_invoices WHERE invoice_date IS NOT NULL""")
+def q_date_range_invoices(spark, d):
+    return P.date_range(S.dim_invoices(spark, d), "invoice_date")
+
+
+@register("date_range_by_account", """
+SELECT branch, ledger, account_no, CAST(MIN(booking_date) AS VARCHAR) AS min_date,
+       CAST(MAX(booking_date) AS VARCHAR) AS max_date
+FROM silver_bank_transactions WHERE booking_date IS NOT NULL AND year(booking_date) > 2020
+GROUP BY 1, 2, 3""")
+def q_date_range_by_account(spark, d):
+    return P.date_range(S.silver_bank_transactions(spark, d), "booking_date",
+                        by=["branch", "ledger", "account_no"], min_year=2020)
+
+
+@register("silver_row_counts", """
+SELECT 'silver_account_statements' AS table_name, COUNT(*) AS row_count FROM silver_account_statements
+UNION ALL SELECT 'dim_accounts', COUNT(*) FROM dim_accounts
+UNION ALL SELECT 'dim_invoices', COUNT(*) FROM dim_invoices
+UNION ALL SELECT 'dim_invoice_lines', COUNT(*) FROM dim_invoice_lines
+UNION ALL SELECT 'silver_bank_transactions', COUNT(*) FROM silver_bank_transactions
+UNION ALL SELECT 'silver_creditcard_transactions', COUNT(*) FROM silver_card_transactions
+UNION ALL SELECT 'gold_invoice_summary', COUNT(*) FROM dim_invoices WHERE is_active = 1""")
+def q_silver_row_counts(spark, d):
+    return P.silver_row_counts({
+        "silver_account_statements": _stm(spark, d),
+        "dim_accounts": _acc(spark, d),
+        "dim_invoices": S.dim_invoices(spark, d),
+        "dim_invoice_lines": S.dim_invoice_lines(spark, d),
+        "silver_bank_transactions": S.silver_bank_transactions(spark, d),
+        "silver_creditcard_transactions": S.silver_card_transactions(spark, d),
+        "gold_invoice_summary": invoice.gold_invoice_summary(S.dim_invoices(spark, d), AS_OF),
+    })
