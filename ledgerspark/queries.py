@@ -554,3 +554,472 @@ def q_silver_row_counts(spark, d):
         "silver_creditcard_transactions": S.silver_card_transactions(spark, d),
         "gold_invoice_summary": invoice.gold_invoice_summary(S.dim_invoices(spark, d), AS_OF),
     })
+
+
+# ------------------------------------------------------------------ C search, paging, SQL
+
+from .functions.currency import fx_rates  # noqa: E402
+from .operators import paging, reports as R, search  # noqa: E402
+from .operators.sql_guard import guarded_sql  # noqa: E402
+
+BANK_FROM, BANK_TO = "2024-01-05", "2024-01-25"
+
+_C1_SQL = f"""
+WITH b AS (
+  SELECT 'bank' AS account_type, branch || '-' || ledger || '-' || account_no AS account_number,
+         value_date AS date, description, amount, balance, reference AS reference_number,
+         currency, type_code AS transaction_type, CAST(NULL AS VARCHAR) AS merchant_name,
+         0 AS src, id AS tie
+  FROM silver_bank_transactions
+  WHERE value_date >= DATE '{BANK_FROM}' AND value_date <= DATE '{BANK_TO}'
+  ORDER BY date DESC, account_number, tie LIMIT 50),
+c AS (
+  SELECT 'card' AS account_type, card_id AS account_number, date, description, amount,
+         CAST(NULL AS DECIMAL(18,2)) AS balance, CAST(NULL AS VARCHAR) AS reference_number,
+         currency, 'CARD_TRANSACTION' AS transaction_type, merchant_name, 1 AS src, entry_id AS tie
+  FROM silver_card_transactions
+  WHERE date >= DATE '{BANK_FROM}' AND date <= DATE '{BANK_TO}'
+  ORDER BY date DESC, account_number, tie LIMIT 50),
+tx AS (
+  SELECT * FROM (SELECT * FROM b UNION ALL SELECT * FROM c) u
+  ORDER BY date DESC, src, account_number, tie LIMIT 100)"""
+
+
+def _c1(spark, d):
+    return search.bank_transactions(S.silver_bank_transactions(spark, d),
+                                    S.silver_card_transactions(spark, d), BANK_FROM, BANK_TO,
+                                    None, "all", 100)
+
+
+@register("bank_transactions", _C1_SQL + f"""
+SELECT account_type, account_number, CAST(date AS VARCHAR) AS date, description,
+       {D("amount")} AS amount, {D("balance")} AS balance, reference_number, currency,
+       transaction_type, merchant_name FROM tx""")
+def q_bank_transactions(spark, d):
+    return _c1(spark, d)
+
+
+@register("bank_summary", _C1_SQL + f"""
+SELECT COUNT(*) AS total_transactions, {D("COALESCE(SUM(amount), 0)")} AS total_amount,
+       '{BANK_FROM}' AS date_from, '{BANK_TO}' AS date_to FROM tx""")
+def q_bank_summary(spark, d):
+    return R.bank_summary(_c1(spark, d), BANK_FROM, BANK_TO)[0]
+
+
+@register("bank_summary_accounts", _C1_SQL + f"""
+SELECT account_number, arg_min(account_type, date_diff('day', date, DATE '9999-12-31')) AS account_type,
+       COUNT(*) AS transaction_count, {D("SUM(amount)")} AS total_amount,
+       arg_min(currency, date_diff('day', date, DATE '9999-12-31')) AS currency
+FROM tx GROUP BY account_number""")
+def q_bank_summary_accounts(spark, d):
+    return R.bank_summary(_c1(spark, d), BANK_FROM, BANK_TO)[1]
+
+
+_INV_COLS = ("invoice_id, invoice_number, customer_id, status, currency, {0}, "
+             "CAST(invoice_date AS VARCHAR) AS invoice_date, CAST(due_date AS VARCHAR) AS due_date, "
+             "CAST(final_due_date AS VARCHAR) AS final_due_date, paid_date, payment_type, "
+             "description, reference, is_active, created_at, updated_at").format(
+    ", ".join(f"{D(c)} AS {c}" for c in ("subtotal", "vat_amount", "total")))
+
+
+@register("invoice_search", f"""
+SELECT {_INV_COLS} FROM dim_invoices
+WHERE invoice_date >= DATE '1996-01-01' AND invoice_date <= DATE '1996-12-31'
+  AND (status NOT IN ('DRAFT', 'CANCELLED') OR status IS NULL)
+  AND (lower(invoice_number) LIKE '%99%' OR lower(description) LIKE '%99%'
+       OR lower(reference) LIKE '%99%')""")
+def q_invoice_search(spark, d):
+    return search.invoice_search(S.dim_invoices(spark, d), date_from="1996-01-01",
+                                 date_to="1996-12-31", exclude_status="DRAFT,CANCELLED",
+                                 query="99", order_by="total", order="desc")
+
+
+@register("invoice_search_lines", f"""
+SELECT i.*, l.id AS line_id, l.line_number AS line_line_number,
+       l.description AS line_description, {D("l.quantity")} AS line_quantity,
+       {D("l.unit_price")} AS line_unit_price, {D("l.discount_percent")} AS line_discount_percent,
+       {D("l.vat_percent")} AS line_vat_percent, {D("l.vat_amount")} AS line_vat_amount,
+       {D("l.line_total")} AS line_line_total, l.account_id AS line_account_id,
+       l.account_code AS line_account_code, l.created_at AS line_created_at
+FROM (SELECT {_INV_COLS} FROM dim_invoices
+      WHERE customer_id = '7' AND due_date >= DATE '1995-06-01') i
+LEFT JOIN dim_invoice_lines l ON i.invoice_id = l.invoice_id""")
+def q_invoice_search_lines(spark, d):
+    return search.invoice_search(S.dim_invoices(spark, d), S.dim_invoice_lines(spark, d),
+                                 customer_id="7", due_from="1995-06-01", include_lines=True)
+
+
+@register("invoice_lookup", f"SELECT {_INV_COLS} FROM dim_invoices WHERE invoice_number = '4242'")
+def q_invoice_lookup(spark, d):
+    return search.invoice_lookup(S.dim_invoices(spark, d), "4242")
+
+
+@register("customer_search", f"""
+SELECT customer_id, name, segment, country, {D("balance")} AS balance FROM customers
+WHERE lower(name) LIKE '%customer#0000001%' OR lower(customer_id) LIKE '%customer#0000001%'""")
+def q_customer_search(spark, d):
+    return search.customer_search(S.customers(spark, d), "Customer#0000001")
+
+
+@register("customer_get", f"""
+SELECT customer_id, name, segment, country, {D("balance")} AS balance FROM customers
+WHERE customer_id = '42'""")
+def q_customer_get(spark, d):
+    return search.customer_get(S.customers(spark, d), "42")
+
+
+@register("expense_search", f"""
+SELECT expense_id, creditor_id, CAST(date AS VARCHAR) AS date, {D("amount")} AS amount,
+       description, account_code FROM expenses
+WHERE date >= DATE '1997-01-01' AND date <= DATE '1997-06-30'
+  AND (lower(description) LIKE '%part 1%' OR lower(creditor_id) LIKE '%part 1%')""")
+def q_expense_search(spark, d):
+    return search.expense_search(S.expenses(spark, d), "1997-01-01", "1997-06-30", "Part 1")
+
+
+@register("payment_search", f"""
+SELECT payment_id, invoice_id, customer_id, CAST(date AS VARCHAR) AS date, {D("amount")} AS amount,
+       currency, payment_type FROM payments
+WHERE date >= DATE '1996-01-01' AND date <= DATE '1996-12-31'""")
+def q_payment_search(spark, d):
+    return search.payment_search(S.payments(spark, d), "1996-01-01", "1996-12-31")
+
+
+@register("account_statement", f"""
+SELECT id, account_code, account_id, account_name, account_type, account_subtype,
+       CAST(transaction_date AS VARCHAR) AS transaction_date,
+       CAST(journal_date AS VARCHAR) AS journal_date, description, reference,
+       {D("amount")} AS amount, {D("debit")} AS debit, {D("credit")} AS credit,
+       {D("balance")} AS balance, currency, journal_id, journal_number, line_number,
+       record_type, created_at
+FROM silver_account_statements_typed
+WHERE journal_date >= DATE '1996-01-01' AND journal_date <= DATE '1996-03-31'
+  AND account_type = 'Eignir'""")
+def q_account_statement(spark, d):
+    return search.account_statement(_stm(spark, d, typed=True), "1996-01-01", "1996-03-31",
+                                    account_type="Eignir")
+
+
+@register("journal_entries", f"""
+SELECT journal_id, journal_number, CAST(MIN(journal_date) AS VARCHAR) AS journal_date,
+       COUNT(*) AS line_count, {D("SUM(debit)")} AS total_debit, {D("SUM(credit)")} AS total_credit
+FROM silver_account_statements GROUP BY journal_id, journal_number""")
+def q_journal_entries(spark, d):
+    return search.journal_entries(_stm(spark, d))
+
+
+@register("expense_accounts", """
+SELECT * FROM dim_accounts WHERE account_type IN ('Gjöld', 'Expense', 'Cost')""")
+def q_expense_accounts(spark, d):
+    return search.expense_accounts(_acc(spark, d))
+
+
+@register("paginate_accounts", """
+SELECT * FROM dim_accounts
+ORDER BY account_number, account_id, account_name, account_type, account_subtype,
+         parent_account_id, is_active, created_at, updated_at
+LIMIT 50 OFFSET 100""")
+def q_paginate_accounts(spark, d):
+    return paging.paginate(_acc(spark, d), ["account_number"], page=3, perpage=50)[0]
+
+
+@register("paginate_accounts_meta", """
+SELECT 3 AS page, 50 AS perpage, COUNT(*) AS total, COUNT(*) > 150 AS has_next FROM dim_accounts""")
+def q_paginate_accounts_meta(spark, d):
+    return paging.paginate(_acc(spark, d), ["account_number"], page=3, perpage=50)[1]
+
+
+def register_views(spark, d) -> None:
+    """Temp views over the stand-ins, for guarded SQL."""
+    _stm(spark, d, typed=True).createOrReplaceTempView("silver_account_statements")
+    _acc(spark, d).createOrReplaceTempView("dim_accounts")
+    S.dim_invoices(spark, d).createOrReplaceTempView("dim_invoices")
+
+
+@register("guarded_sql_monthly_revenue", f"""
+SELECT strftime(transaction_date, '%Y-%m') AS month, {D("SUM(credit - debit)")} AS net_revenue
+FROM silver_account_statements_typed
+WHERE transaction_date >= DATE '1996-01-01' AND transaction_date < DATE '1998-01-01'
+  AND account_type = 'Tekjur'
+GROUP BY 1""")
+def q_guarded_sql_monthly_revenue(spark, d):
+    register_views(spark, d)
+    return guarded_sql(spark, """
+        -- monthly net revenue for one account type
+        SELECT date_format(transaction_date, 'yyyy-MM') AS month,
+               SUM(credit - debit) AS net_revenue
+        FROM silver_account_statements
+        WHERE transaction_date >= ? AND transaction_date < ? AND account_type = ?
+        GROUP BY month ORDER BY month;""", ["1996-01-01", "1998-01-01", "Tekjur"])
+
+
+@register("guarded_sql_top_expenses", f"""
+SELECT account_name, {D("SUM(debit)")} AS total
+FROM silver_account_statements_typed
+WHERE account_type = 'Gjöld' AND CAST(transaction_date AS VARCHAR) LIKE '1997%'
+GROUP BY account_name ORDER BY SUM(debit) DESC, account_name LIMIT 10""")
+def q_guarded_sql_top_expenses(spark, d):
+    register_views(spark, d)
+    return guarded_sql(spark, """
+        SELECT account_name, SUM(debit) AS total FROM silver_account_statements
+        WHERE account_type = ? AND CAST(transaction_date AS STRING) LIKE ?
+        GROUP BY account_name ORDER BY total DESC, account_name LIMIT ?""", ["Gjöld", "1997%", 10])
+
+
+# ------------------------------------------------------------------ E42-E59 report operators
+
+_LINES = """lines AS (
+  SELECT branch || '-' || ledger || '-' || account_no AS account, 'Account ' || account_no AS account_name,
+         currency, booking_date AS date, description, amount, balance,
+         CAST(reference AS BIGINT) AS row_no
+  FROM silver_bank_transactions)"""
+_RATES = "rates AS (SELECT * FROM (VALUES ('EUR', 150.0), ('GBP', 175.0)) r(currency, rate_to_isk))"
+_MONTHLY = """monthly AS (
+  SELECT account, currency, strftime(date, '%Y-%m') AS month,
+         SUM(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS credits,
+         SUM(CASE WHEN amount < 0 THEN -amount ELSE 0 END) AS debits, COUNT(*) AS count
+  FROM lines WHERE amount <> 0 GROUP BY 1, 2, 3)"""
+_MONTHLY_FX = """monthly_fx AS (
+  SELECT m.month, SUM(CAST(m.net AS DECIMAL(38,2)) * CAST(COALESCE(r.rate_to_isk, 1) AS DECIMAL(18,6))) AS net_flow_isk
+  FROM (SELECT currency, month, SUM(credits - debits) AS net FROM monthly GROUP BY 1, 2) m
+  LEFT JOIN rates r ON m.currency = r.currency GROUP BY m.month)"""
+_PROFILE = """profile AS (
+  SELECT account, account_name, currency,
+         COUNT(CASE WHEN amount <> 0 THEN 1 END) AS transactions,
+         COALESCE(SUM(CASE WHEN amount > 0 THEN amount END), 0) AS total_credits,
+         COALESCE(SUM(CASE WHEN amount < 0 THEN -amount END), 0) AS total_debits,
+         COALESCE(MAX(CASE WHEN amount > 0 THEN amount END), 0) AS largest_inflow,
+         COALESCE(MAX(CASE WHEN amount < 0 THEN -amount END), 0) AS largest_outflow,
+         COALESCE(arg_max(balance, (date, row_no)) FILTER (WHERE balance <> 0), 0) AS ending_balance
+  FROM lines GROUP BY 1, 2, 3)"""
+
+
+def _lines(spark, d):
+    return R.account_lines_from_bank(S.silver_bank_transactions(spark, d))
+
+
+@register("account_profile", f"""WITH {_LINES}, {_PROFILE}
+SELECT account, account_name, currency, transactions, {D("total_credits")} AS total_credits,
+       {D("total_debits")} AS total_debits, {D("largest_inflow")} AS largest_inflow,
+       {D("largest_outflow")} AS largest_outflow, {D("ending_balance")} AS ending_balance,
+       CASE WHEN transactions > 0 THEN CAST(total_credits - total_debits AS DOUBLE) / transactions
+            ELSE 0.0 END AS average_transaction
+FROM profile""")
+def q_account_profile(spark, d):
+    return R.account_profile(_lines(spark, d))
+
+
+@register("account_monthly_activity", f"""WITH {_LINES}, {_MONTHLY}
+SELECT account, month, {D("credits")} AS credits, {D("debits")} AS debits, count
+FROM (SELECT *, dense_rank() OVER (PARTITION BY account ORDER BY month DESC) AS rk FROM monthly) t
+WHERE rk <= 6""")
+def q_account_monthly_activity(spark, d):
+    return R.account_monthly_activity(_lines(spark, d), 6)
+
+
+@register("frequent_descriptions", f"""WITH {_LINES}
+SELECT account, description_prefix, count, rank FROM (
+  SELECT account, description_prefix, count,
+         row_number() OVER (PARTITION BY account ORDER BY count DESC, description_prefix) AS rank
+  FROM (SELECT account, substr(COALESCE(description, ''), 1, 30) AS description_prefix, COUNT(*) AS count
+        FROM lines WHERE amount <> 0 AND COALESCE(description, '') <> '' GROUP BY 1, 2) g) t
+WHERE rank <= 5""")
+def q_frequent_descriptions(spark, d):
+    return R.frequent_descriptions(_lines(spark, d), 5)
+
+
+@register("company_totals", f"""WITH {_LINES}, {_RATES},
+per_cur AS (SELECT currency, SUM(CASE WHEN amount > 0 THEN amount ELSE 0 END) AS c,
+                   SUM(CASE WHEN amount < 0 THEN -amount ELSE 0 END) AS d FROM lines GROUP BY 1),
+j AS (SELECT CAST(c AS DECIMAL(38,2)) * CAST(COALESCE(r.rate_to_isk, 1) AS DECIMAL(18,6)) AS ci,
+             CAST(d AS DECIMAL(38,2)) * CAST(COALESCE(r.rate_to_isk, 1) AS DECIMAL(18,6)) AS di
+      FROM per_cur p LEFT JOIN rates r ON p.currency = r.currency)
+SELECT {D("SUM(ci)")} AS total_inflows_isk, {D("SUM(di)")} AS total_outflows_isk,
+       {D("SUM(ci) - SUM(di)")} AS net_position_isk FROM j""")
+def q_company_totals(spark, d):
+    return R.company_totals(_lines(spark, d), fx_rates(spark))
+
+
+@register("company_cash_flow", f"""WITH {_LINES}, {_RATES}, {_MONTHLY}, {_MONTHLY_FX}
+SELECT month, {D("net_flow_isk")} AS net_flow_isk FROM monthly_fx
+WHERE month IN (SELECT month FROM monthly_fx ORDER BY month DESC LIMIT 12)""")
+def q_company_cash_flow(spark, d):
+    return R.company_cash_flow(_lines(spark, d), fx_rates(spark), 12)
+
+
+@register("quarterly_performance", f"""WITH {_LINES}, {_RATES}, {_MONTHLY}, {_MONTHLY_FX},
+q AS (SELECT substr(month, 1, 4) || '-Q' || CAST(CAST(ceil(CAST(substr(month, 6, 2) AS INTEGER) / 3) AS BIGINT) AS VARCHAR) AS quarter,
+             SUM(net_flow_isk) AS total_isk FROM monthly_fx GROUP BY 1)
+SELECT quarter, {D("total_isk")} AS total_isk FROM q
+WHERE quarter IN (SELECT quarter FROM q ORDER BY quarter DESC LIMIT 8)""")
+def q_quarterly_performance(spark, d):
+    return R.quarterly_performance(_lines(spark, d), fx_rates(spark), 8)
+
+
+@register("account_usage", f"""WITH {_LINES}, {_MONTHLY}, {_PROFILE},
+months AS (SELECT account, COUNT(*) AS active_months FROM monthly GROUP BY account)
+SELECT p.account, account_name, currency, transactions,
+       transactions / greatest(1, COALESCE(active_months, 0)) AS avg_monthly_transactions,
+       currency <> 'ISK' AS is_foreign, {D("ending_balance")} AS ending_balance
+FROM profile p LEFT JOIN months m ON p.account = m.account""")
+def q_account_usage(spark, d):
+    return R.account_usage(_lines(spark, d))
+
+
+_CV = """cv AS (
+  SELECT account, counterparty, count, total, rank FROM (
+    SELECT account, counterparty, count, total,
+           row_number() OVER (PARTITION BY account ORDER BY abs(total) DESC, counterparty) AS rank
+    FROM (SELECT account, trim(substr(COALESCE(description, ''), 1, 40)) AS counterparty,
+                 COUNT(*) AS count, SUM(amount) AS total
+          FROM lines WHERE amount <> 0 AND trim(substr(COALESCE(description, ''), 1, 40)) <> ''
+          GROUP BY 1, 2) g) t
+  WHERE rank <= 5)"""
+
+
+@register("counterparty_volume", f"""WITH {_LINES}, {_CV}
+SELECT account, counterparty, count, {D("total")} AS total, rank FROM cv""")
+def q_counterparty_volume(spark, d):
+    return R.counterparty_volume(_lines(spark, d), 5)
+
+
+@register("recurring_counterparties", f"""WITH {_LINES}, {_CV}
+SELECT counterparty, SUM(count) AS transactions FROM cv WHERE count >= 3
+GROUP BY counterparty ORDER BY transactions DESC, counterparty LIMIT 10""")
+def q_recurring_counterparties(spark, d):
+    return R.recurring_counterparties(_lines(spark, d), 10)
+
+
+@register("counterparty_stats", f"""WITH {_LINES}, {_CV}
+SELECT COUNT(DISTINCT counterparty) AS unique_counterparties,
+       COUNT(DISTINCT CASE WHEN count >= 3 THEN counterparty END) AS recurring_counterparties FROM cv""")
+def q_counterparty_stats(spark, d):
+    return R.counterparty_stats(_lines(spark, d))
+
+
+@register("largest_transactions", f"""WITH {_LINES},
+ins AS (SELECT 'inflow' AS kind, account, date, amount, substr(description, 1, 40) AS description, row_no
+        FROM lines WHERE currency = 'ISK' AND amount > 0 ORDER BY amount DESC, account, row_no LIMIT 5),
+outs AS (SELECT 'outflow' AS kind, account, date, amount, substr(description, 1, 40) AS description, row_no
+         FROM lines WHERE currency = 'ISK' AND amount < 0 ORDER BY amount ASC, account, row_no LIMIT 5)
+SELECT kind, account, CAST(date AS VARCHAR) AS date, {D("amount")} AS amount, description, row_no
+FROM (SELECT * FROM ins UNION ALL SELECT * FROM outs) u WHERE year(date) > 2020""")
+def q_largest_transactions(spark, d):
+    return R.largest_transactions(_lines(spark, d), 5, 2020)
+
+
+@register("isk_monthly_trend", f"""WITH {_LINES}, {_MONTHLY}
+SELECT month, {D("SUM(credits)")} AS revenue, {D("SUM(debits)")} AS expenses,
+       {D("SUM(credits) - SUM(debits)")} AS net
+FROM monthly WHERE currency = 'ISK' AND CAST(substr(month, 1, 4) AS INTEGER) >= 2024 GROUP BY month""")
+def q_isk_monthly_trend(spark, d):
+    return R.isk_monthly_trend(_lines(spark, d), 2024)
+
+
+@register("invoice_summary", """
+WITH st AS (
+  SELECT COALESCE(status, 'unknown') AS status, COUNT(*) AS n, SUM(COALESCE(total, 0)) AS tv,
+         arg_max(invoice_number, (COALESCE(created_at, ''), invoice_id)) AS rec_number,
+         arg_max(created_at, (COALESCE(created_at, ''), invoice_id)) AS rec_created,
+         max((COALESCE(created_at, ''), invoice_id)) AS reck
+  FROM dim_invoices GROUP BY 1),
+tot AS (
+  SELECT SUM(n) AS total_items, SUM(tv) AS total_value,
+         string_agg(CAST(n AS VARCHAR) || ' ' || status, ', ' ORDER BY CAST(n AS VARCHAR) || ' ' || status) AS status_breakdown,
+         SUM(CASE WHEN status = 'OVERDUE' THEN n ELSE 0 END) AS overdue_count,
+         SUM(CASE WHEN status = 'SENT' THEN n ELSE 0 END) AS awaiting_count,
+         arg_max(rec_number, reck) AS most_recent_number, arg_max(rec_created, reck) AS most_recent_created
+  FROM st)
+SELECT CAST(total_items AS BIGINT) AS total_items, CAST(total_value AS DOUBLE) AS total_value,
+       CAST((CAST(total_value * 100 AS BIGINT) * 2 + total_items * 100) // (total_items * 200) AS BIGINT) AS average_value,
+       status_breakdown, most_recent_number, most_recent_created,
+       CAST(overdue_count AS BIGINT) AS overdue_count, CAST(awaiting_count AS BIGINT) AS awaiting_count,
+       CAST(total_value AS DOUBLE) / total_items > 1000.0 AS high_average
+FROM tot""")
+def q_invoice_summary(spark, d):
+    return R.invoice_summary(S.dim_invoices(spark, d))
+
+
+_BAL = """bal AS (
+  SELECT a.account_number AS code, a.account_name AS name, a.account_type AS type,
+         COALESCE(NULLIF(a.account_subtype, ''), 'Other') AS sub_type,
+         COALESCE(t.s, 0) AS balance,
+         CASE WHEN a.account_type IN ('Tekjur', 'Income', 'Revenue') THEN 'revenue'
+              WHEN a.account_type IN ('Gjöld', 'Expense', 'Cost') THEN 'expense'
+              WHEN a.account_type IN ('Eignir', 'Asset') THEN 'asset'
+              WHEN a.account_type IN ('Skuldir', 'Liability') THEN 'liability'
+              WHEN a.account_type IN ('Eigið fé', 'Equity') THEN 'equity' ELSE 'other' END AS class
+  FROM dim_accounts a LEFT JOIN (
+    SELECT account_code, SUM(amount) AS s FROM silver_account_statements
+    WHERE year(transaction_date) = {y} GROUP BY account_code) t ON a.account_number = t.account_code)"""
+
+
+@register("income_statement_lines", f"""WITH {_BAL.format(y=YEAR)}
+SELECT class AS section, code, name, {D("abs(balance)")} AS amount FROM bal
+WHERE class IN ('revenue', 'expense') AND abs(balance) > 0""")
+def q_income_statement_lines(spark, d):
+    return R.income_statement(_acc(spark, d), _stm(spark, d), YEAR)[0]
+
+
+@register("income_statement_totals", f"""WITH {_BAL.format(y=YEAR)}
+SELECT {D("COALESCE(SUM(CASE WHEN class = 'revenue' THEN abs(balance) ELSE 0 END), 0)")} AS total_revenue,
+       {D("COALESCE(SUM(CASE WHEN class = 'expense' THEN abs(balance) ELSE 0 END), 0)")} AS total_expenses,
+       {D('''COALESCE(SUM(CASE WHEN class = 'revenue' THEN abs(balance) ELSE 0 END), 0)
+             - COALESCE(SUM(CASE WHEN class = 'expense' THEN abs(balance) ELSE 0 END), 0)''')} AS net_income
+FROM bal WHERE class IN ('revenue', 'expense')""")
+def q_income_statement_totals(spark, d):
+    return R.income_statement(_acc(spark, d), _stm(spark, d), YEAR)[1]
+
+
+@register("balance_sheet_lines", f"""WITH {_BAL.format(y=YEAR)}
+SELECT class AS section, sub_type, code, name, {D("abs(balance)")} AS amount FROM bal
+WHERE class IN ('asset', 'liability', 'equity') AND abs(balance) > 0""")
+def q_balance_sheet_lines(spark, d):
+    return R.balance_sheet(_acc(spark, d), _stm(spark, d), YEAR)[0]
+
+
+@register("balance_sheet_totals", f"""WITH {_BAL.format(y=YEAR)},
+l AS (SELECT class, abs(balance) AS amount FROM bal
+      WHERE class IN ('asset', 'liability', 'equity') AND abs(balance) > 0)
+SELECT {D("COALESCE(SUM(CASE WHEN class = 'asset' THEN amount END), 0)")} AS total_assets,
+       {D("COALESCE(SUM(CASE WHEN class = 'liability' THEN amount END), 0)")} AS total_liabilities,
+       {D("COALESCE(SUM(CASE WHEN class = 'equity' THEN amount END), 0)")} AS total_equity,
+       {D('''COALESCE(SUM(CASE WHEN class = 'liability' THEN amount END), 0)
+             + COALESCE(SUM(CASE WHEN class = 'equity' THEN amount END), 0)''')} AS total_liabilities_and_equity
+FROM l""")
+def q_balance_sheet_totals(spark, d):
+    return R.balance_sheet(_acc(spark, d), _stm(spark, d), YEAR)[1]
+
+
+def _metrics_sql(y: str) -> str:
+    return f"""(SELECT metric, value FROM (
+  SELECT COALESCE(SUM(CASE WHEN class = 'revenue' THEN abs(balance) END), 0) AS r,
+         COALESCE(SUM(CASE WHEN class = 'expense' THEN abs(balance) END), 0) AS e,
+         COALESCE(SUM(CASE WHEN class = 'asset' THEN abs(balance) END), 0) AS a,
+         COALESCE(SUM(CASE WHEN class = 'liability' THEN abs(balance) END), 0) AS l
+  FROM ({_BAL.format(y=y).split(' AS (', 1)[1][:-1]}) b) w,
+  LATERAL (VALUES ('Total Revenue', r), ('Total Expenses', e), ('Net Income', r - e),
+                  ('Total Assets', a), ('Total Liabilities', l)) v(metric, value))"""
+
+
+@register("key_metrics", f"SELECT metric, {D('value')} AS value FROM {_metrics_sql(YEAR)} m")
+def q_key_metrics(spark, d):
+    return R.key_metrics(_acc(spark, d), _stm(spark, d), YEAR)
+
+
+@register("year_over_year", f"""
+SELECT m1.metric, {D("m1.value")} AS value_1, {D("m2.value")} AS value_2,
+       {D("m2.value - m1.value")} AS change,
+       CASE WHEN CAST(m1.value AS DOUBLE) <> 0
+            THEN (CAST(m2.value AS DOUBLE) - CAST(m1.value AS DOUBLE)) / CAST(m1.value AS DOUBLE) * 100.0
+            ELSE 0.0 END AS pct_change
+FROM {_metrics_sql("1996")} m1 JOIN {_metrics_sql(YEAR)} m2 ON m1.metric = m2.metric""")
+def q_year_over_year(spark, d):
+    return R.year_over_year(_acc(spark, d), _stm(spark, d), "1996", YEAR)
+
+
+@register("accounts_by_type", """
+SELECT account_type, COALESCE(NULLIF(account_subtype, ''), 'Other') AS sub_type,
+       COUNT(*) AS account_count FROM dim_accounts GROUP BY 1, 2""")
+def q_accounts_by_type(spark, d):
+    return R.accounts_by_type(_acc(spark, d))
