@@ -15,13 +15,22 @@ def _text(x) -> Column:
     return F.coalesce(_c(x).cast("string"), F.lit(""))
 
 
+def js_number_text(x) -> Column:
+    """A decimal as JavaScript prints a number: no trailing zeros, no trailing dot
+    (``1234.50`` -> ``1234.5``, ``100.00`` -> ``100``)."""
+    t = _c(x).cast("string")
+    return F.when(t.contains("."), F.regexp_replace(F.regexp_replace(t, "0+$", ""), "\\.$", "")
+                  ).otherwise(t)
+
+
 def bank_tx_id(branch, ledger, account_no, booking_date, amount, batch, reference,
                text_key) -> Column:
     """sha1 over ``branch|ledger|acct|booking_date|amount|batch|reference|text_key``.
 
     NULL parts become '' (``concat_ws`` would silently drop them and shift the fields).
     """
-    parts = [branch, ledger, account_no, booking_date, amount, batch, reference, text_key]
+    parts = [branch, ledger, account_no, booking_date, js_number_text(amount), batch, reference,
+             text_key]
     pieces = []
     for i, p in enumerate(parts):
         if i:

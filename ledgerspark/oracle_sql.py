@@ -123,7 +123,9 @@ FROM (SELECT *, {_cents('l_extendedprice')} AS price_c, CAST(round(l_quantity) A
 
 STANDINS["silver_bank_transactions"] = f"""
 SELECT sha1(branch || '|' || ledger || '|' || account_no || '|' || CAST(booking_date AS VARCHAR) || '|' ||
-            CAST(amount AS VARCHAR) || '|' || rb_batchno || '|' || reference || '|' || text_key) AS id,
+            CASE WHEN contains(CAST(amount AS VARCHAR), '.')
+                 THEN regexp_replace(regexp_replace(CAST(amount AS VARCHAR), '0+$', ''), '\\.$', '')
+                 ELSE CAST(amount AS VARCHAR) END || '|' || rb_batchno || '|' || reference || '|' || text_key) AS id,
        branch, ledger, account_no, booking_date, booking_date AS value_date, amount, currency,
        balance, reference, text_key, CAST(NULL AS VARCHAR) AS payer_ssn, rb_batchno, type_code,
        description, raw_hash, strftime(booking_date, '%Y-%m') AS source_period, ingested_at
