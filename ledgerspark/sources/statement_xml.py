@@ -161,14 +161,9 @@ def parse_card_files(files: DataFrame) -> DataFrame:
                         .when(~F.col("ok"), F.lit("unparsable")))
 
 
-def card_transactions(parsed: DataFrame, ingested_at: str | None = None) -> DataFrame:
-    """A2: withdrawals and deposits in one row shape with ``kind``.
-
-    Deviations (documented): withdrawals are stored negative (the XML carries only positive
-    amounts; the sign is the element name), and rows without ``entry_id`` (all deposits) get
-    the surrogate key ``sha1(card|date|amount|description|occurrence_no)`` where
-    ``occurrence_no`` counts equal rows within the same file, so re-reads agree.
-    """
+def card_rows(parsed: DataFrame, ingested_at: str | None = None) -> DataFrame:
+    """A2, step 1: withdrawals and deposits in one row shape with ``kind``, still carrying
+    their file and position (no window: usable on a stream)."""
     ok = parsed.where("ok")
     wd = ok.select("file_path", "card_id", "source_period",
                    F.posexplode("doc.withdrawals.withdrawal").alias("pos", "r"))
@@ -184,6 +179,8 @@ def card_transactions(parsed: DataFrame, ingested_at: str | None = None) -> Data
         r("currency").alias("currency"),
         F.lit(None).cast("string").alias("foreign_currency"),
         raw_hash(F.col("r")).alias("raw_hash"),
+        (F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp())
+        .alias("ingested_at"),
     ]
     w = wd.select(*common("withdrawal", -1),
                   r("clearance_id").alias("clearance_id"),
@@ -192,21 +189,33 @@ def card_transactions(parsed: DataFrame, ingested_at: str | None = None) -> Data
                   r("trans_descriptor").alias("trans_descriptor"), r("due_date").alias("due_date"),
                   r("mcc").alias("mcc"), F.lit(None).cast("string").alias("description"))
     d = dp.select(*common("deposit", 1), r("description").alias("description"))
-    rows = w.unionByName(d, allowMissingColumns=True)
-    # occurrence of identical rows within one file (small window: one file's equal rows)
+    return w.unionByName(d, allowMissingColumns=True)
+
+
+CARD_COLUMNS = ["card_id", "entry_id", "kind", "clearance_id", "date", "amount", "foreign_amount",
+                "currency", "foreign_currency", "merchant_id", "merchant_name", "trans_key",
+                "trans_descriptor", "due_date", "mcc", "description", "raw_hash",
+                "source_period", "ingested_at"]
+
+
+def with_card_keys(rows: DataFrame) -> DataFrame:
+    """A2, step 2: the silver key. Deviations (documented): withdrawals are stored negative
+    (the XML carries only positive amounts; the sign is the element name), and rows without
+    ``entry_id`` (all deposits) get ``sha1(card|date|amount|description|occurrence_no)``
+    where ``occurrence_no`` counts equal rows within the same file, so re-reads agree. The
+    window is per (file, equal row): tiny groups, all inside one file."""
     occ = F.row_number().over(Window.partitionBy(
         "file_path", "kind", "date", "amount", "description").orderBy("pos"))
     rows = rows.withColumn("__occ", occ)
     surrogate = F.sha1(F.concat_ws("|", "card_id", F.coalesce(F.col("date").cast("string"), F.lit("")),
                                    F.coalesce(F.col("amount").cast("string"), F.lit("")),
                                    F.coalesce("description", F.lit("")), F.col("__occ").cast("string")))
-    return rows.select(
-        "card_id", F.coalesce("entry_id", surrogate).alias("entry_id"), "kind", "clearance_id",
-        "date", "amount", "foreign_amount", "currency", "foreign_currency", "merchant_id",
-        "merchant_name", "trans_key", "trans_descriptor", "due_date", "mcc", "description",
-        "raw_hash", "source_period",
-        (F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp())
-        .alias("ingested_at"))
+    return rows.withColumn("entry_id", F.coalesce("entry_id", surrogate)).select(*CARD_COLUMNS)
+
+
+def card_transactions(parsed: DataFrame, ingested_at: str | None = None) -> DataFrame:
+    """A2: silver card transactions (``card_rows`` then ``with_card_keys``)."""
+    return with_card_keys(card_rows(parsed, ingested_at))
 
 
 def card_xml_source(spark: SparkSession, path: str) -> DataFrame:
