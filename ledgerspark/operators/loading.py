@@ -183,11 +183,14 @@ def load_range(target: DataFrame | None, batch: DataFrame, date_from: str, date_
 
 
 def monthly_load_log(statements: DataFrame, operation: str = "incremental",
-                     at: str = "2000-01-01 00:00:00") -> DataFrame:
-    """A load log as produced by one incremental load per calendar month of ``statements``."""
+                     at: str | None = None) -> DataFrame:
+    """A load log as produced by one load per calendar month of ``statements``; each load is
+    stamped the day after its window closes (or at ``at``)."""
     m = statements.groupBy(F.trunc("transaction_date", "month").alias("m")).agg(
         F.count(F.lit(1)).alias("records_loaded"))
+    ts = (F.lit(at).cast("timestamp") if at else
+          F.date_add(F.last_day("m"), 1).cast("timestamp"))
     return m.select(F.lit(operation).alias("operation_type"),
                     F.date_format("m", "yyyy-MM-dd").alias("date_from"),
                     F.date_format(F.last_day("m"), "yyyy-MM-dd").alias("date_to"),
-                    "records_loaded", F.lit(at).cast("timestamp").alias("load_timestamp"))
+                    "records_loaded", ts.alias("load_timestamp"))

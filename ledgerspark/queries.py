@@ -818,7 +818,7 @@ def q_account_monthly_activity(spark, d):
 
 
 @register("frequent_descriptions", f"""WITH {_LINES}
-SELECT account, description_prefix, count, rank FROM (
+SELECT account, description_prefix, count, CAST(rank AS INTEGER) AS rank FROM (
   SELECT account, description_prefix, count,
          row_number() OVER (PARTITION BY account ORDER BY count DESC, description_prefix) AS rank
   FROM (SELECT account, substr(COALESCE(description, ''), 1, 30) AS description_prefix, COUNT(*) AS count
@@ -878,13 +878,13 @@ _CV = """cv AS (
 
 
 @register("counterparty_volume", f"""WITH {_LINES}, {_CV}
-SELECT account, counterparty, count, {D("total")} AS total, rank FROM cv""")
+SELECT account, counterparty, count, {D("total")} AS total, CAST(rank AS INTEGER) AS rank FROM cv""")
 def q_counterparty_volume(spark, d):
     return R.counterparty_volume(_lines(spark, d), 5)
 
 
 @register("recurring_counterparties", f"""WITH {_LINES}, {_CV}
-SELECT counterparty, SUM(count) AS transactions FROM cv WHERE count >= 3
+SELECT counterparty, CAST(SUM(count) AS BIGINT) AS transactions FROM cv WHERE count >= 3
 GROUP BY counterparty ORDER BY transactions DESC, counterparty LIMIT 10""")
 def q_recurring_counterparties(spark, d):
     return R.recurring_counterparties(_lines(spark, d), 10)
@@ -1023,3 +1023,377 @@ SELECT account_type, COALESCE(NULLIF(account_subtype, ''), 'Other') AS sub_type,
        COUNT(*) AS account_count FROM dim_accounts GROUP BY 1, 2""")
 def q_accounts_by_type(spark, d):
     return R.accounts_by_type(_acc(spark, d))
+
+
+# ------------------------------------------------------------------ J loaders, D matching, L, E61-E65
+
+from .operators import loading as LD, matching as M, writeback as WB  # noqa: E402
+from .plans import marts as MT  # noqa: E402
+from .sources import dims as DM  # noqa: E402
+
+_STM_KEYED = """
+  SELECT *, row_number() OVER (PARTITION BY account_code, transaction_date, journal_id,
+                                            journal_number, amount, description ORDER BY id) AS occurrence_no
+  FROM silver_account_statements WHERE {cond}"""
+_LINE_KEY = ("sha1(concat_ws('|', COALESCE(account_code, ''), COALESCE(CAST(transaction_date AS VARCHAR), ''), "
+             "COALESCE(journal_id, ''), COALESCE(journal_number, ''), COALESCE(CAST(amount AS VARCHAR), ''), "
+             "COALESCE(description, ''), CAST(occurrence_no AS VARCHAR)))")
+
+
+@register("insert_or_ignore_statements", f"""
+WITH t AS ({_STM_KEYED.format(cond="transaction_date < DATE '1998-01-01'")}),
+b AS ({_STM_KEYED.format(cond="transaction_date >= DATE '1997-07-01'")})
+SELECT id, account_code, account_id, account_name, account_type, account_subtype,
+       CAST(transaction_date AS VARCHAR) AS transaction_date, CAST(journal_date AS VARCHAR) AS journal_date,
+       description, reference, {D("amount")} AS amount, {D("debit")} AS debit, {D("credit")} AS credit,
+       {D("balance")} AS balance, currency, journal_id, journal_number, line_number, record_type,
+       created_at, CAST(occurrence_no AS INTEGER) AS occurrence_no, {_LINE_KEY} AS line_key
+FROM b WHERE NOT EXISTS (
+  SELECT 1 FROM t WHERE t.account_code = b.account_code AND t.transaction_date = b.transaction_date
+    AND t.journal_id = b.journal_id AND t.journal_number = b.journal_number
+    AND t.amount = b.amount AND t.description = b.description AND t.occurrence_no = b.occurrence_no)""")
+def q_insert_or_ignore_statements(spark, d):
+    s = _stm(spark, d)
+    target = s.where(F.col("transaction_date") < F.lit("1998-01-01").cast("date"))
+    batch = s.where(F.col("transaction_date") >= F.lit("1997-07-01").cast("date"))
+    return LD.load_range(target, batch, "1997-07-01", "2099-12-31")
+
+
+def _load_log(spark, d):
+    s = _stm(spark, d)
+    log1 = LD.monthly_load_log(s, "incremental")
+    rerun = LD.monthly_load_log(s.where(F.year("transaction_date") == 1998), "incremental",
+                                at="2001-06-01 00:00:00")
+    manual = LD.monthly_load_log(s.where(F.year("transaction_date") == 1999), "manual",
+                                 at="2001-07-01 00:00:00")
+    log = LD.insert_or_replace(log1, rerun, ["operation_type", "date_from", "date_to"],
+                               ["load_timestamp"])
+    return LD.insert_or_replace(log, manual, ["operation_type", "date_from", "date_to"],
+                                ["load_timestamp"])
+
+
+@register("load_history", """
+SELECT operation_type, COUNT(*) AS load_count, CAST(SUM(records_loaded) AS BIGINT) AS total_records
+FROM (SELECT 'incremental' AS operation_type, date_trunc('month', transaction_date) AS m, COUNT(*) AS records_loaded
+      FROM silver_account_statements GROUP BY 2
+      UNION ALL
+      SELECT 'manual', date_trunc('month', transaction_date), COUNT(*)
+      FROM silver_account_statements WHERE year(transaction_date) = 1999 GROUP BY 2) l
+GROUP BY operation_type""")
+def q_load_history(spark, d):
+    return P.load_history(_load_log(spark, d))
+
+
+@register("next_load_window", """
+WITH last AS (SELECT strftime(last_day(MAX(transaction_date)), '%Y-%m-%d') AS last_to FROM silver_account_statements)
+SELECT last_to AS date_from, '2002-01-15' AS date_to, last_to = '2002-01-15' AS skip FROM last""")
+def q_next_load_window(spark, d):
+    return LD.next_load_window(_load_log(spark, d), _stm(spark, d), "2002-01-15")
+
+
+# --- fixed values: the configuration tables of the registered matching queries ---------------
+PAYMENT_TYPES = [("pt-main", "Main account", "Checking", "2020-01-01", None),
+                 ("pt-save", "Savings", "Savings", "2020-01-01", "ISK"),
+                 ("pt-gbp", "GBP account", "Foreign", "2020-01-01", "GBP"),
+                 ("pt-eur", "EUR account", "Foreign", "2020-01-01", "EUR")]
+MATCH_RULES = [(1, "0100-26-000000", None, "pt-main"), (2, "0101-26-000001", None, "pt-save"),
+               (3, None, "GBP", "pt-gbp"), (4, None, "EUR", "pt-eur")]
+EXTRA_GROUPS = [("Gjöld", "Brand#13", "COGS", "Materials", "PL", 1),
+                ("Gjöld", "Brand#22", "Depreciation", None, "PL", 1),
+                ("Gjöld", "Brand#5", "Finance", None, "PL", 1)]
+# -----------------------------------------------------------------------------------------------
+
+
+def _sql_values(rows, cols):
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return str(v)
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {body}) v({', '.join(cols)})"
+
+
+def _bank_accounts(spark, d):
+    b = S.silver_bank_transactions(spark, d)
+    return b.select(F.concat_ws("-", "branch", "ledger", "account_no").alias("account_number"),
+                    "currency").distinct()
+
+
+_BANK_ACCOUNTS_SQL = ("SELECT DISTINCT branch || '-' || ledger || '-' || account_no AS account_number, "
+                      "currency FROM silver_bank_transactions")
+_PT_SQL = _sql_values(PAYMENT_TYPES, ["id", "title", "description", "created", "currency"])
+_RULES_SQL = _sql_values(MATCH_RULES, ["priority", "account_number", "currency", "payment_type_id"])
+
+
+def _pt(spark):
+    return spark.createDataFrame(PAYMENT_TYPES, "id string, title string, description string, "
+                                                "created string, currency string")
+
+
+@register("match_accounts_by_rule", f"""
+WITH acc AS ({_BANK_ACCOUNTS_SQL}), pt AS ({_PT_SQL}), rules AS ({_RULES_SQL}),
+bn AS (SELECT account_number, arg_min(payment_type_id, priority) AS p FROM rules
+       WHERE account_number IS NOT NULL GROUP BY 1),
+bc AS (SELECT currency, arg_min(payment_type_id, priority) AS p FROM rules
+       WHERE account_number IS NULL AND currency IS NOT NULL GROUP BY 1)
+SELECT COALESCE(bn.p, bc.p) AS payment_type_id, acc.currency, acc.account_number,
+       pt.title AS payment_type_title, pt.title IS NOT NULL AS matched
+FROM acc LEFT JOIN bn ON acc.account_number = bn.account_number
+LEFT JOIN bc ON acc.currency = bc.currency LEFT JOIN pt ON COALESCE(bn.p, bc.p) = pt.id""")
+def q_match_accounts_by_rule(spark, d):
+    rules = spark.createDataFrame(MATCH_RULES, "priority int, account_number string, currency string, "
+                                               "payment_type_id string")
+    return M.match_accounts_by_rule(_bank_accounts(spark, d), rules, _pt(spark))
+
+
+@register("match_accounts_by_currency", f"""
+WITH acc AS ({_BANK_ACCOUNTS_SQL}), pt AS ({_PT_SQL})
+SELECT acc.account_number, acc.currency, pt.id AS payment_type_id, pt.title AS payment_type_title
+FROM acc LEFT JOIN pt ON acc.currency = COALESCE(pt.currency, 'ISK')""")
+def q_match_accounts_by_currency(spark, d):
+    return M.match_accounts_by_currency(_bank_accounts(spark, d), _pt(spark))
+
+
+@register("orphan_lines", f"""
+SELECT id, invoice_id, line_number, description, {D("quantity")} AS quantity,
+       {D("unit_price")} AS unit_price, {D("discount_percent")} AS discount_percent,
+       {D("vat_percent")} AS vat_percent, {D("vat_amount")} AS vat_amount,
+       {D("line_total")} AS line_total, account_id, account_code, created_at
+FROM dim_invoice_lines l
+WHERE NOT EXISTS (SELECT 1 FROM dim_invoices i WHERE i.invoice_id = l.invoice_id AND i.is_active = 1)""")
+def q_orphan_lines(spark, d):
+    # FK check against the *active* invoices: lines of deactivated invoices are orphans here
+    active = S.dim_invoices(spark, d).where(F.col("is_active") == 1)
+    return M.orphan_lines(S.dim_invoice_lines(spark, d), active)
+
+
+@register("orphan_statements", f"""
+SELECT id, account_code, CAST(transaction_date AS VARCHAR) AS transaction_date, {D("amount")} AS amount
+FROM silver_account_statements s
+WHERE NOT EXISTS (SELECT 1 FROM dim_accounts a WHERE a.account_number = s.account_code AND a.is_active = 1)""")
+def q_orphan_statements(spark, d):
+    active = _acc(spark, d).where(F.col("is_active") == 1)
+    return M.orphan_statements(_stm(spark, d), active).select(
+        "id", "account_code", "transaction_date", "amount")
+
+
+def _groups(spark):
+    return M.default_account_groups(spark).unionByName(spark.createDataFrame(
+        EXTRA_GROUPS, "acct_type string, acct_subtype string, report_group string, "
+                      "report_subgroup string, statement string, sign int"))
+
+
+def _groups_rows():
+    from .functions.accounting import ENGLISH_TYPES, ICELANDIC_TYPES
+    spec = {"revenue": ("Revenue", "PL", 1), "expense": ("Operating expenses", "PL", -1),
+            "asset": ("Assets", "BS", 1), "liability": ("Liabilities", "BS", -1),
+            "equity": ("Equity", "BS", -1)}
+    rows = [(t, None, g, None, st, sg) for cls, (g, st, sg) in spec.items()
+            for t in (ICELANDIC_TYPES[cls],) + ENGLISH_TYPES[cls]]
+    return rows + EXTRA_GROUPS
+
+
+_GROUPS_SQL = _sql_values(_groups_rows(), ["acct_type", "acct_subtype", "report_group",
+                                           "report_subgroup", "statement", "sign"])
+_DIM_ACCOUNT_SQL = f"""grp AS ({_GROUPS_SQL}),
+dim_account AS (
+  SELECT a.*, COALESCE(e.report_group, t.report_group) AS report_group,
+         COALESCE(e.report_subgroup, t.report_subgroup) AS report_subgroup,
+         COALESCE(e.statement, t.statement) AS statement, COALESCE(e.sign, t.sign) AS sign
+  FROM dim_accounts a
+  LEFT JOIN (SELECT * FROM grp WHERE acct_subtype IS NOT NULL) e
+    ON a.account_type = e.acct_type AND a.account_subtype = e.acct_subtype
+  LEFT JOIN (SELECT * FROM grp WHERE acct_subtype IS NULL) t ON a.account_type = t.acct_type)"""
+_FM_SQL = f"""{_DIM_ACCOUNT_SQL},
+fm AS (
+  SELECT strftime(s.transaction_date, '%Y-%m') AS month, s.account_code, s.account_name,
+         d.account_type AS acct_type, d.account_subtype AS acct_subtype, d.report_group,
+         d.report_subgroup, d.statement, d.sign, d.is_active, COUNT(*) AS transaction_count,
+         SUM(s.debit) AS debit, SUM(s.credit) AS credit,
+         COALESCE(d.sign, 1) * (SUM(s.debit) - SUM(s.credit)) AS report_amount
+  FROM silver_account_statements s JOIN dim_account d ON s.account_code = d.account_number
+  GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10)"""
+
+
+def _fm(spark, d):
+    return MT.fact_month(_stm(spark, d), _acc(spark, d), _groups(spark))
+
+
+@register("dim_account", f"""WITH {_DIM_ACCOUNT_SQL}
+SELECT * REPLACE (CAST(sign AS DOUBLE) AS sign) FROM dim_account""")
+def q_dim_account(spark, d):
+    # sign is NULL for ungrouped accounts: presented as DOUBLE so NULLs compare alike
+    return MT.dim_account(_acc(spark, d), _groups(spark)).withColumn(
+        "sign", F.col("sign").cast("double"))
+
+
+@register("v_account_detail", f"""WITH {_FM_SQL}
+SELECT account_code, account_name, acct_type, acct_subtype, report_group, statement, is_active,
+       CAST(SUM(transaction_count) AS BIGINT) AS transaction_count, {D("SUM(debit)")} AS total_debit,
+       {D("SUM(credit)")} AS total_credit,
+       {D("SUM(CASE WHEN statement = 'PL' THEN report_amount ELSE 0 END)")} AS pl_total,
+       {D("SUM(CASE WHEN statement = 'BS' THEN report_amount ELSE 0 END)")} AS bs_total
+FROM fm GROUP BY 1, 2, 3, 4, 5, 6, 7""")
+def q_v_account_detail(spark, d):
+    return MT.v_account_detail(_fm(spark, d))
+
+
+@register("v_pl_month", f"""WITH {_FM_SQL}
+SELECT month, report_group, report_subgroup, {D("SUM(report_amount)")} AS amount,
+       CAST(SUM(transaction_count) AS BIGINT) AS transaction_count
+FROM fm WHERE statement = 'PL' GROUP BY 1, 2, 3""")
+def q_v_pl_month(spark, d):
+    return MT.v_pl_month(_fm(spark, d))
+
+
+@register("v_bs_month", f"""WITH {_FM_SQL},
+m AS (SELECT month, report_group, SUM(report_amount) AS movement FROM fm WHERE statement = 'BS' GROUP BY 1, 2)
+SELECT month, report_group, {D("movement")} AS movement,
+       {D("SUM(movement) OVER (PARTITION BY report_group ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")} AS position
+FROM m""")
+def q_v_bs_month(spark, d):
+    return MT.v_bs_month(_fm(spark, d))
+
+
+@register("v_trial_balance_month", f"""WITH {_FM_SQL}
+SELECT month, account_code, account_name, acct_type, {D("SUM(debit)")} AS total_debit,
+       {D("SUM(credit)")} AS total_credit, {D("SUM(debit - credit)")} AS net
+FROM fm GROUP BY 1, 2, 3, 4""")
+def q_v_trial_balance_month(spark, d):
+    return MT.v_trial_balance_month(_fm(spark, d))
+
+
+def _kpi_sum(groups):
+    names = ", ".join(f"'{g}'" for g in groups)
+    return f"SUM(CASE WHEN report_group IN ({names}) THEN report_amount ELSE 0 END)"
+
+
+@register("v_kpi_month", f"""WITH {_FM_SQL},
+k AS (SELECT month, {_kpi_sum(MT.KPI_GROUPS["revenue"])} AS revenue, {_kpi_sum(MT.KPI_GROUPS["cogs"])} AS cogs,
+             {_kpi_sum(MT.KPI_GROUPS["opex"])} AS opex, {_kpi_sum(MT.KPI_GROUPS["depreciation"])} AS depreciation,
+             {_kpi_sum(MT.KPI_GROUPS["finance"])} AS finance, {_kpi_sum(MT.KPI_GROUPS["tax"])} AS tax
+      FROM fm WHERE statement = 'PL' GROUP BY month)
+SELECT month, {D("revenue")} AS revenue, {D("revenue - cogs")} AS gross_profit,
+       {D("revenue - cogs - opex")} AS ebitda, {D("revenue - cogs - opex - depreciation")} AS ebit,
+       {D("revenue - cogs - opex - depreciation - finance - tax")} AS net_income,
+       CASE WHEN revenue <> 0 THEN CAST(revenue - cogs AS DOUBLE) / CAST(revenue AS DOUBLE) * 100.0 END AS gross_margin_pct,
+       CASE WHEN revenue <> 0 THEN CAST(revenue - cogs - opex AS DOUBLE) / CAST(revenue AS DOUBLE) * 100.0 END AS ebitda_margin_pct
+FROM k""")
+def q_v_kpi_month(spark, d):
+    return MT.v_kpi_month(_fm(spark, d))
+
+
+_CLASS_SQL = """CASE WHEN acct_type IN ('Tekjur', 'Income', 'Revenue') THEN 'revenue'
+              WHEN acct_type IN ('Gjöld', 'Expense', 'Cost') THEN 'expense'
+              WHEN acct_type IN ('Eignir', 'Asset') THEN 'asset'
+              WHEN acct_type IN ('Skuldir', 'Liability') THEN 'liability'
+              WHEN acct_type IN ('Eigið fé', 'Equity') THEN 'equity' ELSE 'other' END"""
+
+
+@register("v_monthly_summary", f"""WITH {_FM_SQL}
+SELECT month,
+       {D(f"SUM(CASE WHEN {_CLASS_SQL} = 'revenue' THEN report_amount ELSE 0 END)")} AS total_revenue,
+       {D(f"SUM(CASE WHEN {_CLASS_SQL} = 'expense' THEN report_amount ELSE 0 END)")} AS total_expenses,
+       {D(f"SUM(CASE WHEN {_CLASS_SQL} = 'asset' THEN report_amount ELSE 0 END)")} AS total_assets,
+       {D(f"SUM(CASE WHEN {_CLASS_SQL} = 'liability' THEN report_amount ELSE 0 END)")} AS total_liabilities,
+       COUNT(DISTINCT account_code) AS active_accounts,
+       CAST(SUM(transaction_count) AS BIGINT) AS total_transactions
+FROM fm GROUP BY month""")
+def q_v_monthly_summary(spark, d):
+    return MT.v_monthly_summary(_fm(spark, d))
+
+
+@register("reconcile_payments", """
+WITH b AS (SELECT payment_id AS id, amount, date FROM payments),
+dd AS (SELECT invoice_id AS id, total AS amount, due_date AS date FROM dim_invoices),
+cand AS (SELECT b.id AS bid, dd.id AS did, abs(date_diff('day', b.date, dd.date)) AS g
+         FROM b JOIN dd ON b.amount = dd.amount AND abs(date_diff('day', b.date, dd.date)) <= 15),
+bb AS (SELECT bid, did, g FROM (SELECT *, row_number() OVER (PARTITION BY bid ORDER BY g, did) AS rn FROM cand) x WHERE rn = 1),
+db AS (SELECT bid, did FROM (SELECT *, row_number() OVER (PARTITION BY did ORDER BY g, bid) AS rn FROM cand) x WHERE rn = 1)
+SELECT bb.bid AS bank_id, bb.did AS document_id, CAST(b.amount AS DOUBLE) AS amount,
+       CAST(b.date AS VARCHAR) AS bank_date, CAST(dd.date AS VARCHAR) AS document_date,
+       CAST(bb.g AS INTEGER) AS days_apart
+FROM bb JOIN db ON bb.bid = db.bid AND bb.did = db.did
+JOIN b ON b.id = bb.bid JOIN dd ON dd.id = bb.did""")
+def q_reconcile_payments(spark, d):
+    pay = S.payments(spark, d).select(F.col("payment_id").alias("id"), "amount", "date")
+    inv = S.dim_invoices(spark, d).select(F.col("invoice_id").alias("id"),
+                                          F.col("total").alias("amount"),
+                                          F.col("due_date").alias("date"))
+    return M.reconcile_bank(pay, inv, 15)
+
+
+def _updates(spark, d):
+    i = S.dim_invoices(spark, d)
+    mode = (F.when(F.col("status") == "SENT", F.lit("mark_as_paid"))
+            .when(F.col("status") == "DRAFT", F.lit("update_draft"))
+            .when(F.col("status") == "CREDIT", F.lit("resend_email"))
+            .when(F.col("status") == "CANCELLED", F.lit("mark_as_paid")))
+    return i.where(F.col("status").isin("SENT", "DRAFT", "CREDIT", "CANCELLED")).select(
+        F.col("invoice_number").cast("bigint").alias("seq"),
+        F.col("invoice_number").alias("invoice_ref"), mode.alias("mode"),
+        F.lit(None).cast("string").alias("status"),
+        F.when(F.col("status") == "SENT", F.date_format("due_date", "yyyy-MM-dd")).alias("paid_date"),
+        F.when(F.col("status") == "SENT", F.lit("transfer")).alias("payment_type"),
+        F.lit(None).cast("map<string,string>").alias("draft_data"))
+
+
+_UPD_SQL = """upd AS (
+  SELECT CAST(invoice_number AS BIGINT) AS seq, invoice_number AS invoice_ref, invoice_id,
+         CASE status WHEN 'SENT' THEN 'mark_as_paid' WHEN 'DRAFT' THEN 'update_draft'
+                     WHEN 'CREDIT' THEN 'resend_email' WHEN 'CANCELLED' THEN 'mark_as_paid' END AS mode,
+         CASE WHEN status = 'SENT' THEN CAST(due_date AS VARCHAR) END AS paid_date,
+         CASE WHEN status = 'SENT' THEN 'transfer' END AS payment_type
+  FROM dim_invoices WHERE status IN ('SENT', 'DRAFT', 'CREDIT', 'CANCELLED')),
+res AS (
+  SELECT *, CASE WHEN mode = 'mark_as_paid' AND COALESCE(payment_type, '') = ''
+                   THEN 'VALIDATION_ERROR: paymentType is required when mode=mark_as_paid'
+                 WHEN mode = 'update_draft' THEN 'VALIDATION_ERROR: draftData is required for update_draft mode'
+            END AS error FROM upd)"""
+
+
+@register("apply_invoice_updates_results", f"""WITH {_UPD_SQL}
+SELECT seq, invoice_ref, invoice_id, mode,
+       CASE WHEN error IS NULL THEN 'OK' ELSE split_part(error, ':', 1) END AS outcome,
+       error AS message FROM res""")
+def q_apply_invoice_updates_results(spark, d):
+    return WB.apply_invoice_updates(S.dim_invoices(spark, d), _updates(spark, d),
+                                    "2002-01-01T00:00:00Z")[1]
+
+
+@register("apply_invoice_updates", f"""WITH {_UPD_SQL},
+ok AS (SELECT invoice_id, CASE mode WHEN 'mark_as_paid' THEN 'PAID' WHEN 'resend_email' THEN 'SENT' END AS new_status,
+              CASE WHEN mode = 'mark_as_paid' THEN
+                CASE WHEN paid_date IS NULL OR trim(paid_date) = '' THEN '2002-01-01T00:00:00Z'
+                     WHEN regexp_matches(paid_date, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN paid_date || 'T12:00:00Z'
+                     ELSE paid_date END END AS new_paid, payment_type AS new_ptype
+       FROM res WHERE error IS NULL)
+SELECT i.invoice_id, invoice_number, customer_id, COALESCE(new_status, status) AS status, currency,
+       {D("subtotal")} AS subtotal, {D("vat_amount")} AS vat_amount, {D("total")} AS total,
+       CAST(invoice_date AS VARCHAR) AS invoice_date, CAST(due_date AS VARCHAR) AS due_date,
+       CAST(final_due_date AS VARCHAR) AS final_due_date, COALESCE(new_paid, paid_date) AS paid_date,
+       COALESCE(new_ptype, payment_type) AS payment_type, description, reference, is_active,
+       created_at, updated_at, false AS claim_cancelled, false AS payment_extended
+FROM dim_invoices i LEFT JOIN ok ON i.invoice_id = ok.invoice_id""")
+def q_apply_invoice_updates(spark, d):
+    return WB.apply_invoice_updates(S.dim_invoices(spark, d), _updates(spark, d),
+                                    "2002-01-01T00:00:00Z")[0]
+
+
+@register("dim_date", """
+WITH b AS (SELECT MIN(transaction_date) AS lo, MAX(transaction_date) AS hi FROM silver_account_statements),
+days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM b)
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS VARCHAR) AS date,
+       CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+       CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
+       CAST(weekofyear(d) AS INTEGER) AS week, CAST(day(d) AS INTEGER) AS day_of_month,
+       CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week, dayname(d) AS day_name,
+       CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+       CAST(NULL AS DOUBLE) AS is_holiday
+FROM days""")
+def q_dim_date(spark, d):
+    # is_holiday is always NULL (no holiday calendar): presented as DOUBLE like the oracle
+    return DM.dim_date_for(_stm(spark, d), "transaction_date").withColumn(
+        "is_holiday", F.col("is_holiday").cast("double"))
