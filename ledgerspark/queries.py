@@ -634,8 +634,13 @@ def q_invoice_search(spark, d):
                                  query="99", order_by="total", order="desc")
 
 
+def _nullable_ints_as_double(df):
+    # invoices without lines give NULL line numbers: presented as DOUBLE on both sides
+    return df.withColumn("line_line_number", F.col("line_line_number").cast("double"))
+
+
 @register("invoice_search_lines", f"""
-SELECT i.*, l.id AS line_id, l.line_number AS line_line_number,
+SELECT i.*, l.id AS line_id, CAST(l.line_number AS DOUBLE) AS line_line_number,
        l.description AS line_description, {D("l.quantity")} AS line_quantity,
        {D("l.unit_price")} AS line_unit_price, {D("l.discount_percent")} AS line_discount_percent,
        {D("l.vat_percent")} AS line_vat_percent, {D("l.vat_amount")} AS line_vat_amount,
@@ -645,8 +650,9 @@ FROM (SELECT {_INV_COLS} FROM dim_invoices
       WHERE customer_id = '7' AND due_date >= DATE '1995-06-01') i
 LEFT JOIN dim_invoice_lines l ON i.invoice_id = l.invoice_id""")
 def q_invoice_search_lines(spark, d):
-    return search.invoice_search(S.dim_invoices(spark, d), S.dim_invoice_lines(spark, d),
-                                 customer_id="7", due_from="1995-06-01", include_lines=True)
+    return _nullable_ints_as_double(search.invoice_search(
+        S.dim_invoices(spark, d), S.dim_invoice_lines(spark, d), customer_id="7",
+        due_from="1995-06-01", include_lines=True))
 
 
 @register("invoice_lookup", f"SELECT {_INV_COLS} FROM dim_invoices WHERE invoice_number = '4242'")
@@ -1397,3 +1403,17 @@ def q_dim_date(spark, d):
     # is_holiday is always NULL (no holiday calendar): presented as DOUBLE like the oracle
     return DM.dim_date_for(_stm(spark, d), "transaction_date").withColumn(
         "is_holiday", F.col("is_holiday").cast("double"))
+
+
+@register("sales_orders", f"""
+SELECT i.*, l.id AS line_id, CAST(l.line_number AS DOUBLE) AS line_line_number,
+       l.description AS line_description, {D("l.quantity")} AS line_quantity,
+       {D("l.unit_price")} AS line_unit_price, {D("l.discount_percent")} AS line_discount_percent,
+       {D("l.vat_percent")} AS line_vat_percent, {D("l.vat_amount")} AS line_vat_amount,
+       {D("l.line_total")} AS line_line_total, l.account_id AS line_account_id,
+       l.account_code AS line_account_code, l.created_at AS line_created_at
+FROM (SELECT {_INV_COLS} FROM dim_invoices) i
+LEFT JOIN dim_invoice_lines l ON i.invoice_id = l.invoice_id""")
+def q_sales_orders(spark, d):
+    return _nullable_ints_as_double(
+        search.sales_orders(S.dim_invoices(spark, d), S.dim_invoice_lines(spark, d), True))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.currency import currency_from_name
+from ..functions.currency import currency_from_name, currency_hint_from_text
 from ..functions.dates import excel_serial_date, parse_sheet_date
 from ..functions.money import parse_amount_en, parse_amount_is, parse_amount_keep
 from ..functions.text import account_name_from_text, account_number_from_text, digits_and_dashes
@@ -121,6 +121,22 @@ def sheet_profile_source(spark: SparkSession, path: str, account_cols: list[str]
     return out.withColumn("row_debit", total(debit_cols)).withColumn("row_credit", total(credit_cols))
 
 
+def sheet_currency(spark: SparkSession, path: str, default: str = "Unknown",
+                   default_isk_when: str | None = None) -> DataFrame:
+    """B18 per file: the currency named by the *last* row whose text mentions one (GBP/£,
+    EUR/€, ISK/kr.), as the source overwrites its guess row by row; files without any hint
+    get ``default`` (or ISK when the file name contains ``default_isk_when``). One
+    ``max_by`` per file: no row leaves its file's group, nothing is collected."""
+    ln = sheet_lines(spark, path)
+    hint = currency_hint_from_text(F.to_json(F.col("cells")))
+    per = ln.groupBy("file", "file_name").agg(
+        F.max_by(hint, F.when(hint.isNotNull(), F.col("line_no"))).alias("currency"))
+    fallback = F.lit(default)
+    if default_isk_when:
+        fallback = F.when(F.col("file_name").contains(default_isk_when), F.lit("ISK")).otherwise(fallback)
+    return per.select("file", "file_name", F.coalesce("currency", fallback).alias("currency"))
+
+
 def distinct_accounts(profile: DataFrame) -> DataFrame:
     """A10: the distinct account numbers discovered in the sheets."""
     return profile.where(F.col("account_candidate").isNotNull()).select(

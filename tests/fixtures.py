@@ -143,3 +143,22 @@ def write_sheet_csv(root: str) -> None:
         "04.01.2024,Núll,0,0,R4",
     ]
     write(os.path.join(root, "Reikningur GBP.csv"), "\n".join(rows) + "\n")
+
+
+def write_profile_csv(root: str) -> None:
+    """Header-keyed sheets for A10/E60 (candidate account columns, debit/credit columns)."""
+    a = ["Reikningur,Debet,Kredit,Texti",
+         "0101-26-000123,100.50,,Greiðsla GBP",
+         "0101-26-000123,,20,Innlegg",
+         ",5,,kr. 5"]
+    b = ["Account,Debet,Kredit,Texti",
+         "0101 26 000124,1,2,EUR færsla",
+         "123,3,4,stutt"]
+    write(os.path.join(root, "a.csv"), "\n".join(a) + "\n")
+    write(os.path.join(root, "b.csv"), "\n".join(b) + "\n")
+
+
+def write_registry_json(root: str) -> None:
+    write(os.path.join(root, "accounts.json"), json.dumps([
+        {"name": "Checking", "number": "0101-26-000123", "category": "Debet"},
+        {"name": "Broken", "number": "12-34", "category": "Debet"}]))
