@@ -18,21 +18,32 @@ from ..functions.keys import month_key
 
 
 def write_silver(df: DataFrame, path: str, date_col: str, key_cols: list[str],
-                 mode: str = "overwrite", partitions: int | None = None) -> None:
-    """Write a silver table partitioned by ``month`` of ``date_col``."""
+                 mode: str = "overwrite", partitions: int | None = None,
+                 partition_by: str | None = "month") -> None:
+    """Write a silver table, range-clustered on (date, key).
+
+    ``partition_by="month"`` adds Hive month directories for partition pruning; use it once a
+    month holds at least a row group or so (production volumes). For small tables (a month of
+    a few thousand rows) ``None`` keeps one range-clustered directory: listing many tiny month
+    directories would cost more than it prunes, while min/max statistics of the sorted files
+    still skip row groups on date and account filters.
+    """
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    out = (df.withColumn("month", month_key(date_col))
-             .repartitionByRange(n, F.col(date_col), *[F.col(k) for k in key_cols])
-             .sortWithinPartitions("month", *key_cols))
-    (out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month").parquet(path))
+    out = df.repartitionByRange(n, F.col(date_col), *[F.col(k) for k in key_cols])
+    if partition_by == "month":
+        out = out.withColumn("month", month_key(date_col)).sortWithinPartitions(
+            "month", *key_cols)
+        (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+            .partitionBy("month").parquet(path))
+    else:
+        out.sortWithinPartitions(date_col, *key_cols).write.mode(mode).parquet(path)
 
 
 def read_silver(spark, path: str) -> DataFrame:
-    """Read a silver table written by ``write_silver`` (the ``month`` partition column is
+    """Read a silver table written by ``write_silver`` (a ``month`` partition column is
     dropped again so the schema equals the declared silver schema)."""
-    return spark.read.parquet(path).drop("month")
+    df = spark.read.parquet(path)
+    return df.drop("month") if "month" in df.columns else df
 
 
 def render_json(df: DataFrame) -> DataFrame:

@@ -106,6 +106,15 @@ def silver_account_statements(spark: SparkSession, sf_dir: str, typed: bool = Fa
     m = _materialized(spark, sf_dir, "silver_account_statements" + ("_typed" if typed else ""))
     if m is not None:
         return m
+    if typed:
+        s = silver_account_statements(spark, sf_dir, typed=False)
+        a = dim_accounts(spark, sf_dir).select(
+            F.col("account_number").alias("__acct"),
+            F.col("account_type").alias("__type"), F.col("account_subtype").alias("__sub"))
+        return (s.join(a, s["account_code"] == a["__acct"], "left")
+                 .withColumn("account_type", F.coalesce("__type", F.lit("")))
+                 .withColumn("account_subtype", F.coalesce("__sub", F.lit("")))
+                 .drop("__acct", "__type", "__sub"))
     l = read_table(spark, sf_dir, "lineitem")
     amount = _cents_to_money(F.when(F.col("l_returnflag") == "R", -_price_cents(F.col("l_extendedprice")))
                              .otherwise(_price_cents(F.col("l_extendedprice"))))
@@ -141,15 +150,7 @@ def silver_account_statements(spark: SparkSession, sf_dir: str, typed: bool = Fa
         F.lit("transaction").alias("record_type"),
         tdate.cast("string").alias("created_at"),
     )
-    if not typed:
-        return s
-    a = dim_accounts(spark, sf_dir).select(
-        F.col("account_number").alias("__acct"),
-        F.col("account_type").alias("__type"), F.col("account_subtype").alias("__sub"))
-    return (s.join(a, s["account_code"] == a["__acct"], "left")
-             .withColumn("account_type", F.coalesce("__type", F.lit("")))
-             .withColumn("account_subtype", F.coalesce("__sub", F.lit("")))
-             .drop("__acct", "__type", "__sub"))
+    return s
 
 
 def _priority_digit():
@@ -345,7 +346,8 @@ MATERIALIZABLE = {
 
 
 def materialize(spark: SparkSession, sf_dir: str, root: str,
-                tables: list[str] | None = None) -> dict[str, float]:
+                tables: list[str] | None = None,
+                partition_by: str | None = "month") -> dict[str, float]:
     """Load the stand-in silver tables once into Parquet under ``root`` (the silver layer a
     deployment keeps), then serve later reads of this ``sf_dir`` from there. Returns the
     load time per table."""
@@ -363,9 +365,10 @@ def materialize(spark: SparkSession, sf_dir: str, root: str,
         t0 = time.perf_counter()
         df = fn(spark, sf_dir)
         if date_col:
-            write_silver(df, path, date_col, keys)
+            write_silver(df, path, date_col, keys, partition_by=partition_by)
         else:
-            df.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+            (df.repartitionByRange(spark.sparkContext.defaultParallelism, *keys)
+               .sortWithinPartitions(*keys).write.mode("overwrite").parquet(path))
         timings[name] = time.perf_counter() - t0
         _MATERIALIZED[(os.path.abspath(sf_dir), name)] = path
     return timings
