@@ -48,8 +48,9 @@ def currency_hint_from_text(row_text) -> Column:
 
 def fx_rates(spark: SparkSession, rates: dict[str, float] | None = None) -> DataFrame:
     """Rate table (currency, rate_to_isk). Its size is the parameter dict: safe to broadcast."""
+    from ..config import config_table
     rates = DEFAULT_FX_TO_ISK if rates is None else rates
-    return spark.createDataFrame(sorted(rates.items()), "currency string, rate_to_isk double")
+    return config_table(spark, sorted(rates.items()), "currency string, rate_to_isk double")
 
 
 def fx_to_isk(df: DataFrame, amount_cols: list[str], rates: DataFrame,

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..config import config_table
 from ..operators.search import UUID_RE
 
 
@@ -124,16 +125,21 @@ def account_groups_join(df: DataFrame, groups: DataFrame, type_col: str = "accou
 
 def default_account_groups(spark: SparkSession) -> DataFrame:
     """A starting group table: one group per account class, by the class sign rules."""
+    return config_table(spark, default_account_group_rows(), GROUPS_SCHEMA)
+
+
+GROUPS_SCHEMA = ("acct_type string, acct_subtype string, report_group string, "
+                 "report_subgroup string, statement string, sign int")
+
+
+def default_account_group_rows() -> list[tuple]:
+    """One type-level group row per account type name (both languages)."""
     from ..functions.accounting import ENGLISH_TYPES, ICELANDIC_TYPES
-    rows = []
     spec = {"revenue": ("Revenue", "PL", 1), "expense": ("Operating expenses", "PL", -1),
             "asset": ("Assets", "BS", 1), "liability": ("Liabilities", "BS", -1),
             "equity": ("Equity", "BS", -1)}
-    for cls, (group, stmt, sign) in spec.items():
-        for t in (ICELANDIC_TYPES[cls],) + ENGLISH_TYPES[cls]:
-            rows.append((t, None, group, None, stmt, sign))
-    return spark.createDataFrame(rows, "acct_type string, acct_subtype string, report_group string, "
-                                       "report_subgroup string, statement string, sign int")
+    return [(t, None, group, None, stmt, sign) for cls, (group, stmt, sign) in spec.items()
+            for t in (ICELANDIC_TYPES[cls],) + ENGLISH_TYPES[cls]]
 
 
 # ---------------------------------------------------------------- D11 reconciliation

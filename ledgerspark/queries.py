@@ -558,6 +558,7 @@ def q_silver_row_counts(spark, d):
 
 # ------------------------------------------------------------------ C search, paging, SQL
 
+from .config import config_table  # noqa: E402
 from .functions.currency import fx_rates  # noqa: E402
 from .operators import paging, reports as R, search  # noqa: E402
 from .operators.sql_guard import guarded_sql  # noqa: E402
@@ -1134,8 +1135,8 @@ _RULES_SQL = _sql_values(MATCH_RULES, ["priority", "account_number", "currency",
 
 
 def _pt(spark):
-    return spark.createDataFrame(PAYMENT_TYPES, "id string, title string, description string, "
-                                                "created string, currency string")
+    return config_table(spark, PAYMENT_TYPES, "id string, title string, description string, "
+                                              "created string, currency string")
 
 
 @register("match_accounts_by_rule", f"""
@@ -1149,8 +1150,8 @@ SELECT COALESCE(bn.p, bc.p) AS payment_type_id, acc.currency, acc.account_number
 FROM acc LEFT JOIN bn ON acc.account_number = bn.account_number
 LEFT JOIN bc ON acc.currency = bc.currency LEFT JOIN pt ON COALESCE(bn.p, bc.p) = pt.id""")
 def q_match_accounts_by_rule(spark, d):
-    rules = spark.createDataFrame(MATCH_RULES, "priority int, account_number string, currency string, "
-                                               "payment_type_id string")
+    rules = config_table(spark, MATCH_RULES, "priority int, account_number string, currency string, "
+                                             "payment_type_id string")
     return M.match_accounts_by_rule(_bank_accounts(spark, d), rules, _pt(spark))
 
 
@@ -1185,20 +1186,12 @@ def q_orphan_statements(spark, d):
         "id", "account_code", "transaction_date", "amount")
 
 
-def _groups(spark):
-    return M.default_account_groups(spark).unionByName(spark.createDataFrame(
-        EXTRA_GROUPS, "acct_type string, acct_subtype string, report_group string, "
-                      "report_subgroup string, statement string, sign int"))
+def _groups_rows():
+    return M.default_account_group_rows() + EXTRA_GROUPS
 
 
-def _groups_rows():
-    from .functions.accounting import ENGLISH_TYPES, ICELANDIC_TYPES
-    spec = {"revenue": ("Revenue", "PL", 1), "expense": ("Operating expenses", "PL", -1),
-            "asset": ("Assets", "BS", 1), "liability": ("Liabilities", "BS", -1),
-            "equity": ("Equity", "BS", -1)}
-    rows = [(t, None, g, None, st, sg) for cls, (g, st, sg) in spec.items()
-            for t in (ICELANDIC_TYPES[cls],) + ENGLISH_TYPES[cls]]
-    return rows + EXTRA_GROUPS
+def _groups(spark):
+    return config_table(spark, _groups_rows(), M.GROUPS_SCHEMA)
 
 
 _GROUPS_SQL = _sql_values(_groups_rows(), ["acct_type", "acct_subtype", "report_group",
