@@ -33,11 +33,21 @@ def _cols(names):
 
 
 def with_occurrence(df: DataFrame, key_cols: list[str], order_cols: list[str | Column],
-                    name: str = "occurrence_no") -> DataFrame:
-    """Number genuinely equal rows *within one batch* (1, 2, ...) in load order, so that
-    equal lines survive as distinct keys while re-loading the same batch yields the same keys."""
-    w = Window.partitionBy(*key_cols).orderBy(*_cols(order_cols))
-    return df.withColumn(name, F.row_number().over(w))
+                    name: str = "occurrence_no", salt: Column | None = None) -> DataFrame:
+    """Number genuinely equal rows *within one batch* in load order, so that equal lines
+    survive as distinct keys while re-loading the same batch yields the same keys.
+
+    With ``salt`` (a deterministic per-row value with a few distinct values) each group of
+    equal rows is split into sub-groups numbered independently and the occurrence becomes
+    ``<salt>-<n>``: still unique and stable, but a hot group of identical rows is spread
+    over as many tasks as there are salt values instead of being sorted by one task.
+    """
+    parts = list(key_cols) + ([salt.alias("__salt")] if salt is not None else [])
+    w = Window.partitionBy(*parts).orderBy(*_cols(order_cols))
+    rn = F.row_number().over(w)
+    if salt is None:
+        return df.withColumn(name, rn)
+    return df.withColumn(name, F.concat(salt, F.lit("-"), rn.cast("string")))
 
 
 def first_per_key(df: DataFrame, key_cols: list[str], order_cols: list[str | Column]) -> DataFrame:
@@ -48,12 +58,14 @@ def first_per_key(df: DataFrame, key_cols: list[str], order_cols: list[str | Col
 
 def insert_or_ignore(target: DataFrame | None, incoming: DataFrame, key_cols: list[str],
                      order_cols: list[str | Column] | None = None,
-                     partition_cols: list[str] | None = None) -> DataFrame:
+                     partition_cols: list[str] | None = None,
+                     keys_unique: bool = False) -> DataFrame:
     """J2 (INSERT OR IGNORE): the incoming rows to append. The first row per key wins within
     the batch; rows whose key already exists in ``target`` are dropped. Appending the result
-    twice is harmless only through this operator: a replayed batch finds its keys present."""
+    twice is harmless only through this operator: a replayed batch finds its keys present.
+    ``keys_unique=True`` skips the in-batch de-duplication (keys unique by construction)."""
     order_cols = order_cols or key_cols
-    batch = first_per_key(incoming, key_cols, order_cols)
+    batch = incoming if keys_unique else first_per_key(incoming, key_cols, order_cols)
     if target is None:
         return batch
     keys = list(dict.fromkeys((partition_cols or []) + key_cols))
@@ -100,9 +112,12 @@ def append_rows(rows: DataFrame, target_path: str, partition_cols: list[str] | N
 
 def statement_keys(batch: DataFrame, order_cols: list[str | Column] | None = None) -> DataFrame:
     """The statement business key: the source key columns plus the
-    occurrence number of equal lines within the batch; ``line_key`` is its sha1."""
+    occurrence of equal lines within the batch; ``line_key`` is its sha1. Equal lines are
+    split 16 ways by the first hex digit of sha1(id) before numbering (see
+    ``with_occurrence``)."""
     order_cols = order_cols or ["id"]
-    b = with_occurrence(batch, STATEMENT_KEY, order_cols)
+    salt = F.substring(F.sha1(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 1)
+    b = with_occurrence(batch, STATEMENT_KEY, order_cols, salt=salt)
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in STATEMENT_KEY + ["occurrence_no"]]
     return b.withColumn("line_key", F.sha1(F.concat_ws("|", *parts)))
 
@@ -179,7 +194,7 @@ def load_range(target: DataFrame | None, batch: DataFrame, date_from: str, date_
     keyed = statement_keys(b, order_cols)
     if target is not None and "line_key" not in target.columns:
         target = statement_keys(target, order_cols)
-    return insert_or_ignore(target, keyed, ["line_key"], ["line_key"])
+    return insert_or_ignore(target, keyed, ["line_key"], keys_unique=True)
 
 
 def monthly_load_log(statements: DataFrame, operation: str = "incremental",

@@ -1039,12 +1039,14 @@ from .plans import marts as MT  # noqa: E402
 from .sources import dims as DM  # noqa: E402
 
 _STM_KEYED = """
-  SELECT *, row_number() OVER (PARTITION BY account_code, transaction_date, journal_id,
-                                            journal_number, amount, description ORDER BY id) AS occurrence_no
+  SELECT *, substr(sha1(COALESCE(id, '')), 1, 1) || '-' || CAST(row_number() OVER (
+              PARTITION BY account_code, transaction_date, journal_id, journal_number, amount,
+                           description, substr(sha1(COALESCE(id, '')), 1, 1) ORDER BY id) AS VARCHAR)
+            AS occurrence_no
   FROM silver_account_statements WHERE {cond}"""
 _LINE_KEY = ("sha1(concat_ws('|', COALESCE(account_code, ''), COALESCE(CAST(transaction_date AS VARCHAR), ''), "
              "COALESCE(journal_id, ''), COALESCE(journal_number, ''), COALESCE(CAST(amount AS VARCHAR), ''), "
-             "COALESCE(description, ''), CAST(occurrence_no AS VARCHAR)))")
+             "COALESCE(description, ''), occurrence_no))")
 
 
 @register("insert_or_ignore_statements", f"""
@@ -1054,7 +1056,7 @@ SELECT id, account_code, account_id, account_name, account_type, account_subtype
        CAST(transaction_date AS VARCHAR) AS transaction_date, CAST(journal_date AS VARCHAR) AS journal_date,
        description, reference, {D("amount")} AS amount, {D("debit")} AS debit, {D("credit")} AS credit,
        {D("balance")} AS balance, currency, journal_id, journal_number, line_number, record_type,
-       created_at, CAST(occurrence_no AS INTEGER) AS occurrence_no, {_LINE_KEY} AS line_key
+       created_at, occurrence_no, {_LINE_KEY} AS line_key
 FROM b WHERE NOT EXISTS (
   SELECT 1 FROM t WHERE t.account_code = b.account_code AND t.transaction_date = b.transaction_date
     AND t.journal_id = b.journal_id AND t.journal_number = b.journal_number

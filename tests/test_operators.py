@@ -272,3 +272,15 @@ def test_top_k_per_group_with_hot_group(spark):
     out = top_k_per_group(df, ["g"], [F.col("v").desc(), F.col("id")], 3).collect()
     assert sorted((r.g, r.v, r.id) for r in out) == sorted(
         [("hot", 49, 49), ("hot", 49, 99), ("hot", 49, 149), ("cold", 2, 2), ("cold", 1, 1), ("cold", 0, 0)])
+
+
+def test_statement_keys_hot_group_of_equal_lines(spark):
+    d = dt.date(2024, 1, 5)
+    rows = [(f"id{i:05d}", "A", d, "J", "1", Decimal("5.00"), "same") for i in range(3000)]
+    batch = _stm_rows(spark, rows)
+    keys1 = LD.statement_keys(batch)
+    assert keys1.select("line_key").distinct().count() == 3000          # all equal lines survive
+    salts = keys1.select(F.split("occurrence_no", "-")[0].alias("s")).distinct().count()
+    assert salts > 8                                                     # the hot group is split
+    keys2 = LD.statement_keys(_stm_rows(spark, list(reversed(rows))))  # same batch, other order
+    assert keys1.select("id", "line_key").subtract(keys2.select("id", "line_key")).count() == 0
