@@ -36,15 +36,19 @@ def _cells(line):
     return F.array(*[parsed[f"c{i}"] for i in range(MAX_COLS)])
 
 
-def sheet_lines(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """(file, file_name, line_no, cells) for every line of every sheet file."""
+def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """One row per sheet file: (file, file_name, lines ARRAY<STRING>)."""
     files = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-             .text(path, wholetext=True)
-             .select(F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_name").alias("file_name"), "value"))
-    lines = files.select("file", "file_name",
-                         F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n"))
-                         .alias("line_no", "line"))
+             .text(path, wholetext=True))
+    return files.select(F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_name").alias("file_name"),
+                        F.split(F.regexp_replace("value", "\r", ""), "\n").alias("lines"))
+
+
+def sheet_lines(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """(file, file_name, line_no, cells) for every non-empty line of every sheet file."""
+    lines = _files(spark, path, glob).select(
+        "file", "file_name", F.posexplode("lines").alias("line_no", "line"))
     return lines.where(F.col("line") != "").select("file", "file_name", "line_no",
                                                    _cells(F.col("line")).alias("cells"))
 
@@ -56,19 +60,24 @@ def statement_sheet_source(spark: SparkSession, path: str, amount_format: str =
 
     ``amount_format``: ``keep`` (B3), ``is`` (B4, ``1.234,50``) or ``en`` (B5).
     ``positional=True`` reads the serial-date export by column position (B14 dates).
+    Per file, the header positions and the account line are taken from the file's own line
+    array *before* the data lines are exploded, so the whole source runs without a shuffle.
     """
-    ln = sheet_lines(spark, path)
-    head = ln.where(F.col("line_no") == HEADER_LINE).select(
-        "file", F.col("cells").alias("header"))
-    acct = ln.where(F.col("line_no") == ACCOUNT_LINE).select(
-        "file", F.col("cells")[0].alias("account_line"))
-    data = ln.where(F.col("line_no") >= FIRST_DATA_LINE)
-    # one header and one account line per file: the joins are on the file key, and each
-    # side has one row per file (small, broadcast by AQE at runtime when it fits)
-    j = data.join(head, "file", "left").join(acct, "file", "left")
-
-    def by_name(name):
-        pos = F.array_position(F.col("header"), name).cast("int")
+    f = _files(spark, path, "*.csv")
+    header = _cells(F.try_element_at("lines", F.lit(HEADER_LINE + 1)))
+    f = f.select("file", "file_name", "lines",
+                 F.try_element_at(_cells(F.try_element_at("lines", F.lit(ACCOUNT_LINE + 1))),
+                                  F.lit(1)).alias("account_line"),
+                 *[F.array_position(header, name).cast("int").alias(f"__p_{key}")
+                   for key, name in (("date", COL_DATE), ("text", COL_TEXT),
+                                     ("amount", COL_AMOUNT), ("balance", COL_BALANCE),
+                                     ("ref", COL_REFERENCE))])
+    rows = f.select("*", F.posexplode("lines").alias("line_no", "line")).drop("lines")
+    rows = rows.where((F.col("line_no") >= FIRST_DATA_LINE) & (F.col("line") != ""))
+    rows = rows.withColumn("cells", _cells(F.col("line")))
+
+    def by_name(key):
+        pos = F.col(f"__p_{key}")
         return F.when(pos > 0, F.element_at("cells", pos))
 
     if positional:
@@ -78,12 +87,12 @@ def statement_sheet_source(spark: SparkSession, path: str, amount_format: str =
         date = excel_serial_date(date_raw)
         ref = F.lit(None).cast("string")
     else:
-        date_raw = by_name(COL_DATE)
-        text, amount_raw, bal_raw, ref = (by_name(COL_TEXT), by_name(COL_AMOUNT),
-                                          by_name(COL_BALANCE), by_name(COL_REFERENCE))
+        date_raw = by_name("date")
+        text, amount_raw, bal_raw, ref = (by_name("text"), by_name("amount"),
+                                          by_name("balance"), by_name("ref"))
         date = parse_sheet_date(date_raw)
     parser = {"keep": parse_amount_keep, "is": parse_amount_is, "en": parse_amount_en}[amount_format]
-    out = j.select(
+    out = rows.select(
         account_number_from_text("account_line").alias("account"),
         account_name_from_text("account_line").alias("account_name"),
         currency_from_name(F.col("file_name")).alias("currency"),
@@ -123,18 +132,18 @@ def sheet_profile_source(spark: SparkSession, path: str, account_cols: list[str]
 
 def sheet_currency(spark: SparkSession, path: str, default: str = "Unknown",
                    default_isk_when: str | None = None) -> DataFrame:
-    """B18 per file: the currency named by the *last* row whose text mentions one (GBP/£,
+    """B18 per file: the currency named by the *last* line whose text mentions one (GBP/£,
     EUR/€, ISK/kr.), as the source overwrites its guess row by row; files without any hint
-    get ``default`` (or ISK when the file name contains ``default_isk_when``). One
-    ``max_by`` per file: no row leaves its file's group, nothing is collected."""
-    ln = sheet_lines(spark, path)
-    hint = currency_hint_from_text(F.to_json(F.col("cells")))
-    per = ln.groupBy("file", "file_name").agg(
-        F.max_by(hint, F.when(hint.isNotNull(), F.col("line_no"))).alias("currency"))
+    get ``default`` (or ISK when the file name contains ``default_isk_when``). Evaluated on
+    the file's own line array (``transform`` / ``filter``): no shuffle, nothing collected."""
+    f = _files(spark, path, "*.csv")
+    hints = F.filter(F.transform("lines", lambda l: currency_hint_from_text(l)),
+                     lambda h: h.isNotNull())
     fallback = F.lit(default)
     if default_isk_when:
         fallback = F.when(F.col("file_name").contains(default_isk_when), F.lit("ISK")).otherwise(fallback)
-    return per.select("file", "file_name", F.coalesce("currency", fallback).alias("currency"))
+    return f.select("file", "file_name",
+                    F.coalesce(F.try_element_at(hints, F.lit(-1)), fallback).alias("currency"))
 
 
 def distinct_accounts(profile: DataFrame) -> DataFrame:
