@@ -18,7 +18,6 @@ from pyspark.sql.utils import AnalysisException
 from ..functions.keys import month_key
 from ..operators.loading import append_rows, insert_or_ignore
 from ..sources import statement_xml as X
-from ..sources.sinks import read_silver
 
 
 def _file_stream(spark: SparkSession, raw_path: str, max_files: int | None) -> DataFrame:
@@ -31,17 +30,27 @@ def _file_stream(spark: SparkSession, raw_path: str, max_files: int | None) -> D
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return read_silver(spark, path)
+        return spark.read.parquet(path)
     except AnalysisException:
         return None
 
 
 def _merge_batch(spark, target_path, key_cols, order_cols, date_col, prepare=None):
+    """J2 inside foreachBatch. The silver target is month-partitioned and a row's month is
+    fixed by its key (the key contains the date), so only the target months present in the
+    batch are read: the batch's distinct months (bounded by the calendar, not by the data)
+    become a partition filter, and the anti-join runs on (month, key)."""
     def merge(batch: DataFrame, batch_id: int) -> None:
         if prepare is not None:
             batch = prepare(batch)
-        new = insert_or_ignore(_existing(spark, target_path), batch, key_cols, order_cols)
-        append_rows(new.withColumn("month", month_key(date_col)), target_path, ["month"])
+        # rows without a date go to an explicit "unknown" month, so replays still find them
+        batch = batch.withColumn("month", F.coalesce(month_key(date_col), F.lit("unknown")))
+        target = _existing(spark, target_path)
+        if target is not None:
+            months = [r[0] for r in batch.select("month").distinct().collect()]
+            target = target.where(F.col("month").isin(months))
+        new = insert_or_ignore(target, batch, key_cols, order_cols, partition_cols=["month"])
+        append_rows(new, target_path, ["month"])
     return merge
 
 
