@@ -73,11 +73,21 @@ def match_accounts_by_currency(accounts: DataFrame, payment_types: DataFrame) ->
 def number_to_uuid(updates: DataFrame, invoices: DataFrame, ref_col: str = "invoice_ref"
                    ) -> DataFrame:
     """Resolve each update's invoice reference (UUID -> by id, else by number) to an
-    invoice id; unresolved rows get ``resolved = false`` (NOT_FOUND)."""
+    invoice id; unresolved rows get ``resolved = false`` (NOT_FOUND).
+
+    Semi-join reduction: the invoice table is first cut down to the invoices the batch names
+    (``left_semi`` against the batch's distinct references — the small side, which AQE
+    broadcasts from its measured size), so the full invoice table is scanned once and never
+    shuffled; the batch is then joined to that small set.
+    """
     is_uuid = F.col(ref_col).rlike("(?i)" + UUID_RE.pattern)
-    by_id = invoices.select(F.col("invoice_id").alias("__id_hit"))
-    by_no = invoices.select(F.col("invoice_number").alias("__no"), F.col("invoice_id").alias("__no_hit"))
     u = updates.withColumn("__is_uuid", is_uuid)
+    ids = u.where("__is_uuid").select(F.col(ref_col).alias("__ref")).distinct()
+    nos = u.where(~F.col("__is_uuid")).select(F.col(ref_col).alias("__ref")).distinct()
+    by_id = (invoices.join(ids, invoices["invoice_id"] == ids["__ref"], "left_semi")
+             .select(F.col("invoice_id").alias("__id_hit")))
+    by_no = (invoices.join(nos, invoices["invoice_number"] == nos["__ref"], "left_semi")
+             .select(F.col("invoice_number").alias("__no"), F.col("invoice_id").alias("__no_hit")))
     j = (u.join(by_id, (F.col("__is_uuid")) & (F.col(ref_col) == F.col("__id_hit")), "left")
           .join(by_no, (~F.col("__is_uuid")) & (F.col(ref_col) == F.col("__no")), "left"))
     return (j.withColumn("invoice_id", F.coalesce("__id_hit", "__no_hit"))
