@@ -12,7 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 @pytest.fixture(scope="session")
 def spark():
     from ledgerspark.session import build_session, checkpoint_dir
-    s = build_session("local[*]", app="ledgerspark-tests", shuffle_partitions=8)
+    s = build_session("local[*]", app="ledgerspark-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ledgerspark-wh-")})
     checkpoint_dir(s)  # tests set their own scratch checkpoint folder (unset locally)
     yield s
     s.stop()

@@ -83,3 +83,23 @@ def test_no_python_udfs_anywhere(spark):
     for name, fn in E.queries().items():
         p = plan(fn(spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_bucketed_invoice_tables_join_without_exchange(spark):
+    from ledgerspark.plans import invoice
+    from ledgerspark.sources import sinks
+    sinks.write_bucketed(S.dim_invoices(spark, SF), "b_invoices", ["invoice_id"], 8)
+    sinks.write_bucketed(S.dim_invoice_lines(spark, SF), "b_invoice_lines", ["invoice_id"], 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the large-large path
+    try:
+        df = invoice.gold_invoice_lines(spark.table("b_invoice_lines"), spark.table("b_invoices"),
+                                        "1998-08-01")
+        p = plan(df)
+        n = df.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in p and "Exchange" not in p
+    expected = invoice.gold_invoice_lines(S.dim_invoice_lines(spark, SF), S.dim_invoices(spark, SF),
+                                          "1998-08-01").count()
+    assert n == expected
