@@ -158,43 +158,29 @@ def _nearest(left: DataFrame, right: DataFrame, tolerance_days: int, prefix: str
     """For every left row (id, amount, date) the nearest right row of equal amount within
     ``tolerance_days`` (closest date, then lowest right id), as ``{prefix}_id``/``_diff``.
 
-    Plan: rows are keyed by (amount, date bucket of width W >= tolerance). Right rows are
-    copied into their bucket and both neighbours, so every right row within the tolerance of
-    a left row shares its (amount, bucket) partition. Two windows over that partition (date
-    ascending with id ascending / descending) give the nearest right row on or after and on
-    or before each left row. No pairs are emitted: each partition is sorted once, and hot
-    amounts are split across buckets by date.
+    Plan: since ties go to the lowest id, only the lowest-id right row of each (amount, day)
+    can ever be chosen, so the right side is first reduced to one row per (amount, day) — a
+    partial aggregate, immune to hot amounts. Reduced rows are keyed by (amount, date bucket
+    of width W >= tolerance) and copied into their bucket and both neighbours; each left row
+    joins the rows of its (amount, bucket), i.e. at most 3W candidate *days* — a bound set
+    by the tolerance, not by how many rows share the amount — and keeps the best one. The
+    equi-join is an ordinary sort-merge join, so AQE's skew handling splits a hot
+    (amount, bucket) on the left side across tasks.
     """
     w = max(int(tolerance_days), 1)
     day = lambda c: F.datediff(F.col(c), F.lit("1970-01-01").cast("date"))
-    lb = left.select(F.col("id").alias("__lid"), "amount", "date",
-                     F.floor(day("date") / w).alias("__b"), F.lit(None).cast("string").alias("__rid"))
-    rb = right.select(F.lit(None).cast("string").alias("__lid"), "amount", "date",
-                      F.explode(F.array(*[F.floor(day("date") / w) + k for k in (-1, 0, 1)]))
-                      .alias("__b"), F.col("id").alias("__rid"))
-    u = lb.unionByName(rb)
-    part = ["amount", "__b"]
-    cand = F.when(F.col("__rid").isNotNull(), F.struct(F.col("date").alias("d"), F.col("__rid").alias("i")))
-    # at or after: dates ascending, ids ascending, left rows placed before right rows
-    w_next = (Window.partitionBy(*part)
-              .orderBy("date", F.col("__rid").asc_nulls_first())
-              .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    # at or before: dates ascending, ids descending, so the last one is the lowest id
-    w_prev = (Window.partitionBy(*part)
-              .orderBy("date", F.col("__rid").desc_nulls_last())
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = (u.withColumn("__next", F.first(cand, ignorenulls=True).over(w_next))
-          .withColumn("__prev", F.last(cand, ignorenulls=True).over(w_prev)))
-    u = u.where(F.col("__lid").isNotNull())
-    dn = F.datediff("__next.d", "date")
-    dp = F.datediff("date", "__prev.d")
-    pick_next = F.col("__prev").isNull() | (dn < dp) | ((dn == dp) & (F.col("__next.i") < F.col("__prev.i")))
-    best = F.when(F.col("__next").isNull() & F.col("__prev").isNull(), F.lit(None)).when(
-        F.col("__next").isNotNull() & pick_next, F.struct(F.col("__next.i").alias("i"), dn.alias("g"))
-    ).otherwise(F.struct(F.col("__prev.i").alias("i"), dp.alias("g")))
-    out = u.select(F.col("__lid").alias("id"), best.alias("__best"))
-    return out.where(F.col("__best.g") <= tolerance_days).select(
-        "id", F.col("__best.i").alias(f"{prefix}_id"), F.col("__best.g").alias(f"{prefix}_diff"))
+    reduced = right.groupBy("amount", "date").agg(F.min("id").alias("__rid"))
+    rb = reduced.select(F.col("amount").alias("__ramt"), F.col("date").alias("__rdate"), "__rid",
+                        F.explode(F.array(*[F.floor(day("date") / w) + k for k in (-1, 0, 1)]))
+                        .alias("__b"))
+    lb = left.select("id", "amount", "date", F.floor(day("date") / w).alias("__b"))
+    cand = lb.join(rb, (lb["amount"] == rb["__ramt"]) & (lb["__b"] == rb["__b"]), "inner")
+    gap = F.abs(F.datediff(F.col("__rdate"), F.col("date")))
+    cand = cand.where(gap <= tolerance_days).select(
+        "id", F.struct(gap.alias("g"), F.col("__rid").alias("i")).alias("__c"))
+    best = cand.groupBy("id").agg(F.min("__c").alias("__best"))
+    return best.select("id", F.col("__best.i").alias(f"{prefix}_id"),
+                       F.col("__best.g").alias(f"{prefix}_diff"))
 
 
 def reconcile_bank(bank: DataFrame, documents: DataFrame, tolerance_days: int = 3) -> DataFrame:
