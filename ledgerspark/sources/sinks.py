@@ -19,17 +19,25 @@ from ..functions.keys import month_key
 
 def write_silver(df: DataFrame, path: str, date_col: str, key_cols: list[str],
                  mode: str = "overwrite", partitions: int | None = None,
-                 partition_by: str | None = "month") -> None:
-    """Write a silver table, range-clustered on (date, key).
+                 partition_by: str | None = "month", cluster: bool = True) -> None:
+    """Write a silver table.
+
+    ``cluster=True`` range-partitions on (date, key) (Spark samples the bounds, so a hot month
+    or account is split across writers) and sorts each file, giving files with narrow
+    date/account ranges whose min/max statistics prune; worth its sampling pass once a table
+    spans many row groups. ``cluster=False`` spreads rows round-robin (one pass) and only
+    sorts within files — for small tables.
 
     ``partition_by="month"`` adds Hive month directories for partition pruning; use it once a
     month holds at least a row group or so (production volumes). For small tables (a month of
-    a few thousand rows) ``None`` keeps one range-clustered directory: listing many tiny month
-    directories would cost more than it prunes, while min/max statistics of the sorted files
-    still skip row groups on date and account filters.
+    a few thousand rows) ``None`` keeps one directory: listing many tiny month directories
+    would cost more than it prunes.
     """
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    out = df.repartitionByRange(n, F.col(date_col), *[F.col(k) for k in key_cols])
+    if cluster:
+        out = df.repartitionByRange(n, F.col(date_col), *[F.col(k) for k in key_cols])
+    else:
+        out = df.repartition(n)
     if partition_by == "month":
         out = out.withColumn("month", month_key(date_col)).sortWithinPartitions(
             "month", *key_cols)

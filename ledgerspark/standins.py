@@ -347,7 +347,7 @@ MATERIALIZABLE = {
 
 def materialize(spark: SparkSession, sf_dir: str, root: str,
                 tables: list[str] | None = None,
-                partition_by: str | None = "month") -> dict[str, float]:
+                partition_by: str | None = "month", cluster: bool = True) -> dict[str, float]:
     """Load the stand-in silver tables once into Parquet under ``root`` (the silver layer a
     deployment keeps), then serve later reads of this ``sf_dir`` from there. Returns the
     load time per table."""
@@ -365,10 +365,11 @@ def materialize(spark: SparkSession, sf_dir: str, root: str,
         t0 = time.perf_counter()
         df = fn(spark, sf_dir)
         if date_col:
-            write_silver(df, path, date_col, keys, partition_by=partition_by)
+            write_silver(df, path, date_col, keys, partition_by=partition_by, cluster=cluster)
         else:
-            (df.repartitionByRange(spark.sparkContext.defaultParallelism, *keys)
-               .sortWithinPartitions(*keys).write.mode("overwrite").parquet(path))
+            n = spark.sparkContext.defaultParallelism
+            spread = df.repartitionByRange(n, *keys) if cluster else df.repartition(n)
+            spread.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
         timings[name] = time.perf_counter() - t0
         _MATERIALIZED[(os.path.abspath(sf_dir), name)] = path
     return timings
