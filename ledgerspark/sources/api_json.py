@@ -16,9 +16,8 @@ from pyspark.sql import types as T
 from ..functions.dates import iso_date
 from ..functions.keys import active_flag, first_nonempty
 from ..functions.money import debit_of, credit_of, parse_amount_or_zero
-from ..functions.text import ACCOUNT_NUMBER_PATTERN
 
-_S, _L, _B = T.StringType(), T.LongType(), T.BooleanType()
+_S, _L = T.StringType(), T.LongType()
 
 
 def _struct(*names, types=None) -> T.StructType:
@@ -200,4 +199,4 @@ def load_invoices(raw: DataFrame, now_iso: str) -> tuple[DataFrame, DataFrame]:
 
 
 __all__ = ["account_registry", "statement_pages_source", "load_statements", "accounts_source",
-           "load_accounts", "invoices_source", "load_invoices", "ACCOUNT_NUMBER_PATTERN"]
+           "load_accounts", "invoices_source", "load_invoices"]
