@@ -129,13 +129,19 @@ def v_kpi_month(fact: DataFrame, kpi_groups: dict | None = None) -> DataFrame:
 
 def v_monthly_summary(fact: DataFrame) -> DataFrame:
     """Month -> total revenue, total expenses, total assets, total liabilities (each
-    the Σreport_amount of the account class), active accounts, transactions."""
+    the Σreport_amount of the account class), active accounts, transactions.
+
+    Two plain aggregations instead of a DISTINCT aggregate: first per (month, account), then
+    per month, where ``active_accounts`` is the row count (no Expand of the input rows)."""
     cls = account_class("acct_type")
 
     def part(c):
         return F.sum(F.when(cls == c, F.col("report_amount")).otherwise(F.lit(0)))
-    return fact.groupBy("month").agg(
-        part("revenue").alias("total_revenue"), part("expense").alias("total_expenses"),
-        part("asset").alias("total_assets"), part("liability").alias("total_liabilities"),
-        F.countDistinct("account_code").alias("active_accounts"),
-        F.sum("transaction_count").alias("total_transactions"))
+    per_acct = fact.groupBy("month", "account_code").agg(
+        part("revenue").alias("r"), part("expense").alias("e"), part("asset").alias("a"),
+        part("liability").alias("l"), F.sum("transaction_count").alias("n"))
+    return per_acct.groupBy("month").agg(
+        F.sum("r").alias("total_revenue"), F.sum("e").alias("total_expenses"),
+        F.sum("a").alias("total_assets"), F.sum("l").alias("total_liabilities"),
+        F.count(F.lit(1)).alias("active_accounts"),
+        F.sum("n").alias("total_transactions"))

@@ -284,3 +284,12 @@ def test_statement_keys_hot_group_of_equal_lines(spark):
     assert salts > 8                                                     # the hot group is split
     keys2 = LD.statement_keys(_stm_rows(spark, list(reversed(rows))))  # same batch, other order
     assert keys1.select("id", "line_key").subtract(keys2.select("id", "line_key")).count() == 0
+
+
+@pytest.mark.parametrize("page", [1, 7, 40, 41])
+def test_deep_pages_equal_shallow_pages(spark, page):
+    df = spark.range(0, 1000).selectExpr("id % 37 AS g", "id", "concat('x', id % 11) AS s")
+    shallow, _ = paging.paginate(df, ["g", "s"], page=page, perpage=25)
+    deep, meta = paging.paginate(df, ["g", "s"], page=page, perpage=25, deep_threshold=0)
+    assert [tuple(r) for r in deep.collect()] == [tuple(r) for r in shallow.collect()]
+    assert meta.first().total == 1000
