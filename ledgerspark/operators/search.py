@@ -71,6 +71,7 @@ def bank_transactions(bank: DataFrame, cards: DataFrame, from_date: str | None =
                      F.col("reference").alias("reference_number"), "currency",
                      F.col("type_code").alias("transaction_type"),
                      F.lit(None).cast("string").alias("merchant_name"),
+                     F.lit(None).cast("string").alias("card_number_masked"),
                      F.lit(0).alias("__src"), F.col("id").alias("__tie"))
         if n > 0:
             sides.append(b.orderBy(F.col("date").desc(), "account_number", "__tie").limit(n))
@@ -83,7 +84,8 @@ def bank_transactions(bank: DataFrame, cards: DataFrame, from_date: str | None =
                      "date", "description", "amount", F.lit(None).cast(bank.schema["balance"].dataType)
                      .alias("balance"), F.lit(None).cast("string").alias("reference_number"),
                      "currency", F.lit("CARD_TRANSACTION").alias("transaction_type"),
-                     "merchant_name", F.lit(1).alias("__src"), F.col("entry_id").alias("__tie"))
+                     "merchant_name", F.lit(None).cast("string").alias("card_number_masked"),
+                     F.lit(1).alias("__src"), F.col("entry_id").alias("__tie"))
         sides.append(c.orderBy(F.col("date").desc(), "account_number", "__tie").limit(n))
     if not sides:
         return bank.limit(0)

@@ -72,10 +72,15 @@ def assert_select_only(sql: str) -> str:
 
 
 def guarded_sql(spark: SparkSession, sql: str, params: list | None = None,
-                max_rows: int = MAX_ROWS_DEFAULT) -> DataFrame:
+                max_rows: int = MAX_ROWS_DEFAULT, fmt: str | None = None) -> DataFrame:
     """Run a guarded read-only query with positional parameters, capped at
-    ``max(1, min(max_rows, 100000))`` rows."""
+    ``max(1, min(max_rows, 100000))`` rows. With ``fmt`` (json / csv / markdown) the result
+    is rendered one line per row (``sources.sinks.render_rows``; header via ``render_rows``)."""
     clean = assert_select_only(sql)
     cap = max(1, min(int(max_rows), MAX_ROWS_CAP))
     df = spark.sql(clean, args=list(params)) if params else spark.sql(clean)
-    return df.limit(cap)
+    df = df.limit(cap)
+    if fmt is None:
+        return df
+    from ..sources.sinks import render_rows
+    return render_rows(df, fmt)[1]

@@ -570,14 +570,15 @@ WITH b AS (
   SELECT 'bank' AS account_type, branch || '-' || ledger || '-' || account_no AS account_number,
          value_date AS date, description, amount, balance, reference AS reference_number,
          currency, type_code AS transaction_type, CAST(NULL AS VARCHAR) AS merchant_name,
-         0 AS src, id AS tie
+         CAST(NULL AS VARCHAR) AS card_number_masked, 0 AS src, id AS tie
   FROM silver_bank_transactions
   WHERE value_date >= DATE '{BANK_FROM}' AND value_date <= DATE '{BANK_TO}'
   ORDER BY date DESC, account_number, tie LIMIT 50),
 c AS (
   SELECT 'card' AS account_type, card_id AS account_number, date, description, amount,
          CAST(NULL AS DECIMAL(18,2)) AS balance, CAST(NULL AS VARCHAR) AS reference_number,
-         currency, 'CARD_TRANSACTION' AS transaction_type, merchant_name, 1 AS src, entry_id AS tie
+         currency, 'CARD_TRANSACTION' AS transaction_type, merchant_name,
+         CAST(NULL AS VARCHAR) AS card_number_masked, 1 AS src, entry_id AS tie
   FROM silver_card_transactions
   WHERE date >= DATE '{BANK_FROM}' AND date <= DATE '{BANK_TO}'
   ORDER BY date DESC, account_number, tie LIMIT 50),
@@ -595,7 +596,7 @@ def _c1(spark, d):
 @register("bank_transactions", _C1_SQL + f"""
 SELECT account_type, account_number, CAST(date AS VARCHAR) AS date, description,
        {D("amount")} AS amount, {D("balance")} AS balance, reference_number, currency,
-       transaction_type, merchant_name FROM tx""")
+       transaction_type, merchant_name, card_number_masked FROM tx""")
 def q_bank_transactions(spark, d):
     return _c1(spark, d)
 

@@ -103,6 +103,20 @@ def markdown_header(df: DataFrame) -> str:
 EMPTY_MARKDOWN = "| (no rows) |\n|---|"
 
 
+def render_rows(df: DataFrame, fmt: str = "json") -> tuple[str | None, DataFrame]:
+    """(header text or None, one rendered line per row) for json / csv / markdown. The
+    lines stay a distributed DataFrame; the caller bounds them (the SQL tool's row cap) before
+    joining them into one document with ``rows_to_text``. An empty markdown result renders
+    as ``EMPTY_MARKDOWN``."""
+    if fmt == "csv":
+        return csv_header(df), render_csv(df)
+    if fmt == "markdown":
+        return markdown_header(df), render_markdown(df)
+    if fmt == "json":
+        return None, render_json(df)
+    raise ValueError("format must be json, csv or markdown")
+
+
 def export_view(df: DataFrame, path: str, where: str | None = None,
                 order_by: list[str] | None = None, limit: int | None = None,
                 fmt: str = "json") -> None:

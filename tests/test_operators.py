@@ -293,3 +293,14 @@ def test_deep_pages_equal_shallow_pages(spark, page):
     deep, meta = paging.paginate(df, ["g", "s"], page=page, perpage=25, deep_threshold=0)
     assert [tuple(r) for r in deep.collect()] == [tuple(r) for r in shallow.collect()]
     assert meta.first().total == 1000
+
+
+def test_guarded_sql_formats(spark):
+    from ledgerspark.sources.sinks import EMPTY_MARKDOWN, render_rows
+    spark.range(0, 3).createOrReplaceTempView("fmt_t")
+    out = guarded_sql(spark, "SELECT id, 'a' AS s FROM fmt_t ORDER BY id", fmt="csv").collect()
+    assert [r.value for r in out] == ['0,"a"', '1,"a"', '2,"a"']
+    head, rows = render_rows(spark.sql("SELECT id FROM fmt_t WHERE id < 0"), "markdown")
+    assert rows.count() == 0 and head == "| id |\n| - |" and EMPTY_MARKDOWN.startswith("| (no rows)")
+    with pytest.raises(ValueError):
+        render_rows(spark.sql("SELECT 1"), "xml")
