@@ -129,3 +129,9 @@ def test_clean_title_and_prefix(spark):
     assert one(spark, L.clean_title, "Main account (ISK)!") == "Main_account_ISK"
     assert one(spark, lambda c: L.text_prefix_key(c, 5), "  ab  cdef") == "ab"
     assert one(spark, lambda c: L.text_prefix_key(c, 5), "   ") is None
+
+
+def test_to_millions_and_raw_hash(spark):
+    df = spark.createDataFrame([(Decimal("2500000.00"), "a")], "x decimal(18,2), s string")
+    r = df.select(L.to_millions("x").alias("m"), L.raw_hash("x", "s").alias("h")).first()
+    assert r.m == 2.5 and len(r.h) == 40
