@@ -33,3 +33,28 @@ def test_card_stream(spark, scratch):
     R.stream_cards_to_silver(spark, os.path.join(scratch, "raw", "cards"), scratch + "/c",
                              scratch + "/ckc").awaitTermination()
     assert read_silver(spark, scratch + "/c").count() == 4          # E1, E2, two deposit keys
+
+
+def test_statement_page_stream_skips_overlap(spark, scratch):
+    import json
+
+    from ledgerspark.streaming.api_pages import stream_statement_pages
+    pages = os.path.join(scratch, "pages")
+    fixtures.write_statement_pages(pages)
+    args = (spark, pages, scratch + "/stm", scratch + "/ck_pages")
+    stream_statement_pages(*args, created_default="2024-06-01").awaitTermination()
+    first = spark.read.parquet(scratch + "/stm")
+    assert first.count() == 3
+    # the next window starts on the boundary day: a1 is delivered again, n1 is new
+    again = {"page": 1, "pages": 1, "total": 2, "lines": [
+        {"id": "a1", "accountCode": "1000", "accountName": "Sala", "accountType": "Tekjur",
+         "accountSubType": "Rekstrartekjur", "date": "2024-01-02", "description": "Invoice 1",
+         "reference": "R1", "amount": 1000, "balance": 1000, "currency": "ISK",
+         "entryId": "J1", "voucher": "V1", "created": "2024-01-02T10:00:00Z"},
+        {"id": "n1", "accountCode": "1000", "accountName": "Sala", "accountType": "Tekjur",
+         "date": "2024-01-09", "description": "Invoice 2", "amount": 50, "entryId": "J9"}]}
+    fixtures.write(os.path.join(pages, "page-next.json"), json.dumps(again))
+    stream_statement_pages(*args, created_default="2024-06-01").awaitTermination()
+    rows = spark.read.parquet(scratch + "/stm")
+    assert rows.count() == 4
+    assert rows.where("id = 'a1'").count() == 1
