@@ -57,10 +57,10 @@ def fx_to_isk(df: DataFrame, amount_cols: list[str], rates: DataFrame,
               currency_col: str = "currency", suffix: str = "_isk") -> DataFrame:
     """Add ``<col>_isk`` = col x rate (rate 1 for currencies not in the table).
 
-    The rate table is bounded by its parameter dict, so it is broadcast: the fact side is
-    never shuffled for this lookup.
+    Rates from ``fx_rates`` are a configuration table whose size was checked against its cap
+    and which is marked for broadcast, so the fact side is never shuffled for this lookup.
     """
-    r = F.broadcast(rates.select(F.col("currency").alias("__fx_cur"), "rate_to_isk"))
+    r = rates.select(F.col("currency").alias("__fx_cur"), "rate_to_isk")
     out = df.join(r, df[currency_col] == r["__fx_cur"], "left")
     rate = F.coalesce(F.col("rate_to_isk"), F.lit(1.0))
     for c in amount_cols:

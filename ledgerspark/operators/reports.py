@@ -138,8 +138,8 @@ def frequent_descriptions(lines: DataFrame, top: int = 5, prefix_len: int = 30)
 
 
 def _with_rate(df: DataFrame, rates: DataFrame) -> DataFrame:
-    r = F.broadcast(rates.select(F.col("currency").alias("__cur"),
-                                 F.col("rate_to_isk").cast(RATE).alias("__rate")))
+    # rates from ``fx_rates`` are a size-checked, broadcast-marked configuration table
+    r = rates.select(F.col("currency").alias("__cur"), F.col("rate_to_isk").cast(RATE).alias("__rate"))
     j = df.join(r, df["currency"] == r["__cur"], "left")
     return j.withColumn("__rate", F.coalesce("__rate", F.lit(1).cast(RATE))).drop("__cur")
 
