@@ -304,3 +304,19 @@ def test_guarded_sql_formats(spark):
     assert rows.count() == 0 and head == "| id |\n| - |" and EMPTY_MARKDOWN.startswith("| (no rows)")
     with pytest.raises(ValueError):
         render_rows(spark.sql("SELECT 1"), "xml")
+
+
+def test_replace_partitions_rewrites_only_touched_months(spark, scratch):
+    target_path = scratch + "/inv"
+    base = spark.createDataFrame([("i1", "2024-01", 10), ("i2", "2024-01", 20), ("i3", "2024-02", 30)],
+                                 "invoice_id string, month string, total int")
+    base.write.partitionBy("month").parquet(target_path)
+    target = spark.read.parquet(target_path)
+    batch = spark.createDataFrame([("i2", "2024-01", 25, 1), ("i4", "2024-01", 40, 2)],
+                                  "invoice_id string, month string, total int, seq int")
+    state = LD.insert_or_replace(target.select("invoice_id", "total", "month"),
+                                 batch.select("invoice_id", "total", "month", "seq"),
+                                 ["invoice_id"], ["seq"], partition_cols=["month"])
+    LD.replace_partitions(spark, state.select("invoice_id", "total", "month"), target_path, ["month"])
+    got = sorted(tuple(r) for r in spark.read.parquet(target_path).select("invoice_id", "total", "month").collect())
+    assert got == [("i1", 10, "2024-01"), ("i2", 25, "2024-01"), ("i3", 30, "2024-02"), ("i4", 40, "2024-01")]
