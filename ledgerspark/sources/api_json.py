@@ -200,3 +200,27 @@ def load_invoices(raw: DataFrame, now_iso: str) -> tuple[DataFrame, DataFrame]:
 
 __all__ = ["account_registry", "statement_pages_source", "load_statements", "accounts_source",
            "load_accounts", "invoices_source", "load_invoices"]
+
+
+def upsert_invoices(target: DataFrame | None, loaded: DataFrame) -> DataFrame:
+    """J8 headers with J3 semantics: the last document of an invoice id wins, in load order
+    (source file, then position in the page); stored invoices with that id are replaced."""
+    from ..operators.loading import insert_or_replace
+    cols = [c for c in loaded.columns if c not in ("source_file", "page_pos")]
+    if target is None:
+        return insert_or_replace(None, loaded, ["invoice_id"], ["source_file", "page_pos"]).select(*cols)
+    return insert_or_replace(target.select(*cols), loaded, ["invoice_id"],
+                             ["source_file", "page_pos"]).select(*cols)
+
+
+def upsert_invoice_lines(target: DataFrame | None, new_lines: DataFrame,
+                         winners: DataFrame | None = None) -> DataFrame:
+    """J8 lines: an invoice's lines are replaced as a set by its newest document's lines
+    (``winners``: the upserted headers, to drop lines of superseded documents)."""
+    lines = new_lines
+    if winners is not None:
+        lines = lines.join(winners.select("invoice_id"), "invoice_id", "left_semi")
+    if target is None:
+        return lines
+    kept = target.join(new_lines.select("invoice_id").distinct(), "invoice_id", "left_anti")
+    return kept.unionByName(lines)

@@ -1,5 +1,6 @@
 """Sources (A1-A15) on synthetic fixtures (every value invented)."""
 
+import os
 from decimal import Decimal
 
 import fixtures
@@ -86,3 +87,22 @@ def test_dims(spark):
     assert [r.date for r in d] == ["2024-02-28", "2024-02-29", "2024-03-01", "2024-03-02"]
     assert [r.is_weekend for r in d] == [0, 0, 0, 1]
     assert dims.dim_currency(spark).count() == 4
+
+
+def test_invoice_upsert_last_document_wins(spark, scratch):
+    import json
+    fixtures.write_invoices_json(scratch)
+    newer = {"invoices": [{"id": "00000000-0000-0000-0000-000000000001", "number": "101",
+                           "customerId": "c1", "status": "CANCELLED", "total": 99,
+                           "invoiceDate": "2024-01-01", "lines": []}]}
+    fixtures.write(os.path.join(scratch, "p3.json"), json.dumps(newer))      # same id, later file
+    inv, lines = J.load_invoices(J.invoices_source(spark, scratch), "2024-06-01T00:00:00Z")
+    heads = J.upsert_invoices(None, inv)
+    got = {r.invoice_number: (r.status, r.total) for r in heads.collect()}
+    assert got["101"] == ("CANCELLED", Decimal("99.00")) and len(got) == 3
+    stored = J.upsert_invoice_lines(None, lines)
+    assert stored.where("invoice_id LIKE '%1'").count() == 2
+    # a later load of invoice 1 without lines replaces its two stored lines with none
+    empty = lines.where("false")
+    relo = J.upsert_invoice_lines(stored, lines.where("invoice_id LIKE '%1'").limit(1).unionByName(empty))
+    assert relo.where("invoice_id LIKE '%1'").count() == 1
