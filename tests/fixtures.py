@@ -162,3 +162,16 @@ def write_registry_json(root: str) -> None:
     write(os.path.join(root, "accounts.json"), json.dumps([
         {"name": "Checking", "number": "0101-26-000123", "category": "Debet"},
         {"name": "Broken", "number": "12-34", "category": "Debet"}]))
+
+
+def write_serial_sheet_csv(root: str) -> None:
+    """Serial-date export read by position: date col 0, text 10, amount 11, balance 12."""
+    def row(date, text, amount, balance):
+        cells = [date] + [""] * 9 + [text, amount, balance]
+        return ",".join(cells)
+    rows = ["Yfirlit", "0101-26-000777 Sparireikningur", "", "", "Header",
+            row("45292", "Innlegg", "\"1.000,00\"", "\"1.000,00\""),
+            row("45293", "Úttekt", "-250", "750"),
+            row("Samtals", "", "750", "0"),
+            row("45294", "Vextir", "0", "0")]
+    write(os.path.join(root, "serial.csv"), "\n".join(rows) + "\n")

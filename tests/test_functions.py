@@ -89,10 +89,12 @@ def test_status_and_payment_status(spark):
     import datetime as dt
     df = spark.createDataFrame(
         [("PAID", dt.date(2024, 1, 1)), ("SENT", dt.date(2024, 1, 1)), ("SENT", dt.date(2024, 3, 1)),
-         ("SENT", None), ("WEIRD", None), ("CREDIT", None)], "s string, due date")
+         ("SENT", None), ("WEIRD", None), ("CREDIT", None), ("SENT", dt.date(2024, 2, 1))],
+        "s string, due date")
     rows = df.select(L.status_display("s"), L.payment_status("s", "due", "2024-02-01")).collect()
     assert [tuple(r) for r in rows] == [("Paid", None), ("Unpaid", "Overdue"), ("Unpaid", "Due"),
-                                       ("Unpaid", None), ("WEIRD", None), ("Credit Note", None)]
+                                       ("Unpaid", None), ("WEIRD", None), ("Credit Note", None),
+                                       ("Unpaid", "Due")]               # due on as_of -> Due
 
 
 def test_currency_rules(spark):

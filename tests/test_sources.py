@@ -106,3 +106,19 @@ def test_invoice_upsert_last_document_wins(spark, scratch):
     empty = lines.where("false")
     relo = J.upsert_invoice_lines(stored, lines.where("invoice_id LIKE '%1'").limit(1).unionByName(empty))
     assert relo.where("invoice_id LIKE '%1'").count() == 1
+
+
+def test_serial_date_sheet_and_profile(spark, scratch):
+    import datetime as dt
+
+    from ledgerspark.operators import reports as R
+    fixtures.write_serial_sheet_csv(scratch)
+    rows = sheets.statement_sheet_source(spark, scratch, amount_format="is", positional=True) \
+        .orderBy("row_no").collect()
+    assert [r.date for r in rows] == [dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)]
+    assert [r.amount for r in rows] == [Decimal("1000.00"), Decimal("-250.00"), Decimal("0.00")]
+    prof = R.account_profile(sheets.statement_sheet_source(spark, scratch, "is", True)).first()
+    assert prof.transactions == 2                                  # zero amounts ignored
+    assert prof.ending_balance == Decimal("750.00")               # last non-zero balance
+    assert prof.largest_inflow == Decimal("1000.00") and prof.largest_outflow == Decimal("250.00")
+    assert prof.average_transaction == 375.0
