@@ -1413,3 +1413,29 @@ LEFT JOIN dim_invoice_lines l ON i.invoice_id = l.invoice_id""")
 def q_sales_orders(spark, d):
     return _nullable_ints_as_double(
         search.sales_orders(S.dim_invoices(spark, d), S.dim_invoice_lines(spark, d), True))
+
+
+_STM_COLS_SQL = ("s.id, s.account_code, s.account_name, CAST(s.transaction_date AS VARCHAR) AS transaction_date, "
+                 "s.description, {a} AS amount, {d} AS debit, {c} AS credit").format(
+    a=D("s.amount"), d=D("s.debit"), c=D("s.credit"))
+
+
+@register("facts_with_account", f"""
+SELECT {_STM_COLS_SQL}, a.account_type AS dim_account_type, a.account_subtype AS dim_account_subtype
+FROM silver_account_statements s JOIN dim_accounts a ON s.account_code = a.account_number""")
+def q_facts_with_account(spark, d):
+    f = ledger.facts_with_account(_stm(spark, d), _acc(spark, d))
+    return f.select("id", "account_code", "account_name", "transaction_date", "description", "amount",
+                    "debit", "credit", "dim_account_type", "dim_account_subtype")
+
+
+@register("fact_txn", f"""WITH {_DIM_ACCOUNT_SQL}
+SELECT {_STM_COLS_SQL}, d.account_type AS acct_type, d.report_group, d.statement,
+       CAST(d.sign AS DOUBLE) AS sign, strftime(s.transaction_date, '%Y-%m') AS month,
+       {D("COALESCE(d.sign, 1) * (s.debit - s.credit)")} AS report_amount
+FROM silver_account_statements s JOIN dim_account d ON s.account_code = d.account_number""")
+def q_fact_txn(spark, d):
+    f = MT.fact_txn(_stm(spark, d), _acc(spark, d), _groups(spark))
+    return f.select("id", "account_code", "account_name", "transaction_date", "description", "amount",
+                    "debit", "credit", "acct_type", "report_group", "statement",
+                    F.col("sign").cast("double").alias("sign"), "month", "report_amount")
