@@ -33,8 +33,18 @@ OTHER_ACCOUNT_TYPE = "Annað"   # PROMO and anything else: exercises the ELSE br
 # -----------------------------------------------------------------------------------------------
 
 
+# Set by ``materialize`` while it loads silver: spread single-file inputs over this many
+# partitions. A provided table is one file with one row group, i.e. one scan task, so the
+# adapters' projections would run on one core; directories of many files are left alone.
+_SPREAD: int | None = None
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
+    if _SPREAD and os.path.isfile(path):
+        df = df.repartition(_SPREAD)
+    return df
 
 
 # Materialised silver tables: (abs sf_dir, table) -> path written by ``materialize``.
@@ -354,24 +364,29 @@ def materialize(spark: SparkSession, sf_dir: str, root: str,
     import time
 
     from .sources.sinks import write_silver
+    global _SPREAD
     timings = {}
     names = tables or list(MATERIALIZABLE)
     # the typed statements are the untyped silver plus the chart lookup: write them last,
     # so they are derived from the already-written (parallel-readable) untyped table
     names = sorted(names, key=lambda n: n == "silver_account_statements_typed")
-    for name in names:
-        fn, date_col, keys = MATERIALIZABLE[name]
-        path = os.path.join(root, name)
-        t0 = time.perf_counter()
-        df = fn(spark, sf_dir)
-        if date_col:
-            write_silver(df, path, date_col, keys, partition_by=partition_by, cluster=cluster)
-        else:
-            n = spark.sparkContext.defaultParallelism
-            spread = df.repartitionByRange(n, *keys) if cluster else df.repartition(n)
-            spread.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
-        timings[name] = time.perf_counter() - t0
-        _MATERIALIZED[(os.path.abspath(sf_dir), name)] = path
+    _SPREAD = spark.sparkContext.defaultParallelism
+    try:
+        for name in names:
+            fn, date_col, keys = MATERIALIZABLE[name]
+            path = os.path.join(root, name)
+            t0 = time.perf_counter()
+            df = fn(spark, sf_dir)
+            if date_col:
+                write_silver(df, path, date_col, keys, partition_by=partition_by, cluster=cluster)
+            else:
+                n = spark.sparkContext.defaultParallelism
+                spread = df.repartitionByRange(n, *keys) if cluster else df.repartition(n)
+                spread.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+            timings[name] = time.perf_counter() - t0
+            _MATERIALIZED[(os.path.abspath(sf_dir), name)] = path
+    finally:
+        _SPREAD = None
     return timings
 
 
