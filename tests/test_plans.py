@@ -103,3 +103,27 @@ def test_bucketed_invoice_tables_join_without_exchange(spark):
     expected = invoice.gold_invoice_lines(S.dim_invoice_lines(spark, SF), S.dim_invoices(spark, SF),
                                           "1998-08-01").count()
     assert n == expected
+
+
+def test_bucketed_ledger_facts_and_chart(spark):
+    from ledgerspark.sources import sinks
+    sinks.write_bucketed(S.silver_account_statements(spark, SF), "b_statements", ["account_code"], 8)
+    sinks.write_bucketed(S.dim_accounts(spark, SF), "b_accounts", ["account_number"], 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the large-large path
+    try:
+        rows = ledger.facts_with_account(spark.table("b_statements"), spark.table("b_accounts"))
+        p_rows = plan(rows)
+        by_year = ledger.gold_account_summary_by_year(spark.table("b_statements"),
+                                                      spark.table("b_accounts"), "1995-01-01")
+        p_year = plan(by_year)
+        n = by_year.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange" not in p_rows                      # row-level fact x chart join co-located
+    # per-account pre-aggregation and the chart join both run on the buckets: no exchange
+    # below the join (only the final small re-aggregation above it may shuffle)
+    join_at = p_year.find("SortMergeJoin")
+    assert join_at >= 0 and "Exchange" not in p_year[join_at:]
+    assert n == ledger.gold_account_summary_by_year(S.silver_account_statements(spark, SF),
+                                                    S.dim_accounts(spark, SF), "1995-01-01").count()
