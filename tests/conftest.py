@@ -16,6 +16,8 @@ def spark():
                       extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ledgerspark-wh-")})
     checkpoint_dir(s)  # tests set their own scratch checkpoint folder (unset locally)
     yield s
+    for q in s.streams.active:      # streams are availableNow and awaited; belt and braces
+        q.stop()
     s.stop()
 
 
