@@ -78,3 +78,22 @@ def test_load_range_idempotent_and_keeps_equal_lines(spark, lines, split):
     second = LD.load_range(first, df, "2024-01-01", "2024-12-31")   # overlapping reload
     assert first.count() + second.count() == len(rows)
     assert LD.load_range(everything, df, "2024-01-01", "2024-12-31").count() == 0
+
+
+side = st.lists(st.tuples(st.sampled_from(["1.00", "2.00", "3.50"]), st.integers(0, 20)),
+                min_size=0, max_size=40)
+
+
+@settings(max_examples=10, deadline=None)
+@given(side, side, st.integers(0, 5))
+def test_reconcile_equals_brute_force(spark, bank_rows, doc_rows, tol):
+    from test_operators import _brute_reconcile
+
+    from ledgerspark.operators import matching as M
+    base = dt.date(2024, 1, 1)
+    bank = [(f"b{i:03d}", Decimal(a), base + dt.timedelta(days=d)) for i, (a, d) in enumerate(bank_rows)]
+    docs = [(f"d{i:03d}", Decimal(a), base + dt.timedelta(days=d)) for i, (a, d) in enumerate(doc_rows)]
+    schema = "id string, amount decimal(18,2), date date"
+    got = M.reconcile_bank(spark.createDataFrame(bank, schema), spark.createDataFrame(docs, schema), tol)
+    assert sorted((r.bank_id, r.document_id, r.days_apart) for r in got.collect()) == \
+        _brute_reconcile(bank, docs, tol)
