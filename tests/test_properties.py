@@ -97,3 +97,20 @@ def test_reconcile_equals_brute_force(spark, bank_rows, doc_rows, tol):
     got = M.reconcile_bank(spark.createDataFrame(bank, schema), spark.createDataFrame(docs, schema), tol)
     assert sorted((r.bank_id, r.document_id, r.days_apart) for r in got.collect()) == \
         _brute_reconcile(bank, docs, tol)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]), st.integers(0, 9)),
+                min_size=1, max_size=120), st.integers(1, 4))
+def test_top_k_per_group_equals_model(spark, rows, k):
+    from pyspark.sql import functions as F
+
+    from ledgerspark.operators.topk import top_k_per_group
+    data = [(g, v, i) for i, (g, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g string, v int, id int")
+    got = sorted(tuple(r) for r in top_k_per_group(df, ["g"], [F.col("v").desc(), F.col("id")], k)
+                 .select("g", "v", "id").collect())
+    model = []
+    for g in {r[0] for r in data}:
+        model += sorted([r for r in data if r[0] == g], key=lambda r: (-r[1], r[2]))[:k]
+    assert got == sorted(model)
