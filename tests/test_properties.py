@@ -114,3 +114,30 @@ def test_top_k_per_group_equals_model(spark, rows, k):
     for g in {r[0] for r in data}:
         model += sorted([r for r in data if r[0] == g], key=lambda r: (-r[1], r[2]))[:k]
     assert got == sorted(model)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["1", "2", "3", "9"]), st.integers(0, 800),
+                          st.integers(-500, 500)), min_size=1, max_size=60),
+       st.lists(st.sampled_from([("1", "Tekjur"), ("2", "Gjöld"), ("3", "Eignir"), ("1", "Tekjur"),
+                                 ("2", "Skuldir")]), min_size=1, max_size=6))
+def test_eager_aggregation_equals_naive(spark, lines, chart):
+    from pyspark.sql import functions as F
+
+    from ledgerspark.plans import ledger
+    base = dt.date(2023, 1, 1)
+    rows = [(f"s{i}", c, f"n{c}", "", "", base + dt.timedelta(days=d), Decimal(max(-a, 0)),
+             Decimal(max(a, 0))) for i, (c, d, a) in enumerate(lines)]
+    stm = spark.createDataFrame(rows, "id string, account_code string, account_name string, "
+                                      "account_type string, account_subtype string, transaction_date date, "
+                                      "debit decimal(18,2), credit decimal(18,2)")
+    acc = spark.createDataFrame([(c, t, "s") for c, t in chart],
+                                "account_number string, account_type string, account_subtype string")
+    eager = ledger.gold_account_summary_by_year(stm, acc, "2023-01-01").select(
+        "year", "account_code", "account_type", "transaction_count", "total_debit", "total_credit")
+    j = ledger.facts_with_account(stm, acc)
+    naive = j.groupBy(F.date_format("transaction_date", "yyyy").alias("year"), "account_code",
+                      F.col("dim_account_type").alias("account_type")).agg(
+        F.count(F.lit(1)).alias("transaction_count"), F.sum("debit").alias("total_debit"),
+        F.sum("credit").alias("total_credit"))
+    assert sorted(map(tuple, eager.collect())) == sorted(map(tuple, naive.collect()))
