@@ -9,6 +9,8 @@ Layers (all DataFrame-in / DataFrame-out, lazily planned by Catalyst):
                 report operators, batch write-backs
 * ``streaming`` raw-to-silver Structured Streaming loads
 * ``standins``  adapters mapping the provided TPC-H-like tables onto the silver schema
+* ``config``    size-checked, broadcast-marked configuration tables (rules, groups, rates)
+* ``queries``   every operator registered over the stand-ins, with its DuckDB oracle SQL
 """
 
 __version__ = "0.1.0"
