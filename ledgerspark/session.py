@@ -51,11 +51,15 @@ def build_session(master: str | None = None, app: str = "ledgerspark",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a scratch folder is created and set; on a
-    cluster the configured shared location is always used, never a machine-local folder.
+    Only when a session on a local master has none (tests) a scratch folder is created and set.
+    On a cluster a machine-local folder would hold one part of a table on each machine, so an
+    unset folder is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ledgerspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
