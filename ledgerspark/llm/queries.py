@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, quality
+from . import common, pii, quality, secret_scan, sharding
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +14,40 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (common.hash_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(common.table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(common.table(spark, sf_dir, "documents"))
+
+    def n(kind):
+        return F.size(F.filter("plain", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"),
+        n("hex").alias("n_hex"),
+        F.sha2(secret_scan.joined(F.col("plain")), 256).alias("base_sha256"),
+        secret_scan.joined(F.concat("plain", "linked")).alias("spans"))
+
+
+#: The key of the pseudonyms would come from a secret store; the registered query has a fixed one.
+PII_KEY = "registered-query"
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.pseudonymise(docs, PII_KEY, found="found")
+
+    def n(kind):
+        return F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
+    return out.select("doc_id", "text", *[n(k).alias(f"n_{k}") for k in pii.KINDS])
+
+
 REGISTRY = {
+    "op5_sharding": (op5_sharding, None),
     "op8_quality_classifier": (op8_quality_classifier, None),
+    "op9_secret_scans": (op9_secret_scans, None),
+    "op10_pii": (op10_pii, None),
 }
