@@ -22,6 +22,9 @@ def by_value(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+by_value(__name__)
+
+
 def worker_cache(name: str) -> types.ModuleType:
     """A namespace that lives as long as the Python worker, for caches that outlast one task."""
     return sys.modules.setdefault(f"_ledgerspark_{name}", types.ModuleType(name))
