@@ -5,7 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, pii, quality, secret_scan, sharding
+from . import common, decontaminate, packing, pii, quality, secret_scan, sharding
+
+
+def word_bpe() -> str:
+    """Content of the public tokenizer that the packing contract names."""
+    import public_tokenizers
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(common.table(spark, sf_dir, "documents"), word_bpe())
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = (common.table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.contamination(docs, bench).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +66,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op5_sharding": (op5_sharding, None),
+    "op6_best_fit_packing": (op6_best_fit_packing, None),
+    "op7_decontamination": (op7_decontamination, None),
     "op8_quality_classifier": (op8_quality_classifier, None),
     "op9_secret_scans": (op9_secret_scans, None),
     "op10_pii": (op10_pii, None),
