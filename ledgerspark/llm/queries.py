@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontaminate, packing, pii, quality, secret_scan, sharding
+from . import (common, decontaminate, ngram_join, packing, pii, quality, secret_scan,
+               sharding)
 
 
 def word_bpe() -> str:
@@ -33,6 +34,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (common.hash_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    return ngram_join.near_duplicates(docs, row="_row").select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(common.table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -64,7 +72,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", *[n(k).alias(f"n_{k}") for k in pii.KINDS])
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline                       # it imports this package's operators
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 REGISTRY = {
+    "pipeline": (pipeline, None),
+    "op4_ngram_jaccard_join": (op4_ngram_jaccard_join, None),
     "op5_sharding": (op5_sharding, None),
     "op6_best_fit_packing": (op6_best_fit_packing, None),
     "op7_decontamination": (op7_decontamination, None),
