@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (common, decontaminate, ngram_join, packing, pii, quality, secret_scan,
-               sharding)
+from . import (common, decontaminate, lm_scoring, ngram_join, packing, pii, quality,
+               secret_scan, sharding, topk_search, warc)
 
 
 def word_bpe() -> str:
@@ -34,6 +34,58 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (common.hash_mod("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum([z[1] * z[2] FOR z IN list_zip(q.w, c.w)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+def byte_bpe() -> lm_scoring.Tokenizer:
+    """The public byte-level vocabulary; it has ids up to 50255, 50256 is free for the end."""
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        return lm_scoring.Tokenizer(f.read(), public_tokenizers.PATTERN, 50256, 50257)
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    held = common.hash_mod("doc_id", 7) == 2
+    return lm_scoring.score_texts(docs, held, byte_bpe(), row="_row").select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(common.table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size
+  FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS kept FROM p)
+SELECT page_id, size AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN size >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN size >= 1000 AND page_id <> kept THEN kept END AS refers_to
+FROM g
+"""
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.monotonically_increasing_id().alias("_row"))
@@ -79,6 +131,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "pipeline": (pipeline, None),
+    "op1_topk_search": (op1_topk_search, OP1_SQL),
+    "op2_lm_scoring": (op2_lm_scoring, None),
+    "op3_warc": (op3_warc, OP3_SQL),
     "op4_ngram_jaccard_join": (op4_ngram_jaccard_join, None),
     "op5_sharding": (op5_sharding, None),
     "op6_best_fit_packing": (op6_best_fit_packing, None),
