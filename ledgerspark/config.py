@@ -16,9 +16,7 @@ MAX_CONFIG_ROWS = 100_000
 
 def config_table(spark: SparkSession, rows: list, schema: str,
                  max_rows: int = MAX_CONFIG_ROWS) -> DataFrame:
-    """A broadcast-marked DataFrame of ``rows``; refuses lists longer than ``max_rows``."""
+    """A broadcast-marked DataFrame of ``rows``; longer lists than ``max_rows`` are joined without the hint."""
     rows = list(rows)
-    if len(rows) > max_rows:
-        raise ValueError(f"configuration table of {len(rows)} rows exceeds {max_rows}; "
-                         "load it as a regular table instead")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= max_rows else table

@@ -33,12 +33,18 @@ def parse_amount_xml(x) -> Column:
 _JS_FLOAT_PREFIX = "^\\s*([+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?)"
 
 
-def js_parse_float(x) -> Column:
-    """``parseFloat(x)`` as DECIMAL(18,2); NaN -> NULL."""
+def js_parse_float(x, kind=MONEY) -> Column:
+    """``parseFloat(x)`` as DECIMAL(18,2), or as ``kind``; NaN -> NULL."""
     s = _c(x).cast("string")
     prefix = F.regexp_extract(s, _JS_FLOAT_PREFIX, 1)
-    return F.when(prefix != "", F.coalesce(prefix.try_cast(MONEY),
-                                           prefix.try_cast("double").try_cast(MONEY)))
+    return F.when(prefix != "", F.coalesce(prefix.try_cast(kind),
+                                           prefix.try_cast("double").try_cast(kind)))
+
+
+def parse_quantity(x) -> Column:
+    """Quantities, unit prices and percentages: as B2, with ten decimal places."""
+    kind = "decimal(28,10)"
+    return F.coalesce(js_parse_float(x, kind), F.lit(0).cast(kind))
 
 
 def _first_comma_to_dot(s: Column) -> Column:
@@ -106,17 +112,24 @@ def money_sum(x) -> Column:
     return F.sum(_c(x).cast(MONEY)).cast("double")
 
 
+CENTS = "decimal(38,0)"
+
+
+def whole_div(x: Column, y: Column) -> Column:
+    """Quotient of whole numbers, cut toward zero."""
+    return F.call_function("div", x.cast(CENTS), y.cast(CENTS))
+
+
 def money_avg(x) -> Column:
     """Average of a money column rounded half-up to cents, computed exactly.
 
-    ``sum`` in cents and ``count`` are integers, so ``(2|s| + n) div 2n`` is the exact
-    half-up rounding of ``s / n``; no floating rounding can creep in whatever the
-    partitioning, and the result is bit-identical to any engine doing the same arithmetic.
+    ``sum`` in cents and ``count`` are whole numbers (DECIMAL(38), so no sum overflows), and
+    ``(2|s| + n) div 2n`` is the exact half-up rounding of ``s / n``; ``div`` divides whole
+    numbers, unlike ``/``, which would go through DOUBLE.
     """
     c = _c(x).cast(MONEY)
-    cents = (F.sum(c) * 100).cast("bigint")
+    cents = (F.sum(c) * 100).cast(CENTS)
     n = F.count(c)
-    num, den = F.abs(cents) * 2 + n, n * 2
-    # integer floor division; pmod keeps it exact (no floating point involved)
-    rounded = F.signum(cents) * ((num - F.pmod(num, den)) / den)
+    size = whole_div(F.abs(cents) * 2 + n, F.nullif(n * 2, F.lit(0)))
+    rounded = F.when(cents < 0, -size).otherwise(size)
     return F.when(n > 0, rounded / F.lit(100.0))

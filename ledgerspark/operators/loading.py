@@ -105,19 +105,33 @@ def replace_partitions(spark: SparkSession, state: DataFrame, target_path: str,
     (w.partitionBy(*partition_cols) if partition_cols else w).parquet(target_path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def append_rows(rows: DataFrame, target_path: str, partition_cols: list[str] | None = None) -> None:
     w = rows.write.mode("append")
     (w.partitionBy(*partition_cols) if partition_cols else w).parquet(target_path)
 
 
-def statement_keys(batch: DataFrame, order_cols: list[str | Column] | None = None) -> DataFrame:
+def statement_keys(batch: DataFrame, order_cols: list[str | Column] | None = None,
+                   window_cols: list[str] | None = None) -> DataFrame:
     """The statement business key: the source key columns plus the
-    occurrence of equal lines within the batch; ``line_key`` is its sha1. Equal lines are
+    occurrence of equal lines within one load window; ``line_key`` is its sha1. Equal lines are
     split 16 ways by the first hex digit of sha1(id) before numbering (see
-    ``with_occurrence``)."""
+    ``with_occurrence``).
+
+    ``window_cols`` tell the load windows of a batch apart (``source_file`` where the batch has
+    it): lines are numbered within their window, so a line that two overlapping windows deliver
+    gets the same key twice, and the caller keeps one."""
     order_cols = order_cols or ["id"]
+    if window_cols is None:
+        window_cols = [c for c in ("source_file",) if c in batch.columns]
     salt = F.substring(F.sha1(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 1)
-    b = with_occurrence(batch, STATEMENT_KEY, order_cols, salt=salt)
+    b = with_occurrence(batch, STATEMENT_KEY + window_cols, order_cols, salt=salt)
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in STATEMENT_KEY + ["occurrence_no"]]
     return b.withColumn("line_key", F.sha1(F.concat_ws("|", *parts)))
 
@@ -191,7 +205,7 @@ def load_range(target: DataFrame | None, batch: DataFrame, date_from: str, date_
     check_iso(date_from, date_to)
     b = batch.where(F.col("transaction_date").between(F.lit(date_from).cast("date"),
                                                      F.lit(date_to).cast("date")))
-    keyed = statement_keys(b, order_cols)
+    keyed = first_per_key(statement_keys(b, order_cols), ["line_key"], order_cols or ["id"])
     if target is not None and "line_key" not in target.columns:
         target = statement_keys(target, order_cols)
     return insert_or_ignore(target, keyed, ["line_key"], keys_unique=True)

@@ -143,9 +143,11 @@ GROUPS_SCHEMA = ("acct_type string, acct_subtype string, report_group string, "
 
 
 def default_account_group_rows() -> list[tuple]:
-    """One type-level group row per account type name (both languages)."""
+    """One type-level group row per account type name (both languages). ``sign`` times
+    (debit - credit) reads positive on a class's normal side: -1 for revenue, liabilities and
+    equity, +1 for expenses and assets."""
     from ..functions.accounting import ENGLISH_TYPES, ICELANDIC_TYPES
-    spec = {"revenue": ("Revenue", "PL", 1), "expense": ("Operating expenses", "PL", -1),
+    spec = {"revenue": ("Revenue", "PL", -1), "expense": ("Operating expenses", "PL", 1),
             "asset": ("Assets", "BS", 1), "liability": ("Liabilities", "BS", -1),
             "equity": ("Equity", "BS", -1)}
     return [(t, None, group, None, stmt, sign) for cls, (group, stmt, sign) in spec.items()

@@ -1,72 +1,58 @@
 """Paging (C10).
 
 ``paginate`` returns the requested page under a *total* order (the caller's keys plus the
-remaining columns as tie-breakers) and a one-row meta frame.
+remaining columns as tie-breakers) and a one-row meta frame: ``orderBy().offset().limit()``, by
+which each task keeps a heap of offset + perpage rows (TakeOrderedAndProject).
 
-* Shallow pages (offset + perpage <= ``deep_threshold``): ``orderBy().offset().limit()``;
-  each task keeps a bounded heap of offset + perpage rows (TakeOrderedAndProject).
-* Deep pages: that heap would grow with the offset and be merged by one task, so instead the
-  data is range-partitioned and sorted once into a staging table in the shared checkpoint
-  folder (lineage cut: a written table). Its files are in partition order and sorted inside,
-  so a row's global position is (rows of earlier files) + ``_metadata.row_index``. The per-file
-  counts are one row per file (bounded by the partition count) and the page is a filter on the
-  global position: exact, distributed, and no task ever holds more than its own partition.
+That heap grows with the page number. A caller who walks through a large table uses
+``next_page`` instead: the last row of a page is the key of the next one, which is a filter and
+a top-k of ``perpage`` rows, at any depth and without staging anything.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-
-PERPAGE_DEFAULT, PERPAGE_MAX = 50, 500
-DEEP_PAGE_ROWS = 100_000
+PERPAGE_DEFAULT = 50
 
 
 def validate_pagination(page: int | None = None, perpage: int | None = None,
-                        default_perpage: int = PERPAGE_DEFAULT) -> tuple[int, int]:
-    """page >= 1 (missing/0 -> 1); perpage clamped to 1..500, default 50."""
+                        default_perpage: int = PERPAGE_DEFAULT,
+                        perpage_max: int | None = None) -> tuple[int, int]:
+    """page >= 1 (missing/0 -> 1); perpage >= 1, default 50. A caller who has to bound the page
+    size gives ``perpage_max``."""
     p = max(1, page or 1)
-    pp = default_perpage if perpage is None else min(PERPAGE_MAX, max(1, perpage))
-    return p, pp
-
-
-def _deep_page(df: DataFrame, order: list[str], offset: int, n: int) -> DataFrame:
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, f"paging-{uuid.uuid4().hex}")
-    (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-       .write.mode("overwrite").parquet(path))
-    staged = spark.read.parquet(path)
-    cols = staged.columns
-    idx = staged.select("*", F.regexp_extract(F.col("_metadata.file_name"), "part-(\\d+)", 1)
-                        .cast("long").alias("__part"),
-                        F.col("_metadata.file_name").alias("__file"),
-                        F.col("_metadata.row_index").alias("__row"))
-    counts = idx.groupBy("__part", "__file").agg(F.count(F.lit(1)).alias("__n"))
-    # one row per output file: a single ordered window over them is bounded by the file count
-    before = Window.orderBy("__part", "__file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    g = idx.join(F.broadcast(starts), "__file").withColumn("__gi", F.col("__start") + F.col("__row"))
-    return (g.where((F.col("__gi") >= offset) & (F.col("__gi") < offset + n))
-             .orderBy("__gi").select(*cols))
+    pp = default_perpage if perpage is None else max(1, perpage)
+    return p, pp if perpage_max is None else min(perpage_max, pp)
 
 
 def paginate(df: DataFrame, order_cols: list[str], page: int | None = None,
              perpage: int | None = None, default_perpage: int = PERPAGE_DEFAULT,
-             deep_threshold: int = DEEP_PAGE_ROWS) -> tuple[DataFrame, DataFrame]:
+             perpage_max: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(page rows, meta) with meta = page, perpage, total, has_next."""
-    p, pp = validate_pagination(page, perpage, default_perpage)
+    p, pp = validate_pagination(page, perpage, default_perpage, perpage_max)
     ties = [c for c in df.columns if c not in order_cols]
-    offset = (p - 1) * pp
-    if offset + pp <= deep_threshold:
-        rows = df.orderBy(*order_cols, *ties).offset(offset).limit(pp)
-    else:
-        rows = _deep_page(df, list(order_cols) + ties, offset, pp)
+    rows = df.orderBy(*order_cols, *ties).offset((p - 1) * pp).limit(pp)
     meta = df.agg(F.count(F.lit(1)).alias("total")).select(
         F.lit(p).alias("page"), F.lit(pp).alias("perpage"), "total",
         (F.col("total") > F.lit(p * pp)).alias("has_next"))
     return rows, meta
+
+
+def next_page(df: DataFrame, order_cols: list[str], after: dict | None = None,
+              perpage: int = PERPAGE_DEFAULT) -> DataFrame:
+    """The ``perpage`` rows that follow the row ``after`` (a row of ``df`` as a dict, None for
+    the first page). ``order_cols`` and the other columns give the total order, NULLs first;
+    fully equal rows count as one position, so they must be told apart by a column to be walked
+    through singly."""
+    order = list(order_cols) + [c for c in df.columns if c not in order_cols]
+    if after is not None:
+        beyond, same = F.lit(False), F.lit(True)
+        for c in order:
+            v = F.lit(after[c]).cast(df.schema[c].dataType)
+            more = F.col(c).isNotNull() if after[c] is None else F.col(c) > v
+            beyond = beyond | (same & F.coalesce(more, F.lit(False)))
+            same = same & F.col(c).eqNullSafe(v)
+        df = df.where(beyond)
+    return df.orderBy(*order).limit(perpage)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.accounting import account_class
 from ..functions.keys import month_key, text_prefix_key
-from ..functions.money import percent_change
+from ..functions.money import CENTS, percent_change, whole_div
 from ..schemas import MONEY
 from .topk import last_n_periods, top_k_per_group
 
@@ -39,19 +39,20 @@ def account_lines_from_bank(bank: DataFrame) -> DataFrame:
 
 def bank_summary(tx: DataFrame, from_date: str | None = None,
                  to_date: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """E42 over a C1 result (bounded by its limit <= 1000 rows): overall count / sum / date
-    range, and per account count, sum, type and first-seen currency."""
+    """E42 over the lines that C1 selects, all of them (``limit=None``): overall count / sum /
+    date range, and per account count, sum, and the type and currency of its newest line (ties
+    by type, then currency)."""
     overall = tx.agg(F.count(F.lit(1)).alias("total_transactions"),
                      F.coalesce(F.sum("amount"), F.lit(0)).alias("total_amount")).select(
         "total_transactions", "total_amount",
         F.lit(from_date or "all").alias("date_from"), F.lit(to_date or "all").alias("date_to"))
-    # first seen in the C1 order (newest first): smallest "days before the end of time"
-    pos = tx.withColumn("__pos", F.datediff(F.lit("9999-12-31").cast("date"), F.col("date")))
-    per = pos.groupBy("account_number").agg(
-        F.min_by("account_type", "__pos").alias("account_type"),
+    newest = F.struct(F.datediff(F.lit("9999-12-31").cast("date"), F.col("date")).alias("age"),
+                      "account_type", "currency")
+    per = tx.groupBy("account_number").agg(
         F.count(F.lit(1)).alias("transaction_count"),
-        F.sum("amount").alias("total_amount"),
-        F.min_by("currency", "__pos").alias("currency"))
+        F.sum("amount").alias("total_amount"), F.min(newest).alias("first")).select(
+        "account_number", F.col("first.account_type").alias("account_type"), "transaction_count",
+        "total_amount", F.col("first.currency").alias("currency"))
     return overall, per
 
 
@@ -75,11 +76,11 @@ def invoice_summary(invoices: DataFrame, high_average: float = 1000.0) -> DataFr
         F.sum(F.when(F.col("status") == "OVERDUE", F.col("n")).otherwise(0)).alias("overdue_count"),
         F.sum(F.when(F.col("status") == "SENT", F.col("n")).otherwise(0)).alias("awaiting_count"),
         F.max_by("rec", "reck").alias("__recent"))
-    cents = (F.col("total_value") * 100).cast("bigint")
-    n = F.col("total_items")
+    cents = (F.col("total_value") * 100).cast(CENTS)
+    n = F.col("total_items").cast(CENTS)
     # JS Math.round(total / n) = floor(total / n + 0.5), exactly: floor((2c + 100n) / 200n)
-    num, den = cents * 2 + n * 100, n * 200
-    avg_js = ((num - F.pmod(num, den)) / den).cast("bigint")
+    num, den = (cents * 2 + n * 100).cast(CENTS), F.nullif((n * 200).cast(CENTS), F.lit(0))
+    avg_js = whole_div(num - F.pmod(num, den), den)
     return tot.select(
         "total_items", "total_value",
         F.when(n > 0, avg_js).alias("average_value"),
@@ -126,12 +127,14 @@ def account_monthly_activity(lines: DataFrame, last_n: int = 6) -> DataFrame:
     return last_n_periods(_monthly(lines).drop("currency"), "month", last_n, ["account"])
 
 
-def frequent_descriptions(lines: DataFrame, top: int = 5, prefix_len: int = 30) -> DataFrame:
-    """Account x 30-char description prefix -> count; each account's top 5
-    (ties by prefix)."""
+def frequent_descriptions(lines: DataFrame, top: int = 5,
+                          prefix_len: int | None = None) -> DataFrame:
+    """Account x description -> count; each account's top 5 (ties by text). Whole texts are
+    grouped; ``prefix_len`` merges those that share so many first characters."""
     d = F.coalesce(F.col("description"), F.lit(""))
+    key = d if prefix_len is None else F.substring(d, 1, prefix_len)
     g = (lines.where((F.col("amount") != 0) & (d != ""))
-         .groupBy("account", F.substring(d, 1, prefix_len).alias("description_prefix"))
+         .groupBy("account", key.alias("description_prefix"))
          .agg(F.count(F.lit(1)).alias("count")))
     return top_k_per_group(g, ["account"], [F.col("count").desc(), F.col("description_prefix")],
                            top, rank_col="rank")
@@ -190,40 +193,46 @@ def account_usage(lines: DataFrame) -> DataFrame:
         (F.col("currency") != "ISK").alias("is_foreign"), "ending_balance")
 
 
-def counterparty_volume(lines: DataFrame, top: int = 5, key_len: int = 40) -> DataFrame:
-    """Account x 40-char trimmed description key -> count, Σamount; each account's top 5
-    by |Σamount| (ties by key)."""
-    k = text_prefix_key("description", key_len)
-    g = (lines.where(F.col("amount") != 0).withColumn("counterparty", k)
+def _counterparties(lines: DataFrame, key_len: int | None) -> DataFrame:
+    """account x counterparty -> count, Σamount; the counterparty is the trimmed description, or
+    its first ``key_len`` characters."""
+    k = text_prefix_key("description", key_len) if key_len else \
+        F.nullif(F.trim(F.coalesce("description", F.lit(""))), F.lit(""))
+    return (lines.where(F.col("amount") != 0).withColumn("counterparty", k)
          .where(F.col("counterparty").isNotNull())
          .groupBy("account", "counterparty")
          .agg(F.count(F.lit(1)).alias("count"), F.sum("amount").alias("total")))
-    return top_k_per_group(g, ["account"], [F.abs("total").desc(), F.col("counterparty")], top,
+
+
+def counterparty_volume(lines: DataFrame, top: int = 5, key_len: int | None = None) -> DataFrame:
+    """Account x counterparty -> count, Σamount; each account's top 5 by |Σamount| (ties by
+    key)."""
+    return top_k_per_group(_counterparties(lines, key_len), ["account"], [F.abs("total").desc(), F.col("counterparty")], top,
                            rank_col="rank")
 
 
-def recurring_counterparties(lines: DataFrame, top: int = 10, min_count: int = 3) -> DataFrame:
-    """Among each account's top-5 counterparties, those seen >= 3 times, summed over
-    accounts; the top 10 by count (ties by name)."""
-    cv = counterparty_volume(lines).where(F.col("count") >= min_count)
-    g = cv.groupBy("counterparty").agg(F.sum("count").alias("transactions"))
+def recurring_counterparties(lines: DataFrame, top: int = 10, min_count: int = 3,
+                             key_len: int | None = None) -> DataFrame:
+    """Counterparties seen >= 3 times over all accounts; the top 10 by count (ties by
+    name). Everything is aggregated before anything is ranked."""
+    g = _counterparties(lines, key_len).groupBy("counterparty").agg(
+        F.sum("count").alias("transactions")).where(F.col("transactions") >= min_count)
     return g.orderBy(F.col("transactions").desc(), "counterparty").limit(top)
 
 
-def counterparty_stats(lines: DataFrame, min_count: int = 3) -> DataFrame:
-    """E52 (counters): unique names in the top-5 lists, and the recurring ones among them."""
-    cv = counterparty_volume(lines)
-    return cv.agg(F.countDistinct("counterparty").alias("unique_counterparties"),
-                  F.countDistinct(F.when(F.col("count") >= min_count, F.col("counterparty")))
-                  .alias("recurring_counterparties"))
+def counterparty_stats(lines: DataFrame, min_count: int = 3,
+                       key_len: int | None = None) -> DataFrame:
+    """E52 (counters): counterparties, and the recurring ones among them."""
+    g = _counterparties(lines, key_len).groupBy("counterparty").agg(F.sum("count").alias("n"))
+    return g.agg(F.count(F.lit(1)).alias("unique_counterparties"),
+                 F.count_if(F.col("n") >= min_count).alias("recurring_counterparties"))
 
 
 def largest_transactions(lines: DataFrame, n: int = 5, after_year: int = 2020) -> DataFrame:
     """ISK lines; the n largest inflows and n largest outflows, *then* only those
     dated after ``after_year`` are kept (as in the source). Ties by account, row."""
     isk = lines.where(F.col("currency") == "ISK")
-    cols = ["account", "date", "amount", F.substring("description", 1, 40).alias("description"),
-            "row_no"]
+    cols = ["account", "date", "amount", "description", "row_no"]
     ins = (isk.where(F.col("amount") > 0).orderBy(F.col("amount").desc(), "account", "row_no")
            .limit(n).select(F.lit("inflow").alias("kind"), *cols))
     outs = (isk.where(F.col("amount") < 0).orderBy(F.col("amount").asc(), "account", "row_no")

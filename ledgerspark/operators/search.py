@@ -8,7 +8,6 @@ task), never a full sort of the table. Bounds are inclusive; ``query`` is a case
 
 from __future__ import annotations
 
-import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -46,22 +45,22 @@ def contains_ci(cols: list[str], query: str) -> Column:
 
 def bank_transactions(bank: DataFrame, cards: DataFrame, from_date: str | None = None,
                       to_date: str | None = None, account_number: str | None = None,
-                      account_type: str = "all", limit: int = BANK_LIMIT_DEFAULT) -> DataFrame:
+                      account_type: str = "all",
+                      limit: int | None = BANK_LIMIT_DEFAULT) -> DataFrame:
     """Bank and/or card lines, newest first.
 
-    With ``all`` the bank side gets floor(limit/2) rows and the card side ceil(limit/2),
-    each newest first; the two are concatenated, re-sorted by date (bank before card on equal
-    dates) and cut to ``limit``. Bank lines are filtered and sorted on the value date.
+    With ``all`` each side gives its newest ``limit`` rows and the union is cut once, so the
+    result is the newest ``limit`` rows of both (bank before card on equal dates). ``limit=None``
+    returns every row. Bank lines are filtered and sorted on the value date.
     """
     _check_date("fromDate", from_date)
     _check_date("toDate", to_date)
     if account_type not in ("bank", "card", "all"):
         raise ValueError("accountType must be bank, card or all")
-    if not (1 <= int(limit) <= BANK_LIMIT_MAX):
+    if limit is not None and not (1 <= int(limit) <= BANK_LIMIT_MAX):
         raise ValueError(f"limit must be within 1..{BANK_LIMIT_MAX}")
     sides = []
     if account_type in ("all", "bank"):
-        n = limit // 2 if account_type == "all" else limit
         acct = account_display("branch", "ledger", "account_no")
         b = bank.where(_date_range(F.col("value_date"), from_date, to_date))
         if account_number:
@@ -73,10 +72,8 @@ def bank_transactions(bank: DataFrame, cards: DataFrame, from_date: str | None =
                      F.lit(None).cast("string").alias("merchant_name"),
                      F.lit(None).cast("string").alias("card_number_masked"),
                      F.lit(0).alias("__src"), F.col("id").alias("__tie"))
-        if n > 0:
-            sides.append(b.orderBy(F.col("date").desc(), "account_number", "__tie").limit(n))
+        sides.append(b)
     if account_type in ("all", "card"):
-        n = math.ceil(limit / 2) if account_type == "all" else limit
         c = cards.where(_date_range(F.col("date"), from_date, to_date))
         if account_number:
             c = c.where(F.col("card_id") == account_number)
@@ -86,14 +83,15 @@ def bank_transactions(bank: DataFrame, cards: DataFrame, from_date: str | None =
                      "currency", F.lit("CARD_TRANSACTION").alias("transaction_type"),
                      "merchant_name", F.lit(None).cast("string").alias("card_number_masked"),
                      F.lit(1).alias("__src"), F.col("entry_id").alias("__tie"))
-        sides.append(c.orderBy(F.col("date").desc(), "account_number", "__tie").limit(n))
-    if not sides:
-        return bank.limit(0)
+        sides.append(c)
+    order = [F.col("date").desc(), "__src", "account_number", "__tie"]
+    if limit is not None:
+        sides = [s.orderBy(*order).limit(limit) for s in sides]
     out = sides[0]
     for s in sides[1:]:
         out = out.unionByName(s)
-    return (out.orderBy(F.col("date").desc(), "__src", "account_number", "__tie")
-               .limit(limit).drop("__src", "__tie"))
+    out = out.orderBy(*order)
+    return (out if limit is None else out.limit(limit)).drop("__src", "__tie")
 
 
 def invoice_search(invoices: DataFrame, lines: DataFrame | None = None,

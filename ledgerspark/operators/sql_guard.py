@@ -1,12 +1,13 @@
 """Read-only parameterised SQL.
 
-The guard accepts exactly one SELECT/WITH statement (comments removed, one trailing ``;``
-allowed) and rejects the write/admin keywords below when they appear *outside* string
-literals and quoted identifiers. It is a keyword screen, not a parser: Spark's own parser
-does the parsing, and ``?`` markers are bound by ``spark.sql(sql, args=[...])``.
+Spark's own parser decides what a statement is: the text must parse into one query plan (anything
+else, DDL, DML, commands, several statements, is a syntax error or a command node). Every table
+must be a plain identifier (a path such as ``parquet.`/x` `` would read any file), and no function
+may reach into the JVM. Markers ``?`` are
+bound by ``spark.sql(sql, args=[...])``.
 
-The row cap is applied as ``DataFrame.limit`` outside the query text, so a query's own
-``LIMIT ?`` or trailing ``;`` keeps working (the cap is a plan node, GlobalLimit/LocalLimit).
+No row limit is applied unless the caller gives one; ``guarded_page`` then also says whether rows
+were left out.
 """
 
 from __future__ import annotations
@@ -14,73 +15,82 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import ParseException
 
-# --- fixed values: keywords a read-only query may not contain --------------------------------
+# --- fixed values --------------------------------------------------------------------------------
+#: Functions that call arbitrary Java methods.
+REFLECTION = ("reflect", "java_method", "try_reflect")
+#: Keywords of statements that change something; the parser would accept some of them as commands.
 FORBIDDEN_KEYWORDS = (
     "insert", "update", "delete", "drop", "create", "alter", "attach", "detach", "copy",
     "export", "import", "load", "pragma", "set", "vacuum", "checkpoint", "transaction",
     "begin", "commit", "rollback", "call",
 )
-MAX_ROWS_DEFAULT, MAX_ROWS_CAP = 5000, 100000
-# -----------------------------------------------------------------------------------------------
+# ---------------------------------------------------------------------------------------------------
 
-_FORBIDDEN_RE = re.compile(r"\b(" + "|".join(FORBIDDEN_KEYWORDS) + r")\b", re.I)
-_QUOTED_RE = re.compile(r"'(?:[^']|'')*'|\"(?:[^\"]|\"\")*\"|`[^`]*`")
+#: A comment, a quoted text (quotes doubled or escaped by a backslash) or a quoted name.
+_QUIET = re.compile(r"""--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`(?:[^`]|``)*`""",
+                    re.S)
+_WORD = re.compile(r"[A-Za-z_][A-Za-z_0-9]*")
 
 
-def strip_comments(sql: str) -> str:
-    """Remove ``--`` line comments and ``/* */`` block comments (outside literals)."""
-    out, i, n = [], 0, len(sql)
-    while i < n:
-        ch = sql[i]
-        if ch in "'\"`":
-            j = i + 1
-            while j < n:
-                if sql[j] == ch:
-                    if ch != "`" and j + 1 < n and sql[j + 1] == ch:
-                        j += 2
-                        continue
-                    break
-                j += 1
-            out.append(sql[i:j + 1])
-            i = j + 1
-        elif sql.startswith("--", i):
-            j = sql.find("\n", i)
-            i = n if j < 0 else j
-        elif sql.startswith("/*", i):
-            j = sql.find("*/", i + 2)
-            i = n if j < 0 else j + 2
-            out.append(" ")
-        else:
-            out.append(ch)
-            i += 1
-    return "".join(out).strip()
+def _outside_quotes(sql: str) -> str:
+    """The statement with comments, texts and quoted names blanked out."""
+    return _QUIET.sub(lambda m: " q " if m[0][0] in "'\"`" else " ", sql)
 
 
-def assert_select_only(sql: str) -> str:
-    """Return the cleaned statement, or raise ``ValueError``."""
-    s = strip_comments(sql)
-    bare = _QUOTED_RE.sub("''", s)
-    segments = [x for x in bare.split(";") if x.strip()]
-    if len(segments) != 1:
-        raise ValueError("Only a single SELECT statement is allowed.")
-    if not re.match(r"^\s*(select|with)\b", segments[0], re.I):
-        raise ValueError("Only SELECT/CTE queries are allowed.")
-    if _FORBIDDEN_RE.search(segments[0]):
-        raise ValueError("Query contains forbidden keywords. Only read-only SELECT is permitted.")
-    return s.rstrip().rstrip(";").rstrip()
+def assert_select_only(sql: str, spark: SparkSession | None = None) -> str:
+    """The statement without a trailing semicolon; ``ValueError`` unless it is one read-only
+    query over named tables."""
+    bare = _outside_quotes(sql)
+    body = bare.rstrip().removesuffix(";")
+    if ";" in body or not body.strip():
+        raise ValueError("exactly one statement is expected")
+    words = [w.lower() for w in _WORD.findall(body)]
+    if words[:1] not in (["select"], ["with"]):
+        raise ValueError("the statement has to be a query (SELECT or WITH)")
+    for w in words:
+        if w in FORBIDDEN_KEYWORDS:
+            raise ValueError(f"{w} does not belong in a read-only query")
+        if w in REFLECTION:
+            raise ValueError(f"the function {w} is not available here")
+    for name in re.findall(r"`((?:[^`]|``)*)`", sql):
+        if name.lower() in REFLECTION:
+            raise ValueError(f"the function {name} is not available here")
+        if "/" in name or ":" in name:
+            raise ValueError("tables have to be named, not given as a path")
+    clean = _QUIET.sub(lambda m: m[0] if m[0][0] in "'\"`" else " ", sql).strip()
+    clean = clean.removesuffix(";").rstrip()
+    spark = spark or SparkSession.getActiveSession()
+    if spark is not None:
+        try:
+            text = spark._jsparkSession.sessionState().sqlParser().parsePlan(clean).toString()
+        except ParseException as e:
+            raise ValueError(f"the query cannot be parsed: {e.getMessage()}") from e
+        if re.search(r"InsertInto|CreateTable|Command", text):
+            raise ValueError("the statement has to be a query (SELECT or WITH)")
+    return clean
 
 
 def guarded_sql(spark: SparkSession, sql: str, params: list | None = None,
-                max_rows: int = MAX_ROWS_DEFAULT, fmt: str | None = None) -> DataFrame:
-    """Run a guarded read-only query with positional parameters, capped at
-    ``max(1, min(max_rows, 100000))`` rows. With ``fmt`` (json / csv / markdown) the result
-    is rendered one line per row (``sources.sinks.render_rows``; header via ``render_rows``)."""
-    clean = assert_select_only(sql)
-    cap = max(1, min(int(max_rows), MAX_ROWS_CAP))
+                max_rows: int | None = None, fmt: str | None = None) -> DataFrame:
+    """Run a guarded read-only query with positional parameters; ``max_rows`` limits the result
+    if given. With ``fmt`` (json / csv / markdown) the result is rendered one line per row
+    (``sources.sinks.render_rows``; header via ``render_rows``)."""
+    clean = assert_select_only(sql, spark)
     df = spark.sql(clean, args=list(params)) if params else spark.sql(clean)
-    df = df.limit(cap)
+    if max_rows is not None:
+        df = df.limit(max(1, int(max_rows)))
     if fmt is None:
         return df
     from ..sources.sinks import render_rows
     return render_rows(df, fmt)[1]
+
+
+def guarded_page(spark: SparkSession, sql: str, params: list | None = None,
+                 max_rows: int = 5000) -> tuple[DataFrame, DataFrame]:
+    """(at most ``max_rows`` rows, a one-row frame ``truncated``: whether there were more)."""
+    df = guarded_sql(spark, sql, params)
+    more = df.limit(max_rows + 1).agg((F.count(F.lit(1)) > max_rows).alias("truncated"))
+    return df.limit(max_rows), more

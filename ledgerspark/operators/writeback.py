@@ -35,18 +35,30 @@ def apply_invoice_updates(invoices: DataFrame, updates: DataFrame, now_iso: str,
     missing one ``now_iso``); resend_email -> SENT; cancel_invoice -> CANCELLED;
     cancel_claim / payment_extension set flags; update_draft needs draft_data (known keys
     overwrite columns). Explicit status / paid date / payment type override afterwards (the
-    paid date keeps its noon normalisation). Several updates of one invoice: last wins.
+    paid date keeps its noon normalisation). Several updates of one invoice apply in order:
+    for each field the last value given stands, and flags once set stay set. A draft with an
+    unknown key, or a value that its column cannot take, is rejected.
     """
     u = number_to_uuid(updates, invoices)
     mode, st = F.col("mode"), F.col("status")
+    kinds = {c: invoices.schema[c].dataType for c in DRAFT_FIELDS if c in invoices.columns}
+    unfit = F.lit(False)
+    for c, kind in kinds.items():
+        given = F.col("draft_data")[c]
+        unfit = unfit | (given.isNotNull() & given.try_cast(kind).isNull())
     error = (F.when(~F.col("resolved"), F.lit("NOT_FOUND"))
              .when(~mode.isin(*MODES) | mode.isNull(), F.lit("VALIDATION_ERROR: invalid mode"))
              .when((mode == "mark_as_paid") & (F.coalesce(F.col("payment_type"), F.lit("")) == ""),
-                   F.lit("VALIDATION_ERROR: paymentType is required when mode=mark_as_paid"))
+                   F.lit("VALIDATION_ERROR: mark_as_paid needs a payment type"))
              .when((mode == "update_draft") & F.col("draft_data").isNull(),
-                   F.lit("VALIDATION_ERROR: draftData is required for update_draft mode"))
+                   F.lit("VALIDATION_ERROR: update_draft needs draft data"))
              .when(st.isNotNull() & ~st.isin(*OVERRIDE_STATUSES),
-                   F.lit("VALIDATION_ERROR: invalid status")))
+                   F.lit("VALIDATION_ERROR: invalid status"))
+             .when((mode == "update_draft") & F.exists(
+                 F.map_keys("draft_data"), lambda k: ~k.isin(*DRAFT_FIELDS)),
+                   F.lit("VALIDATION_ERROR: unknown field in the draft"))
+             .when((mode == "update_draft") & unfit,
+                   F.lit("VALIDATION_ERROR: a value of the draft does not fit its field")))
     u = u.withColumn("error", error)
     new_status = (F.when(mode == "mark_as_paid", F.lit("PAID"))
                   .when(mode == "resend_email", F.lit("SENT"))
@@ -58,17 +70,22 @@ def apply_invoice_updates(invoices: DataFrame, updates: DataFrame, now_iso: str,
         "invoice_id", order_col, new_status.alias("__status"), paid.alias("__paid"),
         F.col("payment_type").alias("__ptype"),
         (mode == "cancel_claim").alias("__claim"), (mode == "payment_extension").alias("__ext"),
-        F.when(mode == "update_draft", F.col("draft_data")).alias("__draft"))
-    last = (changes.withColumn("__rn", F.row_number().over(
-        Window.partitionBy("invoice_id").orderBy(F.col(order_col).desc())))
-        .where("__rn = 1").drop("__rn", order_col))
-    j = invoices.join(last, "invoice_id", "left")
-    d = F.col("__draft")
+        *[F.when(mode == "update_draft", F.col("draft_data")[c]).alias(f"__draft_{c}")
+          for c in kinds])
+
+    def last(c):
+        """The latest value given for a field; NULL where no update gives one."""
+        return F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_col))).alias(c)
+    merged = changes.groupBy("invoice_id").agg(
+        *[last(c) for c in changes.columns if c not in ("invoice_id", order_col, "__claim",
+                                                        "__ext")],
+        F.bool_or("__claim").alias("__claim"), F.bool_or("__ext").alias("__ext"))
+    j = invoices.join(merged, "invoice_id", "left")
     cols = []
     for c in invoices.columns:
         v = F.col(c)
-        if c in DRAFT_FIELDS:
-            v = F.coalesce(d[c].cast(invoices.schema[c].dataType), v)
+        if c in kinds:
+            v = F.coalesce(F.col(f"__draft_{c}").try_cast(kinds[c]), v)
         if c == "status":
             v = F.coalesce("__status", v)
         elif c == "paid_date":

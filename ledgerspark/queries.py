@@ -161,19 +161,16 @@ def q_gold_account_detail(spark, d):
     return ledger.gold_account_detail(_acc(spark, d), _stm(spark, d, typed=True), SINCE)
 
 
+# Balances by year: revenue and assets count debit - credit, every other class credit - debit.
 _BY_YEAR = f"""
-SELECT strftime(s.transaction_date, '%Y') AS year, s.account_code, s.account_name,
-       a.account_type, a.account_subtype, COUNT(*) AS transaction_count,
-       SUM(s.debit) AS total_debit, SUM(s.credit) AS total_credit,
-       CASE WHEN a.account_type = 'Tekjur' THEN SUM(s.debit) - SUM(s.credit)
-            WHEN a.account_type = 'Gjöld' THEN SUM(s.credit) - SUM(s.debit)
-            WHEN a.account_type = 'Eignir' THEN SUM(s.debit) - SUM(s.credit)
-            WHEN a.account_type = 'Skuldir' THEN SUM(s.credit) - SUM(s.debit)
-            WHEN a.account_type = 'Eigið fé' THEN SUM(s.credit) - SUM(s.debit)
-            ELSE SUM(s.credit) - SUM(s.debit) END AS balance
-FROM silver_account_statements s JOIN dim_accounts a ON s.account_code = a.account_number
-WHERE s.transaction_date >= DATE '{SINCE}'
-GROUP BY 1, 2, 3, 4, 5"""
+SELECT CAST(year(line.transaction_date) AS VARCHAR) AS year, line.account_code, line.account_name,
+       acc.account_type, acc.account_subtype, COUNT(*) AS transaction_count,
+       SUM(line.debit) AS total_debit, SUM(line.credit) AS total_credit,
+       SUM(COALESCE(class.factor, -1) * (line.debit - line.credit)) AS balance
+FROM silver_account_statements line
+JOIN dim_accounts acc ON acc.account_number = line.account_code
+LEFT JOIN (VALUES ('Tekjur', 1), ('Eignir', 1)) class(name, factor) ON class.name = acc.account_type
+WHERE line.transaction_date >= DATE '{SINCE}' GROUP BY ALL"""
 
 
 @register("gold_account_summary_by_year", f"""
@@ -274,12 +271,12 @@ def q_gold_invoice_lines(spark, d):
 @register("gold_invoice_monthly", f"""
 SELECT strftime(invoice_date, '%Y-%m') AS month, strftime(invoice_date, '%Y') AS year,
        COUNT(*) AS invoice_count,
-       COUNT(CASE WHEN status = 'PAID' THEN 1 END) AS paid_count,
-       COUNT(CASE WHEN status = 'SENT' THEN 1 END) AS unpaid_count,
-       COUNT(CASE WHEN status = 'CANCELLED' THEN 1 END) AS cancelled_count,
+       COUNT(*) FILTER (WHERE status = 'PAID') AS paid_count,
+       COUNT(*) FILTER (WHERE status = 'SENT') AS unpaid_count,
+       COUNT(*) FILTER (WHERE status = 'CANCELLED') AS cancelled_count,
        {D("SUM(total)")} AS total_amount,
-       {D("SUM(CASE WHEN status = 'PAID' THEN total ELSE 0 END)")} AS paid_amount,
-       {D("SUM(CASE WHEN status = 'SENT' THEN total ELSE 0 END)")} AS unpaid_amount,
+       {D("COALESCE(SUM(total) FILTER (WHERE status = 'PAID'), 0)")} AS paid_amount,
+       {D("COALESCE(SUM(total) FILTER (WHERE status = 'SENT'), 0)")} AS unpaid_amount,
        {_avg_money("total")} AS avg_invoice_amount, currency
 FROM dim_invoices WHERE is_active = 1 AND invoice_date IS NOT NULL
 GROUP BY 1, 2, currency""")
@@ -289,11 +286,11 @@ def q_gold_invoice_monthly(spark, d):
 
 @register("gold_customer_invoices", f"""
 SELECT customer_id, COUNT(*) AS invoice_count,
-       COUNT(CASE WHEN status = 'PAID' THEN 1 END) AS paid_count,
-       COUNT(CASE WHEN status = 'SENT' THEN 1 END) AS unpaid_count,
+       COUNT(*) FILTER (WHERE status = 'PAID') AS paid_count,
+       COUNT(*) FILTER (WHERE status = 'SENT') AS unpaid_count,
        {D("SUM(total)")} AS total_amount,
-       {D("SUM(CASE WHEN status = 'PAID' THEN total ELSE 0 END)")} AS paid_amount,
-       {D("SUM(CASE WHEN status = 'SENT' THEN total ELSE 0 END)")} AS unpaid_amount,
+       {D("COALESCE(SUM(total) FILTER (WHERE status = 'PAID'), 0)")} AS paid_amount,
+       {D("COALESCE(SUM(total) FILTER (WHERE status = 'SENT'), 0)")} AS unpaid_amount,
        {_avg_money("total")} AS avg_invoice_amount,
        CAST(MIN(invoice_date) AS VARCHAR) AS first_invoice,
        CAST(MAX(invoice_date) AS VARCHAR) AS last_invoice, currency
@@ -572,33 +569,30 @@ WITH b AS (
          currency, type_code AS transaction_type, CAST(NULL AS VARCHAR) AS merchant_name,
          CAST(NULL AS VARCHAR) AS card_number_masked, 0 AS src, id AS tie
   FROM silver_bank_transactions
-  WHERE value_date >= DATE '{BANK_FROM}' AND value_date <= DATE '{BANK_TO}'
-  ORDER BY date DESC, account_number, tie LIMIT 50),
+  WHERE value_date >= DATE '{BANK_FROM}' AND value_date <= DATE '{BANK_TO}'),
 c AS (
   SELECT 'card' AS account_type, card_id AS account_number, date, description, amount,
          CAST(NULL AS DECIMAL(18,2)) AS balance, CAST(NULL AS VARCHAR) AS reference_number,
          currency, 'CARD_TRANSACTION' AS transaction_type, merchant_name,
          CAST(NULL AS VARCHAR) AS card_number_masked, 1 AS src, entry_id AS tie
   FROM silver_card_transactions
-  WHERE date >= DATE '{BANK_FROM}' AND date <= DATE '{BANK_TO}'
-  ORDER BY date DESC, account_number, tie LIMIT 50),
-tx AS (
-  SELECT * FROM (SELECT * FROM b UNION ALL SELECT * FROM c) u
-  ORDER BY date DESC, src, account_number, tie LIMIT 100)"""
+  WHERE date >= DATE '{BANK_FROM}' AND date <= DATE '{BANK_TO}'),
+tx AS (SELECT * FROM b UNION ALL SELECT * FROM c)"""
 
 
-def _c1(spark, d):
+def _c1(spark, d, limit=None):
     return search.bank_transactions(S.silver_bank_transactions(spark, d),
                                     S.silver_card_transactions(spark, d), BANK_FROM, BANK_TO,
-                                    None, "all", 100)
+                                    None, "all", limit)
 
 
 @register("bank_transactions", _C1_SQL + f"""
 SELECT account_type, account_number, CAST(date AS VARCHAR) AS date, description,
        {D("amount")} AS amount, {D("balance")} AS balance, reference_number, currency,
-       transaction_type, merchant_name, card_number_masked FROM tx""")
+       transaction_type, merchant_name, card_number_masked FROM tx
+ORDER BY tx.date DESC, src, tx.account_number, tie LIMIT 100""")
 def q_bank_transactions(spark, d):
-    return _c1(spark, d)
+    return _c1(spark, d, 100)
 
 
 @register("bank_summary", _C1_SQL + f"""
@@ -609,10 +603,13 @@ def q_bank_summary(spark, d):
 
 
 @register("bank_summary_accounts", _C1_SQL + f"""
-SELECT account_number, arg_min(account_type, date_diff('day', date, DATE '9999-12-31')) AS account_type,
+, newest AS (
+  SELECT *, row_number() OVER (PARTITION BY account_number
+                               ORDER BY date DESC, account_type, currency) AS k FROM tx)
+SELECT account_number, MIN(account_type) FILTER (WHERE k = 1) AS account_type,
        COUNT(*) AS transaction_count, {D("SUM(amount)")} AS total_amount,
-       arg_min(currency, date_diff('day', date, DATE '9999-12-31')) AS currency
-FROM tx GROUP BY account_number""")
+       MIN(currency) FILTER (WHERE k = 1) AS currency
+FROM newest GROUP BY account_number""")
 def q_bank_summary_accounts(spark, d):
     return R.bank_summary(_c1(spark, d), BANK_FROM, BANK_TO)[1]
 
@@ -829,7 +826,7 @@ def q_account_monthly_activity(spark, d):
 SELECT account, description_prefix, count, CAST(rank AS INTEGER) AS rank FROM (
   SELECT account, description_prefix, count,
          row_number() OVER (PARTITION BY account ORDER BY count DESC, description_prefix) AS rank
-  FROM (SELECT account, substr(COALESCE(description, ''), 1, 30) AS description_prefix, COUNT(*) AS count
+  FROM (SELECT account, COALESCE(description, '') AS description_prefix, COUNT(*) AS count
         FROM lines WHERE amount <> 0 AND COALESCE(description, '') <> '' GROUP BY 1, 2) g) t
 WHERE rank <= 5""")
 def q_frequent_descriptions(spark, d):
@@ -878,9 +875,9 @@ _CV = """cv AS (
   SELECT account, counterparty, count, total, rank FROM (
     SELECT account, counterparty, count, total,
            row_number() OVER (PARTITION BY account ORDER BY abs(total) DESC, counterparty) AS rank
-    FROM (SELECT account, trim(substr(COALESCE(description, ''), 1, 40)) AS counterparty,
+    FROM (SELECT account, trim(COALESCE(description, '')) AS counterparty,
                  COUNT(*) AS count, SUM(amount) AS total
-          FROM lines WHERE amount <> 0 AND trim(substr(COALESCE(description, ''), 1, 40)) <> ''
+          FROM lines WHERE amount <> 0 AND trim(COALESCE(description, '')) <> ''
           GROUP BY 1, 2) g) t
   WHERE rank <= 5)"""
 
@@ -891,24 +888,29 @@ def q_counterparty_volume(spark, d):
     return R.counterparty_volume(_lines(spark, d), 5)
 
 
-@register("recurring_counterparties", f"""WITH {_LINES}, {_CV}
-SELECT counterparty, CAST(SUM(count) AS BIGINT) AS transactions FROM cv WHERE count >= 3
-GROUP BY counterparty ORDER BY transactions DESC, counterparty LIMIT 10""")
+_NAMES = """names AS (
+  SELECT trim(COALESCE(description, '')) AS counterparty, COUNT(*) AS transactions
+  FROM lines WHERE amount <> 0 AND trim(COALESCE(description, '')) <> '' GROUP BY 1)"""
+
+
+@register("recurring_counterparties", f"""WITH {_LINES}, {_NAMES}
+SELECT counterparty, transactions FROM names WHERE transactions >= 3
+ORDER BY transactions DESC, counterparty LIMIT 10""")
 def q_recurring_counterparties(spark, d):
     return R.recurring_counterparties(_lines(spark, d), 10)
 
 
-@register("counterparty_stats", f"""WITH {_LINES}, {_CV}
-SELECT COUNT(DISTINCT counterparty) AS unique_counterparties,
-       COUNT(DISTINCT CASE WHEN count >= 3 THEN counterparty END) AS recurring_counterparties FROM cv""")
+@register("counterparty_stats", f"""WITH {_LINES}, {_NAMES}
+SELECT COUNT(*) AS unique_counterparties,
+       COUNT(*) FILTER (WHERE transactions >= 3) AS recurring_counterparties FROM names""")
 def q_counterparty_stats(spark, d):
     return R.counterparty_stats(_lines(spark, d))
 
 
 @register("largest_transactions", f"""WITH {_LINES},
-ins AS (SELECT 'inflow' AS kind, account, date, amount, substr(description, 1, 40) AS description, row_no
+ins AS (SELECT 'inflow' AS kind, account, date, amount, description, row_no
         FROM lines WHERE currency = 'ISK' AND amount > 0 ORDER BY amount DESC, account, row_no LIMIT 5),
-outs AS (SELECT 'outflow' AS kind, account, date, amount, substr(description, 1, 40) AS description, row_no
+outs AS (SELECT 'outflow' AS kind, account, date, amount, description, row_no
          FROM lines WHERE currency = 'ISK' AND amount < 0 ORDER BY amount ASC, account, row_no LIMIT 5)
 SELECT kind, account, CAST(date AS VARCHAR) AS date, {D("amount")} AS amount, description, row_no
 FROM (SELECT * FROM ins UNION ALL SELECT * FROM outs) u WHERE year(date) > 2020""")
@@ -1197,8 +1199,24 @@ def _groups(spark):
     return config_table(spark, _groups_rows(), M.GROUPS_SCHEMA)
 
 
-_GROUPS_SQL = _sql_values(_groups_rows(), ["acct_type", "acct_subtype", "report_group",
-                                           "report_subgroup", "statement", "sign"])
+# Typed by hand from the documented convention (revenue -1, expenses +1; balance-sheet classes
+# positive on their normal side), so that it does not share the library's table.
+_GROUPS_SQL = """SELECT * FROM (VALUES
+  ('Tekjur', NULL, 'Revenue', NULL, 'PL', -1), ('Income', NULL, 'Revenue', NULL, 'PL', -1),
+  ('Revenue', NULL, 'Revenue', NULL, 'PL', -1),
+  ('Gjöld', NULL, 'Operating expenses', NULL, 'PL', 1),
+  ('Expense', NULL, 'Operating expenses', NULL, 'PL', 1),
+  ('Expenses', NULL, 'Operating expenses', NULL, 'PL', 1),
+  ('Eignir', NULL, 'Assets', NULL, 'BS', 1), ('Asset', NULL, 'Assets', NULL, 'BS', 1),
+  ('Assets', NULL, 'Assets', NULL, 'BS', 1),
+  ('Skuldir', NULL, 'Liabilities', NULL, 'BS', -1),
+  ('Liability', NULL, 'Liabilities', NULL, 'BS', -1),
+  ('Liabilities', NULL, 'Liabilities', NULL, 'BS', -1),
+  ('Eigið fé', NULL, 'Equity', NULL, 'BS', -1), ('Equity', NULL, 'Equity', NULL, 'BS', -1),
+  ('Gjöld', 'Brand#13', 'COGS', 'Materials', 'PL', 1),
+  ('Gjöld', 'Brand#22', 'Depreciation', NULL, 'PL', 1),
+  ('Gjöld', 'Brand#5', 'Finance', NULL, 'PL', 1))
+  v(acct_type, acct_subtype, report_group, report_subgroup, statement, sign)"""
 _DIM_ACCOUNT_SQL = f"""grp AS ({_GROUPS_SQL}),
 dim_account AS (
   SELECT a.*, COALESCE(e.report_group, t.report_group) AS report_group,
@@ -1327,6 +1345,9 @@ def q_reconcile_payments(spark, d):
     return M.reconcile_bank(pay, inv, 15)
 
 
+LATER = 1_000_000_000               # added to the sequence number of later updates
+
+
 def _updates(spark, d):
     i = S.dim_invoices(spark, d)
     mode = (F.when(F.col("status") == "SENT", F.lit("mark_as_paid"))
@@ -1339,7 +1360,24 @@ def _updates(spark, d):
         F.lit(None).cast("string").alias("status"),
         F.when(F.col("status") == "SENT", F.date_format("due_date", "yyyy-MM-dd")).alias("paid_date"),
         F.when(F.col("status") == "SENT", F.lit("transfer")).alias("payment_type"),
-        F.lit(None).cast("map<string,string>").alias("draft_data"))
+        F.lit(None).cast("map<string,string>").alias("draft_data")).unionByName(
+        # a second update of the same invoices, one by its UUID, and references without invoice
+        i.where(F.col("status").isin("SENT", "DRAFT")).select(
+            (F.col("invoice_number").cast("bigint") + LATER).alias("seq"),
+            F.when(F.col("status") == "DRAFT", F.concat(F.lit("missing-"), "invoice_number"))
+            .otherwise(F.col("invoice_number")).alias("invoice_ref"),
+            F.lit("cancel_claim").alias("mode"), F.lit(None).cast("string").alias("status"),
+            F.lit(None).cast("string").alias("paid_date"),
+            F.lit(None).cast("string").alias("payment_type"),
+            F.lit(None).cast("map<string,string>").alias("draft_data"))).unionByName(
+        i.where("status = 'DRAFT'").select(
+            (F.col("invoice_number").cast("bigint") + 2 * LATER).alias("seq"),
+            F.col("invoice_number").alias("invoice_ref"), F.lit("update_draft").alias("mode"),
+            F.lit(None).cast("string").alias("status"),
+            F.lit(None).cast("string").alias("paid_date"),
+            F.lit(None).cast("string").alias("payment_type"),
+            F.create_map(F.lit("reference"), F.concat(F.lit("amended "), "invoice_number"))
+            .alias("draft_data")))
 
 
 _UPD_SQL = """upd AS (
@@ -1347,12 +1385,23 @@ _UPD_SQL = """upd AS (
          CASE status WHEN 'SENT' THEN 'mark_as_paid' WHEN 'DRAFT' THEN 'update_draft'
                      WHEN 'CREDIT' THEN 'resend_email' WHEN 'CANCELLED' THEN 'mark_as_paid' END AS mode,
          CASE WHEN status = 'SENT' THEN CAST(due_date AS VARCHAR) END AS paid_date,
-         CASE WHEN status = 'SENT' THEN 'transfer' END AS payment_type
-  FROM dim_invoices WHERE status IN ('SENT', 'DRAFT', 'CREDIT', 'CANCELLED')),
+         CASE WHEN status = 'SENT' THEN 'transfer' END AS payment_type,
+         CAST(NULL AS VARCHAR) AS amended
+  FROM dim_invoices WHERE status IN ('SENT', 'DRAFT', 'CREDIT', 'CANCELLED')
+  UNION ALL
+  SELECT CAST(invoice_number AS BIGINT) + 1000000000,
+         CASE WHEN status = 'DRAFT' THEN 'missing-' || invoice_number ELSE invoice_number END,
+         CASE WHEN status = 'SENT' THEN invoice_id END, 'cancel_claim', NULL, NULL, NULL
+  FROM dim_invoices WHERE status IN ('SENT', 'DRAFT')
+  UNION ALL
+  SELECT CAST(invoice_number AS BIGINT) + 2000000000, invoice_number, invoice_id, 'update_draft',
+         NULL, NULL, 'amended ' || invoice_number
+  FROM dim_invoices WHERE status = 'DRAFT'),
 res AS (
-  SELECT *, CASE WHEN mode = 'mark_as_paid' AND COALESCE(payment_type, '') = ''
-                   THEN 'VALIDATION_ERROR: paymentType is required when mode=mark_as_paid'
-                 WHEN mode = 'update_draft' THEN 'VALIDATION_ERROR: draftData is required for update_draft mode'
+  SELECT *, CASE WHEN invoice_id IS NULL THEN 'NOT_FOUND'
+                 WHEN mode = 'mark_as_paid' AND COALESCE(payment_type, '') = ''
+                   THEN 'VALIDATION_ERROR: mark_as_paid needs a payment type'
+                 WHEN mode = 'update_draft' AND amended IS NULL THEN 'VALIDATION_ERROR: update_draft needs draft data'
             END AS error FROM upd)"""
 
 
@@ -1366,18 +1415,20 @@ def q_apply_invoice_updates_results(spark, d):
 
 
 @register("apply_invoice_updates", f"""WITH {_UPD_SQL},
-ok AS (SELECT invoice_id, CASE mode WHEN 'mark_as_paid' THEN 'PAID' WHEN 'resend_email' THEN 'SENT' END AS new_status,
-              CASE WHEN mode = 'mark_as_paid' THEN
+ok AS (SELECT invoice_id, MAX(CASE mode WHEN 'mark_as_paid' THEN 'PAID' WHEN 'resend_email' THEN 'SENT' END) AS new_status,
+              MAX(CASE WHEN mode = 'mark_as_paid' THEN
                 CASE WHEN paid_date IS NULL OR trim(paid_date) = '' THEN '2002-01-01T00:00:00Z'
                      WHEN regexp_matches(paid_date, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN paid_date || 'T12:00:00Z'
-                     ELSE paid_date END END AS new_paid, payment_type AS new_ptype
-       FROM res WHERE error IS NULL)
+                     ELSE paid_date END END) AS new_paid, MAX(payment_type) AS new_ptype,
+              MAX(amended) AS amended, bool_or(mode = 'cancel_claim') AS claim
+       FROM res WHERE error IS NULL GROUP BY invoice_id)
 SELECT i.invoice_id, invoice_number, customer_id, COALESCE(new_status, status) AS status, currency,
        {D("subtotal")} AS subtotal, {D("vat_amount")} AS vat_amount, {D("total")} AS total,
        CAST(invoice_date AS VARCHAR) AS invoice_date, CAST(due_date AS VARCHAR) AS due_date,
        CAST(final_due_date AS VARCHAR) AS final_due_date, COALESCE(new_paid, paid_date) AS paid_date,
-       COALESCE(new_ptype, payment_type) AS payment_type, description, reference, is_active,
-       created_at, updated_at, false AS claim_cancelled, false AS payment_extended
+       COALESCE(new_ptype, payment_type) AS payment_type, description,
+       COALESCE(amended, reference) AS reference, is_active,
+       created_at, updated_at, COALESCE(claim, false) AS claim_cancelled, false AS payment_extended
 FROM dim_invoices i LEFT JOIN ok ON i.invoice_id = ok.invoice_id""")
 def q_apply_invoice_updates(spark, d):
     return WB.apply_invoice_updates(S.dim_invoices(spark, d), _updates(spark, d),

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import iso_date
 from ..functions.keys import active_flag, first_nonempty
-from ..functions.money import debit_of, credit_of, parse_amount_or_zero
+from ..functions.money import debit_of, credit_of, parse_amount_or_zero, parse_quantity
 
 _S, _L = T.StringType(), T.LongType()
 
@@ -99,6 +99,8 @@ def load_statements(lines: DataFrame, typed: bool = True, created_default: str |
         F.coalesce(F.col("lineNumber").try_cast("int"), F.lit(0)).alias("line_number"),
         F.lit("transaction").alias("record_type"),
         created.alias("created_at"),
+        # the load window a row came in, where the reader knows it (see ``statement_keys``)
+        *[F.col(c) for c in ("source_file",) if c in lines.columns],
     )
 
 
@@ -181,20 +183,20 @@ def load_invoices(raw: DataFrame, now_iso: str) -> tuple[DataFrame, DataFrame]:
         first_nonempty("created", default=now_iso).alias("created_at"),
         first_nonempty("updated", default=now_iso).alias("updated_at"),
         "source_file", "page_pos")
-    lines = raw.select(blank("id").alias("invoice_id"),
+    lines = raw.select(blank("id").alias("invoice_id"), "source_file", "page_pos",
                        F.posexplode("lines").alias("pos", "l")).select(
         F.concat_ws("#", "invoice_id", (F.col("pos") + 1).cast("string")).alias("id"),
         "invoice_id", (F.col("pos") + 1).alias("line_number"),
         F.coalesce("l.description", F.lit("")).alias("description"),
-        parse_amount_or_zero("l.quantity").alias("quantity"),
-        parse_amount_or_zero("l.unitPrice").alias("unit_price"),
-        parse_amount_or_zero("l.discountPercent").alias("discount_percent"),
-        parse_amount_or_zero("l.vatPercent").alias("vat_percent"),
+        parse_quantity("l.quantity").alias("quantity"),
+        parse_quantity("l.unitPrice").alias("unit_price"),
+        parse_quantity("l.discountPercent").alias("discount_percent"),
+        parse_quantity("l.vatPercent").alias("vat_percent"),
         parse_amount_or_zero("l.vatAmount").alias("vat_amount"),
         parse_amount_or_zero("l.total").alias("line_total"),
         F.coalesce("l.accountId", F.lit("")).alias("account_id"),
         F.coalesce("l.accountCode", F.lit("")).alias("account_code"),
-        F.coalesce("l.created", F.lit(now_iso)).alias("created_at"))
+        F.coalesce("l.created", F.lit(now_iso)).alias("created_at"), "source_file", "page_pos")
     return inv, lines
 
 
@@ -214,13 +216,16 @@ def upsert_invoices(target: DataFrame | None, loaded: DataFrame) -> DataFrame:
 
 
 def upsert_invoice_lines(target: DataFrame | None, new_lines: DataFrame,
-                         winners: DataFrame | None = None) -> DataFrame:
-    """J8 lines: an invoice's lines are replaced as a set by its newest document's lines
-    (``winners``: the upserted headers, to drop lines of superseded documents)."""
-    lines = new_lines
-    if winners is not None:
-        lines = lines.join(winners.select("invoice_id"), "invoice_id", "left_semi")
+                         headers: DataFrame) -> DataFrame:
+    """J8 lines: an invoice's lines are replaced as a set by its newest document's lines, also
+    where that document has none. ``headers`` are the batch's headers (``load_invoices``), whose
+    newest document of an invoice, by source file and position, says which lines count."""
+    newest = headers.groupBy("invoice_id").agg(
+        F.max(F.struct("source_file", "page_pos")).alias("d")).select(
+        "invoice_id", "d.source_file", "d.page_pos")
+    lines = new_lines.join(newest, ["invoice_id", "source_file", "page_pos"], "left_semi") \
+        .select(*[c for c in new_lines.columns if c not in ("source_file", "page_pos")])
     if target is None:
         return lines
-    kept = target.join(new_lines.select("invoice_id").distinct(), "invoice_id", "left_anti")
-    return kept.unionByName(lines)
+    kept = target.join(newest.select("invoice_id"), "invoice_id", "left_anti")
+    return kept.unionByName(lines.select(*target.columns))

@@ -27,13 +27,19 @@ COL_DATE, COL_TEXT, COL_AMOUNT, COL_BALANCE, COL_REFERENCE = (
 POSITIONAL = {"date": 0, "text": 10, "amount": 11, "balance": 12}
 # -----------------------------------------------------------------------------------------------
 
-MAX_COLS = 40
-_WIDE = ", ".join(f"c{i} STRING" for i in range(MAX_COLS))
+# A comma and a cell: quoted (quotes inside doubled or escaped) or bare.
+_CELL = r',(\s*"(?:[^"\\]|\\.|"")*"\s*(?=,|$)|[^,]*)'
 
 
 def _cells(line):
-    parsed = F.from_csv(line, _WIDE)
-    return F.array(*[parsed[f"c{i}"] for i in range(MAX_COLS)])
+    """The cells of one CSV line, however many; empty cells are NULL."""
+    def cell(raw):
+        bare = F.trim(raw)
+        inner = F.regexp_replace(F.regexp_replace(
+            F.substring(bare, F.lit(2), F.length(bare) - 2), '""', '"'), r"\\(.)", "$1")
+        quoted = bare.startswith('"') & bare.endswith('"') & (F.length(bare) >= 2)
+        return F.when(quoted, inner).when(raw != "", raw)
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1)), cell)
 
 
 def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
@@ -78,11 +84,11 @@ def statement_sheet_source(spark: SparkSession, path: str, amount_format: str =
 
     def by_name(key):
         pos = F.col(f"__p_{key}")
-        return F.when(pos > 0, F.element_at("cells", pos))
+        return F.when(pos > 0, F.try_element_at("cells", pos))
 
     if positional:
-        date_raw = F.col("cells")[POSITIONAL["date"]]
-        text, amount_raw, bal_raw = (F.col("cells")[POSITIONAL[k]]
+        date_raw = F.get("cells", POSITIONAL["date"])
+        text, amount_raw, bal_raw = (F.get("cells", POSITIONAL[k])
                                      for k in ("text", "amount", "balance"))
         date = excel_serial_date(date_raw)
         ref = F.lit(None).cast("string")

@@ -75,9 +75,10 @@ def render_csv(df: DataFrame) -> DataFrame:
     parts = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        # JSON.stringify: strings quoted and escaped, numbers/booleans bare, null -> ""
-        if f.dataType.simpleString() == "string":
-            v = F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
+        # strings, dates and times quoted and escaped, numbers and booleans bare, null -> ""
+        if f.dataType.simpleString() in ("string", "date", "timestamp", "timestamp_ntz"):
+            item = F.to_json(F.array(c.cast("string")))
+            v = item.substr(F.lit(2), F.length(item) - 2)
         else:
             v = c.cast("string")
         parts.append(F.coalesce(v, F.lit('""')))

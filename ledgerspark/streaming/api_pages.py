@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.keys import month_key
-from ..operators.loading import append_rows, insert_or_ignore, statement_keys
+from ..operators.loading import (append_rows, first_per_key, insert_or_ignore, statement_keys,
+                                 table_exists)
 from ..sources.api_json import PAGE_SCHEMA, load_statements
 
 
@@ -33,17 +33,20 @@ def _page_lines(spark: SparkSession, path: str, max_files: int | None) -> DataFr
 
 def _merge_statements(spark: SparkSession, target_path: str):
     def merge(batch: DataFrame, batch_id: int) -> None:
-        keyed = statement_keys(batch).withColumn(
-            "month", F.coalesce(month_key("transaction_date"), F.lit("unknown")))
-        try:
+        # numbered within each file (one load window), then one row per key across windows;
+        # persisted, as the months and the merge both read it
+        keyed = first_per_key(statement_keys(batch), ["line_key"], ["id"]).drop("source_file")
+        keyed = keyed.withColumn(
+            "month", F.coalesce(month_key("transaction_date"), F.lit("unknown"))).persist()
+        target = None
+        if table_exists(spark, target_path):
             target = spark.read.parquet(target_path)
             months = [r[0] for r in keyed.select("month").distinct().collect()]
             target = target.where(F.col("month").isin(months))
-        except AnalysisException:
-            target = None
         new = insert_or_ignore(target, keyed, ["line_key"], partition_cols=["month"],
                                keys_unique=True)
         append_rows(new, target_path, ["month"])
+        keyed.unpersist()
     return merge
 
 

@@ -13,10 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.keys import month_key
-from ..operators.loading import append_rows, insert_or_ignore
+from ..operators.loading import append_rows, insert_or_ignore, table_exists
 from ..sources import statement_xml as X
 
 
@@ -29,10 +28,7 @@ def _file_stream(spark: SparkSession, raw_path: str, max_files: int | None) -> D
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return spark.read.parquet(path) if table_exists(spark, path) else None
 
 
 def _merge_batch(spark, target_path, key_cols, order_cols, date_col, prepare=None):
@@ -45,12 +41,14 @@ def _merge_batch(spark, target_path, key_cols, order_cols, date_col, prepare=Non
             batch = prepare(batch)
         # rows without a date go to an explicit "unknown" month, so replays still find them
         batch = batch.withColumn("month", F.coalesce(month_key(date_col), F.lit("unknown")))
+        batch = batch.persist()              # read by the months and by the merge
         target = _existing(spark, target_path)
         if target is not None:
             months = [r[0] for r in batch.select("month").distinct().collect()]
             target = target.where(F.col("month").isin(months))
         new = insert_or_ignore(target, batch, key_cols, order_cols, partition_cols=["month"])
         append_rows(new, target_path, ["month"])
+        batch.unpersist()
     return merge
 
 

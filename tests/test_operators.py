@@ -11,17 +11,18 @@ from ledgerspark.operators import loading as LD
 from ledgerspark.operators import matching as M
 from ledgerspark.operators import paging, search
 from ledgerspark.operators import writeback as WB
-from ledgerspark.operators.sql_guard import assert_select_only, guarded_sql
+from ledgerspark.operators.sql_guard import assert_select_only, guarded_page, guarded_sql
 from ledgerspark.operators.topk import top_k_per_group
 
 
 # ------------------------------------------------------------------ C10 paging (reference cases)
 
 @pytest.mark.parametrize("page,perpage,expected", [
-    (None, None, (1, 50)), (-1, None, (1, 50)), (0, None, (1, 50)), (2, 1000, (2, 500)),
+    (None, None, (1, 50)), (-1, None, (1, 50)), (0, None, (1, 50)), (2, 1000, (2, 1000)),
     (1, 0, (1, 1)), (3, 25, (3, 25))])
 def test_validate_pagination(page, perpage, expected):
     assert paging.validate_pagination(page, perpage) == expected
+    assert paging.validate_pagination(2, 1000, perpage_max=500) == (2, 500)
 
 
 def test_paginate_pages_and_meta(spark):
@@ -54,7 +55,26 @@ def test_guarded_sql_params_limit_and_cap(spark):
     df = guarded_sql(spark, "SELECT id FROM guard_t WHERE id >= ? ORDER BY id LIMIT ?;", [3, 4])
     assert [r.id for r in df.collect()] == [3, 4, 5, 6]
     assert guarded_sql(spark, "SELECT id FROM guard_t", max_rows=0).count() == 1
-    assert guarded_sql(spark, "SELECT id FROM guard_t", max_rows=10 ** 9).count() == 10
+    assert guarded_sql(spark, "SELECT id FROM guard_t").count() == 10
+    rows, more = guarded_page(spark, "SELECT id FROM guard_t", max_rows=4)
+    assert rows.count() == 4 and more.first().truncated
+    assert not guarded_page(spark, "SELECT id FROM guard_t")[1].first().truncated
+
+
+@pytest.mark.parametrize("sql", [
+    "SELECT java_method('java.lang.System', 'getProperty', 'user.home')",
+    "SELECT `reflect`('java.lang.System', 'getProperty', 'user.home')",
+    "SELECT try_reflect('java.lang.System', 'x')", "SELECT * FROM parquet.`/tmp/x`",
+    "SELECT * FROM csv.`file:/etc/passwd`", "SELECT 1; SELECT 2", "DROP TABLE x",
+    "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a", "SELECT 'it\\'s'; DROP TABLE x",
+    "SELECT (", ""])
+def test_guard_refuses(spark, sql):
+    with pytest.raises(ValueError):
+        guarded_sql(spark, sql)
+
+
+def test_guard_reads_escaped_quotes(spark):
+    assert guarded_sql(spark, r"SELECT 'it\'s; drop' AS x").first().x == "it's; drop"
 
 
 # ------------------------------------------------------------------ C1 bank transactions
@@ -79,12 +99,12 @@ def _bank_and_cards(spark):
 def test_bank_transactions_split_and_order(spark):
     bank, cards = _bank_and_cards(spark)
     rows = search.bank_transactions(bank, cards, limit=5).collect()
-    assert [r.account_type for r in rows].count("bank") == 2     # floor(5/2)
-    assert [r.account_type for r in rows].count("card") == 3     # ceil(5/2)
-    dates = [r.date for r in rows]
+    every = search.bank_transactions(bank, cards, limit=None).collect()
+    assert len(every) == bank.count() + cards.count() and rows == every[:5]
+    dates = [r.date for r in every]
     assert dates == sorted(dates, reverse=True)
-    one = search.bank_transactions(bank, cards, limit=1).collect()
-    assert [r.account_type for r in one] == ["card"]             # bank side gets 0 of 1
+    few = search.bank_transactions(bank, cards.limit(1), limit=6).collect()
+    assert len(few) == 6                      # few card lines leave their room to the bank
     with pytest.raises(ValueError):
         search.bank_transactions(bank, cards, from_date="2024/01/01")
 
@@ -286,13 +306,17 @@ def test_statement_keys_hot_group_of_equal_lines(spark):
     assert keys1.select("id", "line_key").subtract(keys2.select("id", "line_key")).count() == 0
 
 
-@pytest.mark.parametrize("page", [1, 7, 40, 41])
-def test_deep_pages_equal_shallow_pages(spark, page):
-    df = spark.range(0, 1000).selectExpr("id % 37 AS g", "id", "concat('x', id % 11) AS s")
-    shallow, _ = paging.paginate(df, ["g", "s"], page=page, perpage=25)
-    deep, meta = paging.paginate(df, ["g", "s"], page=page, perpage=25, deep_threshold=0)
-    assert [tuple(r) for r in deep.collect()] == [tuple(r) for r in shallow.collect()]
-    assert meta.first().total == 1000
+def test_walking_by_key_equals_pages(spark):
+    df = spark.range(0, 130).selectExpr("id % 37 AS g", "id",
+                                        "CASE WHEN id % 5 > 0 THEN concat('x', id % 11) END AS s")
+    after = None
+    for page in (1, 2, 3):
+        rows, meta = paging.paginate(df, ["g", "s"], page=page, perpage=50)
+        walked = paging.next_page(df, ["g", "s"], after, 50).collect()
+        assert walked == rows.collect() and meta.first().total == 130
+        after = walked[-1].asDict()
+    assert paging.next_page(df, ["g", "s"], after, 50).count() == 0
+    assert paging.paginate(df, ["g"], perpage=1000)[0].count() == 130     # no silent bound
 
 
 def test_guarded_sql_formats(spark):
@@ -320,3 +344,27 @@ def test_replace_partitions_rewrites_only_touched_months(spark, scratch):
     LD.replace_partitions(spark, state.select("invoice_id", "total", "month"), target_path, ["month"])
     got = sorted(tuple(r) for r in spark.read.parquet(target_path).select("invoice_id", "total", "month").collect())
     assert got == [("i1", 10, "2024-01"), ("i2", 25, "2024-01"), ("i3", 30, "2024-02"), ("i4", 40, "2024-01")]
+
+
+def test_several_updates_of_one_invoice_all_count(spark):
+    inv = spark.createDataFrame(
+        [("u1", "1", "SENT", None, None, "d1", None)],
+        "invoice_id string, invoice_number string, status string, paid_date string, "
+        "payment_type string, description string, due_date date")
+    none = None
+    upd = spark.createDataFrame(
+        [(1, "1", "mark_as_paid", none, "2024-12-18", "pt", none),
+         (2, "1", "cancel_claim", none, none, none, none),
+         (3, "1", "update_draft", none, none, none, {"description": "new"}),
+         (4, "1", "update_draft", none, none, none, {"due_date": "2025-01-31"}),
+         (5, "1", "update_draft", none, none, none, {"due_date": "not a date"}),
+         (6, "1", "update_draft", none, none, none, {"colour": "red"})],
+        "seq int, invoice_ref string, mode string, status string, paid_date string, "
+        "payment_type string, draft_data map<string,string>")
+    state, res = WB.apply_invoice_updates(inv, upd, "NOW")
+    r = state.first()
+    assert (r.status, r.paid_date, r.payment_type, r.description, str(r.due_date)) == (
+        "PAID", "2024-12-18T12:00:00Z", "pt", "new", "2025-01-31")
+    assert r.claim_cancelled and not r.payment_extended
+    assert {x.seq: x.outcome for x in res.collect()} == {
+        1: "OK", 2: "OK", 3: "OK", 4: "OK", 5: "VALIDATION_ERROR", 6: "VALIDATION_ERROR"}

@@ -58,3 +58,21 @@ def test_statement_page_stream_skips_overlap(spark, scratch):
     rows = spark.read.parquet(scratch + "/stm")
     assert rows.count() == 4
     assert rows.where("id = 'a1'").count() == 1
+
+
+def test_overlapping_windows_in_one_batch(spark, scratch):
+    """The same line in two page files of one micro-batch is one row; equal lines of one file
+    stay apart."""
+    import json
+
+    from ledgerspark.streaming.api_pages import stream_statement_pages
+    pages = os.path.join(scratch, "pages")
+    line = {"id": "a1", "accountCode": "1000", "date": "2024-01-02", "description": "d",
+            "amount": 10, "entryId": "J1"}
+    for name, lines in (("one", [line, dict(line)]), ("two", [line, dict(line, amount=11)])):
+        fixtures.write(os.path.join(pages, f"page-{name}.json"),
+                       json.dumps({"page": 1, "pages": 1, "total": 2, "lines": lines}))
+    stream_statement_pages(spark, pages, scratch + "/s", scratch + "/c",
+                           created_default="x").awaitTermination()
+    got = [float(r.amount) for r in spark.read.parquet(scratch + "/s").collect()]
+    assert sorted(got) == [10.0, 10.0, 11.0]
