@@ -9,11 +9,14 @@ measured runtime size is below the threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import config_table
 from ..operators.search import UUID_RE
+from ..session import scratch_path
 
 
 # ---------------------------------------------------------------- D2, D3, D4 (used by views)
@@ -156,50 +159,74 @@ def default_account_group_rows() -> list[tuple]:
 
 # ---------------------------------------------------------------- D11 reconciliation
 
-def _nearest(left: DataFrame, right: DataFrame, tolerance_days: int, prefix: str) -> DataFrame:
-    """For every left row (id, amount, date) the nearest right row of equal amount within
-    ``tolerance_days`` (closest date, then lowest right id), as ``{prefix}_id``/``_diff``.
-
-    Plan: since ties go to the lowest id, only the lowest-id right row of each (amount, day)
-    can ever be chosen, so the right side is first reduced to one row per (amount, day) — a
-    partial aggregate, immune to hot amounts. Reduced rows are keyed by (amount, date bucket
-    of width W >= tolerance) and copied into their bucket and both neighbours; each left row
-    joins the rows of its (amount, bucket), i.e. at most 3W candidate *days* — a bound set
-    by the tolerance, not by how many rows share the amount — and keeps the best one. The
-    equi-join is an ordinary sort-merge join, so AQE's skew handling splits a hot
-    (amount, bucket) on the left side across tasks.
-    """
-    w = max(int(tolerance_days), 1)
-    day = lambda c: F.datediff(F.col(c), F.lit("1970-01-01").cast("date"))
-    reduced = right.groupBy("amount", "date").agg(F.min("id").alias("__rid"))
-    rb = reduced.select(F.col("amount").alias("__ramt"), F.col("date").alias("__rdate"), "__rid",
-                        F.explode(F.array(*[F.floor(day("date") / w) + k for k in (-1, 0, 1)]))
-                        .alias("__b"))
-    lb = left.select("id", "amount", "date", F.floor(day("date") / w).alias("__b"))
-    cand = lb.join(rb, (lb["amount"] == rb["__ramt"]) & (lb["__b"] == rb["__b"]), "inner")
-    gap = F.abs(F.datediff(F.col("__rdate"), F.col("date")))
-    cand = cand.where(gap <= tolerance_days).select(
-        "id", F.struct(gap.alias("g"), F.col("__rid").alias("i")).alias("__c"))
-    best = cand.groupBy("id").agg(F.min("__c").alias("__best"))
-    return best.select("id", F.col("__best.i").alias(f"{prefix}_id"),
-                       F.col("__best.g").alias(f"{prefix}_diff"))
+def _ranked(df: DataFrame, name: str) -> DataFrame:
+    """(amount, day, id, date, rank): 0-based rank by id within (amount, day). Rows are dealt by
+    range of (amount, day, id), so a day on which one amount occurs very often spreads over
+    partitions; ranks are row numbers within the partition plus the counts of earlier ones."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    (df.repartitionByRange("amount", "day", "id")
+       .withColumn("part", F.spark_partition_id()).write.parquet(path))
+    dealt = spark.read.parquet(path)
+    key = ["amount", "day", "part"]
+    earlier = Window.partitionBy("amount", "day").orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    before = dealt.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).select(
+        *key, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inner = Window.partitionBy(*key).orderBy("id")
+    return dealt.withColumn("rank", F.row_number().over(inner) - 1).join(before, key).select(
+        "amount", "day", "id", "date", (F.col("rank") + F.col("before")).alias("rank"))
 
 
 def reconcile_bank(bank: DataFrame, documents: DataFrame, tolerance_days: int = 3) -> DataFrame:
-    """One-to-one matches between bank lines and documents (invoices, expenses):
-    equal amount, |date difference| <= tolerance, each side's closest candidate (then lowest
-    id), kept when the choice is mutual. Inputs: (id, amount, date) on both sides.
+    """One-to-one matches between bank lines and documents (invoices, expenses) of equal
+    amount whose dates differ by at most ``tolerance_days``. Inputs: (id, amount, date).
+
+    Nearer days go first: lines and documents of the same amount and day are paired by the order
+    of their ids, then what is left with documents one day later, one day earlier, two days
+    later, and so on. So n equal payments and n equal invoices give n pairs.
+
+    How many rows each pass pairs follows from counts per (amount, day) alone. The passes run on
+    that small table as window functions over the days of an amount (bounded by the calendar);
+    rows then find their partner by an equi-join on (amount, day, rank).
 
     Result: (bank_id, document_id, amount, bank_date, document_date, days_apart).
     """
-    b = bank.select(F.col("id").cast("string").alias("id"), "amount", "date")
-    d = documents.select(F.col("id").cast("string").alias("id"), "amount", "date")
-    b_best = _nearest(b, d, tolerance_days, "doc")      # bank -> best document
-    d_best = _nearest(d, b, tolerance_days, "bank")     # document -> best bank line
-    pairs = b_best.join(d_best, (b_best["id"] == d_best["bank_id"]) & (b_best["doc_id"] == d_best["id"]))
-    pairs = pairs.select(b_best["id"].alias("bank_id"), b_best["doc_id"].alias("document_id"),
-                         b_best["doc_diff"].alias("days_apart"))
-    bi = b.select(F.col("id").alias("bank_id"), "amount", F.col("date").alias("bank_date"))
-    di = d.select(F.col("id").alias("document_id"), F.col("date").alias("document_date"))
-    return pairs.join(bi, "bank_id").join(di, "document_id").select(
+    def slim(df):
+        return df.select(F.col("id").cast("string").alias("id"), "amount", "date",
+                         F.datediff("date", F.lit("1970-01-01").cast("date")).alias("day")).where(
+            F.col("amount").isNotNull() & F.col("date").isNotNull())
+    b, d = slim(bank), slim(documents)
+    zero = F.lit(0).cast("long")
+    days = b.select("amount", "day", F.lit(1).alias("b"), F.lit(0).alias("d")).unionByName(
+        d.select("amount", "day", F.lit(0).alias("b"), F.lit(1).alias("d"))).groupBy(
+        "amount", "day").agg(F.sum("b").alias("b0"), F.sum("d").alias("d0"))
+    state = days.select("amount", "day", "b0", "d0", F.col("b0").alias("b"), F.col("d0").alias("d"),
+                        F.array().cast("array<struct<off:int,n:bigint,from_b:bigint,from_d:bigint>>")
+                        .alias("flows"))
+    by_day = Window.partitionBy("amount").orderBy("day")
+    for off in [0] + [s * k for k in range(1, int(tolerance_days) + 1) for s in (1, -1)]:
+        there, back = by_day.rangeBetween(off, off), by_day.rangeBetween(-off, -off)
+        step = state.withColumns({
+            "paired_b": F.least("b", F.coalesce(F.sum("d").over(there), zero)),
+            "paired_d": F.least("d", F.coalesce(F.sum("b").over(back), zero)),
+            "from_d": F.coalesce(F.sum(F.col("d0") - F.col("d")).over(there), zero)})
+        flow = F.array(F.struct(F.lit(off).alias("off"), F.col("paired_b").alias("n"),
+                                (F.col("b0") - F.col("b")).alias("from_b"), "from_d"))
+        state = step.select(
+            "amount", "day", "b0", "d0", (F.col("b") - F.col("paired_b")).alias("b"),
+            (F.col("d") - F.col("paired_d")).alias("d"),
+            F.when(F.col("paired_b") > 0, F.concat("flows", flow)).otherwise(F.col("flows"))
+            .alias("flows"))
+    flows = state.select("amount", "day", F.explode("flows").alias("f")).select(
+        "amount", "day", "f.off", "f.n", "f.from_b", "f.from_d")
+    left = _ranked(b, "bank").join(flows, ["amount", "day"]).where(
+        (F.col("rank") >= F.col("from_b")) & (F.col("rank") < F.col("from_b") + F.col("n"))).select(
+        F.col("id").alias("bank_id"), "amount", F.col("date").alias("bank_date"),
+        (F.col("day") + F.col("off")).alias("day"), F.abs("off").alias("days_apart"),
+        (F.col("rank") - F.col("from_b") + F.col("from_d")).alias("rank"))
+    right = _ranked(d, "documents").select(
+        F.col("id").alias("document_id"), "amount", F.col("date").alias("document_date"), "day",
+        "rank")
+    return left.join(right, ["amount", "day", "rank"]).select(
         "bank_id", "document_id", "amount", "bank_date", "document_date", "days_apart")

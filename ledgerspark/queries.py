@@ -1325,24 +1325,35 @@ def q_v_monthly_summary(spark, d):
     return MT.v_monthly_summary(_fm(spark, d))
 
 
-@register("reconcile_payments", """
-WITH b AS (SELECT payment_id AS id, amount, date FROM payments),
-dd AS (SELECT invoice_id AS id, total AS amount, due_date AS date FROM dim_invoices),
-cand AS (SELECT b.id AS bid, dd.id AS did, abs(date_diff('day', b.date, dd.date)) AS g
-         FROM b JOIN dd ON b.amount = dd.amount AND abs(date_diff('day', b.date, dd.date)) <= 15),
-bb AS (SELECT bid, did, g FROM (SELECT *, row_number() OVER (PARTITION BY bid ORDER BY g, did) AS rn FROM cand) x WHERE rn = 1),
-db AS (SELECT bid, did FROM (SELECT *, row_number() OVER (PARTITION BY did ORDER BY g, bid) AS rn FROM cand) x WHERE rn = 1)
-SELECT bb.bid AS bank_id, bb.did AS document_id, CAST(b.amount AS DOUBLE) AS amount,
-       CAST(b.date AS VARCHAR) AS bank_date, CAST(dd.date AS VARCHAR) AS document_date,
-       CAST(bb.g AS INTEGER) AS days_apart
-FROM bb JOIN db ON bb.bid = db.bid AND bb.did = db.did
-JOIN b ON b.id = bb.bid JOIN dd ON dd.id = bb.did""")
+def _reconcile_sql(tolerance: int) -> str:
+    """Row by row: each pass ranks what is left on both sides and joins equal ranks."""
+    ctes = ["b0 AS MATERIALIZED (SELECT payment_id AS id, amount, date FROM payments)",
+            "d0 AS MATERIALIZED (SELECT invoice_id AS id, total AS amount, due_date AS date "
+            "FROM dim_invoices)"]
+    offsets = [0] + [s * k for k in range(1, tolerance + 1) for s in (1, -1)]
+    for k, off in enumerate(offsets):
+        rank = "row_number() OVER (PARTITION BY amount, date ORDER BY id) AS r"
+        ctes += [f"""m{k} AS MATERIALIZED (
+  SELECT x.id AS bank_id, y.id AS document_id, x.amount, x.date AS bank_date,
+         y.date AS document_date, {abs(off)} AS days_apart
+  FROM (SELECT *, {rank} FROM b{k}) x JOIN (SELECT *, {rank} FROM d{k}) y
+    ON x.amount = y.amount AND y.date = x.date + {off} AND x.r = y.r)""",
+                 f"b{k + 1} AS MATERIALIZED (SELECT * FROM b{k} ANTI JOIN m{k} ON b{k}.id = bank_id)",
+                 f"d{k + 1} AS MATERIALIZED (SELECT * FROM d{k} ANTI JOIN m{k} ON d{k}.id = document_id)"]
+    body = " UNION ALL ".join(f"SELECT * FROM m{k}" for k in range(len(offsets)))
+    return f"""WITH {", ".join(ctes)}
+SELECT bank_id, document_id, CAST(amount AS DOUBLE) AS amount, CAST(bank_date AS VARCHAR) AS bank_date,
+       CAST(document_date AS VARCHAR) AS document_date, CAST(days_apart AS INTEGER) AS days_apart
+FROM ({body}) m"""
+
+
+@register("reconcile_payments", _reconcile_sql(3))
 def q_reconcile_payments(spark, d):
     pay = S.payments(spark, d).select(F.col("payment_id").alias("id"), "amount", "date")
     inv = S.dim_invoices(spark, d).select(F.col("invoice_id").alias("id"),
                                           F.col("total").alias("amount"),
                                           F.col("due_date").alias("date"))
-    return M.reconcile_bank(pay, inv, 15)
+    return M.reconcile_bank(pay, inv, 3)
 
 
 LATER = 1_000_000_000               # added to the sequence number of later updates

@@ -187,15 +187,24 @@ def test_update_account_meta(spark):
 # ------------------------------------------------------------------ D matching
 
 def _brute_reconcile(bank, docs, tol):
-    cand = [(b[0], d[0], abs((b[2] - d[2]).days)) for b in bank for d in docs
-            if b[1] == d[1] and abs((b[2] - d[2]).days) <= tol]
-    bb = {}
-    for bid, did, g in sorted(cand, key=lambda x: (x[0], x[2], x[1])):
-        bb.setdefault(bid, (did, g))
-    db = {}
-    for bid, did, g in sorted(cand, key=lambda x: (x[1], x[2], x[0])):
-        db.setdefault(did, bid)
-    return sorted((b, d, g) for b, (d, g) in bb.items() if db.get(d) == b)
+    """Pass by pass over the days, nearest first, pairing what is left in the order of ids."""
+    free_b, free_d, out = sorted(bank), sorted(docs), []
+    for off in [0] + [s * k for k in range(1, tol + 1) for s in (1, -1)]:
+        for b in list(free_b):
+            for d in free_d:
+                if d[1] == b[1] and (d[2] - b[2]).days == off:
+                    out.append((b[0], d[0], abs(off)))
+                    free_b.remove(b)
+                    free_d.remove(d)
+                    break
+    return sorted(out)
+
+
+def test_reconcile_pairs_equal_fees(spark):
+    rows = [(f"x{i}", Decimal("9.90"), dt.date(2024, 3, 1)) for i in range(3)]
+    df = spark.createDataFrame(rows, "id string, amount decimal(18,2), date date")
+    got = M.reconcile_bank(df, df, 3).collect()
+    assert sorted((r.bank_id, r.document_id) for r in got) == [(f"x{i}", f"x{i}") for i in range(3)]
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
