@@ -1347,13 +1347,13 @@ SELECT bank_id, document_id, CAST(amount AS DOUBLE) AS amount, CAST(bank_date AS
 FROM ({body}) m"""
 
 
-@register("reconcile_payments", _reconcile_sql(3))
+@register("reconcile_payments", _reconcile_sql(15))
 def q_reconcile_payments(spark, d):
     pay = S.payments(spark, d).select(F.col("payment_id").alias("id"), "amount", "date")
     inv = S.dim_invoices(spark, d).select(F.col("invoice_id").alias("id"),
                                           F.col("total").alias("amount"),
                                           F.col("due_date").alias("date"))
-    return M.reconcile_bank(pay, inv, 3)
+    return M.reconcile_bank(pay, inv, 15)
 
 
 LATER = 1_000_000_000               # added to the sequence number of later updates
