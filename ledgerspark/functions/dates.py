@@ -42,3 +42,16 @@ def paid_date_norm(x, now_iso: str) -> Column:
     return (F.when(s.isNull() | (F.trim(s) == ""), F.lit(now_iso))
             .when(s.rlike("^\\d{4}-\\d{2}-\\d{2}$"), F.concat(s, F.lit("T12:00:00Z")))
             .otherwise(s))
+
+
+def in_years(c: str | Column, first: int | str | None = None,
+             last: int | str | None = None) -> Column:
+    """Dates of the years ``first`` to ``last`` as a comparison with date bounds, which reaches
+    the Parquet scan (a filter on ``year(c)`` does not)."""
+    c = F.col(c) if isinstance(c, str) else c
+    cond = c.isNotNull()
+    if first is not None:
+        cond = cond & (c >= F.lit(f"{int(first):04d}-01-01").cast("date"))
+    if last is not None:
+        cond = cond & (c < F.lit(f"{int(last) + 1:04d}-01-01").cast("date"))
+    return cond

@@ -70,6 +70,9 @@ def insert_or_ignore(target: DataFrame | None, incoming: DataFrame, key_cols: li
         return batch
     keys = list(dict.fromkeys((partition_cols or []) + key_cols))
     existing = target.select(*keys)
+    if partition_cols:           # an anti-join prunes nothing: first cut the target to the
+        touched = batch.select(*partition_cols).distinct()           # partitions of the batch
+        existing = existing.join(touched, partition_cols, "left_semi")
     return batch.join(existing, keys, "left_anti")
 
 

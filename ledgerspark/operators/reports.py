@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.accounting import account_class
+from ..functions.dates import in_years
 from ..functions.keys import month_key, text_prefix_key
 from ..functions.money import CENTS, percent_change, whole_div
 from ..schemas import MONEY
@@ -237,13 +238,12 @@ def largest_transactions(lines: DataFrame, n: int = 5, after_year: int = 2020) -
            .limit(n).select(F.lit("inflow").alias("kind"), *cols))
     outs = (isk.where(F.col("amount") < 0).orderBy(F.col("amount").asc(), "account", "row_no")
             .limit(n).select(F.lit("outflow").alias("kind"), *cols))
-    return ins.unionByName(outs).where(F.year("date") > after_year)
+    return ins.unionByName(outs).where(in_years("date", after_year + 1))
 
 
 def isk_monthly_trend(lines: DataFrame, from_year: int = 2024) -> DataFrame:
     """ISK accounts, months of ``from_year`` onwards -> revenue (in), expenses (out), net."""
-    m = _monthly(lines).where((F.col("currency") == "ISK")
-                              & (F.substring("month", 1, 4).cast("int") >= from_year))
+    m = _monthly(lines.where((F.col("currency") == "ISK") & in_years("date", from_year)))
     g = m.groupBy("month").agg(F.sum("credits").alias("revenue"), F.sum("debits").alias("expenses"))
     return g.withColumn("net", F.col("revenue") - F.col("expenses"))
 
@@ -254,7 +254,7 @@ def account_balances(accounts: DataFrame, transactions: DataFrame, year: str | N
     """Σamount per known account (unknown codes ignored, accounts without rows -> 0)."""
     t = transactions
     if year is not None:
-        t = t.where(F.year("transaction_date") == int(year))
+        t = t.where(in_years("transaction_date", year, year))
     per = t.groupBy(F.col("account_code").alias("__code")).agg(F.sum("amount").alias("__sum"))
     a = accounts.select(F.col("account_number").alias("code"), F.col("account_name").alias("name"),
                         F.col("account_type").alias("type"),

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import month_key, quarter_key, year_key
+from ..functions.dates import in_years
+from ..functions.keys import month_key, quarter_key
 from ..functions.money import money_avg
 
 
@@ -46,7 +47,7 @@ def account_transactions(statements: DataFrame, account_code: str, date_from: st
 def top_expenses(statements: DataFrame, account_type: str, year: str, n: int) -> DataFrame:
     """Account name -> Σdebit for one type and year, largest n (ties by name)."""
     s = statements.where((F.col("account_type") == account_type)
-                         & (year_key("transaction_date") == year))
+                         & in_years("transaction_date", year, year))
     return (s.groupBy("account_name").agg(F.sum("debit").alias("total"))
              .orderBy(F.col("total").desc(), F.col("account_name").asc()).limit(n))
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import in_years
 from ..functions.keys import year_key
 
 
@@ -50,7 +51,7 @@ def date_range(df: DataFrame, date_col: str, by: list[str] | None = None,
     c = F.col(date_col)
     d = df.where(c.isNotNull())
     if min_year is not None:
-        d = d.where(F.year(c) > min_year)
+        d = d.where(in_years(c, min_year + 1))
     agg = [F.date_format(F.min(c), "yyyy-MM-dd").alias("min_date"),
            F.date_format(F.max(c), "yyyy-MM-dd").alias("max_date")]
     return d.groupBy(*by).agg(*agg) if by else d.agg(*agg)

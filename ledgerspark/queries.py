@@ -1237,8 +1237,8 @@ fm AS (
   GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10)"""
 
 
-def _fm(spark, d):
-    return MT.fact_month(_stm(spark, d), _acc(spark, d), _groups(spark))
+def _fm(spark, d, names=False):
+    return MT.fact_month(_stm(spark, d), _acc(spark, d), _groups(spark), names)
 
 
 @register("dim_account", f"""WITH {_DIM_ACCOUNT_SQL}
@@ -1257,7 +1257,7 @@ SELECT account_code, account_name, acct_type, acct_subtype, report_group, statem
        {D("SUM(CASE WHEN statement = 'BS' THEN report_amount ELSE 0 END)")} AS bs_total
 FROM fm GROUP BY 1, 2, 3, 4, 5, 6, 7""")
 def q_v_account_detail(spark, d):
-    return MT.v_account_detail(_fm(spark, d))
+    return MT.v_account_detail(_fm(spark, d, names=True))
 
 
 @register("v_pl_month", f"""WITH {_FM_SQL}
@@ -1282,7 +1282,7 @@ SELECT month, account_code, account_name, acct_type, {D("SUM(debit)")} AS total_
        {D("SUM(credit)")} AS total_credit, {D("SUM(debit - credit)")} AS net
 FROM fm GROUP BY 1, 2, 3, 4""")
 def q_v_trial_balance_month(spark, d):
-    return MT.v_trial_balance_month(_fm(spark, d))
+    return MT.v_trial_balance_month(_fm(spark, d, names=True))
 
 
 def _kpi_sum(groups):
