@@ -34,11 +34,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: lineage ends here, and values
-    such as row numbers are the same for every later reader, also after a lost executor."""
+    such as row numbers are the same for every later reader, also after a lost executor. ``rows``,
+    a bound of its row count, keeps small tables from being written in hundreds of files."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    if rows is not None:
+        df = df.coalesce(max(8, rows // 100_000))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

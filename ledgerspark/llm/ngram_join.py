@@ -36,6 +36,8 @@ that is not null.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -49,9 +51,9 @@ from .common import worker_cache
 common.by_value(__name__)
 
 CHUNK_BITS = 11                    # rows of a chunk: 2048
-RANGE_SHINGLES = 1 << 21           # shingles counted by one task of step 2
+RANGE_SHINGLES = 1 << 20           # shingles counted by one task of step 2
 RESIDUAL = 48                      # hash bits kept within a range
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 200_000
 ORDER_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 MIX1, MIX2 = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
 
@@ -75,9 +77,11 @@ def _shingles(texts: list[bytes], width: int) -> list[np.ndarray]:
         split = [t.lower().split() for t in texts[lo:lo + 256]]
         if len(cache) > CACHE_WORDS:
             cache.clear()
-        for w in set().union(*split) - cache.keys():
-            cache[w] = xxhash.xxh64_intdigest(w)
-        flat = np.fromiter((cache[w] for words in split for w in words), np.uint64)
+        for w in set().union(*split):
+            if w not in cache:
+                cache[w] = xxhash.xxh64_digest(w)
+        flat = np.frombuffer(b"".join(map(cache.__getitem__, chain.from_iterable(split))), ">u8")
+        flat = flat.astype(np.uint64)
         grams = _mix(flat)
         for j in range(1, width):
             grams = _mix(grams[:-1] * np.uint64(31) + flat[j:]) if len(flat) > j else grams[:0]
@@ -103,11 +107,14 @@ def _keys(rows: DataFrame, width: int) -> DataFrame:
     """row, doc_id, key (128 bits of the set), n."""
     def run(batches):
         for b in batches:
-            sets = _shingles(_texts(b.column(2)), width)
-            key = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(key, pa.binary()),
-                 pa.array([len(s) for s in sets], pa.int64())], names=["row", "doc_id", "key", "n"])
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                sets = _shingles(_texts(part.column(2)), width)
+                key = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(key, pa.binary()),
+                     pa.array([len(s) for s in sets], pa.int64())],
+                    names=["row", "doc_id", "key", "n"])
     return rows.mapInArrow(run, "row long, doc_id long, key binary, n long")
 
 
@@ -299,25 +306,28 @@ def _verify(pairs: DataFrame, profiles: DataFrame, percent: int, per_group: int
 
 # -- components ---------------------------------------------------------------------------------
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """node, comp (smallest node reachable) of every node of ``edges`` (a, b): large-star and
     small-star steps until nothing changes. Only minima are aggregated, no neighbour lists, so a
-    node of very many links does not gather in one task."""
+    node of very many links does not gather in one task. ``rows`` bounds the edges, if known."""
     edges = common.stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b")
-                                       .alias("b")).where("a <> b").distinct(), "edges")
-    state = None
+                                       .alias("b")).where("a <> b").distinct(), "edges", rows)
+    def summary(e):
+        return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+    state = summary(edges)
     while True:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(
             "a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"),
-                                                            F.col("m").alias("b")).distinct()
+                                                            F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b") \
             .union(least.select("a", F.col("m").alias("b"))).distinct()
-        edges = common.stored(small, "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        edges = common.stored(small, "edges", rows)
+        now = summary(edges)
         if now == state:
             break
         state = now
@@ -325,7 +335,7 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(heads)
 
 
-# -- the operator -------------------------------------------------------------------------------
+# -- candidates ---------------------------------------------------------------------------------
 
 def _filters(percent: int):
     """Size filter and positional filter for two postings x, y of one shingle."""
@@ -338,8 +348,12 @@ def _filters(percent: int):
     return column
 
 
-def links(profiles: DataFrame, percent: int = 75, rounds: int = 8) -> DataFrame:
-    """Step 4 and 5: components (node, comp) of the classes in ``profiles`` (a stored table)."""
+def links(profiles: DataFrame, percent: int = 75, rounds: int = 2,
+          per_posting: int = 50) -> DataFrame:
+    """Step 4 and 5: components (node, comp) of the classes in ``profiles`` (a stored table). After
+    ``rounds`` rounds of pivots, or when at most ``per_posting`` pairs a posting are open, an eighth
+    of the open pairs (drawn by hash) and then every pair that is still open is looked at; the
+    filters decide which are verified."""
     post = profiles.select("node", "n", F.posexplode("p0").alias("i", "t"), "unique").select(
         "t", "node", "n", (F.col("i") + F.col("unique")).alias("pos"))
     lists = post.groupBy("t").agg(F.count("*").alias("m")).where("m > 1").select("t")
@@ -350,24 +364,23 @@ def links(profiles: DataFrame, percent: int = 75, rounds: int = 8) -> DataFrame:
     size = post.count()
     comps = spark.createDataFrame([], "node long, comp long")
     edges, tested = spark.createDataFrame([], none), spark.createDataFrame([], none)
-    for k in range(rounds + 1):
+    k, stage = 0, "pivots"
+    while True:
         now = post.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        now = common.stored(now, "lists")
+        now = common.stored(now, "lists", size)
         per = now.groupBy("t", "comp").agg(F.count("*").cast("double").alias("m"))
         across = per.groupBy("t").agg((F.pow(F.sum("m"), F.lit(2)) - F.sum(F.col("m") * F.col("m")))
                                       .alias("x"), F.count("*").alias("comps")).where("comps > 1")
-        open_lists = common.stored(across, "open-lists")
+        open_lists = common.stored(across, "open-lists", size)
         left = open_lists.agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0] / 2
         if not left:
             break
-        last = k == rounds or left <= 4 * size + 1000
+        if stage == "some":
+            stage = "all"
+        elif k == rounds or (k and left <= per_posting * size):
+            stage = "some" if left > size else "all"
         x = now.join(open_lists.select("t"), "t", "left_semi")
-        if last:
-            pairs = x.alias("x").join(x.alias("y"), (F.col("x.t") == F.col("y.t"))
-                                      & (F.col("x.comp") < F.col("y.comp")) & passes("x", "y"))
-            pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-            pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        else:
+        if stage == "pivots":
             pivot = x.groupBy("t").agg(F.min_by(
                 F.struct("node", "n", "pos", "comp"),
                 F.struct(F.xxhash64("node", F.lit(k)) if k else F.col("node"), F.col("node")))
@@ -375,16 +388,23 @@ def links(profiles: DataFrame, percent: int = 75, rounds: int = 8) -> DataFrame:
             pairs = x.alias("x").join(pivot, "t").where(
                 (F.col("x.comp") != F.col("y.comp")) & passes("x", "y")).select(
                 F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+        else:
+            met = passes("x", "y") & (F.col("x.comp") < F.col("y.comp"))
+            if stage == "some":                       # one pair in eight contracts most links
+                met = met & (F.pmod(F.xxhash64("x.node", "y.node"), F.lit(8)) == 0)
+            pairs = x.alias("x").join(x.alias("y"), (F.col("x.t") == F.col("y.t")) & met)
+            pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+            pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         fresh = pairs.distinct().join(tested, ["a", "b"], "left_anti")
-        fresh = common.stored(fresh, "candidates")
-        new = common.stored(_verify(fresh, profiles, percent), "links")
-        if not last:
-            tested = tested.union(fresh).union(fresh.select("b", "a"))
+        fresh = common.stored(fresh, "candidates", size)
+        new = common.stored(_verify(fresh, profiles, percent), "links", size)
         if not new.isEmpty():
             edges = edges.union(new)
-            comps = common.stored(components(edges), "components")
-        if last:
+            comps = common.stored(components(edges, size), "components", size)
+        if stage == "all":
             break
+        tested = tested.union(fresh).union(fresh.select("b", "a"))
+        k += 1
     return comps
 
 
