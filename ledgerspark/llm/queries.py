@@ -28,6 +28,38 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+OP7_SQL = r"""
+WITH t AS (
+  SELECT kind, id, [x FOR x IN string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w
+  FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents
+        UNION ALL SELECT 'b', item_id, text FROM benchmark) u),
+windows AS (
+  SELECT DISTINCT id AS item_id, size, array_to_string(w[k:k + size - 1], ' ') AS g
+  FROM (SELECT id, w, least(len(w), 10) AS size,
+               unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k
+        FROM t WHERE kind = 'b' AND len(w) > 0) x),
+sizes AS (SELECT DISTINCT size FROM windows),
+grams AS (
+  SELECT id AS doc_id, size, k, array_to_string(w[k:k + size - 1], ' ') AS g
+  FROM (SELECT id, w, size, unnest(range(1, len(w) - size + 2)) AS k
+        FROM t, sizes WHERE kind = 'd' AND len(w) >= size) x),
+found AS (SELECT grams.doc_id, grams.size, k, item_id FROM grams JOIN windows
+          ON windows.size = grams.size AND windows.g = grams.g),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+         FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM found) x GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS listed
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) x GROUP BY doc_id)
+SELECT t.id AS doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM t LEFT JOIN hits ON hits.doc_id = t.id LEFT JOIN items ON items.doc_id = t.id
+WHERE kind = 'd'
+"""
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (common.table(spark, sf_dir, t) for t in ("documents", "labels"))
     return quality.classify(docs, labels).select(
@@ -93,6 +125,28 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k
+        FROM d WHERE len(w) > 0) x),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.shingle = b.shingle
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(common.table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -134,10 +188,10 @@ REGISTRY = {
     "op1_topk_search": (op1_topk_search, OP1_SQL),
     "op2_lm_scoring": (op2_lm_scoring, None),
     "op3_warc": (op3_warc, OP3_SQL),
-    "op4_ngram_jaccard_join": (op4_ngram_jaccard_join, None),
+    "op4_ngram_jaccard_join": (op4_ngram_jaccard_join, OP4_SQL),
     "op5_sharding": (op5_sharding, None),
     "op6_best_fit_packing": (op6_best_fit_packing, None),
-    "op7_decontamination": (op7_decontamination, None),
+    "op7_decontamination": (op7_decontamination, OP7_SQL),
     "op8_quality_classifier": (op8_quality_classifier, None),
     "op9_secret_scans": (op9_secret_scans, None),
     "op10_pii": (op10_pii, None),
