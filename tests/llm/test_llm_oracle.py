@@ -2,6 +2,7 @@ import math
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from ledgerspark.llm.queries import REGISTRY
@@ -11,7 +12,7 @@ TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
 
 
 def rows(pdf):
-    plain = [tuple(None if v is None or v != v else v for v in r)
+    plain = [tuple(None if pd.isna(v) else v for v in r)
              for r in pdf[sorted(pdf.columns)].itertuples(index=False, name=None)]
     return sorted(plain, key=repr)
 
