@@ -322,6 +322,13 @@ def year_over_year(accounts: DataFrame, transactions: DataFrame, y1: str, y2: st
                     percent_change("value_1", "value_2").alias("pct_change"))
 
 
+def accounts_of_type(accounts: DataFrame) -> DataFrame:
+    """The accounts themselves as flat rows (type, sub-type, number, name)."""
+    sub_type = F.coalesce(F.nullif(F.col("account_subtype"), F.lit("")), F.lit("Other"))
+    return accounts.select("account_type", sub_type.alias("sub_type"), "account_number",
+                           "account_name")
+
+
 def accounts_by_type(accounts: DataFrame) -> DataFrame:
     """Type x sub-type ('Other' when blank) -> number of accounts."""
     return accounts.groupBy(

@@ -151,11 +151,18 @@ def customer_get(customers: DataFrame, customer_id: str) -> DataFrame:
 
 
 def expense_search(expenses: DataFrame, date_from: str | None = None,
-                   date_to: str | None = None, query: str | None = None) -> DataFrame:
-    """Expenses in a date range, optionally matching ``query``."""
+                   date_to: str | None = None, query: str | None = None,
+                   include: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Expenses in a date range, optionally matching ``query``. ``include`` names details to
+    join flat (name -> rows with an ``expense_id``); their columns get the name as a prefix, and
+    expenses without such rows stay."""
     df = expenses.where(_date_range(F.col("date"), date_from, date_to))
     if query:
         df = df.where(contains_ci(["description", "creditor_id"], query))
+    for name, rows in (include or {}).items():
+        own = rows.select("expense_id", *[F.col(c).alias(f"{name}_{c}") for c in rows.columns
+                                          if c != "expense_id"])
+        df = df.join(own, "expense_id", "left")
     return df
 
 
@@ -206,6 +213,13 @@ def journal_entries(statements: DataFrame) -> DataFrame:
         F.sum("debit").alias("total_debit"), F.sum("credit").alias("total_credit"))
 
 
+def payment_types(types: DataFrame, query: str | None = None) -> DataFrame:
+    """The payment types (bank accounts), by title; optionally those matching ``query``."""
+    if query:
+        types = types.where(contains_ci(["title", "description"], query))
+    return types.orderBy("title", "id")
+
+
 def expense_accounts(accounts: DataFrame) -> DataFrame:
     """Expense accounts of the chart."""
     from ..functions.accounting import types_of

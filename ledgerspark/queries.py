@@ -1028,6 +1028,13 @@ def q_year_over_year(spark, d):
     return R.year_over_year(_acc(spark, d), _stm(spark, d), "1996", YEAR)
 
 
+@register("accounts_of_type", """
+SELECT account_type, COALESCE(NULLIF(account_subtype, ''), 'Other') AS sub_type, account_number,
+       account_name FROM dim_accounts""")
+def q_accounts_of_type(spark, d):
+    return R.accounts_of_type(_acc(spark, d))
+
+
 @register("accounts_by_type", """
 SELECT account_type, COALESCE(NULLIF(account_subtype, ''), 'Other') AS sub_type,
        COUNT(*) AS account_count FROM dim_accounts GROUP BY 1, 2""")

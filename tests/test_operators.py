@@ -377,3 +377,19 @@ def test_several_updates_of_one_invoice_all_count(spark):
     assert r.claim_cancelled and not r.payment_extended
     assert {x.seq: x.outcome for x in res.collect()} == {
         1: "OK", 2: "OK", 3: "OK", 4: "OK", 5: "VALIDATION_ERROR", 6: "VALIDATION_ERROR"}
+
+
+def test_payment_types_and_included_details(spark):
+    types = spark.createDataFrame([("p2", "Savings", "bank"), ("p1", "Main", "Bank of it")],
+                                  "id string, title string, description string")
+    assert [r.id for r in search.payment_types(types).collect()] == ["p1", "p2"]
+    assert [r.id for r in search.payment_types(types, "BANK OF").collect()] == ["p1"]
+    expenses = spark.createDataFrame([("e1", dt.date(2024, 1, 2), "d", "c"),
+                                      ("e2", dt.date(2024, 1, 3), "d", "c")],
+                                     "expense_id string, date date, description string, "
+                                     "creditor_id string")
+    lines = spark.createDataFrame([("e1", 1, "x"), ("e1", 2, "y")],
+                                  "expense_id string, line int, description string")
+    got = search.expense_search(expenses, include={"lines": lines}).orderBy("date", "lines_line")
+    assert [(r.expense_id, r.lines_line, r.lines_description) for r in got.collect()] == [
+        ("e1", 1, "x"), ("e1", 2, "y"), ("e2", None, None)]
