@@ -44,28 +44,64 @@ CACHED_LENGTH = 48               # longer words are not kept
 
 
 def _tokenizer(definition: str):
-    """The worker's tokenizer and word cache for this definition."""
+    """The worker's tokenizer, which of its ids end a unit, and its word cache."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     store = worker_cache("tokens").__dict__
     key = zlib.crc32(definition.encode())
     if key not in store:
         from tokenizers import Tokenizer
-        store[key] = (Tokenizer.from_str(definition), {})
+        tokenizer = Tokenizer.from_str(definition)
+        ends = np.zeros(tokenizer.get_vocab_size(), bool)
+        for token, i in tokenizer.get_vocab().items():
+            ends[i] = token.endswith("</w>")
+        store[key] = (tokenizer, ends, {})
     return store[key]
 
 
-def _encode(texts: list[bytes], tokenizer, cache: dict) -> list[bytes]:
+def _letters(word: bytes) -> bool:
+    """Whether a word is letters only, also in lower case: such a word is one unit of the
+    tokenizer, and exactly its last id ends a unit."""
+    text = word.decode()
+    return text.isalpha() and text.lower().isalpha()
+
+
+def _add_words(words: list[bytes], tokenizer, ends: np.ndarray, into: dict) -> None:
+    """Ids of each word. Words of letters are encoded together, which saves a call for each, and
+    parted again where a unit ends; a full stop or comma after a word is a unit of its own."""
+    parts = {w: (w[:-1], w[-1:]) if w[-1:] in b".," and len(w) > 1 and w[-2:-1].isalnum()
+             else (w,) for w in words}
+    units = list({p for ps in parts.values() for p in ps})
+    plain = [u for u in units if _letters(u)]
+    ids: dict[bytes, bytes] = {}
+    for lo in range(0, len(plain), 1000):
+        group = plain[lo:lo + 1000]
+        flat = np.array(tokenizer.encode(" ".join([u.decode() for u in group]),
+                                         add_special_tokens=False).ids, "<u4")
+        cuts = np.flatnonzero(ends[flat]) + 1
+        if len(cuts) == len(group):
+            at = 0
+            for u, cut in zip(group, cuts.tolist()):
+                ids[u] = flat[at:cut].tobytes()
+                at = cut
+    rest = [u for u in units if u not in ids]
+    for u, e in zip(rest, tokenizer.encode_batch_fast([u.decode() for u in rest],
+                                                      add_special_tokens=False)):
+        ids[u] = np.array(e.ids, "<u4").tobytes()
+    for w, ps in parts.items():
+        into[w] = ids[ps[0]] if len(ps) == 1 else ids[ps[0]] + ids[ps[1]]
+
+
+def _encode(texts: list[bytes], tokenizer, ends: np.ndarray, cache: dict) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers."""
     split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-    missing = list(set().union(*split) - cache.keys()) if split else []
+    missing = [w for w in set().union(*split) if w not in cache]
     if len(cache) + len(missing) > CACHE_WORDS:
         cache.clear()
         missing = list(set().union(*split))
     long: dict[bytes, bytes] = {}
     if missing:
-        got = tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-        for w, e in zip(missing, got):
-            (cache if len(w) <= CACHED_LENGTH else long)[w] = np.array(e.ids, "<u4").tobytes()
+        _add_words([w for w in missing if len(w) <= CACHED_LENGTH], tokenizer, ends, cache)
+        _add_words([w for w in missing if len(w) > CACHED_LENGTH], tokenizer, ends, long)
     if long:
         return [b"".join([long[w] if w in long else cache[w] for w in words]) for words in split]
     return [b"".join(map(cache.__getitem__, words)) for words in split]
@@ -77,12 +113,12 @@ def pieces(docs: DataFrame, definition: str, limit: int = 2048, end_id: int = 0)
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        tokenizer, cache = _tokenizer(definition)
+        tokenizer, ends, cache = _tokenizer(definition)
         for b in batches:
             ids, texts = b.column(0), b.column(1)
             for lo in range(0, b.num_rows, 500):
                 part = [t.as_py().encode() if t.is_valid else b"" for t in texts[lo:lo + 500]]
-                encoded = _encode(part, tokenizer, cache)
+                encoded = _encode(part, tokenizer, ends, cache)
                 out = []
                 for i, data in enumerate(encoded):
                     data += end
