@@ -111,6 +111,7 @@ def _keys(rows: DataFrame, width: int) -> DataFrame:
                 part = b.slice(lo, 1024)
                 sets = _shingles(_texts(part.column(2)), width)
                 key = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
+                pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(key, pa.binary()),
                      pa.array([len(s) for s in sets], pa.int64())],
@@ -152,6 +153,7 @@ def _blocks(rows: DataFrame, width: int, range_bits: int) -> DataFrame:
                         owners.append(np.full(len(s), owner, np.uint16))
                 if not values:
                     continue
+                pa.default_memory_pool().release_unused()
                 v, o = np.concatenate(values), np.concatenate(owners)
                 order = np.argsort(v, kind="stable")
                 v, o = v[order], o[order]
