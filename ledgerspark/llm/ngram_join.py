@@ -50,10 +50,10 @@ from .common import worker_cache
 
 common.by_value(__name__)
 
-CHUNK_BITS = 11                    # rows of a chunk: 2048
-RANGE_SHINGLES = 1 << 20           # shingles counted by one task of step 2
+CHUNK_BITS = 10                    # rows of a chunk: 1024
+RANGE_SHINGLES = 1 << 19           # shingles counted by one task of step 2
 RESIDUAL = 48                      # hash bits kept within a range
-CACHE_WORDS = 200_000
+CACHE_WORDS = 50_000
 ORDER_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 MIX1, MIX2 = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
 

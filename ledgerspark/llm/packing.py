@@ -39,7 +39,7 @@ from .common import worker_cache
 common.by_value(__name__)
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-CACHE_WORDS = 1_000_000          # entries before a worker's cache starts anew
+CACHE_WORDS = 400_000            # entries before a worker's cache starts anew
 CACHED_LENGTH = 48               # longer words are not kept
 
 
