@@ -23,7 +23,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates; documents without words all stay."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = common.stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     gone = ngram_join.near_duplicates(numbered, row="_row").where(~F.col("stays"))
     return numbered.join(gone.select(F.col("row").alias("_row")), "_row", "left_anti") \
         .select(*[f"`{c}`" for c in docs.columns])

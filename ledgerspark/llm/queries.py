@@ -94,10 +94,9 @@ def byte_bpe() -> lm_scoring.Tokenizer:
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents").select(
-        "doc_id", "text", F.monotonically_increasing_id().alias("_row"))
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     held = common.hash_mod("doc_id", 7) == 2
-    return lm_scoring.score_texts(docs, held, byte_bpe(), row="_row").select(
+    return lm_scoring.score_texts(docs, held, byte_bpe()).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -119,9 +118,8 @@ FROM g
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents").select(
-        "doc_id", "text", F.monotonically_increasing_id().alias("_row"))
-    return ngram_join.near_duplicates(docs, row="_row").select(
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.near_duplicates(docs).select(
         "doc_id", "n_shingles", "component_id")
 
 
