@@ -11,12 +11,13 @@ a block (Martello and Toth's dominance, Korf's bin completion):
 
 * incumbent: best-fit decreasing; the lower bound is ceil(tokens / limit);
 * if the bound is not met, depth-first search for one bin less: take the longest piece left, and
-  enumerate undominated fillings of the rest of its bin, fullest first. A single piece that fills
-  it exactly dominates all others and is the only branch; among single pieces only the longest
-  that fits is undominated, and pairs or triples must be fuller than it;
+  enumerate undominated fillings of the rest of its bin, of any number of pieces, full ones first.
+  A single piece that fills it exactly dominates all others and is the only branch; a filling is
+  dominated where a piece left would fit in, or in place of a shorter one. Lengths whose sums can't
+  fill the rest within the waste are not tried;
 * the target leaves a fixed waste; a node whose waste exceeds it is pruned, and its open remainder
   is finished by best fit, which may improve the incumbent;
-* after ``nodes`` nodes the incumbent stands.
+* after ``nodes`` nodes, or ``NODE_TRIES`` times as many tries in fillings, the incumbent stands.
 
 Defined results: null and empty texts are the end id alone; an empty table gives no rows; equal
 documents, repeated or null ids are documents of their own; further columns are ignored.
@@ -41,6 +42,7 @@ common.by_value(__name__)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 CACHE_WORDS = 400_000            # entries before a worker's cache starts anew
 CACHED_LENGTH = 48               # longer words are not kept
+NODE_TRIES = 50                  # tries in the enumeration of fillings for each node
 
 
 def _tokenizer(definition: str):
@@ -185,46 +187,67 @@ def best_fit(counts: dict[int, int], limit: int) -> list[list[int]]:
     return bins
 
 
-def _fillings(bag: _Bag, room: int, most_waste: int, width: int = 6) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` that waste at most ``most_waste``, fullest first."""
-    one = bag.best(room)
-    if not one:
-        return [()] if room <= most_waste else []
-    if one == room:
-        return [(one,)]
-    found = [(one, (one,))]
-    least = max(one, room - most_waste - 1)
-
-    def pairs(top: int, space: int, floor: int, tries: int) -> list[tuple[int, tuple]]:
-        """Pairs (a >= b) with a <= top and floor < a + b <= space."""
-        out, a = [], top
-        while a and 2 * a > floor and tries:
-            bag.take(a)
-            b = bag.best(min(a, space - a))
-            bag.put(a)
-            if b and a + b > floor:
-                out.append((a + b, (a, b)))
-                floor = a + b
-                if floor == space:
-                    break
-            a = bag.best(a - 1)
-            tries -= 1
-        return out
-
-    found += pairs(one, room, least, 400)
-    if max(found)[0] < room:
-        a, tries = one, 24
-        while a and 3 * a > least and tries:
-            bag.take(a)
-            rest = pairs(bag.best(min(a, room - a)), room - a, max(found)[0] - a, 48)
-            bag.put(a)
-            found += [(s + a, (a, *p)) for s, p in rest]
-            if max(found)[0] == room:
-                break
-            a = bag.best(a - 1)
-            tries -= 1
-    found = [f for f in sorted(found, reverse=True) if room - f[0] <= most_waste]
-    return [f[1] for f in found[:width]]
+def _reach(lengths, limit: int) -> dict[int, int]:
+    """For each length the sums up to ``limit`` (as bits) of any numbers of shorter lengths."""
+    out, sums, full = {}, 1, (2 << limit) - 1
+    for v in sorted(lengths):
+        out[v], step = sums, v
+        while step <= limit:                        # 1, 2, 4, ... copies more
+            sums |= (sums << step) & full
+            step *= 2
+    return out
+
+
+def _fillings(bag: _Bag, top: int, room: int, most_waste: int, reach: dict[int, int],
+              budget: list[int]):
+    """Undominated fillings, of any number of pieces, of the ``room`` beside ``top`` that waste at
+    most ``most_waste``: full ones first, then by classes of doubled waste. Each try is taken off
+    the budget. The bag has to be the same at each step of the generator."""
+    if bag.best(room) == room and room and bag.count[room] > (room == top):
+        yield (room,)                               # it dominates all others
+        return
+    used = {top: 1}
+
+    def spare(v: int) -> int:
+        return bag.count[v] - used.get(v, 0)
+
+    def dominated(waste: int) -> bool:
+        """Whether a piece left fits in, or fits in place of a shorter one."""
+        for x in (0, *used):
+            y = bag.best(min(x + waste, limit)) if waste else 0
+            while y > x:
+                if spare(y):
+                    return True
+                y = bag.best(y - 1)
+        return False
+
+    def fill(most: int, space: int, low: int, high: int):
+        """Fillings of ``space`` by lengths up to ``most`` that waste ``low`` to ``high``."""
+        v = bag.best(min(most, space))
+        if not v and low <= space <= high and not dominated(space):
+            yield tuple(x for x, n in used.items() for _ in range(n - (x == top)))
+        while v and budget[0] > 0:
+            held = used.get(v, 0)
+            for n in range(min(spare(v), space // v), -1 if v == top else 0, -1):
+                budget[0] -= 1
+                rest = space - n * v
+                least = max(0, rest - high)
+                wanted = rest - low - least + 1     # sums that leave a waste in bounds
+                if wanted > 0 and reach[v] >> least & ((1 << wanted) - 1):
+                    used[v] = held + n
+                    yield from fill(v - 1, rest, low, high)
+                    if held:
+                        used[v] = held
+                    else:
+                        del used[v]
+            if v == top:
+                return                              # n = 0 has tried all lengths below
+            v = bag.best(v - 1)
+
+    limit, low, high = top + room, 0, 0
+    while low <= min(most_waste, room) and budget[0] > 0:
+        yield from fill(top, room, low, min(high, most_waste))
+        low, high = high + 1, 2 * high + 1
 
 
 def bin_completion(counts: dict[int, int], limit: int, nodes: int = 60_000) -> list[list[int]]:
@@ -232,29 +255,29 @@ def bin_completion(counts: dict[int, int], limit: int, nodes: int = 60_000) -> l
     total = sum(v * c for v, c in counts.items())
     best = best_fit(counts, limit)
     bound = -(-total // limit)
-    while len(best) > bound and nodes > 0:
+    budget = [nodes * NODE_TRIES]
+    reach = _reach(counts, limit) if len(best) > bound else {}
+    while len(best) > bound and budget[0] > 0:
         allowed = (len(best) - 1) * limit - total
         bag, bins, waste, better = _Bag(counts), [], 0, None
         left = sum(counts.values())
-        stack: list[tuple[int, list]] = []          # (longest piece, fillings still to try)
+        stack: list[tuple] = []                     # (longest piece, its fillings)
         tried_tail = False
         while True:
-            nodes -= 1
+            budget[0] -= 1
             if not left:
                 better = [list(b) for b in bins]
                 break
             top = bag.best(limit)
-            bag.take(top)
-            options = _fillings(bag, limit - top, allowed - waste) if nodes > 0 else []
-            bag.put(top)
-            if not options and not tried_tail:      # finish this node by best fit
+            stack.append((top, _fillings(bag, top, limit - top, allowed - waste, reach, budget)))
+            option = next(stack[-1][1], None)
+            if option is None and not tried_tail:   # finish this node by best fit
                 tried_tail = True
                 tail = best_fit({v: c for v, c in bag.count.items() if c}, limit)
                 if len(bins) + len(tail) < len(best):
                     better = [list(b) for b in bins] + tail
                     break
-            stack.append((top, options))
-            while stack and not stack[-1][1]:       # nothing left here: undo the bin above
+            while option is None and stack:         # nothing left here: undo the bin above
                 stack.pop()
                 if stack:
                     last = bins.pop()
@@ -262,10 +285,10 @@ def bin_completion(counts: dict[int, int], limit: int, nodes: int = 60_000) -> l
                     left += len(last)
                     for v in last:
                         bag.put(v)
-            if not stack or nodes <= 0:
+                    option = next(stack[-1][1], None)
+            if option is None or budget[0] <= 0:
                 break
-            top, options = stack[-1]
-            own = (top, *options.pop(0))
+            own = (stack[-1][0], *option)
             for v in own:
                 bag.take(v)
             left -= len(own)

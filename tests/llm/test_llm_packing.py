@@ -80,3 +80,20 @@ def test_beats_best_fit_decreasing():
         for parts in combinations_with_replacement([3, 5, 6, 7, 9, 11], 7)
         for c in [{v: parts.count(v) for v in parts}])
     assert found
+
+
+@pytest.mark.parametrize("parts,copies", [([500, 450, 400, 380, 318], 1000),
+                                          ([600, 500, 400, 248, 180, 120], 60)])
+def test_full_bins_of_five_and_more_pieces(parts, copies):
+    assert sum(parts) == 2048
+    bins = packing.bin_completion({v: copies for v in parts}, 2048)
+    assert len(bins) == copies and all(sum(b) == 2048 for b in bins)
+    assert sorted(v for b in bins for v in b) == sorted(parts * copies)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 6), min_size=1, max_size=9))
+def test_short_pieces_take_the_fewest_bins(lengths):
+    bins = packing.bin_completion({v: lengths.count(v) for v in lengths}, 12)
+    assert sorted(v for b in bins for v in b) == sorted(lengths)
+    assert len(bins) == fewest(sorted(lengths, reverse=True), 12)
