@@ -1,9 +1,11 @@
 """Personal data: format-preserving pseudonyms (operator 10), DataFrame functions only.
 
-Found: e-mail addresses, phone numbers ``[+c ](ddd) ddd-dddd``, payment cards of 13 to 19 digits
-that satisfy the Luhn sum (plain, or sixteen digits in fours), social security numbers with valid
-area, group and serial, IPv4 addresses with octets up to 255, and valid ISO dates from 1800 to
-2199. Candidates that fail their validation stay as they are: a sixteen-digit number with a wrong
+Found: e-mail addresses, phone numbers (ten digits as 3-3-4, the first three also in brackets, with
+or without a country code; eight to fifteen digits after a plus, in any groups), payment cards of 13
+to 19 digits that satisfy the Luhn sum (plain, in fours, as 4-6-5 or 4-6-4), social security numbers
+with valid area, group and serial, IPv4 addresses with octets up to 255, and valid dates from 1800
+to 2199, year first or last (day before month where both readings are valid). Digits may be parted
+by blanks, dots or hyphens, those of dates by hyphens, dots or slashes; the marks are put back. Candidates that fail their validation stay as they are: a sixteen-digit number with a wrong
 check digit is not a card.
 
 Every validated value x of a finite domain 0..a*b-1 is replaced by an alternating Feistel network
@@ -11,7 +13,9 @@ over Z_a x Z_b: in round r one half gets F(key, kind, r, other half) added modul
 round is invertible, so the whole is a keyed permutation of exactly the values of that format; no
 cycle walking is needed. Equal values get equal pseudonyms in every document, and different values
 never meet. ``restore`` runs the rounds backwards. Cards permute all digits but the last and get a
-fresh check digit, phones keep their country code, dates map to dates of the same 400-year cycle.
+fresh check digit, phones keep their country code, dates map to dates of the same 400-year cycle. Dates with the year
+last are permuted among the valid dates of the same reading and the same widths of day and month
+(29 February among leap years), so that their pseudonym is read as they are.
 E-mail addresses are not numbers; their local part becomes a keyed hash, the domain stays.
 
 Defined results: null texts stay null with no finds, empty ones empty; every row comes back once
@@ -20,26 +24,53 @@ with all its columns; repeated rows get equal results; texts are processed whole
 
 from __future__ import annotations
 
+import calendar
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed formats. Possessive quantifiers and look-behinds keep matching linear in the text.
 EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}")
-PHONE = r"(?:(?<![0-9+])\+[0-9]{1,3} )?\([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9])"
-CARD = (r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4} [0-9]{4} [0-9]{4} [0-9]{4}"
-        r"|[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4})(?![0-9])")
+PHONE = (r"(?:(?<![0-9+])\+[0-9]{1,3}[ .-]?|(?<![0-9+])(?<![0-9][.-])1[ .-])?"
+         r"\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+         r"|(?<![0-9+])(?<![0-9][.-])(?:\+[0-9]{1,3}[ .-]|1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}"
+         r"(?![0-9])(?![.-][0-9])"
+         r"|(?<![0-9+])\+[0-9](?:(?:[ .-]| ?\(|\)[ .-]?)?[0-9]){7,14}(?![0-9])")
+CARD = (r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[ .-][0-9]{4}[ .-][0-9]{4}[ .-][0-9]{4}"
+        r"|[0-9]{4}[ .-][0-9]{6}[ .-][0-9]{4,5})(?![0-9])")
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 IPV4 = r"(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?!\.?[0-9])"
-DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
+DATE = (r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
+        r"|(?<![0-9])(?<![0-9][./-])(?:[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{4}\.[0-9]{2}\.[0-9]{2}"
+        r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}"
+        r"|[0-9]{1,2}-[0-9]{1,2}-[0-9]{4})(?![0-9])(?![./-][0-9])")
 ANY = "|".join([EMAIL, PHONE, CARD, SSN, IPV4, DATE])
 KINDS = ("email", "phone", "card", "ssn", "ipv4", "date")
-_START = {"email": "^[^@]+@", "phone": r"^(\+[0-9]{1,3} )?\(",
-          "card": "^([0-9]{13,19}$|[0-9]{4}([ -])[0-9]{4}\\2)", "ssn": "^[0-9]{3}-[0-9]{2}-",
-          "ipv4": r"^[0-9]{1,3}\.", "date": "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"}
+_WHOLE = {k: f"^(?:{p})$" for k, p in zip(KINDS, (EMAIL, PHONE, CARD, SSN, IPV4, DATE))}
 
 ROUNDS = 10
 CYCLE_DAYS = (189, 773)              # 189 * 773 = 146097 days of 400 Gregorian years
 SSN_AREAS, SSN_GROUPS, SSN_SERIALS = 898, 99, 9999
+YEARS = range(1800, 2200)
+LEAP = [y for y in YEARS if y % 4 == 0 and (y % 100 or y % 400 == 0)]
+
+
+def _written_days() -> list[list[str]]:
+    """Day and month as written before the year, "3/12", in classes of one reading and the same
+    widths. Pairs that can be read day first are; 29 February is in classes of its own."""
+    classes: dict[tuple, list[str]] = {}
+    for first in (*range(1, 32), *(f"{k:02}" for k in range(1, 10))):
+        for second in (*range(1, 32), *(f"{k:02}" for k in range(1, 10))):
+            a, b = str(first), str(second)
+            x, y = int(a), int(b)
+            day, month = (x, y) if y <= 12 else (y, x)
+            if month <= 12 and day <= calendar.monthrange(2000, month)[1]:
+                leap = (day, month) == (29, 2)
+                classes.setdefault((leap, y <= 12, len(a), len(b)), []).append(f"{a}/{b}")
+    return [classes[k] for k in sorted(classes)]        # leap days last
+
+
+WRITTEN = _written_days()
 
 
 def _long(c: Column) -> Column:
@@ -51,6 +82,11 @@ def _div(x: Column, y: Column) -> Column:
     return F.call_function("div", x, y)
 
 
+def _let(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _power10(n: Column) -> Column:
     """10^n as a long, exact for n up to 18."""
     return _long(F.rpad(F.lit("1"), _int(n + 1), "0"))
@@ -116,18 +152,24 @@ def _card(m: Column, key: str, back: bool) -> Column:
     d = _digits(m)
     n = F.length(d)
     body = _permute_digits(F.substring(d, F.lit(1), n - 1), key, "card", back)
-    full = F.concat(body, F.pmod(10 - _luhn_sum(body, True) % 10, F.lit(10)).cast("string"))
-    sep = F.substring(m, 5, 1)
-    fours = F.call_function("concat_ws", sep, *[F.substring(full, i, 4) for i in (1, 5, 9, 13)])
-    return F.when(F.length(m) > n, fours).otherwise(full)
+    return _put(m, _let(body, lambda x: F.concat(
+        x, F.pmod(10 - _luhn_sum(x, True) % 10, F.lit(10)).cast("string"))))
+
+
+def _put(m: Column, digits: Column) -> Column:
+    """``m`` with its digits replaced in turn, marks between them in their places."""
+    def put(d):
+        return F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(
+            c.rlike("[0-9]"), F.substring(d, F.length(_digits(F.substring(m, F.lit(1), i + 1))),
+                                          F.lit(1))).otherwise(c)), "")
+    return _let(digits, put)
 
 
 def _phone(m: Column, key: str, back: bool) -> Column:
-    code = F.regexp_extract(m, r"^(\+[0-9]{1,3} )?", 0)
-    d = F.substring(_digits(m), -10, 10)
-    d = _permute_digits(d, key, "phone", back)
-    return F.concat(code, F.lit("("), F.substring(d, 1, 3), F.lit(") "), F.substring(d, 4, 3),
-                    F.lit("-"), F.substring(d, 7, 4))
+    # the country code is what stands before the first mark; unbroken numbers keep a digit
+    code = F.regexp_extract(m, r"^(\+[0-9]{1,3}(?=[ .(-])|\+[0-9]|1[ .-])?", 0)
+    rest = F.substring(m, F.length(code) + 1, F.length(m))
+    return F.concat(code, _put(rest, _permute_digits(_digits(rest), key, "phone", back)))
 
 
 def _ssn_parts(m: Column) -> tuple[Column, Column, Column]:
@@ -173,19 +215,70 @@ def _ipv4(m: Column, key: str, back: bool) -> Column:
 
 
 def _date(m: Column) -> Column:
-    """The date, or null where it is not one of the 400-year cycle."""
-    return F.when(m.between("1800-01-01", "2199-12-31"), m.try_cast("date"))
+    """The date written year first, or null where it is not one of the 400-year cycle."""
+    iso = F.translate(m, "./", "--")
+    return F.when(iso.between("1800-01-01", "2199-12-31"), iso.try_cast("date"))
+
+
+def _written(m: Column) -> Column:
+    """Of a date with the year last: place (from 0) of its day and month among all ``WRITTEN``, -1
+    if there is none."""
+    every = F.split(F.lit(",".join(t for c in WRITTEN for t in c)), ",")
+    pair = F.substring(F.translate(m, ".-", "//"), F.lit(1), F.length(m) - 5)
+    return _long(F.array_position(every, pair)) - 1
+
+
+def _class(place: Column) -> Column:
+    """The class of a place: its first place, its size, and whether it holds leap days."""
+    out, at = None, 0
+    for c in WRITTEN:
+        own = F.struct(F.lit(at).cast("bigint").alias("first"), F.lit(len(c)).cast("bigint")
+                       .alias("size"), F.lit(c[0].replace("0", "") in ("29/2", "2/29")).alias("leap"))
+        out = own if out is None else F.when(place >= at, own).otherwise(out)
+        at += len(c)
+    return out
+
+
+def _year_last(m: Column) -> Column:
+    return m.rlike("[0-9]{4}$")
 
 
 def _date_valid(m: Column) -> Column:
-    return _date(m).isNotNull()
+    year = F.substring(m, -4, 4).try_cast("int")
+    late = _let(_written(m), lambda p: (p >= 0) & year.between(YEARS[0], YEARS[-1])
+                & (~_class(p)["leap"] | year.isin(LEAP)))
+    return F.when(_year_last(m), late).otherwise(_date(m).isNotNull())
 
 
 def _date_out(m: Column, key: str, back: bool) -> Column:
     date, origin = _date(m), F.expr("date'1800-01-01'")
     a, b = (_long(F.lit(v)) for v in CYCLE_DAYS)
     y = feistel(_long(F.datediff(date, origin)), a, b, key, "date", back)
-    return F.date_format(F.date_add(origin, _int(y)), "yyyy-MM-dd")
+    iso = F.date_format(F.date_add(origin, _int(y)), "yyyy-MM-dd")
+    return F.when(_year_last(m), _written_out(m, key, back)).otherwise(_put(
+        m, _digits(iso)))
+
+
+def _written_out(m: Column, key: str, back: bool) -> Column:
+    year = F.substring(m, -4, 4).try_cast("bigint")
+    leaps = F.array(*[F.lit(y).cast("bigint") for y in LEAP])
+    every = F.split(F.lit(",".join(t for c in WRITTEN for t in c)), ",")
+
+    def of_place(place):
+        return _let(_class(place), lambda c: of_class(place, c))
+
+    def of_class(place, c):
+        years = _long(F.when(c["leap"], len(LEAP)).otherwise(len(YEARS)))
+        number = F.when(c["leap"], F.array_position(leaps, year) - 1).otherwise(year - YEARS[0])
+        y = feistel((place - c["first"]) * years + number, c["size"], years, key, "date-written",
+                    back)
+        return _let(y, lambda y: digits(c, _int(_div(y, years)), _int(F.pmod(y, years))))
+
+    def digits(c, pair, number):
+        new = F.when(c["leap"], F.get(leaps, number)).otherwise(number + YEARS[0])
+        return F.concat(_digits(F.get(every, _int(c["first"]) + pair)), new.cast("string"))
+
+    return _put(m, _let(_written(m), of_place))
 
 
 def _email(m: Column, key: str) -> Column:
@@ -202,7 +295,7 @@ def kind_of(m: Column) -> Column:
     out = F.lit(None).cast("string")
     for kind in reversed(KINDS):
         own = F.when(_VALID[kind](m), F.lit(kind))
-        out = F.when(m.rlike(_START[kind]), own).otherwise(out)
+        out = F.when(m.rlike(_WHOLE[kind]), own).otherwise(out)
     return out
 
 

@@ -64,3 +64,42 @@ def test_feistel_is_a_permutation(spark):
 def test_no_rows_and_column_order(spark):
     out = pii.pseudonymise(frame(spark, []), "k")
     assert out.count() == 0 and out.columns == frame(spark, []).columns
+
+
+NOTATIONS = {
+    "phone": ["555-123-4567", "555.123.4567", "(555)123-4567", "(555) 123-4567", "+1 555 123 4567",
+              "1-555-123-4567", "+44 20 7946 0958", "+442079460958", "+49 (30) 901820-0"],
+    "card": ["3782-822463-10005", "3782 822463 10005", "378282246310005", "4418.4525.2484.2581",
+             "3056-930902-5904"],
+    "date": ["03/12/1987", "3.12.1987", "12/25/1987", "25-12-1987", "29.02.2000", "2/29/1996",
+             "1987/12/03", "1987.12.03", "31.1.1999", "9/9/1999"]}
+
+
+def test_other_notations(spark):
+    def shape(v):
+        return "".join("d" if c.isdigit() else c for c in v)
+    given = [(k, v) for k, own in NOTATIONS.items() for v in own]
+    texts = [f"call {v}, then go. 5 x" for _, v in given] + [
+        "31.02.1999 29.02.1999 13/13/1999 00.1.2000 1.2.1700 3782-822463-10006"]
+    rows = run(spark, texts)
+    for (kind, value), r in zip(given, rows):
+        assert [(x["kind"], x["value"]) for x in r["found"]] == [(kind, value)], value
+        new = r["found"][0]["pseudonym"]
+        assert value not in r["text"] and shape(new) == shape(value)
+        assert r["text"] == f"call {new}, then go. 5 x"
+        assert kind != "card" or luhn(new)
+    assert not rows[-1]["found"] and rows[-1]["text"] == texts[-1]
+    back = [r["text"] for r in run(spark, [r["text"] for r in rows], back=True)]
+    assert back == texts
+    # one number has one pseudonym in all its notations
+    ten = {"".join(c for c in r["found"][0]["pseudonym"] if c.isdigit())[-10:] for r in rows[:6]}
+    assert len(ten) == 1
+
+
+def test_written_dates_are_permuted_among_valid_ones(spark):
+    days = [f"{d:02}/{m:02}/{y}" for y in (1999, 2000) for m in range(1, 13) for d in range(1, 32)]
+    rows = run(spark, [" ; ".join(days)])
+    found = {x["value"]: x["pseudonym"] for x in rows[0]["found"]}
+    assert len(found) == 731 == len(set(found.values()))
+    for v in found.values():
+        datetime.datetime.strptime(v, "%d/%m/%Y")
