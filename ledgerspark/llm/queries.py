@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (common, decontaminate, lm_scoring, ngram_join, packing, pii, quality,
-               secret_scan, sharding, topk_search, warc)
+from . import (chat_format, common, decontaminate, filter_audit, lm_scoring, ngram_join, packing,
+               pii, prefix_trie, quality, secret_scan, sharding, topk_search, warc)
 
 
 def word_bpe() -> str:
@@ -176,6 +176,176 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", *[n(k).alias(f"n_{k}") for k in pii.KINDS])
 
 
+#: Both turns of the conversation that the formatting contract adds as number -7.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = common.table(spark, sf_dir, "conversations") \
+        .select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+                                  "conv_id long, turn long, role string, text string")
+    formatted = chat_format.format_conversations(conversations.unionByName(added))
+    read = formatted.select(
+        "conv_id", chat_format.let(chat_format.turns_of(F.col("formatted")), lambda t: F.struct(
+            F.size(t).cast("long").alias("n_turns"),
+            F.sha2(F.array_join(F.transform(t, lambda x: F.concat(
+                x["role"], F.lit("\n"), x["text"], F.lit("\n"))), ""), 256).alias("turns_sha256")))
+        .alias("turns"),
+        chat_format.let(F.array_join(chat_format.loss_texts(
+            F.col("formatted"), F.col("loss_spans")), ""), lambda t: F.struct(
+                F.length(t).cast("long").alias("loss_chars"),
+                F.sha2(t, 256).alias("loss_sha256"))).alias("loss"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
+    return read.select("conv_id", "turns.*", "loss.*", "formatted_chars")
+
+
+OP11_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+o AS (
+  SELECT *, row_number() OVER w AS i, lag(role) OVER w AS before,
+         length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g')) AS role_chars,
+         length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')) AS text_chars
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT)
+         AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (WHERE role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(text_chars + CASE WHEN before = role THEN length('<|more|>')
+                ELSE role_chars + length('<|turn|><|text|><|end|>') + 1 END) AS BIGINT)
+         AS formatted_chars
+FROM o GROUP BY conv_id
+"""
+
+
+def rebuilt_conversations(sequences: DataFrame, block: int = 100, longest: int = 6) -> DataFrame:
+    """The conversations of the trie contract: each takes its first h turns from the first
+    conversation of its block of ids and goes on with its own, h below ``longest`` by its id."""
+    turns, seq = prefix_trie.turns, F.col("seq")
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % longest
+    first = sequences.where(F.col("conv_id") % block == 0).select(
+        F.col("conv_id").alias("block"), turns(seq, 0, longest - 1).alias("shared"))
+    both = sequences.withColumn("block", F.col("conv_id") - F.col("conv_id") % block) \
+        .join(first, "block", "left")
+    return both.select("conv_id", F.concat(
+        turns(F.coalesce("shared", F.expr("X''")), 0, h), turns(seq, h)).alias("seq"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = common.table(spark, sf_dir, "conversations")
+    return prefix_trie.trie(rebuilt_conversations(prefix_trie.sequences(conversations)))
+
+
+# The CRC-32 of the ids is folded over their digits with the usual table, built by the first CTE.
+OP12_SQL = r"""
+WITH RECURSIVE crc_steps(i, k, v) AS (
+  SELECT CAST(i AS BIGINT), 0, CAST(i AS BIGINT) FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END
+  FROM crc_steps WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY i) AS crc FROM crc_steps WHERE k = 8),
+own AS (
+  SELECT conv_id, list(t ORDER BY turn NULLS FIRST) AS w
+  FROM (SELECT conv_id, turn, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t
+        FROM conversations WHERE conv_id IS NOT NULL) x GROUP BY conv_id),
+cut AS (
+  SELECT conv_id, w, xor(list_reduce(
+           list_concat([CAST(4294967295 AS BIGINT)],
+                       [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')]),
+           lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM own, crc_table),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.w, [])[1:c.h], c.w[c.h + 1:]) AS w
+  FROM cut c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+prefixes AS (
+  SELECT conv_id, len(w) AS size, d AS depth, w[1:d] AS p,
+         CASE WHEN d > 0 THEN length(w[d].text) ELSE 0 END AS chars
+  FROM (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS d FROM rebuilt) x),
+nodes AS (
+  SELECT depth, p, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                         FILTER (WHERE size = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, p),
+member AS (SELECT x.conv_id, x.depth, n.conv_id AS node
+           FROM prefixes x JOIN nodes n ON n.depth = x.depth AND n.p = x.p),
+children AS (SELECT m.node, m.depth, count(*) AS n_children
+             FROM nodes n JOIN member m ON m.conv_id = n.conv_id AND m.depth = n.depth - 1
+             GROUP BY m.node, m.depth),
+below AS (
+  SELECT m.node, m.depth, sum((n.n_convs - 1) * n.chars) AS saved_tokens,
+         count(*) FILTER (WHERE c.node IS NULL) AS n_leaves
+  FROM nodes n JOIN member m ON m.conv_id = n.conv_id AND m.depth <= n.depth
+  LEFT JOIN children c ON c.node = n.conv_id AND c.depth = n.depth GROUP BY m.node, m.depth)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, m.node AS parent_conv_id, n.n_convs,
+       coalesce(c.n_children, 0) AS n_children, b.n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.node = n.conv_id AND b.depth = n.depth
+LEFT JOIN children c ON c.node = n.conv_id AND c.depth = n.depth
+LEFT JOIN member m ON m.conv_id = n.conv_id AND m.depth = n.depth - 1
+"""
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (common.table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return filter_audit.audit_documents(docs, labels)
+
+
+OP13_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         [x FOR x IN string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS words
+  FROM documents),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+          FROM labels GROUP BY doc_id),
+d AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         {'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+          'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+          'D': regexp_matches(text, '[#$%&*|]'),
+          'E': coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY text), false)} AS f
+  FROM w LEFT JOIN marks ON marks.doc_id = w.doc_id),
+bits AS (
+  SELECT part, good, toxic,
+         list_concat([x FOR x IN ['A'] IF f.A], [x FOR x IN ['B'] IF f.B],
+                     [x FOR x IN ['C'] IF f.C], [x FOR x IN ['D'] IF f.D],
+                     [x FOR x IN ['E'] IF f.E]) AS failing
+  FROM d),
+counts AS (SELECT part, good, toxic, failing, count(*) AS n FROM bits GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, step, filter_order[step] AS letter
+          FROM orders, (SELECT unnest(range(1, 6)) AS step) s),
+gone AS (
+  SELECT c.*, filter_order,
+         coalesce(list_min([strpos(filter_order, x) FOR x IN failing]), 6) AS removed_at
+  FROM counts c, orders),
+rows AS (
+  SELECT part, g.filter_order, step, letter,
+         sum(n) FILTER (WHERE removed_at > step) AS kept, sum(n) FILTER (WHERE removed_at = step) AS removed,
+         sum(n) FILTER (WHERE removed_at < step AND list_contains(failing, letter)) AS redundant,
+         sum(n) FILTER (WHERE failing = [letter]) AS unique_fails,
+         sum(n) FILTER (WHERE removed_at = step AND good) AS good_lost,
+         sum(n) FILTER (WHERE removed_at = step AND toxic) AS toxic_lost
+  FROM gone g JOIN steps s ON s.filter_order = g.filter_order
+  GROUP BY part, g.filter_order, step, letter)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, letter), 0) AS BIGINT) AS shapley
+FROM rows
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline                       # it imports this package's operators
     return corpus_pipeline.run(spark, sf_dir)
@@ -193,4 +363,7 @@ REGISTRY = {
     "op8_quality_classifier": (op8_quality_classifier, None),
     "op9_secret_scans": (op9_secret_scans, None),
     "op10_pii": (op10_pii, None),
+    "op11_chat_formatting": (op11_chat_formatting, OP11_SQL),
+    "op12_prefix_trie": (op12_prefix_trie, OP12_SQL),
+    "op13_filter_audit": (op13_filter_audit, OP13_SQL),
 }

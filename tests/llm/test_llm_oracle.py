@@ -8,7 +8,7 @@ import pytest
 from ledgerspark.llm.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def rows(pdf):
