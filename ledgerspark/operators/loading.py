@@ -120,23 +120,68 @@ def append_rows(rows: DataFrame, target_path: str, partition_cols: list[str] | N
     (w.partitionBy(*partition_cols) if partition_cols else w).parquet(target_path)
 
 
+def _line_group(batch: DataFrame) -> Column:
+    """Digest of what makes two statement lines equal: the source key columns and the id."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*STATEMENT_KEY, "id"]]
+    return F.sha2(F.to_json(F.array(*parts)), 256)
+
+
+def _numbered_by_page(b: DataFrame, group: list[str], earlier: DataFrame | None) -> DataFrame:
+    """``b`` with ``__n``: the number of a line among the equal lines of its load window, over all
+    its pages. Lines are numbered within their page and the counts of earlier pages are added, so
+    a group of equal lines is never larger in one task than a page holds.
+
+    ``earlier``: counts (load_window, line_group, n) of pages that came before this batch."""
+    file = ["line_group", "source_file"]                 # a page is a file
+    b = b.withColumn("__in_page", F.row_number().over(
+        Window.partitionBy(*file).orderBy("page_pos")))
+    before = Window.partitionBy(*group).orderBy("page", "source_file").rowsBetween(
+        Window.unboundedPreceding, -1)
+    counts = page_counts(b).select(
+        *file, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    out = b.join(counts, file)
+    n = F.col("__in_page") + F.col("__before")
+    if earlier is not None:
+        out = out.join(earlier.select(*group, F.col("n").alias("__earlier")), group, "left")
+        n = n + F.coalesce("__earlier", F.lit(0))
+    return out.withColumn("__n", n).drop("__in_page", "__before", "__earlier")
+
+
+def page_counts(batch: DataFrame) -> DataFrame:
+    """Counts (line_group, source_file, load_window, page, n) of the equal lines of each page."""
+    if "line_group" not in batch.columns:
+        batch = batch.withColumn("line_group", _line_group(batch))
+    return batch.groupBy("line_group", "source_file").agg(
+        F.first("load_window").alias("load_window"), F.first("page").alias("page"),
+        F.count("*").alias("n"))
+
+
 def statement_keys(batch: DataFrame, order_cols: list[str | Column] | None = None,
-                   window_cols: list[str] | None = None) -> DataFrame:
+                   window_cols: list[str] | None = None,
+                   earlier: DataFrame | None = None) -> DataFrame:
     """The statement business key: the source key columns plus the
-    occurrence of equal lines within one load window; ``line_key`` is its sha1. Equal lines are
-    split 16 ways by the first hex digit of sha1(id) before numbering (see
-    ``with_occurrence``).
-
-    ``window_cols`` tell the load windows of a batch apart (``source_file`` where the batch has
-    it): lines are numbered within their window, so a line that two overlapping windows deliver
-    gets the same key twice, and the caller keeps one."""
-    order_cols = order_cols or ["id"]
+    number of a line among the equal lines (with the same id, or all without one) of its load
+    window; ``line_key`` is its sha1.
+
+    ``window_cols`` tell the load windows of a batch apart (``load_window`` or ``source_file``
+    where the batch has one): lines are numbered within their window, so a line that two
+    overlapping windows deliver gets the same key twice, and the caller keeps one. Where the batch
+    knows page numbers, lines are numbered over all pages of a window; ``earlier`` has the counts
+    of pages that came in earlier batches (``page_windows``). The order of the pages only decides
+    which of several equal lines gets which number, never how many there are."""
     if window_cols is None:
-        window_cols = [c for c in ("source_file",) if c in batch.columns]
-    salt = F.substring(F.sha1(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 1)
-    b = with_occurrence(batch, STATEMENT_KEY + window_cols, order_cols, salt=salt)
+        window_cols = [c for c in ("load_window", "source_file") if c in batch.columns][:1]
+    b = batch.withColumn("line_group", _line_group(batch))
+    group = ["line_group", *window_cols]
+    if {"page", "page_pos", "source_file"} <= set(batch.columns):
+        b = _numbered_by_page(b, group, earlier)
+    else:
+        b = b.withColumn("__n", F.row_number().over(
+            Window.partitionBy(*group).orderBy(*_cols(order_cols or ["id"]))))
+    of_id = F.substring(F.sha1(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 16)
+    b = b.withColumn("occurrence_no", F.concat(of_id, F.lit("-"), F.col("__n").cast("string")))
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in STATEMENT_KEY + ["occurrence_no"]]
-    return b.withColumn("line_key", F.sha1(F.concat_ws("|", *parts)))
+    return b.withColumn("line_key", F.sha1(F.concat_ws("|", *parts))).drop("line_group", "__n")
 
 
 def update_account_meta(accounts: DataFrame, meta: DataFrame) -> DataFrame:

@@ -1049,10 +1049,9 @@ from .plans import marts as MT  # noqa: E402
 from .sources import dims as DM  # noqa: E402
 
 _STM_KEYED = """
-  SELECT *, substr(sha1(COALESCE(id, '')), 1, 1) || '-' || CAST(row_number() OVER (
+  SELECT *, substr(sha1(COALESCE(id, '')), 1, 16) || '-' || CAST(row_number() OVER (
               PARTITION BY account_code, transaction_date, journal_id, journal_number, amount,
-                           description, substr(sha1(COALESCE(id, '')), 1, 1) ORDER BY id) AS VARCHAR)
-            AS occurrence_no
+                           description, COALESCE(id, '') ORDER BY id) AS VARCHAR) AS occurrence_no
   FROM silver_account_statements WHERE {cond}"""
 _LINE_KEY = ("sha1(concat_ws('|', COALESCE(account_code, ''), COALESCE(CAST(transaction_date AS VARCHAR), ''), "
              "COALESCE(journal_id, ''), COALESCE(journal_number, ''), COALESCE(CAST(amount AS VARCHAR), ''), "

@@ -9,7 +9,7 @@ tasks. Money fields are declared as strings so that numbers *and* numeric string
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,14 +57,42 @@ PAGE_SCHEMA = T.StructType([
     T.StructField("lines", T.ArrayType(_struct(*LINE_FIELDS)))])
 
 
-def statement_pages_source(spark: SparkSession, path: str) -> DataFrame:
-    """Every page's ``lines`` concatenated, with the page number and the position of the
-    line in its page (``page_pos``, for load-order tie-breaks). Pages without ``lines`` add
-    nothing."""
-    pages = _read(spark, path, PAGE_SCHEMA)
-    return pages.select(F.col("page"), F.col("_metadata.file_path").alias("source_file"),
+#: Where a statement line came from.
+PAGE_COLUMNS = ("source_file", "load_window", "page", "pages", "page_pos")
+
+
+def load_window(source_file: Column, page: Column, pages: Column) -> Column:
+    """The load window that a page file belongs to: one request for a span of dates, answered in
+    ``pages`` pages. Its pages are files that differ only in the number at the end of their
+    names, counted from 0 or 1 like the page numbers inside (``x/page-1.json`` ...); a file
+    without such a number, or an answer of one page, is a window of its own."""
+    ending = "([0-9]+)\\.json$"
+    number = F.regexp_extract(source_file, ending, 1).try_cast("long")
+    first = number - page
+    stem = F.concat(F.regexp_replace(source_file, ending, ""), F.lit("#"),
+                    first.cast("string"), F.lit("/"), pages.cast("string"))
+    return F.when((pages > 1) & first.isin(-1, 0), stem).otherwise(source_file)
+
+
+def page_files(pages: DataFrame) -> DataFrame:
+    """Page documents with their file, load window and page numbers, still one row a page."""
+    file = F.col("_metadata.file_path")
+    return pages.select(file.alias("source_file"), "page", "pages", "lines",
+                        load_window(file, F.col("page"), F.col("pages")).alias("load_window"))
+
+
+def page_lines(files: DataFrame) -> DataFrame:
+    """The lines of ``page_files``, with their position in the page (``page_pos``). Pages without
+    ``lines`` add nothing."""
+    return files.select("source_file", "load_window", "page", "pages",
                         F.posexplode("lines").alias("page_pos", "l")).select(
-        "source_file", "page", "page_pos", "l.*")
+        "source_file", "load_window", "page", "pages", "page_pos", "l.*")
+
+
+def statement_pages_source(spark: SparkSession, path: str) -> DataFrame:
+    """Every page's ``lines`` concatenated, with the load window, the page number and the
+    position of the line in its page (for load-order tie-breaks)."""
+    return page_lines(page_files(_read(spark, path, PAGE_SCHEMA)))
 
 
 def load_statements(lines: DataFrame, typed: bool = True, created_default: str | None = None
@@ -99,8 +127,8 @@ def load_statements(lines: DataFrame, typed: bool = True, created_default: str |
         F.coalesce(F.col("lineNumber").try_cast("int"), F.lit(0)).alias("line_number"),
         F.lit("transaction").alias("record_type"),
         created.alias("created_at"),
-        # the load window a row came in, where the reader knows it (see ``statement_keys``)
-        *[F.col(c) for c in ("source_file",) if c in lines.columns],
+        # where a row came from, as far as the reader knows it (see ``statement_keys``)
+        *[F.col(c) for c in PAGE_COLUMNS if c in lines.columns],
     )
 
 
@@ -200,10 +228,6 @@ def load_invoices(raw: DataFrame, now_iso: str) -> tuple[DataFrame, DataFrame]:
     return inv, lines
 
 
-__all__ = ["account_registry", "statement_pages_source", "load_statements", "accounts_source",
-           "load_accounts", "invoices_source", "load_invoices"]
-
-
 def upsert_invoices(target: DataFrame | None, loaded: DataFrame) -> DataFrame:
     """J8 headers with J3 semantics: the last document of an invoice id wins, in load order
     (source file, then position in the page); stored invoices with that id are replaced."""
