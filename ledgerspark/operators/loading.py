@@ -95,24 +95,57 @@ def insert_or_replace(target: DataFrame | None, incoming: DataFrame, key_cols: l
     return kept.unionByName(latest.select(*target.columns))
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system."""
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
+def _write(rows: DataFrame, path: str, partition_cols: list[str] | None) -> None:
+    w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (w.partitionBy(*partition_cols) if partition_cols else w).parquet(path)
+
+
 def replace_partitions(spark: SparkSession, state: DataFrame, target_path: str,
                        partition_cols: list[str] | None = None) -> None:
     """Write ``state`` over ``target_path``: stage it first (the state may have been read
     from the target), then overwrite the target — only the partitions present when
     ``partition_cols`` are given (dynamic partition overwrite)."""
     staging = scratch_path(spark, f"staging-{uuid.uuid4().hex}")
-    w = state.write.mode("overwrite")
-    (w.partitionBy(*partition_cols) if partition_cols else w).parquet(staging)
-    staged = spark.read.parquet(staging)
-    w = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    (w.partitionBy(*partition_cols) if partition_cols else w).parquet(target_path)
+    _write(state, staging, partition_cols)
+    _write(spark.read.schema(state.schema).parquet(staging), target_path, partition_cols)
+    delete_folder(spark, staging)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists in its file system."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+def overwrite_partitions(spark: SparkSession, state: DataFrame, target_path: str, column: str,
+                         values: list) -> None:
+    """``replace_partitions`` for the partitions ``values`` of one column, where ``state`` is
+    their whole new content: those it has no row for are removed."""
+    staging = scratch_path(spark, f"staging-{uuid.uuid4().hex}")
+    _write(state, staging, [column])
+    rows = spark.read.schema(state.schema).parquet(staging)
+    present = {r[0] for r in rows.select(column).distinct().collect()}
+    _write(rows, target_path, [column])
+    for value in set(values) - present:
+        delete_folder(spark, f"{target_path}/{column}={value}")
+    delete_folder(spark, staging)
 
 
 def append_rows(rows: DataFrame, target_path: str, partition_cols: list[str] | None = None) -> None:

@@ -183,7 +183,11 @@ INVOICE_PAGE_SCHEMA = T.StructType([
 def invoices_source(spark: SparkSession, path: str) -> DataFrame:
     """Invoice documents from pages listing them under ``data`` or ``invoices``, with
     their load order (file, position) for last-wins upserts."""
-    pages = _read(spark, path, INVOICE_PAGE_SCHEMA)
+    return invoice_documents(_read(spark, path, INVOICE_PAGE_SCHEMA))
+
+
+def invoice_documents(pages: DataFrame) -> DataFrame:
+    """The documents of page files (read with ``INVOICE_PAGE_SCHEMA``, as batch or stream)."""
     return pages.select(F.col("_metadata.file_path").alias("source_file"),
                         F.posexplode(F.coalesce("data", "invoices")).alias("page_pos", "i")
                         ).select("source_file", "page_pos", "i.*")
