@@ -12,12 +12,13 @@ Plan shape of every convention-B view: statements are aggregated per (period, ac
 map-side, so a hot account with a third of all rows collapses to one row per task before any
 shuffle, and the join sees (#periods x #accounts) rows instead of the fact table. Because all
 measures are sums and counts, re-aggregating after the join gives exactly the join-then-
-aggregate result, also when the chart has duplicate account numbers.
+aggregate result, also when the chart has duplicate account numbers. The views E4, E10-E14 and E16
+also take the persisted monthly sums of ``gold_store`` in place of statement lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.accounting import (BS_CLASSES, PL_CLASSES, account_class, balance_a, balance_b,
@@ -27,9 +28,21 @@ from ..functions.keys import month_key, year_key
 DEFAULT_SINCE = "2022-01-01"
 
 
+def is_monthly(statements: DataFrame) -> bool:
+    """Whether rows are monthly sums (``gold_store``) in place of statement lines."""
+    return "line_count" in statements.columns
+
+
+def line_count(statements: DataFrame) -> Column:
+    """Aggregate: the number of statement lines, also where a row stands for many."""
+    return F.sum("line_count") if is_monthly(statements) else F.count(F.lit(1))
+
+
 def _since(statements: DataFrame, since: str | None) -> DataFrame:
     if since is None:
         return statements
+    if is_monthly(statements) and not since.endswith("-01"):
+        raise ValueError(f"monthly sums begin with a month, not on {since}")
     return statements.where(F.col("transaction_date") >= F.lit(since).cast("date"))
 
 
@@ -158,7 +171,8 @@ def gold_account_summary_by_year(statements: DataFrame, accounts: DataFrame,
     """Year x account (type from the chart): count, debit, credit, balance (convention B)."""
     pre = _since(statements, since).groupBy(
         year_key("transaction_date").alias("year"), "account_code", "account_name").agg(
-        F.count(F.lit(1)).alias("__n"), F.sum("debit").alias("__d"), F.sum("credit").alias("__c"))
+        line_count(statements).alias("__n"), F.sum("debit").alias("__d"),
+        F.sum("credit").alias("__c"))
     j = pre.join(_dim_types(accounts), pre["account_code"] == F.col("__acct"), "inner")
     g = j.groupBy("year", "account_code", "account_name", "account_type", "account_subtype").agg(
         F.sum("__n").alias("transaction_count"),

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.accounting import account_class
 from ..functions.keys import month_key
 from ..operators.matching import account_groups_join
+from .ledger import line_count
 
 # --- fixed values: report groups that feed the KPI lines -------------------------------------
 KPI_GROUPS = {
@@ -54,11 +55,11 @@ def fact_txn(statements: DataFrame, accounts: DataFrame, groups: DataFrame) -> D
 def fact_month(statements: DataFrame, accounts: DataFrame, groups: DataFrame,
                names: bool = True) -> DataFrame:
     """fact_txn pre-aggregated per (month, account): transaction_count, debit, credit,
-    report_amount. Marts that do not show account names leave them out of the key
+    report_amount. ``statements`` may be the monthly sums of ``gold_store``. Marts that do not show account names leave them out of the key
     (``names=False``), which makes far fewer groups."""
     pre = statements.groupBy(month_key("transaction_date").alias("month"), "account_code",
                              *["account_name"] * names).agg(
-        F.count(F.lit(1)).alias("transaction_count"),
+        line_count(statements).alias("transaction_count"),
         F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
     a = dim_account(accounts, groups).select(
         F.col("account_number").alias("__acct"), F.col("account_type").alias("acct_type"),
