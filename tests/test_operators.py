@@ -40,14 +40,14 @@ def test_paginate_pages_and_meta(spark):
 @pytest.mark.parametrize("sql", [
     "DELETE FROM t", "SELECT 1; SELECT 2", "UPDATE t SET a = 1", "WITH x AS (SELECT 1) INSERT INTO t SELECT * FROM x",
     "PRAGMA x", "select * from t where a = 1; drop table t"])
-def test_guard_rejects(sql):
+def test_guard_rejects(spark, sql):
     with pytest.raises(ValueError):
-        assert_select_only(sql)
+        assert_select_only(sql, spark)
 
 
-def test_guard_accepts_keywords_inside_literals_and_trailing_semicolon():
-    assert assert_select_only("SELECT 'update me' AS x -- delete\n;") == "SELECT 'update me' AS x"
-    assert assert_select_only("/* drop */ WITH a AS (SELECT 1 AS v) SELECT v FROM a")
+def test_guard_accepts_keywords_inside_literals_and_trailing_semicolon(spark):
+    assert guarded_sql(spark, "SELECT 'update me' AS x -- delete\n;").first().x == "update me"
+    assert assert_select_only("/* drop */ WITH a AS (SELECT 1 AS v) SELECT v FROM a", spark)
 
 
 def test_guarded_sql_params_limit_and_cap(spark):
