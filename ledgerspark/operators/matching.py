@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import config_table
+from ..operators.loading import staged
 from ..operators.search import UUID_RE
 from ..session import scratch_path
 
@@ -178,6 +179,66 @@ def _ranked(df: DataFrame, name: str) -> DataFrame:
         "amount", "day", "id", "date", (F.col("rank") + F.col("before")).alias("rank"))
 
 
+def _paired_counts(b: DataFrame, d: DataFrame, tolerance: int) -> DataFrame:
+    """How many lines of an (amount, day) pair with documents ``off`` days later: amount, day, off,
+    n, and the ranks from_b and from_d of the first that do."""
+    days = b.select("amount", "day", F.lit(1).alias("b"), F.lit(0).alias("d")).unionByName(
+        d.select("amount", "day", F.lit(0).alias("b"), F.lit(1).alias("d"))).groupBy(
+        "amount", "day").agg(F.sum("b").alias("b"), F.sum("d").alias("d"))
+    by_day = Window.partitionBy("amount").orderBy("day")
+    gap = F.col("day") - F.lag("day").over(by_day)
+    days = days.withColumn("gap", gap).withColumn("first", F.coalesce(
+        F.col("gap") > tolerance, F.lit(True)))
+    runs = days.withColumn("run", F.sum(F.col("first").cast("int")).over(by_day)) \
+        .withColumn("gap", F.when(F.col("first"), 1).otherwise(F.col("gap"))) \
+        .groupBy("amount", "run").agg(
+            F.min("day").alias("start"), F.sum("b").alias("all_b"), F.sum("d").alias("all_d"),
+            F.sort_array(F.collect_list(F.struct("day", "gap", "b", "d"))).alias("days")) \
+        .where("all_b > 0 AND all_d > 0")
+
+    def cell(b, d):
+        return F.struct(*[c.cast("long").alias(n)
+                          for n, c in (("b", b), ("d", d), ("b0", b), ("d0", d))])
+
+    nothing = F.lit(0).cast("long")
+    dense = F.flatten(F.transform("days", lambda x: F.concat(
+        F.array_repeat(cell(nothing, nothing), x["gap"] - 1), F.array(cell(x["b"], x["d"])))))
+
+    def step(state, off):
+        at = state["cells"]
+        left = F.transform(at, lambda x, i: F.struct(
+            (x["b"] - F.least(x["b"], F.coalesce(F.get(at, i + off)["d"], nothing))).alias("b"),
+            (x["d"] - F.least(x["d"], F.coalesce(F.get(at, i - off)["b"], nothing))).alias("d"),
+            x["b0"].alias("b0"), x["d0"].alias("d0")))
+        return F.struct(left.alias("cells"), F.concat(state["flows"], flow(at, off)).alias("flows"))
+
+    def flow(at, off):
+        def one(x, i):
+            to = F.get(at, i + off)
+            return F.struct(i.alias("i"), off.alias("off"),
+                            F.least(x["b"], F.coalesce(to["d"], nothing)).alias("n"),
+                            (x["b0"] - x["b"]).alias("from_b"), (to["d0"] - to["d"]).alias("from_d"))
+        return F.filter(F.transform(at, one), lambda f: f["n"] > 0)
+
+    both_ways = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(max(tolerance, 1))),
+                                      lambda k: F.array(k, -k)))
+    every = F.array_prepend(both_ways, 0) if tolerance > 0 else F.array(F.lit(0))
+    # most runs have few days: only the distances that occur in them are tried
+    def days_with(side):
+        return F.transform(F.filter("days", lambda x: x[side] > 0), lambda x: x["day"])
+
+    of_b, of_d = days_with("b"), days_with("d")
+    occur = F.flatten(F.transform(of_b, lambda x: F.transform(of_d, lambda y: y - x)))
+    few = F.size(of_b) * F.size(of_d) <= 4 * tolerance + 2
+    runs = runs.withColumn("offsets", F.when(few, F.array_intersect(every, occur)).otherwise(every))
+    kind = "array<struct<i:int,off:int,n:bigint,from_b:bigint,from_d:bigint>>"
+    start = F.struct(dense.alias("cells"), F.array().cast(kind).alias("flows"))
+    folded = F.aggregate(F.col("offsets"), start, step, lambda state: state["flows"])
+    return runs.select("amount", "start", F.explode(folded).alias("f")).select(
+        "amount", (F.col("start") + F.col("f.i")).alias("day"), "f.off", "f.n", "f.from_b",
+        "f.from_d")
+
+
 def reconcile_bank(bank: DataFrame, documents: DataFrame, tolerance_days: int = 3) -> DataFrame:
     """One-to-one matches between bank lines and documents (invoices, expenses) of equal
     amount whose dates differ by at most ``tolerance_days``. Inputs: (id, amount, date).
@@ -186,9 +247,11 @@ def reconcile_bank(bank: DataFrame, documents: DataFrame, tolerance_days: int =
     of their ids, then what is left with documents one day later, one day earlier, two days
     later, and so on. So n equal payments and n equal invoices give n pairs.
 
-    How many rows each pass pairs follows from counts per (amount, day) alone. The passes run on
-    that small table as window functions over the days of an amount (bounded by the calendar);
-    rows then find their partner by an equi-join on (amount, day, rank).
+    How many rows each pass pairs follows from counts per (amount, day) alone. The days of an
+    amount fall into runs with gaps of at most the tolerance, which can't meet each other. The
+    counts of a run become one array with an entry a day (bounded by the calendar), and one fold
+    over the distances 0, 1, -1, 2, ... pairs them; the plan is the same for any tolerance. Rows then
+    find their partner by an equi-join on (amount, day, rank), only those on days that pair at all.
 
     Result: (bank_id, document_id, amount, bank_date, document_date, days_apart).
     """
@@ -197,29 +260,10 @@ def reconcile_bank(bank: DataFrame, documents: DataFrame, tolerance_days: int =
                          F.datediff("date", F.lit("1970-01-01").cast("date")).alias("day")).where(
             F.col("amount").isNotNull() & F.col("date").isNotNull())
     b, d = slim(bank), slim(documents)
-    zero = F.lit(0).cast("long")
-    days = b.select("amount", "day", F.lit(1).alias("b"), F.lit(0).alias("d")).unionByName(
-        d.select("amount", "day", F.lit(0).alias("b"), F.lit(1).alias("d"))).groupBy(
-        "amount", "day").agg(F.sum("b").alias("b0"), F.sum("d").alias("d0"))
-    state = days.select("amount", "day", "b0", "d0", F.col("b0").alias("b"), F.col("d0").alias("d"),
-                        F.array().cast("array<struct<off:int,n:bigint,from_b:bigint,from_d:bigint>>")
-                        .alias("flows"))
-    by_day = Window.partitionBy("amount").orderBy("day")
-    for off in [0] + [s * k for k in range(1, int(tolerance_days) + 1) for s in (1, -1)]:
-        there, back = by_day.rangeBetween(off, off), by_day.rangeBetween(-off, -off)
-        step = state.withColumns({
-            "paired_b": F.least("b", F.coalesce(F.sum("d").over(there), zero)),
-            "paired_d": F.least("d", F.coalesce(F.sum("b").over(back), zero)),
-            "from_d": F.coalesce(F.sum(F.col("d0") - F.col("d")).over(there), zero)})
-        flow = F.array(F.struct(F.lit(off).alias("off"), F.col("paired_b").alias("n"),
-                                (F.col("b0") - F.col("b")).alias("from_b"), "from_d"))
-        state = step.select(
-            "amount", "day", "b0", "d0", (F.col("b") - F.col("paired_b")).alias("b"),
-            (F.col("d") - F.col("paired_d")).alias("d"),
-            F.when(F.col("paired_b") > 0, F.concat("flows", flow)).otherwise(F.col("flows"))
-            .alias("flows"))
-    flows = state.select("amount", "day", F.explode("flows").alias("f")).select(
-        "amount", "day", "f.off", "f.n", "f.from_b", "f.from_d")
+    flows = staged(_paired_counts(b, d, int(tolerance_days)), "reconcile-flows")
+    b_days = flows.select("amount", "day").distinct()
+    d_days = flows.select("amount", (F.col("day") + F.col("off")).alias("day")).distinct()
+    b, d = (x.join(days, ["amount", "day"], "left_semi") for x, days in ((b, b_days), (d, d_days)))
     left = _ranked(b, "bank").join(flows, ["amount", "day"]).where(
         (F.col("rank") >= F.col("from_b")) & (F.col("rank") < F.col("from_b") + F.col("n"))).select(
         F.col("id").alias("bank_id"), "amount", F.col("date").alias("bank_date"),
