@@ -18,7 +18,7 @@ import datetime as _dt
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -153,6 +153,17 @@ def append_rows(rows: DataFrame, target_path: str, partition_cols: list[str] | N
     (w.partitionBy(*partition_cols) if partition_cols else w).parquet(target_path)
 
 
+def append_observed(rows: DataFrame, target_path: str, partition_cols: list[str] | None = None,
+                    date_col: str = "transaction_date") -> dict:
+    """Append rows and return what the write job saw of them (records, first and last date): the
+    metrics are observed on the way to the files, so nothing is counted again."""
+    seen = Observation(f"load-{uuid.uuid4().hex}")
+    append_rows(rows.observe(seen, F.count(F.lit(1)).alias("records"),
+                             F.min(date_col).alias("first_date"),
+                             F.max(date_col).alias("last_date")), target_path, partition_cols)
+    return seen.get
+
+
 def _line_group(batch: DataFrame) -> Column:
     """Digest of what makes two statement lines equal: the source key columns and the id."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*STATEMENT_KEY, "id"]]
@@ -272,6 +283,18 @@ def log_load(spark: SparkSession, load_log: DataFrame | None, operation: str, da
                              ["load_timestamp"])
 
 
+def load_and_log(spark: SparkSession, rows: DataFrame, target_path: str, log_path: str,
+                 operation: str, date_from: str, date_to: str,
+                 partition_cols: list[str] | None = None, at: str | None = None) -> dict:
+    """Append the rows of a load and enter it in the stored log (also when there were none); the
+    number of records comes from the write job. Returns the observed metrics."""
+    seen = append_observed(rows, target_path, partition_cols)
+    log = spark.read.parquet(log_path) if table_exists(spark, log_path) else None
+    replace_partitions(spark, log_load(spark, log, operation, date_from, date_to,
+                                       int(seen["records"]), at), log_path)
+    return seen
+
+
 def check_iso(*dates: str) -> None:
     for d in dates:
         if not ISO.match(d or ""):

@@ -91,7 +91,8 @@ def _merge_statements(spark: SparkSession, target_path: str, windows_path: str,
             "month", F.coalesce(month_key("transaction_date"), F.lit("unknown"))).persist()
         target = None
         if table_exists(spark, target_path):
-            target = spark.read.parquet(target_path)
+            # a batch without lines leaves a folder without files
+            target = spark.read.schema(keyed.schema).parquet(target_path)
             months = [r[0] for r in keyed.select("month").distinct().collect()]
             target = target.where(F.col("month").isin(months))
         new = insert_or_ignore(target, keyed, ["line_key"], partition_cols=["month"],
@@ -130,6 +131,7 @@ def load_statement_pages(spark: SparkSession, pages_path: str, target_path: str,
                            created_default=created_default)
     keyed = first_per_key(statement_keys(rows), ["line_key"], ["id"]).drop(*PAGE_COLUMNS) \
         .withColumn("month", F.coalesce(month_key("transaction_date"), F.lit("unknown")))
-    target = spark.read.parquet(target_path) if table_exists(spark, target_path) else None
+    target = (spark.read.schema(keyed.schema).parquet(target_path)
+              if table_exists(spark, target_path) else None)
     append_rows(insert_or_ignore(target, keyed, ["line_key"], partition_cols=["month"],
                                  keys_unique=True), target_path, ["month"])
