@@ -71,7 +71,7 @@ def load_new_rows(batch: DataFrame, target_path: str, table: str, load_id: str)
     """J2/J7 with the index: append the rows of a batch whose key is new to the target (layout
     month, load_id) and to the index. Returns the appended rows."""
     new = staged(unseen(batch, table, load_id), "new-rows")
-    new.withColumn("load_id", F.lit(load_id)).write.mode("overwrite") \
+    new.withColumn("load_id", F.lit(load_id)).hint("rebalance", "month").write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy("month", "load_id") \
         .parquet(target_path)
     record(new, table, load_id)

@@ -119,6 +119,8 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 
 def _write(rows: DataFrame, path: str, partition_cols: list[str] | None) -> None:
+    if partition_cols:          # few files a partition; a large one is split over tasks
+        rows = rows.hint("rebalance", *partition_cols)
     w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     (w.partitionBy(*partition_cols) if partition_cols else w).parquet(path)
 
@@ -138,6 +140,9 @@ def overwrite_partitions(spark: SparkSession, state: DataFrame, target_path: str
                          values: list) -> None:
     """``replace_partitions`` for the partitions ``values`` of one column, where ``state`` is
     their whole new content: those it has no row for are removed."""
+    if not table_exists(spark, target_path):             # nothing there that state could read
+        _write(state, target_path, [column])
+        return
     staging = scratch_path(spark, f"staging-{uuid.uuid4().hex}")
     _write(state, staging, [column])
     rows = spark.read.schema(state.schema).parquet(staging)
@@ -307,11 +312,14 @@ def load_range(target: DataFrame | None, batch: DataFrame, date_from: str, date_
     """Manual backfill of [from, to] (ISO-checked): keyed statement rows of the batch
     inside the range that the target does not have yet."""
     check_iso(date_from, date_to)
-    b = batch.where(F.col("transaction_date").between(F.lit(date_from).cast("date"),
-                                                     F.lit(date_to).cast("date")))
+    in_range = F.col("transaction_date").between(F.lit(date_from).cast("date"),
+                                                 F.lit(date_to).cast("date"))
+    b = batch.where(in_range)
     keyed = first_per_key(statement_keys(b, order_cols), ["line_key"], order_cols or ["id"])
-    if target is not None and "line_key" not in target.columns:
-        target = statement_keys(target, order_cols)
+    if target is not None:      # the key contains the date: only stored rows of the range matter
+        target = target.where(in_range)
+        if "line_key" not in target.columns:
+            target = statement_keys(target, order_cols)
     return insert_or_ignore(target, keyed, ["line_key"], keys_unique=True)
 
 

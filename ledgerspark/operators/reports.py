@@ -313,13 +313,29 @@ def key_metrics(accounts: DataFrame, transactions: DataFrame, year: str) -> Data
 
 
 def year_over_year(accounts: DataFrame, transactions: DataFrame, y1: str, y2: str) -> DataFrame:
-    """Metric, value in y1 and y2, change, % change (0 when the base is 0)."""
-    m1 = key_metrics(accounts, transactions, y1).withColumnRenamed("value", "value_1")
-    m2 = key_metrics(accounts, transactions, y2).withColumnRenamed("value", "value_2")
-    j = m1.join(m2, "metric")
-    return j.select("metric", "value_1", "value_2",
-                    (F.col("value_2") - F.col("value_1")).alias("change"),
-                    percent_change("value_1", "value_2").alias("pct_change"))
+    """Metric, value in y1 and y2, change, % change (0 when the base is 0). Both years come from
+    one pass over the transactions."""
+    t = transactions.where(in_years("transaction_date", y1, y1) | in_years("transaction_date", y2, y2))
+
+    def of(year):
+        return F.sum(F.when(in_years("transaction_date", year, year), F.col("amount")))
+    per = t.groupBy(F.col("account_code").alias("__code")).agg(of(y1).alias("v1"), of(y2).alias("v2"))
+    cls = accounts.select(F.col("account_number").alias("__account"),
+                          account_class("account_type").alias("class"))
+    b = cls.join(per, cls["__account"] == per["__code"], "left")
+
+    def total(name, v):
+        part = F.sum(F.when(F.col("class") == name, F.abs(v)))
+        return F.coalesce(part, F.lit(0).cast(MONEY)).alias(f"{name}_{v}")
+    w = b.agg(*[total(c, v) for c in ("revenue", "expense", "asset", "liability")
+                for v in ("v1", "v2")])
+    rows = [("Total Revenue", "revenue_{0}"), ("Total Expenses", "expense_{0}"),
+            ("Net Income", "revenue_{0} - expense_{0}"), ("Total Assets", "asset_{0}"),
+            ("Total Liabilities", "liability_{0}")]
+    stacked = ", ".join(f"'{n}', {e.format('v1')}, {e.format('v2')}" for n, e in rows)
+    return w.select(F.expr(f"stack(5, {stacked}) AS (metric, value_1, value_2)")).select(
+        "metric", "value_1", "value_2", (F.col("value_2") - F.col("value_1")).alias("change"),
+        percent_change("value_1", "value_2").alias("pct_change"))
 
 
 def accounts_of_type(accounts: DataFrame) -> DataFrame:

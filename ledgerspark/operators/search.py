@@ -8,6 +8,7 @@ task), never a full sort of the table. Bounds are inclusive; ``query`` is a case
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import account_display
 
-BANK_LIMIT_DEFAULT, BANK_LIMIT_MAX = 100, 1000
 ISO_DATE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 UUID_RE = re.compile(r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$", re.I)
 
@@ -46,19 +46,19 @@ def contains_ci(cols: list[str], query: str) -> Column:
 def bank_transactions(bank: DataFrame, cards: DataFrame, from_date: str | None = None,
                       to_date: str | None = None, account_number: str | None = None,
                       account_type: str = "all",
-                      limit: int | None = BANK_LIMIT_DEFAULT) -> DataFrame:
+                      limit: int | None = None) -> DataFrame:
     """Bank and/or card lines, newest first.
 
     With ``all`` each side gives its newest ``limit`` rows and the union is cut once, so the
-    result is the newest ``limit`` rows of both (bank before card on equal dates). ``limit=None``
-    returns every row. Bank lines are filtered and sorted on the value date.
+    result is the newest ``limit`` rows of both (bank before card on equal dates). Without
+    ``limit`` every row is returned. Bank lines are filtered and sorted on the value date.
     """
     _check_date("fromDate", from_date)
     _check_date("toDate", to_date)
     if account_type not in ("bank", "card", "all"):
         raise ValueError("accountType must be bank, card or all")
-    if limit is not None and not (1 <= int(limit) <= BANK_LIMIT_MAX):
-        raise ValueError(f"limit must be within 1..{BANK_LIMIT_MAX}")
+    if limit is not None and int(limit) < 1:
+        raise ValueError("limit must be at least 1")
     sides = []
     if account_type in ("all", "bank"):
         acct = account_display("branch", "ledger", "account_no")
@@ -197,7 +197,9 @@ def account_statement(statements: DataFrame, journal_date_from: str | None = Non
     if has_journal:
         df = df.where(_date_range(F.col("journal_date"), journal_date_from, journal_date_to))
     if has_created:
-        df = df.where(F.substring("created_at", 1, 10).between(created_from, created_to))
+        # ISO texts compare like their dates, so the bounds reach the scan as they are
+        after = (dt.date.fromisoformat(created_to) + dt.timedelta(days=1)).isoformat()
+        df = df.where((F.col("created_at") >= created_from) & (F.col("created_at") < after))
     for col, v in (("account_code", account_code), ("account_type", account_type),
                    ("account_subtype", account_subtype)):
         if v:

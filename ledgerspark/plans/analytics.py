@@ -7,12 +7,27 @@ Parquet scan; every top-n has a unique tie-breaker so results do not depend on t
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.accounting import PL_CLASSES, types_of
 from ..functions.dates import in_years
 from ..functions.keys import month_key, quarter_key
 from ..functions.money import money_avg
+from .ledger import (gold_balance_sheet_by_year, gold_income_statement_by_year, gold_monthly_pl,
+                     gold_monthly_pl_trend)
+
+
+def _after(month: str) -> str:
+    """The first day after a month."""
+    return (dt.date.fromisoformat(f"{month}-28") + dt.timedelta(days=4)).replace(day=1).isoformat()
+
+
+def _year(year: str) -> tuple[str, str]:
+    """First day of a year and of the next one."""
+    return f"{year}-01-01", f"{int(year) + 1}-01-01"
 
 
 def _between(df: DataFrame, col: str, lo: str | None, hi: str | None,
@@ -66,6 +81,11 @@ def monthly_revenue_trend(monthly_pl: DataFrame, since_month: str) -> DataFrame:
             .agg(F.sum("revenue").alias("total_revenue")))
 
 
+def monthly_revenue_trend_of(statements: DataFrame, since_month: str) -> DataFrame:
+    """E25 over the lines themselves: the month becomes a date bound of the scan."""
+    return monthly_revenue_trend(gold_monthly_pl(statements, f"{since_month}-01"), since_month)
+
+
 def largest_expenses_by_month(statements: DataFrame, account_type: str, since: str,
                               min_expense) -> DataFrame:
     """Month x account name -> Σdebit, kept when above ``min_expense`` (HAVING)."""
@@ -82,6 +102,12 @@ def expense_categories(monthly_pl: DataFrame, from_month: str, to_month: str) ->
     return m.groupBy("account_subtype").agg(F.sum("expenses").alias("total"))
 
 
+def expense_categories_of(statements: DataFrame, from_month: str, to_month: str) -> DataFrame:
+    """E27 over the lines themselves, months as date bounds of the scan."""
+    return expense_categories(gold_monthly_pl(statements, f"{from_month}-01", _after(to_month)),
+                              from_month, to_month)
+
+
 def account_activity(account_summary: DataFrame, min_count: int) -> DataFrame:
     """Accounts with more than ``min_count`` lines (order: |net| desc)."""
     return account_summary.where(F.col("transaction_count") > min_count).select(
@@ -132,6 +158,11 @@ def monthly_trend_overview(pl_trend: DataFrame, year: str) -> DataFrame:
         F.sum("revenue").alias("total_revenue"), F.sum("expenses").alias("total_expenses"))
 
 
+def monthly_trend_overview_of(statements: DataFrame, accounts: DataFrame, year: str) -> DataFrame:
+    """E32 (trend form) over the lines themselves, the year as date bounds of the scan."""
+    return monthly_trend_overview(gold_monthly_pl_trend(statements, accounts, *_year(year)), year)
+
+
 def balance_by_type(balance_sheet: DataFrame) -> DataFrame:
     """Account type -> Σbalance over ``gold_balance_sheet``."""
     return balance_sheet.groupBy("account_type").agg(F.sum("balance").alias("total_balance"))
@@ -149,6 +180,16 @@ def annual_report_detail(statement_by_year: DataFrame, account_type: str, year:
     return s.orderBy(F.col("amount").desc(), F.col("account_code").asc()).limit(n)
 
 
+def annual_report_detail_of(statements: DataFrame, accounts: DataFrame, account_type: str,
+                            year: str, n: int | None = None) -> DataFrame:
+    """E34 over the lines themselves, the year as date bounds of the scan; in order of the amount,
+    also without ``n``."""
+    view = (gold_income_statement_by_year if account_type in types_of(*PL_CLASSES)
+            else gold_balance_sheet_by_year)
+    return annual_report_detail(view(statements, accounts, *_year(year)), account_type, year, n).orderBy(
+        F.col("amount").desc(), F.col("account_code").asc())
+
+
 def distinct_account_types(accounts: DataFrame) -> DataFrame:
     """The distinct account types of the chart."""
     return accounts.select("account_type").distinct()

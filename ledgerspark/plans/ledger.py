@@ -38,11 +38,15 @@ def line_count(statements: DataFrame) -> Column:
     return F.sum("line_count") if is_monthly(statements) else F.count(F.lit(1))
 
 
-def _since(statements: DataFrame, since: str | None) -> DataFrame:
+def _since(statements: DataFrame, since: str | None, before: str | None = None) -> DataFrame:
+    """Rows from ``since`` on and before ``before``: plain date bounds, which reach the scan."""
+    for day in (since, before):
+        if day and is_monthly(statements) and not day.endswith("-01"):
+            raise ValueError(f"monthly sums begin with a month, not on {day}")
+    if before is not None:
+        statements = statements.where(F.col("transaction_date") < F.lit(before).cast("date"))
     if since is None:
         return statements
-    if is_monthly(statements) and not since.endswith("-01"):
-        raise ValueError(f"monthly sums begin with a month, not on {since}")
     return statements.where(F.col("transaction_date") >= F.lit(since).cast("date"))
 
 
@@ -102,10 +106,11 @@ def gold_account_summary_v2(statements: DataFrame, since: str | None = DEFAULT_S
     )
 
 
-def gold_monthly_pl(statements: DataFrame, since: str | None = DEFAULT_SINCE) -> DataFrame:
+def gold_monthly_pl(statements: DataFrame, since: str | None = DEFAULT_SINCE,
+                    before: str | None = None) -> DataFrame:
     """Month x type x subtype: revenue = credit - debit, expenses = debit - credit
     (convention A), row count."""
-    s = _since(statements, since).withColumn("__cls", account_class("account_type"))
+    s = _since(statements, since, before).withColumn("__cls", account_class("account_type"))
     return s.groupBy(month_key("transaction_date").alias("month"), "account_type",
                      "account_subtype").agg(
         F.sum(F.when(F.col("__cls") == "revenue", F.col("credit") - F.col("debit"))
@@ -167,9 +172,10 @@ def _dim_types(accounts: DataFrame, classes=None) -> DataFrame:
 
 
 def gold_account_summary_by_year(statements: DataFrame, accounts: DataFrame,
-                                 since: str | None = DEFAULT_SINCE) -> DataFrame:
+                                 since: str | None = DEFAULT_SINCE,
+                                 before: str | None = None) -> DataFrame:
     """Year x account (type from the chart): count, debit, credit, balance (convention B)."""
-    pre = _since(statements, since).groupBy(
+    pre = _since(statements, since, before).groupBy(
         year_key("transaction_date").alias("year"), "account_code", "account_name").agg(
         line_count(statements).alias("__n"), F.sum("debit").alias("__d"),
         F.sum("credit").alias("__c"))
@@ -182,24 +188,26 @@ def gold_account_summary_by_year(statements: DataFrame, accounts: DataFrame,
                                              "total_credit"))
 
 
-def _by_year_subset(statements, accounts, since, classes) -> DataFrame:
-    s = gold_account_summary_by_year(statements, accounts, since)
+def _by_year_subset(statements, accounts, since, classes, before=None) -> DataFrame:
+    s = gold_account_summary_by_year(statements, accounts, since, before)
     return s.where(F.col("account_type").isin(*types_of(*classes))).select(
         "year", "account_code", "account_name", "account_type", "account_subtype",
         F.col("balance").alias("amount"))
 
 
 def gold_income_statement_by_year(statements: DataFrame, accounts: DataFrame,
-                                  since: str | None = DEFAULT_SINCE) -> DataFrame:
+                                  since: str | None = DEFAULT_SINCE,
+                                  before: str | None = None) -> DataFrame:
     """E10 restricted to revenue and expense accounts; balance -> amount."""
-    return _by_year_subset(statements, accounts, since, PL_CLASSES)
+    return _by_year_subset(statements, accounts, since, PL_CLASSES, before)
 
 
 def gold_balance_sheet_by_year(statements: DataFrame, accounts: DataFrame,
-                               since: str | None = DEFAULT_SINCE) -> DataFrame:
+                               since: str | None = DEFAULT_SINCE,
+                               before: str | None = None) -> DataFrame:
     """E10 restricted to balance-sheet accounts. Per-year movement, not cumulative,
     exactly as the source view (despite its title)."""
-    return _by_year_subset(statements, accounts, since, BS_CLASSES)
+    return _by_year_subset(statements, accounts, since, BS_CLASSES, before)
 
 
 def gold_income_summary_by_year(statements: DataFrame, accounts: DataFrame,
@@ -236,11 +244,12 @@ def gold_chart_of_accounts(accounts: DataFrame) -> DataFrame:
 
 
 def gold_monthly_pl_trend(statements: DataFrame, accounts: DataFrame,
-                          since: str | None = DEFAULT_SINCE) -> DataFrame:
+                          since: str | None = DEFAULT_SINCE,
+                          before: str | None = None) -> DataFrame:
     """Month x type x subtype: revenue = debit - credit, expenses = credit - debit
     (convention B), revenue and expense accounts only. ``year`` is derived from the grouped
     month (Spark rejects the ungrouped column SQLite accepts)."""
-    pre = _since(statements, since).groupBy(
+    pre = _since(statements, since, before).groupBy(
         month_key("transaction_date").alias("month"), "account_code").agg(
         F.sum("debit").alias("__d"), F.sum("credit").alias("__c"))
     j = pre.join(_dim_types(accounts, PL_CLASSES), pre["account_code"] == F.col("__acct"), "inner")

@@ -366,7 +366,7 @@ def _monthly_pl(spark, d):
 SELECT month, {D("SUM(revenue)")} AS total_revenue FROM ({_MONTHLY_PL}) m
 WHERE month >= '1996-01' GROUP BY month""")
 def q_monthly_revenue_trend(spark, d):
-    return A.monthly_revenue_trend(_monthly_pl(spark, d), "1996-01")
+    return A.monthly_revenue_trend_of(_stm(spark, d, typed=True), "1996-01")
 
 
 @register("largest_expenses_by_month", f"""
@@ -382,7 +382,7 @@ def q_largest_expenses_by_month(spark, d):
 SELECT account_subtype, {D("SUM(expenses)")} AS total FROM ({_MONTHLY_PL}) m
 WHERE month BETWEEN '1996-01' AND '1999-12' GROUP BY account_subtype""")
 def q_expense_categories(spark, d):
-    return A.expense_categories(_monthly_pl(spark, d), "1996-01", "1999-12")
+    return A.expense_categories_of(_stm(spark, d, typed=True), "1996-01", "1999-12")
 
 
 _SUMMARY_V2 = f"""
@@ -459,8 +459,7 @@ WHERE s.transaction_date >= DATE '{SINCE}' AND a.account_type IN ('Tekjur', 'Gj
   AND strftime(s.transaction_date, '%Y') = '{YEAR}'
 GROUP BY 1""")
 def q_monthly_trend_overview(spark, d):
-    return A.monthly_trend_overview(
-        ledger.gold_monthly_pl_trend(_stm(spark, d), _acc(spark, d), SINCE), YEAR)
+    return A.monthly_trend_overview_of(_stm(spark, d), _acc(spark, d), YEAR)
 
 
 @register("balance_by_type", f"""
@@ -479,9 +478,7 @@ SELECT year, account_code, account_name, {D("balance")} AS amount
 FROM ({_BY_YEAR}) v WHERE account_type = '{T_EXP}' AND year = '{YEAR}'
 ORDER BY balance DESC, account_code LIMIT 10""")
 def q_annual_report_detail(spark, d):
-    return A.annual_report_detail(
-        ledger.gold_income_statement_by_year(_stm(spark, d), _acc(spark, d), SINCE),
-        T_EXP, YEAR, 10)
+    return A.annual_report_detail_of(_stm(spark, d), _acc(spark, d), T_EXP, YEAR, 10)
 
 
 @register("distinct_account_types", "SELECT DISTINCT account_type FROM dim_accounts")
@@ -1058,7 +1055,7 @@ _LINE_KEY = ("sha1(concat_ws('|', COALESCE(account_code, ''), COALESCE(CAST(tran
              "COALESCE(description, ''), occurrence_no))")
 
 
-@register("insert_or_ignore_statements", f"""
+NEW_LINES_SQL = f"""
 WITH t AS ({_STM_KEYED.format(cond="transaction_date < DATE '1998-01-01'")}),
 b AS ({_STM_KEYED.format(cond="transaction_date >= DATE '1997-07-01'")})
 SELECT id, account_code, account_id, account_name, account_type, account_subtype,
@@ -1069,7 +1066,10 @@ SELECT id, account_code, account_id, account_name, account_type, account_subtype
 FROM b WHERE NOT EXISTS (
   SELECT 1 FROM t WHERE t.account_code = b.account_code AND t.transaction_date = b.transaction_date
     AND t.journal_id = b.journal_id AND t.journal_number = b.journal_number
-    AND t.amount = b.amount AND t.description = b.description AND t.occurrence_no = b.occurrence_no)""")
+    AND t.amount = b.amount AND t.description = b.description AND t.occurrence_no = b.occurrence_no)"""
+
+
+@register("insert_or_ignore_statements", NEW_LINES_SQL)
 def q_insert_or_ignore_statements(spark, d):
     s = _stm(spark, d)
     target = s.where(F.col("transaction_date") < F.lit("1998-01-01").cast("date"))
@@ -1507,3 +1507,6 @@ def q_fact_txn(spark, d):
     return f.select("id", "account_code", "account_name", "transaction_date", "description", "amount",
                     "debit", "credit", "acct_type", "report_group", "statement",
                     F.col("sign").cast("double").alias("sign"), "month", "report_amount")
+
+
+from . import queries_loads  # noqa: E402,F401  (registers the loads that write tables)

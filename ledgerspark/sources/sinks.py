@@ -17,6 +17,26 @@ from pyspark.sql import functions as F
 from ..functions.keys import month_key
 
 
+#: Bytes of a file: one is not larger than the first, and not smaller than the second unless
+#: there is less to write.
+FILE_BYTES, LEAST_FILE_BYTES = 128 << 20, 8 << 20
+
+
+def file_count(n_bytes: int, writers: int) -> int:
+    """Files for so many bytes: by size, but as many as there are writers while files stay
+    reasonably large."""
+    by_size = -(-n_bytes // FILE_BYTES)
+    return max(1, by_size, min(writers, -(-n_bytes // LEAST_FILE_BYTES)))
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The size that the optimizer expects of a table's input: the bytes of the files it reads,
+    without running anything."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return min(sum(sizes), 1 << 50)
+
+
 def write_silver(df: DataFrame, path: str, date_col: str, key_cols: list[str],
                  mode: str = "overwrite", partitions: int | None = None,
                  partition_by: str | None = "month", cluster: bool = True) -> None:
@@ -28,12 +48,15 @@ def write_silver(df: DataFrame, path: str, date_col: str, key_cols: list[str],
     spans many row groups. ``cluster=False`` spreads rows round-robin (one pass) and only
     sorts within files — for small tables.
 
+    The number of files follows the bytes of the input (``file_count``) unless ``partitions`` says
+    otherwise.
+
     ``partition_by="month"`` adds Hive month directories for partition pruning; use it once a
     month holds at least a row group or so (production volumes). For small tables (a month of
     a few thousand rows) ``None`` keeps one directory: listing many tiny month directories
     would cost more than it prunes.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions or file_count(planned_bytes(df), df.sparkSession.sparkContext.defaultParallelism)
     if cluster:
         out = df.repartitionByRange(n, F.col(date_col), *[F.col(k) for k in key_cols])
     else:
@@ -57,10 +80,20 @@ def write_bucketed(df: DataFrame, table: str, key_cols: list[str], buckets: int,
        .saveAsTable(table))
 
 
-def read_silver(spark, path: str) -> DataFrame:
+def read_silver(spark, path: str, date_col: str | None = None, since: str | None = None,
+                until: str | None = None) -> DataFrame:
     """Read a silver table written by ``write_silver`` (a ``month`` partition column is
-    dropped again so the schema equals the declared silver schema)."""
+    dropped again so the schema equals the declared silver schema).
+
+    With ``date_col`` only rows from ``since`` to ``until`` (both included, each optional) are
+    read: the dates are bounds of the scan, and where there are month folders their months choose
+    the folders."""
     df = spark.read.parquet(path)
+    for day, compare in ((since, "__ge__"), (until, "__le__")):
+        if day is not None:
+            df = df.where(getattr(F.col(date_col), compare)(F.lit(day).cast("date")))
+            if "month" in df.columns:
+                df = df.where(getattr(F.col("month"), compare)(F.lit(day[:7])))
     return df.drop("month") if "month" in df.columns else df
 
 

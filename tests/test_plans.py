@@ -24,6 +24,14 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
+@pytest.fixture()
+def whole_filters(spark):
+    """Plans that show every filter of a scan, however many."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 @pytest.fixture()
 def silver(spark):
     """Silver tables (typed columns), as a deployment reads them; cleared afterwards."""
@@ -127,3 +135,61 @@ def test_bucketed_ledger_facts_and_chart(spark):
     assert join_at >= 0 and "Exchange" not in p_year[join_at:]
     assert n == ledger.gold_account_summary_by_year(S.silver_account_statements(spark, SF),
                                                     S.dim_accounts(spark, SF), "1995-01-01").count()
+
+
+def test_month_and_year_parameters_are_date_bounds_of_the_scan(spark, scratch, whole_filters):
+    from ledgerspark.operators import loading as LD
+    from ledgerspark.plans import analytics as A
+    path = scratch + "/stm"
+    S.silver_account_statements(spark, SF).write.parquet(path)
+    stm, acc = spark.read.parquet(path), S.dim_accounts(spark, SF)
+    for df, low, high in (
+            (A.monthly_revenue_trend_of(stm, "1996-02"), "1996-02-01", None),
+            (A.expense_categories_of(stm, "1996-02", "1996-12"), "1996-02-01", "1997-01-01"),
+            (A.monthly_trend_overview_of(stm, acc, "1996"), "1996-01-01", "1997-01-01"),
+            (A.annual_report_detail_of(stm, acc, "Eignir", "1996"), "1996-01-01", "1997-01-01"),
+            (LD.load_range(stm, stm, "1996-01-01", "1996-02-01"), "1996-01-01", None)):
+        pushed = plan(df)
+        assert f"GreaterThanOrEqual(transaction_date,{low})" in pushed
+        assert high is None or f"LessThan(transaction_date,{high})" in pushed
+    created = plan(search.account_statement(stm, created_from="1996-01-01", created_to="1996-01-31"))
+    assert "GreaterThanOrEqual(created_at,1996-01-01)" in created
+    assert "LessThan(created_at,1996-02-01)" in created
+
+
+def test_year_over_year_reads_the_lines_once(spark):
+    p = plan(R.year_over_year(S.dim_accounts(spark, SF), S.silver_account_statements(spark, SF),
+                              "1996", "1997"))
+    assert p.count("l_extendedprice") and p.count("lineitem.parquet") == 1
+
+
+def test_date_bounds_prune_month_folders(spark, scratch, whole_filters):
+    from ledgerspark.plans import analytics as A
+    from ledgerspark.sources import sinks
+    path, acc = scratch + "/silver", S.dim_accounts(spark, SF)
+    sinks.write_silver(S.silver_account_statements(spark, SF), path, "transaction_date",
+                       ["account_code"])
+    whole = sinks.read_silver(spark, path)
+
+    def months(df):
+        return " ".join(x.split("]")[0] for x in plan(df).split("PartitionFilters: [")[1:])
+    for low, high, report in (
+            ("1996-01-01", None, lambda s: ledger.gold_account_summary_by_year(s, acc, "1996-01-01")),
+            ("1996-01-01", "1996-12-31", lambda s: A.top_expenses(s, "", "1996", 5)),
+            ("1996-01-01", "1996-12-31", lambda s: R.income_statement(acc, s, "1996")[0])):
+        cut = sinks.read_silver(spark, path, "transaction_date", low, high)
+        assert cut.columns == whole.columns
+        assert "month" in months(report(cut)) and "1996-01" in months(report(cut))
+        assert sorted(report(cut).collect(), key=repr) == sorted(report(whole).collect(), key=repr)
+    odd = sinks.read_silver(spark, path, "transaction_date", "1996-01-15", "1996-03-02")
+    assert odd.count() == whole.where("transaction_date BETWEEN '1996-01-15' AND '1996-03-02'").count()
+
+
+def test_files_follow_bytes(spark):
+    from ledgerspark.sources import sinks
+    mb = 1 << 20
+    assert sinks.file_count(10 * mb, 8) == 2 and sinks.file_count(0, 8) == 1
+    assert sinks.file_count(100 * mb, 8) == 8                  # enough writers, no tiny files
+    assert sinks.file_count(100_000 * mb, 8) == 782
+    small = S.silver_account_statements(spark, SF)
+    assert sinks.planned_bytes(small) < 8 * mb
