@@ -5,18 +5,20 @@ header (columns found by name: Dags, Texti, Upphæð, Staða, Tilvísun), data s
 Row position matters *within* a file, so each file is read whole (``wholetext``), split into
 lines with ``posexplode`` (a deterministic line index) and parsed with ``from_csv``. The
 header-to-position mapping is per file and is applied with ``array_position``; no row ever
-leaves its file's task. Spreadsheet binaries (xlsx) are re-aimed at their CSV exports:
+leaves its file's task. ``large_statement_sheet_source`` gives the same rows from blocks, for files
+that one task can't hold. Spreadsheet binaries (xlsx) are re-aimed at their CSV exports:
 Spark has no Excel reader.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.currency import currency_from_name, currency_hint_from_text
 from ..functions.dates import excel_serial_date, parse_sheet_date
 from ..functions.money import parse_amount_en, parse_amount_is, parse_amount_keep
+from ..operators.loading import staged
 from ..functions.text import account_name_from_text, account_number_from_text, digits_and_dashes
 
 # --- fixed values: sheet layout and header names --------------------------------------------
@@ -70,15 +72,24 @@ def statement_sheet_source(spark: SparkSession, path: str, amount_format: str =
     array *before* the data lines are exploded, so the whole source runs without a shuffle.
     """
     f = _files(spark, path, "*.csv")
-    header = _cells(F.try_element_at("lines", F.lit(HEADER_LINE + 1)))
-    f = f.select("file", "file_name", "lines",
-                 F.try_element_at(_cells(F.try_element_at("lines", F.lit(ACCOUNT_LINE + 1))),
-                                  F.lit(1)).alias("account_line"),
-                 *[F.array_position(header, name).cast("int").alias(f"__p_{key}")
-                   for key, name in (("date", COL_DATE), ("text", COL_TEXT),
-                                     ("amount", COL_AMOUNT), ("balance", COL_BALANCE),
-                                     ("ref", COL_REFERENCE))])
+    f = f.select("file", "file_name", "lines", *_file_facts(
+        F.try_element_at("lines", F.lit(ACCOUNT_LINE + 1)),
+        F.try_element_at("lines", F.lit(HEADER_LINE + 1))))
     rows = f.select("*", F.posexplode("lines").alias("line_no", "line")).drop("lines")
+    return _statement_rows(rows, amount_format, positional)
+
+
+def _file_facts(account_line, header_line) -> list:
+    """What the lines of a file are read by: its account line and the place of each column."""
+    header = _cells(header_line)
+    return [F.try_element_at(_cells(account_line), F.lit(1)).alias("account_line"),
+            *[F.array_position(header, name).cast("int").alias(f"__p_{key}")
+              for key, name in (("date", COL_DATE), ("text", COL_TEXT), ("amount", COL_AMOUNT),
+                                ("balance", COL_BALANCE), ("ref", COL_REFERENCE))]]
+
+
+def _statement_rows(rows: DataFrame, amount_format: str, positional: bool) -> DataFrame:
+    """Numbered lines with the facts of their file to account lines."""
     rows = rows.where((F.col("line_no") >= FIRST_DATA_LINE) & (F.col("line") != ""))
     rows = rows.withColumn("cells", _cells(F.col("line")))
 
@@ -112,6 +123,47 @@ def statement_sheet_source(spark: SparkSession, path: str, amount_format: str =
     return out.where(F.col("date").isNotNull())
 
 
+def numbered_lines(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+    """(file, file_name, line_no, line) of sheets of any size: files are read in blocks, several
+    tasks a file. A line's number is its place in the block plus the lines of the blocks before.
+
+    The lines are stored once with their place: blocks depend on the cluster's size at the moment
+    of reading, so places are only comparable within one reading."""
+    text = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+            .option("lineSep", "\n").text(path))
+    stored = staged(text.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        F.regexp_replace("value", "\r", "").alias("line")), "sheet-lines")
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    blocks = stored.groupBy("file", "block").agg(
+        F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).select(
+        "file", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    return stored.join(_small(blocks), ["file", "block"]).select(
+        "file", "file_name", (F.col("before") + F.col("place") - F.col("first")).cast("int")
+        .alias("line_no"), "line")
+
+
+def _small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """Broadcast where a count shows that it is small; else the join is left to the optimizer."""
+    df = staged(df, "sheet-facts")
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def large_statement_sheet_source(spark: SparkSession, path: str, amount_format: str = "keep",
+                                 positional: bool = False) -> DataFrame:
+    """A9 for sheets that are too large for one task: the rows of ``statement_sheet_source``, read
+    block by block."""
+    lines = numbered_lines(spark, path)
+    at = lambda n: F.max(F.when(F.col("line_no") == n, F.col("line")))          # noqa: E731
+    heads = lines.where(F.col("line_no").isin(ACCOUNT_LINE, HEADER_LINE)).groupBy("file").agg(
+        at(ACCOUNT_LINE).alias("account"), at(HEADER_LINE).alias("header"))
+    facts = heads.select("file", *_file_facts(F.col("account"), F.col("header")))
+    return _statement_rows(lines.join(_small(facts), "file"), amount_format, positional)
+
+
 def sheet_profile_source(spark: SparkSession, path: str, account_cols: list[str],
                          debit_cols: list[str] | None = None,
                          credit_cols: list[str] | None = None) -> DataFrame:

@@ -7,6 +7,8 @@ from decimal import Decimal
 import fixtures
 
 from ledgerspark.sources import api_json as J
+from pyspark.sql import functions as F
+
 from ledgerspark.sources import sheets, sinks
 
 
@@ -50,3 +52,40 @@ def test_export_view(spark, scratch):
     assert got == [1, 4, 7]
     sinks.export_view(df, scratch + "/pq", fmt="parquet")
     assert spark.read.parquet(scratch + "/pq").count() == 20
+
+
+def _sheet_rows(df):
+    return sorted(tuple(str(v) for v in r) for r in df.collect())
+
+
+def test_large_sheets_give_the_same_rows_in_several_tasks(spark, scratch):
+    fixtures.write_sheet_csv(scratch + "/a")
+    lines = ["x", "0101-26-000777 Big account", "", "", "Tilvísun,Dags,Texti,Upphæð,Staða"]
+    lines += [f'r{i},{1 + i % 28:02d}.01.2024,"text, {i}","{i}","{i % 7}"' if i % 50 else ""
+              for i in range(6000)]
+    fixtures.write(scratch + "/a/big.csv", "\r\n".join(lines) + "\r\n")
+    fixtures.write(scratch + "/a/short.csv", "only\nthree\nlines")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        blocks = sheets.numbered_lines(spark, scratch + "/a")
+        got = _sheet_rows(sheets.large_statement_sheet_source(spark, scratch + "/a"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = _sheet_rows(sheets.statement_sheet_source(spark, scratch + "/a"))
+    assert len(want) > 5000 and got == want
+    numbers = blocks.where("file_name = 'big.csv'").groupBy("line_no").count()
+    assert numbers.count() == len(lines) and numbers.where("count > 1").count() == 0
+    parts = blocks.where("file_name = 'big.csv'").select(F.spark_partition_id().alias("p"))
+    assert parts.distinct().count() > 1
+
+
+def test_large_sheets_by_position(spark, scratch):
+    fixtures.write_serial_sheet_csv(scratch)
+    for large, source in ((True, sheets.large_statement_sheet_source),
+                          (False, sheets.statement_sheet_source)):
+        rows = _sheet_rows(source(spark, scratch, amount_format="is", positional=True))
+        first = rows if large else first
+        assert rows == first and rows
