@@ -55,14 +55,15 @@ def fx_rates(spark: SparkSession, rates: dict[str, float] | None = None) -> Data
 
 def fx_to_isk(df: DataFrame, amount_cols: list[str], rates: DataFrame,
               currency_col: str = "currency", suffix: str = "_isk") -> DataFrame:
-    """Add ``<col>_isk`` = col x rate (rate 1 for currencies not in the table).
+    """Add ``<col>_isk`` = col x rate (rate 1 for currencies not in the table). Amounts and
+    rates (six decimals) are multiplied as decimals, so sums of the result are exact.
 
     Rates from ``fx_rates`` are a configuration table whose size was checked against its cap
     and which is marked for broadcast, so the fact side is never shuffled for this lookup.
     """
     r = rates.select(F.col("currency").alias("__fx_cur"), "rate_to_isk")
     out = df.join(r, df[currency_col] == r["__fx_cur"], "left")
-    rate = F.coalesce(F.col("rate_to_isk"), F.lit(1.0))
+    rate = F.coalesce(F.col("rate_to_isk"), F.lit(1.0)).cast("decimal(12,6)")
     for c in amount_cols:
-        out = out.withColumn(c + suffix, F.col(c).cast("double") * rate)
+        out = out.withColumn(c + suffix, (F.col(c).cast("decimal(18,2)") * rate).cast("decimal(28,6)"))
     return out.drop("__fx_cur", "rate_to_isk")

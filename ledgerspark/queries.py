@@ -592,14 +592,24 @@ def q_bank_transactions(spark, d):
     return _c1(spark, d, 100)
 
 
-@register("bank_summary", _C1_SQL + f"""
+_C1_WHOLE_SQL = _C1_SQL.replace(
+    f"WHERE value_date >= DATE '{BANK_FROM}' AND value_date <= DATE '{BANK_TO}'", "").replace(
+    f"WHERE date >= DATE '{BANK_FROM}' AND date <= DATE '{BANK_TO}'", "")
+
+
+def _c1_whole(spark, d):
+    return search.bank_transactions(S.silver_bank_transactions(spark, d),
+                                    S.silver_card_transactions(spark, d))
+
+
+@register("bank_summary", _C1_WHOLE_SQL + f"""
 SELECT COUNT(*) AS total_transactions, {D("COALESCE(SUM(amount), 0)")} AS total_amount,
-       '{BANK_FROM}' AS date_from, '{BANK_TO}' AS date_to FROM tx""")
+       'all' AS date_from, 'all' AS date_to FROM tx""")
 def q_bank_summary(spark, d):
-    return R.bank_summary(_c1(spark, d), BANK_FROM, BANK_TO)[0]
+    return R.bank_summary(_c1_whole(spark, d))[0]
 
 
-@register("bank_summary_accounts", _C1_SQL + f"""
+@register("bank_summary_accounts", _C1_WHOLE_SQL + f"""
 , newest AS (
   SELECT *, row_number() OVER (PARTITION BY account_number
                                ORDER BY date DESC, account_type, currency) AS k FROM tx)
@@ -608,7 +618,7 @@ SELECT account_number, MIN(account_type) FILTER (WHERE k = 1) AS account_type,
        MIN(currency) FILTER (WHERE k = 1) AS currency
 FROM newest GROUP BY account_number""")
 def q_bank_summary_accounts(spark, d):
-    return R.bank_summary(_c1(spark, d), BANK_FROM, BANK_TO)[1]
+    return R.bank_summary(_c1_whole(spark, d))[1]
 
 
 _INV_COLS = ("invoice_id, invoice_number, customer_id, status, currency, {0}, "
@@ -1509,4 +1519,4 @@ def q_fact_txn(spark, d):
                     F.col("sign").cast("double").alias("sign"), "month", "report_amount")
 
 
-from . import queries_loads  # noqa: E402,F401  (registers the loads that write tables)
+from . import queries_loads, queries_sources  # noqa: E402,F401  (they register more queries)
