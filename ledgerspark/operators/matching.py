@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import config_table
+from ..config import MAX_CONFIG_ROWS, config_table
 from ..operators.loading import staged
 from ..operators.search import UUID_RE
 from ..session import scratch_path
@@ -142,6 +142,20 @@ def default_account_groups(spark: SparkSession) -> DataFrame:
     return config_table(spark, default_account_group_rows(), GROUPS_SCHEMA)
 
 
+def account_groups_from_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The reporting groups of a CSV file with the columns of ``GROUPS_SCHEMA`` as its header;
+    a blank subtype means every subtype, a row without a valid statement or sign is an error."""
+    rows = spark.read.option("header", True).option("mode", "FAILFAST").schema(GROUPS_SCHEMA).csv(path)
+    rows = rows.select(*[F.nullif(F.trim(c), F.lit("")).alias(c) if t == "string" else F.col(c)
+                         for c, t in rows.dtypes])
+    limit = MAX_CONFIG_ROWS + 1
+    listed = [tuple(r) for r in rows.limit(limit).collect()]        # configuration, checked here
+    bad = [r for r in listed if r[0] is None or r[4] not in ("PL", "BS") or r[5] not in (-1, 1)]
+    if bad:
+        raise ValueError(f"account groups need a type, PL or BS and a sign of 1 or -1: {bad[:3]}")
+    return config_table(spark, listed, GROUPS_SCHEMA) if len(listed) < limit else rows
+
+
 GROUPS_SCHEMA = ("acct_type string, acct_subtype string, report_group string, "
                  "report_subgroup string, statement string, sign int")
 
