@@ -12,7 +12,7 @@ text without ``<`` is never changed.
 
 The loss mask is ``loss_spans``: half-open ranges of UTF-8 bytes of the formatted text, one for
 each turn of a role that is trained on, its escaped text without any marker. Byte offsets make
-cutting a span cost its own length. Offsets are prefix sums in two levels (of ``CHUNK`` turns), so
+cutting a span cost its own length. Offsets are prefix sums in two levels (``common.sums_before``), so
 the work grows in proportion to the turns of a conversation, not with their square.
 
 Defined results: null roles and texts are empty; rows of a conversation are ordered by turn (null
@@ -24,18 +24,16 @@ none is cut.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import let, sums_before
+
 #: The markers of the template.
 TURN, TEXT, MORE, END = "<|turn|>", "<|text|>", "<|more|>", "<|end|>\n"
 
-#: Turns in a chunk of the prefix sums.
-CHUNK = 128
-
-
 def escaped(c: Column) -> Column:
     return F.regexp_replace(c, r"<(\\*)\|", r"<\\$1|")
 
@@ -44,31 +42,6 @@ def unescaped(c: Column) -> Column:
     return F.regexp_replace(c, r"<\\(\\*)\|", "<$1|")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, also when ``body`` uses it inside lambdas."""
-    return F.transform(F.array(value), body)[0]
-
-
-def sums_before(numbers: Column) -> Column:
-    """For each element of an array of longs the sum of all elements before it."""
-    def chunk(k: Column) -> Column:
-        return F.slice(numbers, k * CHUNK + 1, CHUNK)
-
-    def total(a: Column) -> Column:
-        return F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
-
-    last = F.floor((F.size(numbers) - 1) / CHUNK).cast("int")
-    # one entry a chunk, so the copies that appending makes are few
-    starts = F.aggregate(
-        F.sequence(F.lit(0), last), F.array(F.lit(0).cast("long")),
-        lambda s, k: F.concat(s, F.array(F.element_at(s, -1) + total(chunk(k)))))
-    inside = lambda i: F.pmod(i, F.lit(CHUNK))                                # noqa: E731
-    sums = let(starts, lambda s: F.transform(numbers, lambda _, i: F.get(
-        s, F.floor(i / CHUNK).cast("int")) + total(
-            F.slice(numbers, i - inside(i) + 1, inside(i)))))
-    return F.when(F.size(numbers) > 0, sums).otherwise(F.array().cast("array<bigint>"))
-
-
 def _blocks(turns: Column) -> Column:
     """Sorted turns (role, text, opens) to one struct (role, texts) a run of one role."""
     def of(opening: Column) -> Column:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +29,34 @@ def by_value(module: str) -> None:
 by_value(__name__)
 
 
+_CACHES = "_ledgerspark_"
+
+
+def give_back() -> None:
+    """Return memory that a Python worker has freed to the system. Workers stay alive between
+    stages, beside the JVM and each other, so what one keeps is missing elsewhere."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)          # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
+def release_caches(but: str | None = None) -> None:
+    """Drop the caches of a Python worker. Workers outlive stages, so a stage that begins takes
+    the memory of the caches that earlier ones left."""
+    others = [m for m in sys.modules if m.startswith(_CACHES) and m != f"{_CACHES}{but}"]
+    for m in others:
+        del sys.modules[m]
+    if others:
+        gc.collect()
+        give_back()
+
+
 def worker_cache(name: str) -> types.ModuleType:
-    """A namespace that lives as long as the Python worker, for caches that outlast one task."""
-    return sys.modules.setdefault(f"_ledgerspark_{name}", types.ModuleType(name))
+    """A namespace that lives as long as the Python worker, for caches that outlast one task. A
+    worker keeps one of them: those of other names are dropped."""
+    release_caches(but=name)
+    return sys.modules.setdefault(f"{_CACHES}{name}", types.ModuleType(name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,3 +88,35 @@ def total_bytes(df: DataFrame, column: str) -> int:
 def hash_mod(doc_id: str, divisor: int) -> Column:
     """crc32 of the id written as text, modulo ``divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+#: Elements in a chunk of ``sums_before``.
+CHUNK = 128
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also when ``body`` uses it inside lambdas."""
+    return F.transform(F.array(value), body)[0]
+
+
+def sums_before(numbers: Column) -> Column:
+    """For each element of an array of longs the sum of all elements before it, with work in
+    proportion to its length."""
+    def total(a: Column) -> Column:
+        return F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)
+
+    def of(numbers: Column) -> Column:
+        last = F.floor((F.size(numbers) - 1) / CHUNK).cast("int")
+        # one entry a chunk, so the copies that appending makes are few
+        starts = F.aggregate(
+            F.sequence(F.lit(0), last), F.array(F.lit(0).cast("long")),
+            lambda s, k: F.concat(s, F.array(F.element_at(s, -1)
+                                             + total(F.slice(numbers, k * CHUNK + 1, CHUNK)))))
+        inside = lambda i: F.pmod(i, F.lit(CHUNK))                                # noqa: E731
+        return let(starts, lambda s: F.transform(numbers, lambda _, i: F.get(
+            s, F.floor(i / CHUNK).cast("int")) + total(
+                F.slice(numbers, i - inside(i) + 1, inside(i)))))
+
+    # bound first: inside lambdas an expression would be computed for every element
+    return let(numbers, lambda n: F.when(F.size(n) > 0, of(n))
+               .otherwise(F.array().cast("array<bigint>")))

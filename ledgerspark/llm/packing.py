@@ -30,6 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +41,9 @@ from .common import worker_cache
 common.by_value(__name__)
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-CACHE_WORDS = 400_000            # entries before a worker's cache starts anew
+CACHE_WORDS = 400_000            # units in a worker's cache
 CACHED_LENGTH = 48               # longer words are not kept
+CHUNK_BYTES = 4 << 20            # text that is encoded at once
 NODE_TRIES = 50                  # tries in the enumeration of fillings for each node
 
 
@@ -56,57 +58,96 @@ def _tokenizer(definition: str):
         ends = np.zeros(tokenizer.get_vocab_size(), bool)
         for token, i in tokenizer.get_vocab().items():
             ends[i] = token.endswith("</w>")
-        store[key] = (tokenizer, ends, {})
+        store[key] = (tokenizer, ends, _Cache())
     return store[key]
 
 
-def _letters(word: bytes) -> bool:
-    """Whether a word is letters only, also in lower case: such a word is one unit of the
-    tokenizer, and exactly its last id ends a unit."""
-    text = word.decode()
-    return text.isalpha() and text.lower().isalpha()
+def _letters(unit: str) -> bool:
+    """Whether a unit is letters only, also in lower case: such a unit is one word of the
+    tokenizer, and exactly its last id ends a word."""
+    return unit.isalpha() and unit.lower().isalpha()
 
 
-def _add_words(words: list[bytes], tokenizer, ends: np.ndarray, into: dict) -> None:
-    """Ids of each word. Words of letters are encoded together, which saves a call for each, and
-    parted again where a unit ends; a full stop or comma after a word is a unit of its own."""
-    parts = {w: (w[:-1], w[-1:]) if w[-1:] in b".," and len(w) > 1 and w[-2:-1].isalnum()
-             else (w,) for w in words}
-    units = list({p for ps in parts.values() for p in ps})
+def _ids_of(units: list[str], tokenizer, ends: np.ndarray, into: dict) -> None:
+    """Ids of each unit as bytes. Units of letters are encoded together, which saves a call for
+    each, and parted again where a word ends."""
     plain = [u for u in units if _letters(u)]
-    ids: dict[bytes, bytes] = {}
     for lo in range(0, len(plain), 1000):
         group = plain[lo:lo + 1000]
-        flat = np.array(tokenizer.encode(" ".join([u.decode() for u in group]),
-                                         add_special_tokens=False).ids, "<u4")
+        flat = np.array(tokenizer.encode(" ".join(group), add_special_tokens=False).ids, "<u4")
         cuts = np.flatnonzero(ends[flat]) + 1
         if len(cuts) == len(group):
-            at = 0
-            for u, cut in zip(group, cuts.tolist()):
-                ids[u] = flat[at:cut].tobytes()
+            data, at = flat.tobytes(), 0
+            for u, cut in zip(group, (4 * cuts).tolist()):
+                into[u] = data[at:cut]
                 at = cut
-    rest = [u for u in units if u not in ids]
-    for u, e in zip(rest, tokenizer.encode_batch_fast([u.decode() for u in rest],
-                                                      add_special_tokens=False)):
-        ids[u] = np.array(e.ids, "<u4").tobytes()
-    for w, ps in parts.items():
-        into[w] = ids[ps[0]] if len(ps) == 1 else ids[ps[0]] + ids[ps[1]]
-
-
-def _encode(texts: list[bytes], tokenizer, ends: np.ndarray, cache: dict) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers."""
-    split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-    missing = [w for w in set().union(*split) if w not in cache]
-    if len(cache) + len(missing) > CACHE_WORDS:
-        cache.clear()
-        missing = list(set().union(*split))
-    long: dict[bytes, bytes] = {}
-    if missing:
-        _add_words([w for w in missing if len(w) <= CACHED_LENGTH], tokenizer, ends, cache)
-        _add_words([w for w in missing if len(w) > CACHED_LENGTH], tokenizer, ends, long)
-    if long:
-        return [b"".join([long[w] if w in long else cache[w] for w in words]) for words in split]
-    return [b"".join(map(cache.__getitem__, words)) for words in split]
+    rest = [u for u in units if u not in into]
+    for u, e in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+        into[u] = np.array(e.ids, "<u4").tobytes()
+
+
+def _units(texts: pa.Array) -> pa.ListArray:
+    """The units of each text: words between ASCII white space, A-Z in lower case (the tokenizer
+    does the same) unless a special token may be there. A full stop or comma that ends a word
+    after a letter or digit is a unit of its own."""
+    texts = pc.fill_null(texts, "")
+    lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+    parted = pc.replace_substring_regex(lower, r"([A-Za-z0-9])([.,])([\t-\r ]|$)", r"\1 \2\3")
+    return pc.ascii_split_whitespace(parted)
+
+
+class _Cache:
+    """Ids of units, those not used lately leave: when the younger half is full it becomes the older
+    one, and units found there move back."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def look_up(self, units: list[str], tokenizer, ends: np.ndarray) -> list[bytes]:
+        """Ids of distinct units."""
+        young, old = self.young, self.old
+        missing = [u for u in units if u not in young]
+        back = [u for u in missing if u in old]
+        young.update((u, old[u]) for u in back)
+        if back:
+            missing = [u for u in missing if u not in old]
+        long: dict[str, bytes] = {}
+        if missing:
+            _ids_of([u for u in missing if len(u) <= CACHED_LENGTH], tokenizer, ends, young)
+            _ids_of([u for u in missing if len(u) > CACHED_LENGTH], tokenizer, ends, long)
+        found = [young[u] if u in young else long[u] for u in units]
+        if len(young) > CACHE_WORDS // 2:
+            self.young, self.old = {}, young
+        return found
+
+
+def _encode(texts: pa.Array, tokenizer, ends: np.ndarray,
+            cache: _Cache) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row, and where each text begins (one entry more than texts). Each
+    distinct unit is looked up once; the ids are then gathered by the numbers of the units."""
+    listed = _units(texts)
+    coded = listed.flatten().dictionary_encode()
+    found = cache.look_up(coded.dictionary.to_pylist(), tokenizer, ends)
+    size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    flat = np.frombuffer(b"".join(found), "<u4")
+    begin = np.cumsum(size) - size
+    unit = coded.indices.to_numpy()
+    n = size[unit]
+    stop = np.cumsum(n)
+    at = np.repeat((begin[unit] - stop + n), n) + np.arange(stop[-1] if len(stop) else 0)
+    words = listed.offsets.to_numpy()
+    return flat[at], np.concatenate(([0], stop))[words - words[0]]
+
+
+def _chunks(texts: pa.Array, most: int):
+    """Row ranges of about ``most`` bytes of text, at least one row each."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    lo = 0
+    while lo < len(size):
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(size[lo:lo + 10_000]), most)))
+        yield lo, min(hi, len(size))
+        lo = hi
 
 
 def pieces(docs: DataFrame, definition: str, limit: int = 2048, end_id: int = 0) -> DataFrame:
@@ -118,12 +159,11 @@ def pieces(docs: DataFrame, definition: str, limit: int = 2048, end_id: int = 0)
         tokenizer, ends, cache = _tokenizer(definition)
         for b in batches:
             ids, texts = b.column(0), b.column(1)
-            for lo in range(0, b.num_rows, 500):
-                part = [t.as_py().encode() if t.is_valid else b"" for t in texts[lo:lo + 500]]
-                encoded = _encode(part, tokenizer, ends, cache)
+            for lo, hi in _chunks(texts, CHUNK_BYTES):
+                flat, bounds = _encode(texts[lo:hi], tokenizer, ends, cache)
                 out = []
-                for i, data in enumerate(encoded):
-                    data += end
+                for i in range(hi - lo):
+                    data = flat[bounds[i]:bounds[i + 1]].tobytes() + end
                     n = len(data) // 4
                     for k, s in enumerate(range(0, n, limit)):
                         piece = data[4 * s:4 * (s + limit)]
@@ -133,6 +173,7 @@ def pieces(docs: DataFrame, definition: str, limit: int = 2048, end_id: int = 0)
                     [ids.take(pa.array(row)), pa.array(k, pa.int32()), pa.array(s, pa.int64()),
                      pa.array(n, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            common.give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 

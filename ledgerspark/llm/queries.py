@@ -187,12 +187,12 @@ def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   "conv_id long, turn long, role string, text string")
     formatted = chat_format.format_conversations(conversations.unionByName(added))
     read = formatted.select(
-        "conv_id", chat_format.let(chat_format.turns_of(F.col("formatted")), lambda t: F.struct(
+        "conv_id", common.let(chat_format.turns_of(F.col("formatted")), lambda t: F.struct(
             F.size(t).cast("long").alias("n_turns"),
             F.sha2(F.array_join(F.transform(t, lambda x: F.concat(
                 x["role"], F.lit("\n"), x["text"], F.lit("\n"))), ""), 256).alias("turns_sha256")))
         .alias("turns"),
-        chat_format.let(F.array_join(chat_format.loss_texts(
+        common.let(F.array_join(chat_format.loss_texts(
             F.col("formatted"), F.col("loss_spans")), ""), lambda t: F.struct(
                 F.length(t).cast("long").alias("loss_chars"),
                 F.sha2(t, 256).alias("loss_sha256"))).alias("loss"),

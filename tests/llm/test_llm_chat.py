@@ -4,6 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from ledgerspark.llm import chat_format as C
+from ledgerspark.llm import common
 from ledgerspark.llm.queries import CONTROL_TEXT, OP11_SQL
 
 SCHEMA = "conv_id long, turn long, role string, text string, rows int, formatted string"
@@ -120,11 +121,11 @@ def test_empty_table(spark):
 
 
 def test_sums_before(spark):
-    for n in (0, 1, C.CHUNK - 1, C.CHUNK, C.CHUNK + 1, 5 * C.CHUNK + 3):
+    for n in (0, 1, common.CHUNK - 1, common.CHUNK, common.CHUNK + 1, 5 * common.CHUNK + 3):
         a = list(range(n))
         df = spark.createDataFrame([(a,)], "a array<long>")
         want = [sum(a[:i]) for i in range(n)]
-        assert df.select(C.sums_before(F.col("a")).alias("s")).first().s == want
+        assert df.select(common.sums_before(F.col("a")).alias("s")).first().s == want
 
 
 def test_query_on_control_strings_matches_sql(spark, scratch):

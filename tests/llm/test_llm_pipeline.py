@@ -35,4 +35,4 @@ def test_awkward_documents_pass_every_stage(spark):
 
 def test_registered():
     assert set(REGISTRY) <= set(E.queries())
-    assert len(REGISTRY) == 11 and os.path.exists(corpus_pipeline.__file__)
+    assert len(REGISTRY) == 14 and os.path.exists(corpus_pipeline.__file__)
