@@ -3,7 +3,9 @@
 ``write_arc`` packs pages into ARC files of version 1 or 2, ``convert`` turns ARC files into WARC
 files, ``read_warc`` reads WARC files back. Archives are real gzip files in a folder that all
 executors share; Spark writes and reads them (text writer, binary file reader), Python only builds
-and parses records.
+and parses records. Records are bytes throughout, so payloads in any encoding stay as they are. An
+archive is cut by records and by bytes (``ARCHIVE_BYTES``); reading decompresses piece by piece and
+holds one record beside the compressed file.
 
 Converting: the version block of an ARC file (``filedesc://``) says which header line its records
 have (version 1: five fields; version 2: ten); the last field is the declared length, by which the
@@ -12,7 +14,8 @@ parser steps from record to record. Each record becomes a WARC/1.1 record with
 * WARC-Record-ID: a name-based UUID of archive, offset and target, the same in every attempt;
 * WARC-Date: the 14-digit (or shorter) ARC date in ISO form;
 * WARC-Type: ``response``, or ``revisit`` (identical-payload-digest) where an equal payload of at
-  least ``least`` bytes is kept elsewhere; version blocks become ``warcinfo``;
+  least ``least`` bytes is kept elsewhere; records that are no HTTP responses (DNS, FTP) become
+  ``resource``, version blocks ``warcinfo``;
 * WARC-Payload-Digest and WARC-Block-Digest: SHA-1 in base 32.
 
 Of records with equal payloads the one with the largest page id is the response (a null id is
@@ -23,17 +26,17 @@ no large task.
 
 Defined results: a null payload is empty; null URLs become ``about:blank``, blanks and control
 characters in URLs are percent-encoded; repeated pages are records of their own; very long pages
-are whole; a damaged archive gives the records before the damage and one row with ``error``; no
-pages give no rows.
+are whole; an archive that is damaged, cut off or not to be decompressed gives the records before
+the damage and one row with ``error``; no pages give no rows.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,13 +49,19 @@ from . import common
 common.by_value(__name__)
 
 RECORDS_PER_ARCHIVE = 1000
+ARCHIVE_BYTES = 16 << 20             # a new archive is begun beyond
+PIECE = 1 << 18                      # compressed bytes that are decompressed at a time
+LONGEST_LINE = 1 << 20               # of a header line
 # Fixed header lines of the two ARC versions.
 ARC_FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length",
               2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset "
                  "Filename Archive-length"}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+# The same lines read: URL, address, date, content type, (version 2: further fields,) length.
+ARC_LINE = {1: re.compile(r"(.*) (\S+) ([0-9]{4,14}) (.*) ([0-9]+)"),
+            2: re.compile(r"(.*) (\S+) ([0-9]{4,14}) (.*) \S+ \S+ \S+ \S+ \S+ ([0-9]+)")}
 DIGESTS = "archive string, offset long, record_id string, page_id long, digest string, " \
-          "payload_bytes long, target string, date string, error string"
+          "payload_bytes long, target string, date string, http boolean, error string"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, " \
           "refers_to long, record_id string, date string, error string"
 
@@ -64,73 +73,183 @@ def _target(url: str | None) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "") or "about:blank"
 
 
-def _version_block(version: int, name: str, date: str) -> str:
+def _version_block(version: int, name: str, date: str) -> bytes:
     body = f"{version} 0 archive\n{ARC_FIELDS[version]}\n"
     head = f"filedesc://{name} 0.0.0.0 {date} text/plain"
     middle = "" if version == 1 else f" 200 - - 0 {name}"
-    return f"{head}{middle} {len(body)}\n{body}"
+    return f"{head}{middle} {len(body)}\n{body}".encode()
 
 
-def _arc_record(version: int, name: str, date: str, target: str, content: str) -> str:
-    size = len(content.encode())
-    middle = "" if version == 1 else \
-        f" 200 {hashlib.sha1(content.encode()).hexdigest()} - 0 {name}"
-    return f"{target} 0.0.0.0 {date} text/html{middle} {size}\n{content}"
+def _arc_record(version: int, name: str, date: str, target: str, content: bytes) -> bytes:
+    middle = "" if version == 1 else f" 200 {hashlib.sha1(content).hexdigest()} - 0 {name}"
+    return f"{target} 0.0.0.0 {date} text/html{middle} {len(content)}\n".encode() + content
+
+
+class _Filler:
+    """Records gathered to archives of bounded size; an archive is one row and one file."""
+
+    def __init__(self, between: bytes):
+        self.between, self.records, self.size = between, [], 0
+
+    def full(self) -> bool:
+        return len(self.records) > RECORDS_PER_ARCHIVE or self.size >= ARCHIVE_BYTES
+
+    def add(self, record: bytes) -> None:
+        self.records.append(record)
+        self.size += len(record)
+
+    def batch(self) -> pa.RecordBatch:
+        whole = self.between.join(self.records)
+        self.records, self.size = [], 0
+        return pa.RecordBatch.from_arrays([pa.array([whole], pa.binary())], names=["value"])
+
+
+def _write(rows: DataFrame, path: str, ending: str) -> None:
+    """Each row (bytes) as a gzip file of its own; the text writer puts bytes out as they are."""
+    (rows.select(F.col("value").cast("string")).write.option("compression", "gzip")
+     .option("zlib.compress.level", "BEST_SPEED").option("lineSep", ending)
+     .option("maxRecordsPerFile", 1).text(path))
 
 
 def write_arc(pages: DataFrame, path: str, date: str = "20240101000000") -> None:
-    """ARC files of at most ``RECORDS_PER_ARCHIVE`` pages (page_id, url, html); versions 1 and 2
-    take turns."""
+    """ARC files of at most ``RECORDS_PER_ARCHIVE`` pages (page_id, url, html) and about
+    ``ARCHIVE_BYTES``; versions 1 and 2 take turns."""
     def run(batches):
         from pyspark import TaskContext
-        part, made, name, version = TaskContext.get().partitionId(), 0, "", 1
+        part, number, name, version = TaskContext.get().partitionId(), 0, "", 1
+        arc = _Filler(b"\n")
         for b in batches:
-            out = []
-            for page_id, url, html in zip(*(c.to_pylist() for c in b.columns)):
-                if made % RECORDS_PER_ARCHIVE == 0:
-                    number = made // RECORDS_PER_ARCHIVE
+            for page_id, url, html in zip(*b.columns):
+                if not arc.records:
                     version, name = 1 + (part + number) % 2, f"pages-{part}-{number}.arc"
-                    out.append(_version_block(version, name, date))
-                made += 1
-                body = html or ""
+                    number += 1
+                    arc.add(_version_block(version, name, date))
+                body = (html.as_py() or "").encode()
+                number_of = "-" if page_id.as_py() is None else page_id.as_py()
                 content = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-                           f"X-Page-Id: {'-' if page_id is None else page_id}\r\n"
-                           f"Content-Length: {len(body.encode())}\r\n\r\n{body}")
-                out.append(_arc_record(version, name, date, _target(url), content))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+                           f"X-Page-Id: {number_of}\r\n"
+                           f"Content-Length: {len(body)}\r\n\r\n").encode() + body
+                arc.add(_arc_record(version, name, date, _target(url.as_py()), content))
+                if arc.full():
+                    yield arc.batch()
+        if arc.records:
+            yield arc.batch()
 
-    (pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, "value string")
-     .write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
-     .option("lineSep", "\n").option("maxRecordsPerFile", RECORDS_PER_ARCHIVE + 1).text(path))
+    _write(pages.select(F.col("page_id").cast("long"), "url", "html")
+           .mapInArrow(run, "value binary"), path, "\n")
 
 
 class Damaged(ValueError):
     """An archive that cannot be parsed further."""
 
 
+class _Reader:
+    """The content of an archive from front to back, gzip of any number of members or plain."""
+
+    def __init__(self, data: bytes):
+        self.data, self.at = memoryview(data), 0        # compressed bytes, read so far
+        self.gzip = bytes(self.data[:2]) == b"\x1f\x8b"
+        self.inflate = None
+        self.rest = bytearray()                          # decompressed, not yet taken
+        self.offset = 0                                  # of rest within the content
+        self.broken = None
+
+    def _more(self) -> bool:
+        """Some more content; False at the end or where it can't be decompressed."""
+        if self.broken or self.at >= len(self.data):
+            if self.inflate is not None and not self.broken:
+                self.broken = "cut off within gzip data"
+            return False
+        piece = self.data[self.at:self.at + PIECE]
+        self.at += len(piece)
+        if not self.gzip:
+            self.rest += piece
+            return True
+        self.inflate = self.inflate or zlib.decompressobj(31)
+        again = self.inflate.copy()
+        try:
+            self.rest += self.inflate.decompress(piece)
+        except zlib.error:
+            return self._salvage(again, piece)
+        if self.inflate.eof:                             # a member ends; blanks may pad the file
+            self.at -= len(self.inflate.unused_data)
+            self.inflate = None
+            if not bytes(self.data[self.at:self.at + PIECE]).strip(b"\0"):
+                self.at = len(self.data)
+        return True
+
+    def _salvage(self, inflate, piece) -> bool:
+        """The content of a broken piece up to a few bytes before the damage."""
+        n = len(self.rest)
+        try:
+            for at in range(0, len(piece), 32):
+                self.rest += inflate.decompress(piece[at:at + 32])
+        except zlib.error as e:
+            self.broken = str(e)
+        return len(self.rest) > n
+
+    def fill(self, n: int) -> bool:
+        """Whether ``n`` bytes are there."""
+        while len(self.rest) < n:
+            if not self._more():
+                return False
+        return True
+
+    def until(self, mark: bytes) -> bytes | None:
+        """What stands before ``mark``, which is taken too; None without it."""
+        seen = 0
+        while (end := self.rest.find(mark, seen)) < 0:
+            seen = max(0, len(self.rest) - len(mark) + 1)
+            if seen > LONGEST_LINE or not self._more():
+                return None
+        out = bytes(self.rest[:end])
+        self.skip(end + len(mark))
+        return out
+
+    def take(self, n: int) -> bytes:
+        out = bytes(self.rest[:n])
+        self.skip(len(out))
+        return out
+
+    def skip(self, n: int) -> None:
+        del self.rest[:n]
+        self.offset += n
+
+    def damaged(self, what: str) -> Damaged:
+        return Damaged(f"{what} at byte {self.offset}" + (f": {self.broken}" if self.broken else ""))
+
+
 def _arc_records(data: bytes):
-    """(version, offset, header fields, content) of each record, by declared lengths."""
-    at, version = 0, None
-    while at < len(data):
-        end = data.find(b"\n", at)
-        fields = data[at:end].decode(errors="replace").split(" ") if end >= 0 else []
-        about = bool(fields) and fields[0].startswith("filedesc://")
-        expected = len(fields) if about else len(ARC_FIELDS[version].split()) if version else 0
-        if not fields or len(fields) != expected or not fields[-1].isdigit():
-            raise Damaged(f"no record header at byte {at}")
-        size = int(fields[-1])
-        content = data[end + 1:end + 1 + size]
-        if len(content) < size:
-            raise Damaged(f"record at byte {at} is shorter than declared")
+    """(version, offset, [URL, address, date, content type], content) of each record, by declared
+    lengths."""
+    reader, version = _Reader(data), None
+    while True:
+        while reader.fill(1) and reader.rest[:1] in (b"\n", b"\r"):    # blank lines between records
+            reader.skip(1)
+        at = reader.offset
+        if not reader.fill(1):
+            if reader.broken:
+                raise reader.damaged("no more data")
+            return
+        line = reader.until(b"\n")
+        text = (line or b"").decode(errors="replace").rstrip("\r")
+        about = text.startswith("filedesc://")
+        found = None
+        for v in (1, 2) if about else (version,):
+            # which of the two lines a version block has is told by the block itself
+            found = found or (ARC_LINE[v].fullmatch(text) if v else None)
+        if not found:
+            raise reader.damaged(f"no record header at byte {at}, read on")
+        size = int(found[5])
+        if not reader.fill(size):
+            raise reader.damaged(f"record at byte {at} is shorter than declared, read on")
+        content = reader.take(size)
         if about:
             first = content.split(b" ", 1)[0]
             if first not in (b"1", b"2"):
                 raise Damaged(f"unknown version at byte {at}")
             version = int(first)
-        yield version, at, fields, content
-        at = end + 1 + size
-        while data[at:at + 1] == b"\n":                 # blank lines between records
-            at += 1
+        yield version, at, [found[k] for k in (1, 2, 3, 4)], content
 
 
 def _http(content: bytes) -> tuple[bytes, dict[str, str], bytes]:
@@ -179,28 +298,28 @@ def _digests(archives: DataFrame) -> DataFrame:
             for path, content in zip(b.column(0), b.column(1)):
                 name, rows = _archive_name(path.as_py()), []
                 try:
-                    for _, at, fields, block in _arc_records(gzip.decompress(content.as_py())):
+                    for _, at, fields, block in _arc_records(content.as_py()):
                         if fields[0].startswith("filedesc://"):
                             continue
-                        _, http, body = _http(block)
+                        head, http, body = _http(block)
                         rows.append((name, at, _record_id(name, at, fields[0]), _page(http),
                                      hashlib.sha1(body).hexdigest(), len(body), fields[0],
-                                     _iso(fields[2]), None))
-                except (Damaged, OSError, EOFError) as e:
-                    rows.append((name, None, None, None, None, None, None, None, str(e)))
-                cols = list(zip(*rows)) or [()] * 9
+                                     _iso(fields[2]), bool(head), None))
+                except Damaged as e:
+                    rows.append((name, *[None] * 8, str(e)))
+                cols = list(zip(*rows)) or [()] * 10
                 types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(),
-                         pa.int64(), pa.string(), pa.string(), pa.string()]
+                         pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.string()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, types)],
                     names=["archive", "offset", "record_id", "page_id", "digest",
-                           "payload_bytes", "target", "date", "error"])
+                           "payload_bytes", "target", "date", "http", "error"])
     return archives.mapInArrow(run, DIGESTS)
 
 
 def _revisits(digests: DataFrame, least: int) -> DataFrame:
     """Per archive: (offset, response's record id, page id, target, date) of its revisits."""
-    d = digests.where((F.col("payload_bytes") >= least) & F.col("error").isNull())
+    d = digests.where((F.col("payload_bytes") >= least) & F.col("error").isNull() & F.col("http"))
     order = F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "record_id")
     kept = d.groupBy("digest", "payload_bytes").agg(
         F.count("*").alias("copies"),
@@ -214,9 +333,9 @@ def _revisits(digests: DataFrame, least: int) -> DataFrame:
 
 # -- WARC ---------------------------------------------------------------------------------------
 
-def _warc_record(fields: list[tuple[str, str]], block: str) -> str:
+def _warc_record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     head = "".join(f"{k}: {v}\r\n" for k, v in fields)
-    return f"WARC/1.1\r\n{head}Content-Length: {len(block.encode())}\r\n\r\n{block}"
+    return f"WARC/1.1\r\n{head}Content-Length: {len(block)}\r\n\r\n".encode() + block
 
 
 def _converted(name: str, data: bytes, revisits: dict):
@@ -227,28 +346,28 @@ def _converted(name: str, data: bytes, revisits: dict):
         if target.startswith("filedesc://"):
             yield _warc_record([("WARC-Type", "warcinfo"), *base, ("WARC-Filename", name),
                                 ("Content-Type", "application/warc-fields")],
-                               f"software: converted from ARC version {version}\r\n")
+                               f"software: converted from ARC version {version}\r\n".encode())
             continue
         head, _, body = _http(block)
-        common_fields = [*base, ("WARC-Target-URI", target), ("WARC-IP-Address", fields[1]),
+        common_fields = [*base, ("WARC-Target-URI", _target(target)), ("WARC-IP-Address", fields[1]),
                          ("Content-Type", "application/http;msgtype=response" if head
                           else fields[3]), ("WARC-Payload-Digest", _base32(body))]
         to = revisits.get(at)
         if to is None:
-            yield _warc_record([("WARC-Type", "response"), *common_fields,
-                                ("WARC-Block-Digest", _base32(block))], block.decode())
+            yield _warc_record([("WARC-Type", "response" if head else "resource"), *common_fields,
+                                ("WARC-Block-Digest", _base32(block))], block)
         else:
             page = [] if to["page_id"] is None else [("X-Refers-To-Page-Id", to["page_id"])]
             yield _warc_record([("WARC-Type", "revisit"), *common_fields,
                                 ("WARC-Profile", REVISIT_PROFILE),
                                 ("WARC-Refers-To", f"<{to['record_id']}>"),
-                                ("WARC-Refers-To-Target-URI", to["target"]),
+                                ("WARC-Refers-To-Target-URI", _target(to["target"])),
                                 ("WARC-Refers-To-Date", to["date"]), *page,
-                                ("WARC-Block-Digest", _base32(head))], head.decode())
+                                ("WARC-Block-Digest", _base32(head))], head)
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = 1000) -> None:
-    """WARC files in ``warc_path`` from the ARC files (gzip) in ``arc_path``."""
+    """WARC files in ``warc_path`` from the ARC files (gzip or plain) in ``arc_path``."""
     revisits = _revisits(common.stored(_digests(_archives(spark, arc_path)), "arc-digests"), least)
     archives = _archives(spark, arc_path).withColumn(
         "archive", F.element_at(F.split("path", "/"), -1))
@@ -258,58 +377,60 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = 100
         for b in batches:
             for name, content, again in zip(*b.columns):
                 own = {r["offset"]: r for r in again.as_py() or []}
-                out = []
+                warc = _Filler(b"\r\n\r\n")
                 try:
-                    for record in _converted(name.as_py(), gzip.decompress(content.as_py()), own):
-                        out.append(record)
-                        if len(out) == 200:
-                            yield pa.RecordBatch.from_arrays([pa.array(out)], names=["value"])
-                            out = []
-                except (Damaged, OSError, EOFError) as e:
-                    out.append(_warc_record(
+                    for record in _converted(name.as_py(), content.as_py(), own):
+                        warc.add(record)
+                        if warc.full():
+                            yield warc.batch()
+                except Damaged as e:
+                    warc.add(_warc_record(
                         [("WARC-Type", "metadata"), ("WARC-Filename", name.as_py()),
-                         ("Content-Type", "text/plain")], f"damaged archive: {e}"))
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+                         ("Content-Type", "text/plain")], f"damaged archive: {e}".encode()))
+                if warc.records:
+                    yield warc.batch()
 
-    (both.mapInArrow(run, "value string").write.option("compression", "gzip")
-     .option("zlib.compress.level", "BEST_SPEED").option("lineSep", "\r\n\r\n")
-     .option("maxRecordsPerFile", RECORDS_PER_ARCHIVE + 1).text(warc_path))
+    _write(both.mapInArrow(run, "value binary"), warc_path, "\r\n\r\n")
 
 
 def _warc_records(data: bytes):
     """(header fields, block) of each record, by declared lengths."""
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        lines = data[at:end].decode(errors="replace").split("\r\n") if end >= 0 else [""]
+    reader = _Reader(data)
+    while reader.fill(1):
+        at = reader.offset
+        head = reader.until(b"\r\n\r\n")
+        lines = (head or b"").decode(errors="replace").split("\r\n")
         fields = {}
         for line in lines[1:]:
             key, _, value = line.partition(":")
             fields[key.strip().lower()] = value.strip()
         size = fields.get("content-length", "")
         if not lines[0].startswith("WARC/") or not size.isdigit():
-            raise Damaged(f"no record header at byte {at}")
-        block = data[end + 4:end + 4 + int(size)]
-        if len(block) < int(size):
-            raise Damaged(f"record at byte {at} is shorter than declared")
-        yield fields, block
-        at = end + 4 + int(size) + 4
+            raise reader.damaged(f"no record header at byte {at}, read on")
+        if not reader.fill(int(size)):
+            raise reader.damaged(f"record at byte {at} is shorter than declared, read on")
+        yield fields, reader.take(int(size))
+        while reader.fill(1) and reader.rest[:1] in (b"\r", b"\n"):
+            reader.skip(1)
+    if reader.broken:
+        raise reader.damaged("no more data")
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per response and revisit record. Digests of responses are computed from the payload
-    that was read and must agree with the header; a difference is reported in ``error``."""
+    """One row per response, resource and revisit record. Digests of payloads that are there are
+    computed from what was read and must agree with the header; a difference is reported in
+    ``error``."""
     def row(fields: dict, block: bytes) -> tuple | None:
         kind = fields.get("warc-type")
         if kind == "metadata":
             return (None, None, None, kind, None, None, None, block.decode(errors="replace"))
-        if kind not in ("response", "revisit"):
+        if kind not in ("response", "resource", "revisit"):
             return None
         _, http, body = _http(block)
         stated = fields.get("warc-payload-digest", "").removeprefix("sha1:")
         digest = base64.b32decode(stated).hex() if stated else None
         error, size = None, len(body)
-        if kind == "response":
+        if kind != "revisit":
             if digest != hashlib.sha1(body).hexdigest():
                 error = "payload digest differs"
         else:
@@ -327,11 +448,11 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             for content in b.column(1):
                 rows = []
                 try:
-                    for fields, block in _warc_records(gzip.decompress(content.as_py())):
+                    for fields, block in _warc_records(content.as_py()):
                         r = row(fields, block)
                         if r is not None:
                             rows.append(r)
-                except (Damaged, OSError, EOFError) as e:
+                except Damaged as e:
                     rows.append((*[None] * 7, str(e)))
                 cols = list(zip(*rows)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
