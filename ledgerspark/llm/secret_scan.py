@@ -2,10 +2,11 @@
 
 Plain findings (``assign``, ``access``, ``hex``) stand on their own. Three weak kinds prove little
 alone: ``ident`` (an assigned user, client or account name), ``opaque`` (a long run of letters of
-both cases and digits) and ``endpoint`` (a URL or connection string). They are reported only where
-complementary parts of one credential meet: an identifier with a secret, or an endpoint with both,
-inside one scope, that is, at most ``scope`` characters apart in one document. Identifiers are
-``access`` and ``ident``; secrets are ``assign``, ``hex`` and ``opaque``.
+both cases and digits), ``endpoint`` (a URL or connection string) and ``login`` (user:password in a
+URL). They are reported only where complementary parts of one credential meet: an identifier with
+a secret, an endpoint with both, a login with its endpoint, inside one scope, that is, at most
+``scope`` characters apart in one document. Identifiers are ``access``, ``ident`` and ``login``;
+secrets are ``assign``, ``hex``, ``opaque`` and ``login``.
 
 The parts of all documents form a table (row, kind, start, end) that is joined with itself as an
 interval join: every part belongs to the blocks of ``scope`` characters it comes near, and parts
@@ -36,44 +37,54 @@ IDENT = (r"(?i)(?<![A-Za-z0-9])(?:client_?id|user(?:_?name)?|login|account(?:_?i
 OPAQUE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}"
 ENDPOINT = (r"(?<![A-Za-z0-9])(?:https?|wss?|ftps?|amqps?|rediss?|mongodb|postgres(?:ql)?|mysql"
             r"|jdbc:[a-z]+)://[^\s\"'<>]{4,}")
+#: user:password before the host of a URL: an identifier and a secret side by side.
+LOGIN = r"(?<=://)[^\s:@/\"'<>]{1,64}:[^\s:@/\"'<>]{1,128}(?=@)"
 MIXED = r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])"
-WEAK = (("ident", IDENT, None), ("opaque", OPAQUE, MIXED), ("endpoint", ENDPOINT, None))
-KINDS = ("assign", "access", "hex", "ident", "opaque", "endpoint")
+WEAK = (("ident", IDENT, None), ("opaque", OPAQUE, MIXED), ("endpoint", ENDPOINT, None),
+        ("login", LOGIN, None))
+KINDS = ("assign", "access", "hex", "ident", "opaque", "endpoint", "login")
+#: The parts of a credential that a kind is.
+PARTS = {"assign": ("secret",), "access": ("id",), "hex": ("secret",), "ident": ("id",),
+         "opaque": ("secret",), "endpoint": ("endpoint",), "login": ("id", "secret")}
+#: What a weak kind needs in its scope, from other findings; a URL's login needs its endpoint.
+NEEDS = {"ident": ("secret",), "opaque": ("id",), "endpoint": ("id", "secret"),
+         "login": ("endpoint",)}
 _SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
-def _spans(text: Column, kind: str, pattern: str, keep) -> Column:
-    """Spans of the leftmost non-overlapping matches that ``keep(i, match)`` accepts. Texts
-    without any match cost one search."""
-    pieces = F.split(text, pattern, -1)
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    lengths = F.zip_with(pieces, matches, lambda p, m: F.struct(
-        F.length(p).alias("gap"), F.coalesce(m, F.lit("")).alias("m")))
+def _spans(text: Column, kind: str, pattern: str, measured: int, keep) -> Column:
+    """Spans of the leftmost non-overlapping matches of which ``keep`` accepts group ``measured``.
+    Where they begin are prefix sums over the pieces between them, so the work grows with the
+    matches, not with their square. Texts without any match cost one search."""
+    def every(group: int) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
-    def add(s, x):
-        start = s["at"] + x["gap"]
-        end = start + F.length(x["m"])
-        i = s["i"]
-        own = F.array(F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end")))
-        taken = F.when((end > start) & keep(i, x["m"]), F.concat(s["out"], own)) \
-                 .otherwise(s["out"])
-        return F.struct(end.alias("at"), (i + 1).alias("i"), taken.alias("out"))
+    def sized(p: Column, m: Column) -> Column:
+        return F.struct(F.length(p).cast("long").alias("gap"),
+                        F.coalesce(F.length(m), F.lit(0)).cast("long").alias("size"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"),
-                    F.array().cast(_SPAN).alias("out"))
-    found = F.aggregate(lengths, zero, add, lambda s: s["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
+    sizes = F.zip_with(F.split(text, pattern, -1), every(0), sized)     # the last has no match
+    good = F.transform(every(measured), keep)
+
+    def place(rows: Column) -> Column:
+        before = common.sums_before(F.transform(rows, lambda r: r["gap"] + r["size"]))
+        spans = F.zip_with(rows, before, lambda r, at: F.struct(
+            F.lit(kind).alias("kind"), (at + r["gap"]).cast("int").alias("start"),
+            (at + r["gap"] + r["size"]).cast("int").alias("end")))
+        accepted = F.filter(F.zip_with(spans, good, lambda x, ok: F.struct(
+            x.alias("span"), F.coalesce(ok, F.lit(False)).alias("ok"))), lambda x: x["ok"])
+        return F.transform(accepted, lambda x: x["span"])
+
+    return F.when(text.rlike(pattern), common.let(sizes, place)) \
+        .otherwise(F.array().cast(_SPAN))
 
 
 def _plain(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
-    if group:
-        values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-        return _spans(text, kind, pattern, lambda i, m: F.length(F.get(values, i)) >= least)
-    return _spans(text, kind, pattern, lambda i, m: F.length(m) >= least)
+    return _spans(text, kind, pattern, group, lambda m: F.length(m) >= least)
 
 
 def _weak(text: Column, kind: str, pattern: str, test: str | None) -> Column:
-    return _spans(text, kind, pattern, lambda i, m: m.rlike(test) if test else F.lit(True))
+    return _spans(text, kind, pattern, 0, lambda m: m.rlike(test) if test else F.lit(True))
 
 
 def parts(docs: DataFrame, column: str = "text") -> DataFrame:
@@ -94,34 +105,40 @@ def parts(docs: DataFrame, column: str = "text") -> DataFrame:
 def link(found: DataFrame, scope: int = 400) -> DataFrame:
     """Weak parts of ``found`` (rows of ``parts``) that complementary parts back up:
     (row, kind, start, end)."""
-    some = found.where(F.size("weak") > 0)
-    flat = some.select("row", "plain", F.explode(F.concat("plain", "weak")).alias("s")) \
-        .select("row", "s.kind", "s.start", "s.end",
-                F.exists("plain", lambda p: (p["start"] < F.col("s.end"))
-                         & (p["end"] > F.col("s.start"))
-                         & ~F.col("s.kind").isin("assign", "access", "hex")).alias("covered"))
-    flat = flat.where(~F.col("covered")).drop("covered")
-    role = (F.when(F.col("kind").isin("access", "ident"), "id")
-            .when(F.col("kind") == "endpoint", "endpoint").otherwise("secret"))
-    flat = flat.withColumn("role", role)
-    weak = flat.where(F.col("kind").isin("ident", "opaque", "endpoint"))
+    flat = found.where(F.size("weak") > 0).select("row", F.explode(F.concat("plain", "weak"))
+                                                  .alias("s")).select("row", "s.*")
+    flat = common.stored(flat, "secret-flat")
+    is_weak = F.col("kind").isin(*NEEDS)
+    cells = flat.withColumn("block", F.explode(F.sequence(
+        F.floor(F.col("start") / scope), F.floor((F.col("end") - 1) / scope))))
+    plain = cells.where(~is_weak).select("row", "block", F.col("start").alias("s2"),
+                                         F.col("end").alias("e2"))
+    covered = cells.where(is_weak).join(plain, ["row", "block"]).where(
+        (F.col("s2") < F.col("end")) & (F.col("e2") > F.col("start")))
+    flat = flat.join(covered.select("row", "kind", "start", "end").distinct(),
+                     ["row", "kind", "start", "end"], "left_anti")
+    weak = flat.where(F.col("kind").isin(*NEEDS))
     # a weak part looks into every block that begins or ends within its reach
     first, last = F.col("start") - scope, F.col("end") + scope
     seek = weak.withColumn("block", F.explode(F.sequence(
         F.floor(F.greatest(first, F.lit(0)) / scope), F.floor(last / scope))))
-    lies = flat.select("row", F.col("role").alias("other"), F.col("start").alias("s2"),
-                       F.col("end").alias("e2"),
+    part = F.create_map(*[x for k, ps in PARTS.items() for x in (
+        F.lit(k), F.array(*[F.lit(p) for p in ps]))])
+    lies = flat.select("row", F.col("kind").alias("other"), F.element_at(part, F.col("kind"))
+                       .alias("parts"), F.col("start").alias("s2"), F.col("end").alias("e2"),
                        F.explode(F.sequence(F.floor(F.col("start") / scope),
                                             F.floor(F.col("end") / scope))).alias("block"))
     near = seek.join(lies, ["row", "block"]).where(
         (F.col("s2") <= F.col("end") + scope) & (F.col("e2") >= F.col("start") - scope)
-        & (F.col("other") != F.col("role")) & (F.col("other") != "endpoint"))
-    backed = near.groupBy("row", "kind", "start", "end", "role").agg(
-        F.max((F.col("other") == "id").cast("int")).alias("by_id"),
-        F.max((F.col("other") == "secret").cast("int")).alias("by_secret"))
-    enough = (F.when(F.col("role") == "id", F.col("by_secret") == 1)
-              .when(F.col("role") == "secret", F.col("by_id") == 1)
-              .otherwise((F.col("by_id") == 1) & (F.col("by_secret") == 1)))
+        & (F.col("other") != F.col("kind")))
+    backed = near.groupBy("row", "kind", "start", "end").agg(*[
+        F.max(F.array_contains("parts", p)).alias(f"by_{p}") for p in ("id", "secret", "endpoint")])
+    enough = F.lit(False)
+    for kind, needs in NEEDS.items():
+        met = F.col("kind") == kind
+        for p in needs:
+            met = met & F.col(f"by_{p}")
+        enough = enough | met
     return backed.where(enough).select("row", "kind", "start", "end")
 
 

@@ -1,5 +1,8 @@
+import random
 import re
 
+from pyspark.sql import functions as F
+
 from cases import AWKWARD, frame
 from ledgerspark.llm import secret_scan as S
 
@@ -55,3 +58,63 @@ def test_repeated_ids_and_no_rows(spark):
     rows = S.scan(frame(spark, ["token=abcdef", "nothing", None], [1, 1, None])).collect()
     assert sorted(len(r["plain"]) for r in rows) == [0, 0, 1]
     assert S.scan(frame(spark, [])).count() == 0
+
+
+def kinds_of(text):
+    """(kind, start, end) of every candidate, plain or weak."""
+    out = [(k, int(s), int(e)) for k, s, e in (x.split(":") for x in plain(text).split(",") if x)]
+    for kind, pattern, test in S.WEAK:
+        out += [(kind, m.start(), m.end()) for m in re.finditer(pattern, text, re.A)
+                if not test or re.search(test, m[0])]
+    return out
+
+
+def linked(text, scope):
+    """Weak candidates that all pairs of candidates back up."""
+    every = kinds_of(text)
+    plains = [x for x in every if x[0] not in S.NEEDS]
+    free = [x for x in every if x[0] not in S.NEEDS
+            or not any(p[1] < x[2] and p[2] > x[1] for p in plains)]
+    out = []
+    for x in free:
+        near = {p for y in free if y[0] != x[0] and y[1] <= x[2] + scope and y[2] >= x[1] - scope
+                for p in S.PARTS[y[0]]}
+        if x[0] in S.NEEDS and set(S.NEEDS[x[0]]) <= near:
+            out.append(x)
+    return sorted(out)
+
+
+def dense(seed, n):
+    r = random.Random(seed)
+    parts = ["client_id=bob{}", "user: eve{}", "password=hunter{}x", "AKIA" + "Q" * 16,
+             "Ab3dEf6hIjKlMnOpQrStUv{}", "https://api{}.example.com/v1",
+             "postgres://svc{}:Pa55word@db.example.com/x", "0123456789abcdef01234567", "nothing {}",
+             "filler " * 12, "é💡 " * 9, "https://a:b@c{}", "key {} none"]
+    return " ".join(r.choice(parts).replace("{}", str(r.randrange(100))) for _ in range(n))
+
+
+def test_links_match_all_pairs_on_dense_texts(spark):
+    texts = [dense(i, 40) for i in range(12)]
+    for scope in (30, 400):
+        got = S.scan(frame(spark, texts), scope=scope).select("doc_id", "linked").collect()
+        got = {r["doc_id"]: sorted((x["kind"], x["start"], x["end"]) for x in r["linked"]) for r in got}
+        want = {i: linked(t, scope) for i, t in enumerate(texts)}
+        assert got == want
+        assert sum(map(len, want.values())) > 100
+        assert {k for v in want.values() for k, _, _ in v} == set(S.NEEDS)
+
+
+def test_a_login_in_a_url_is_a_whole_credential(spark):
+    texts = ["see postgres://svc:Pa55word@db.example.com/x there", "mailto svc:Pa55word@db.example.com"]
+    got = [a for _, a in spans(spark, texts)]
+    assert got == ["endpoint:4:44,login:15:27", ""]
+
+
+def test_many_matches_in_one_text(spark):
+    n = 50_000
+    text = "token=abcdef1 AKIA" + "B" * 16 + " user=ann42 "
+    row = S.scan(frame(spark, [text * n])).select(
+        F.size("plain").alias("p"), F.size("linked").alias("l"),
+        F.element_at("plain", n).alias("last")).first()
+    assert (row["p"], row["l"]) == (2 * n, n)
+    assert row["last"]["start"] == (n - 1) * len(text)
