@@ -31,11 +31,22 @@ from pyspark.sql import functions as F
 
 # Fixed formats. Possessive quantifiers and look-behinds keep matching linear in the text.
 EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}")
+# Country calling codes by the least and most digits of their national numbers.
+CALLING_CODES = {
+    (7, 7): "354", (7, 8): "372", (7, 9): "46 353", (7, 10): "358", (7, 11): "39 43 49", (8, 8):
+    "45 47 65 370 371 852", (8, 9): "32 36 51 971 972", (8, 10): "64",
+    (9, 9): "27 31 33 34 40 41 48 56 61 66 351 380 420 421 886", (9, 10): "44 60 81 82 84",
+    (9, 11): "62", (10, 10): "1 7 20 30 52 54 57 58 63 90 91 92 98", (10, 11): "55 86"}
+_CODES = sorted((c for codes in CALLING_CODES.values() for c in codes.split()), key=lambda c: (-len(c), c))
+_NEXT = r"(?:(?:[ .-]| ?\(|\)[ .-]?)?[0-9])"                    # a digit, a mark before it
+_INTERNATIONAL = "|".join(f"(?:{codes.replace(' ', '|')})(?: ?\\(0\\))?{_NEXT}{{{low},{high}}}"
+                          for (low, high), codes in CALLING_CODES.items())
 PHONE = (r"(?:(?<![0-9+])\+[0-9]{1,3}[ .-]?|(?<![0-9+])(?<![0-9][.-])1[ .-])?"
          r"\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
          r"|(?<![0-9+])(?<![0-9][.-])(?:\+[0-9]{1,3}[ .-]|1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}"
          r"(?![0-9])(?![.-][0-9])"
-         r"|(?<![0-9+])\+[0-9](?:(?:[ .-]| ?\(|\)[ .-]?)?[0-9]){7,14}(?![0-9])")
+         rf"|(?<![0-9+])\+(?:{_INTERNATIONAL})(?![0-9])"
+         rf"|(?<![0-9+])\+[0-9]{_NEXT}{{7,14}}(?![0-9])")
 CARD = (r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[ .-][0-9]{4}[ .-][0-9]{4}[ .-][0-9]{4}"
         r"|[0-9]{4}[ .-][0-9]{6}[ .-][0-9]{4,5})(?![0-9])")
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
@@ -165,11 +176,20 @@ def _put(m: Column, digits: Column) -> Column:
     return _let(digits, put)
 
 
+_TRUNK = "(\ue000)"                    # stands for "(0)", which is no part of the number
+
+
 def _phone(m: Column, key: str, back: bool) -> Column:
-    # the country code is what stands before the first mark; unbroken numbers keep a digit
-    code = F.regexp_extract(m, r"^(\+[0-9]{1,3}(?=[ .(-])|\+[0-9]|1[ .-])?", 0)
-    rest = F.substring(m, F.length(code) + 1, F.length(m))
-    return F.concat(code, _put(rest, _permute_digits(_digits(rest), key, "phone", back)))
+    """The national number permuted, so that a number keeps one pseudonym whatever its notation:
+    the country code stays, taken from the table where the number has a plus."""
+    bare = F.regexp_replace(m, r"\(0\)", _TRUNK)
+    digits = _digits(bare)
+    code = F.when(m.startswith("+"), F.regexp_extract(digits, f"^(?:{'|'.join(_CODES)}|[0-9])", 0)) \
+        .when(F.length(digits) == 11, F.lit("1")).otherwise(F.lit(""))
+    new = _let(F.struct(digits.alias("d"), code.alias("c")), lambda x: F.concat(
+        x["c"], _permute_digits(F.substring(x["d"], F.length(x["c"]) + 1, F.length(x["d"])),
+                                key, "phone", back)))
+    return F.replace(_put(bare, new), F.lit(_TRUNK), F.lit("(0)"))
 
 
 def _ssn_parts(m: Column) -> tuple[Column, Column, Column]:

@@ -1,5 +1,7 @@
 import collections
 import datetime
+import hashlib
+import random
 
 from cases import AWKWARD, frame
 from ledgerspark.llm import pii
@@ -103,3 +105,91 @@ def test_written_dates_are_permuted_among_valid_ones(spark):
     assert len(found) == 731 == len(set(found.values()))
     for v in found.values():
         datetime.datetime.strptime(v, "%d/%m/%Y")
+
+
+def test_a_number_keeps_its_pseudonym_in_every_notation(spark):
+    groups = [["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+44-20-7946-0958",
+               "+44 (20) 7946 0958"],
+              ["+1 555 123 4567", "+15551234567", "(555) 123-4567", "555.123.4567", "1-555-123-4567"],
+              ["+354 555 1234", "+3545551234", "+354-555-1234"],
+              ["+4930901820", "+49 30 901820", "+49 (30) 901820"]]
+    texts = [f"call {v} 12 people, 3 rooms" if c != 3 else f"call {v}, 3 rooms"
+             for c, g in enumerate(groups) for v in g]
+    rows = run(spark, texts)
+    assert [[x["value"] for x in r["found"]] for r in rows] == [[v] for g in groups for v in g]
+    at = 0
+    for g in groups:
+        new = [r["found"][0]["pseudonym"] for r in rows[at:at + len(g)]]
+        at += len(g)
+        plain = {"".join(c for c in p.replace("(0)", "") if c.isdigit()) for p in new}
+        assert len({p[-len(min(plain, key=len)):] for p in plain}) == 1
+        assert all(p[:2] == v[:2] or v[0] != "+" for p, v in zip(new, g))
+    assert [r["text"] for r in run(spark, [r["text"] for r in rows], back=True)] == texts
+
+
+def test_a_number_followed_by_digits(spark):
+    rows = run(spark, ["+44 20 7946 0958 12 people", "+44 20 7946 0958"])
+    new = [r["found"][0]["pseudonym"] for r in rows]
+    assert new[0] == new[1] and rows[0]["text"] == f"{new[0]} 12 people"
+
+
+def feistel(x, a, b, kind, key="k"):
+    """The permutation of 0..a*b-1, written with Python's integers."""
+    left, right = divmod(x, b)
+    for r in range(pii.ROUNDS):
+        half, size = (right, a) if r % 2 == 0 else (left, b)
+        digest = hashlib.sha256(f"{key}:{kind}:{r}:{half}".encode()).hexdigest()
+        if r % 2 == 0:
+            left = (left + int(digest[:15], 16)) % size
+        else:
+            right = (right + int(digest[:15], 16)) % size
+    return left * b + right
+
+
+def permuted(digits, kind):
+    low = len(digits) // 2
+    out = feistel(int(digits), 10 ** low, 10 ** (len(digits) - low), kind)
+    return str(out).zfill(len(digits))
+
+
+def expected(kind, value):
+    digits = "".join(c for c in value if c.isdigit())
+    if kind == "phone":
+        return permuted(digits, "phone")
+    if kind == "card":
+        body = permuted(digits[:-1], "card")
+        return next(body + c for c in "0123456789" if luhn(body + c))
+    if kind == "ssn":
+        area, group, serial = (int(x) for x in value.split("-"))
+        x = ((area - 1 - (area > 666)) * 99 + group - 1) * 9999 + serial - 1
+        y = feistel(x, 898, 99 * 9999, "ssn")
+        area, rest = divmod(y, 99 * 9999)
+        area = area + 1 + (area + 1 >= 666)
+        return f"{area:03}-{rest // 9999 + 1:02}-{rest % 9999 + 1:04}"
+    if kind == "ipv4":
+        a, b, c, d = (int(x) for x in value.split("."))
+        y = feistel(((a * 256 + b) * 256 + c) * 256 + d, 65536, 65536, "ipv4")
+        return ".".join(str(y >> s & 255) for s in (24, 16, 8, 0))
+    origin = datetime.date(1800, 1, 1)
+    days = (datetime.date.fromisoformat(value) - origin).days
+    return (origin + datetime.timedelta(days=feistel(days, *pii.CYCLE_DAYS, "date"))).isoformat()
+
+
+def test_pseudonyms_match_a_second_implementation(spark):
+    r = random.Random(8)
+    values = [("phone", f"555-{r.randrange(200, 999)}-{r.randrange(10_000):04}") for _ in range(20)]
+    values += [("ssn", f"{r.randrange(1, 666):03}-{r.randrange(1, 100):02}-{r.randrange(1, 10_000):04}")
+               for _ in range(20)]
+    values += [("ipv4", ".".join(str(r.randrange(1, 256)) for _ in range(4))) for _ in range(20)]
+    values += [("date", str(datetime.date(1800, 1, 1) + datetime.timedelta(days=r.randrange(146_097))))
+               for _ in range(20)]
+    for _ in range(20):
+        body = "4" + "".join(str(r.randrange(10)) for _ in range(14))
+        values.append(("card", next(body + c for c in "0123456789" if luhn(body + c))))
+    for (kind, value), row in zip(values, run(spark, [f"x {v} y" for _, v in values])):
+        got = row["found"][0]
+        assert (got["kind"], got["value"]) == (kind, value)
+        new = got["pseudonym"]
+        if kind == "phone":
+            new = new.replace("-", "")
+        assert new == expected(kind, value)
