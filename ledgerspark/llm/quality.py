@@ -71,12 +71,12 @@ def _features(texts, good: bytes, bad: bytes) -> np.ndarray:
         pair.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_checksum=False,
                                              write_content_size=False, write_dict_id=False))
     by_good, by_bad = (c.compress for c in pair)
-    out = np.zeros(len(texts))
-    for i, t in enumerate(texts):
-        if t:
-            blocks = [t[j:j + BLOCK] for j in range(0, len(t), BLOCK)]
-            out[i] = sum(len(by_bad(b)) - len(by_good(b)) for b in blocks) / len(t)
-    return out
+
+
+    def one(t: bytes) -> float:
+        blocks = (t[j:j + BLOCK] for j in range(0, len(t), BLOCK))
+        return sum(len(by_bad(b)) - len(by_good(b)) for b in blocks) / len(t) if t else 0.0
+    return np.fromiter(map(one, texts), float)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
@@ -99,7 +99,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
 def fit(docs: DataFrame, labels: DataFrame, training: Column, sample_rows: int = 3000,
         sample_bytes: int = 6_000_000, dict_bytes: int = 65_536) -> Model:
     """Fit on the labelled rows of ``labels(doc_id, quality)`` that satisfy ``training`` (a
-    condition on doc_id). Half of the sample trains the dictionaries, half the curve."""
+    condition on doc_id). Half of the sample trains the dictionaries, half the curve. The sample is
+    ``sample_rows`` rows and ``sample_bytes`` of whole texts of each class at most; texts longer than
+    an eighth of that are scored like all others, but not trained on."""
     lab = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & training)
            .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y")))
     counts = {r["y"]: r["n"] for r in lab.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -155,21 +157,26 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, sample_rows: int =
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (doc_id by default) of every row, with ``score`` and ``predicted``."""
     keep = keep or ["doc_id"]
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text"))
-    out = source.drop("_text")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields]
+    source = docs.select(*[F.col(f"`{c}`") for c in keep])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields]
                        + ["score double", "predicted int"])
 
+    if "text" not in keep:                       # a text that stays is sent once
+        source = docs.select(*[F.col(f"`{c}`") for c in keep], "text")
+    at, n = source.columns.index("text"), len(keep)
+
     def run(batches):
+        common.release_caches()
         for b in batches:
-            texts = [t.as_py().encode() if t.is_valid else b"" for t in b.column(b.num_columns - 1)]
+            texts = (t.as_py().encode() if t.is_valid else b"" for t in b.column(at))
             if model.blank:
-                s = np.full(len(texts), 0.5)
+                s = np.full(b.num_rows, 0.5)
             else:
                 z = model.slope * _features(texts, model.good, model.bad) + model.intercept
                 s = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
-            cols = [*b.columns[:-1], pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
+            cols = [*b.columns[:n], pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, "score", "predicted"])
+            common.give_back()
 
     return source.mapInArrow(run, schema)
 
