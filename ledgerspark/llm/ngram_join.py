@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .common import worker_cache
+from .common import give_back, worker_cache
 
 common.by_value(__name__)
 
@@ -111,7 +111,7 @@ def _keys(rows: DataFrame, width: int) -> DataFrame:
                 part = b.slice(lo, 1024)
                 sets = _shingles(_texts(part.column(2)), width)
                 key = [xxhash.xxh128_digest(s.tobytes()) if len(s) else None for s in sets]
-                common.give_back()
+                give_back()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(key, pa.binary()),
                      pa.array([len(s) for s in sets], pa.int64())],
@@ -153,7 +153,7 @@ def _blocks(rows: DataFrame, width: int, range_bits: int) -> DataFrame:
                         owners.append(np.full(len(s), owner, np.uint16))
                 if not values:
                     continue
-                common.give_back()
+                give_back()
                 v, o = np.concatenate(values), np.concatenate(owners)
                 order = np.argsort(v, kind="stable")
                 v, o = v[order], o[order]
@@ -176,7 +176,7 @@ def _repeated(blocks: DataFrame) -> DataFrame:
     """Step 2, returning: per (chunk, range) the hashes that occur more than once, with owner and
     frequency (65535 stands for more)."""
     def run(table: pa.Table) -> pa.Table:
-        common.give_back()                             # what the group before has left
+        give_back()                             # what the group before has left
         part = table.column("part")[0].as_py()
         chunk = table.column("chunk").to_numpy()
         values = [_unpack(x.as_py()) for x in table.column("hashes")]
@@ -221,7 +221,7 @@ def _profiles(classes: DataFrame, repeated: DataFrame, percent: int) -> DataFram
     names = ["node", "n", "unique", "shared", *[f"p{k}" for k in range(orders)]]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        common.give_back()
+        give_back()
         out = {c: [] for c in names}
         n_of = dict(zip(left.column("row").to_pylist(), left.column("n").to_pylist()))
         if right.num_rows and n_of:

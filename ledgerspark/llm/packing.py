@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .common import worker_cache
+from .common import give_back, worker_cache
 
 common.by_value(__name__)
 
@@ -173,7 +173,7 @@ def pieces(docs: DataFrame, definition: str, limit: int = 2048, end_id: int = 0)
                     [ids.take(pa.array(row)), pa.array(k, pa.int32()), pa.array(s, pa.int64()),
                      pa.array(n, pa.int64()), pa.array(crc, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
-            common.give_back()
+            give_back()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .common import give_back, release_caches
 
 common.by_value(__name__)
 
@@ -166,7 +167,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
     at, n = source.columns.index("text"), len(keep)
 
     def run(batches):
-        common.release_caches()
+        release_caches()
         for b in batches:
             texts = (t.as_py().encode() if t.is_valid else b"" for t in b.column(at))
             if model.blank:
@@ -176,7 +177,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
                 s = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
             cols = [*b.columns[:n], pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, "score", "predicted"])
-            common.give_back()
+            give_back()
 
     return source.mapInArrow(run, schema)
 
