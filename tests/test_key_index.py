@@ -36,6 +36,18 @@ def test_loads_only_new_keys(spark, scratch, table):
         [("2024-02", i) for i in range(5)]
 
 
+def test_other_loads_stay_whatever_the_session_says(spark, scratch, table):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        K.load_new_rows(batch(spark, 0, 10), f"{scratch}/target", table, "l1")
+        K.load_new_rows(batch(spark, 0, 20), f"{scratch}/target", table, "l2")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert spark.table(table).count() == 20
+    assert target(spark, scratch) == [("2024-01", i) for i in range(20)]
+
+
 def test_repeated_load_writes_the_same(spark, scratch, table, monkeypatch):
     K.load_new_rows(batch(spark, 0, 10), f"{scratch}/target", table, "l1")
     with monkeypatch.context() as m:         # lost between the two writes
