@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .loading import delete_folder, staged
 
 BUCKETS = 256
+ROWS_PER_BUCKET = 2_000_000        # of the target, when its size is known beforehand
+MOST_BUCKETS = 10_000
 BASE = "base"                      # the load that compacted rows belong to
 
 
@@ -36,6 +38,12 @@ def create(spark: SparkSession, table: str, key: str, path: str | None = None,
         CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS {where}""")
 
 
+def buckets_for(rows: int, least: int = 4) -> int:
+    """Buckets of an index for a target of so many rows: a bucket is one task of the lookup and of
+    the write, so their number follows the rows."""
+    return min(max(least, -(-rows // ROWS_PER_BUCKET)), MOST_BUCKETS)
+
+
 def _buckets(spark: SparkSession, table: str) -> tuple[str, int]:
     """Key column and number of buckets."""
     described = {r.col_name: r.data_type
@@ -55,6 +63,8 @@ def unseen(batch: DataFrame, table: str, load_id: str | None = None) -> DataFram
     known = spark.table(table).where(F.col("month").isin(touched_months(batch)))
     if load_id is not None:
         known = known.where(F.col("load_id") != load_id)
+    if known.isEmpty():              # months that no load has touched: nothing to look up
+        return batch
     return batch.join(known.select(key), key, "left_anti")
 
 

@@ -133,7 +133,8 @@ def q_insert_or_ignore_indexed(spark, d):
         "month", month_key("transaction_date"))
     s = _stm(spark, d)
     table, root = f"line_keys_{uuid.uuid4().hex}", _folder(spark, "indexed")
-    key_index.create(spark, table, "line_key", f"{root}/index", buckets=4)
+    key_index.create(spark, table, "line_key", f"{root}/index",
+                     buckets=key_index.buckets_for(s.count()))
     first = s.where(F.col("transaction_date") < F.lit("1998-01-01").cast("date"))
     batch = s.where(F.col("transaction_date") >= F.lit("1997-07-01").cast("date"))
     key_index.load_new_rows(keyed(first), f"{root}/lines", table, "first")
