@@ -45,3 +45,38 @@ def test_months_new_to_the_index_are_not_looked_up(spark, scratch):
         assert K.unseen(batch.withColumn("month", F.lit("2024-02")), table, "l2").count() == 20
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def load(target, batch):
+    return LD.load_range(target, batch, "2024-01-01", "2024-12-31")
+
+
+def test_range_load_shuffles_batch_and_target_once(spark):
+    """Equal lines, lines without id, account or journal, and texts that run into each other."""
+    one = [line(0)] * 3 + [line(1, id="a")] * 2 + [line(2, journal="1|2", number="3"),
+                                                   line(3, account=None), line(4, id=None)]
+    two = [line(0)] * 5 + [line(1, id="a"), line(2, journal="1", number="2|3"), line(5, id="b"),
+                           line(3, account=""), line(6, id="c"), line(6, id="c"), line(4),
+                           line(7, journal="x|y", number="z"), line(7, journal="x", number="y|z")]
+    target, batch = (spark.createDataFrame(x, LINE) for x in (one, two))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = load(target, batch)
+        assert plan(new).count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    keyed = load(LD.statement_keys(target), batch)                    # by stored keys: an anti-join
+    assert new.columns == keyed.columns == ["line_key", *batch.columns, "occurrence_no"]
+    keys = lambda df: rows(df.select("account_code", "journal_id", "id", "line_key"))
+    assert {r[-1] for r in keys(new)} == {r[-1] for r in keys(keyed)}
+    # three more equal lines of five are new (one came without an id), and b, the two of c, and
+    # one of the last two, whose texts are alike
+    assert len(keys(new)) == len(keys(keyed)) == 6
+
+
+def test_targets_of_other_types_are_compared_by_key(spark):
+    batch = spark.createDataFrame([line(0), line(1, id="a")], LINE)
+    other = batch.withColumn("amount", F.col("amount").cast("decimal(20,2)"))
+    assert load(other, batch).count() == 0
+    assert load(other.limit(0), batch).count() == 2
