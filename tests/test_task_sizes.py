@@ -80,3 +80,30 @@ def test_targets_of_other_types_are_compared_by_key(spark):
     other = batch.withColumn("amount", F.col("amount").cast("decimal(20,2)"))
     assert load(other, batch).count() == 0
     assert load(other.limit(0), batch).count() == 2
+
+
+def paged(spark):
+    lines = [(*line(0), "w", p, k, f"w/{p}") for p in (1, 2, 3) for k in range(2)]
+    lines += [(*line(9, id=f"x{p}"), "w", p, 5, f"w/{p}") for p in (1, 2, 3)]
+    return spark.createDataFrame(
+        lines, f"{LINE}, load_window string, page long, page_pos long, source_file string")
+
+
+def test_only_lines_of_several_pages_are_joined_with_their_counts(spark):
+    keyed = LD.statement_keys(paged(spark))
+    p = plan(keyed)
+    assert "__before" in p and "> 0)" in p.split("__before", 1)[1]
+    n = F.split("occurrence_no", "-")[1].cast("int")
+    assert rows(keyed.where("id = ''").select(n)) == [(i,) for i in range(1, 7)]
+    assert rows(keyed.where("id <> ''").select("id", n)) == [(f"x{p}", 1) for p in (1, 2, 3)]
+
+
+def test_stored_page_counts_are_text(spark):
+    counts = LD.page_counts(paged(spark))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in [*LD.STATEMENT_KEY, "id"]]
+    want = paged(spark).select(F.sha2(F.to_json(F.array(*parts)), 256)).distinct()
+    assert rows(counts.select("line_group").distinct()) == rows(want)
+    earlier = counts.where("page = 1").groupBy("load_window", "line_group").agg(F.sum("n").alias("n"))
+    keyed = LD.statement_keys(paged(spark).where("page > 1"), earlier=earlier)
+    n = F.split("occurrence_no", "-")[1].cast("int")
+    assert rows(keyed.where("id = ''").select(n)) == [(i,) for i in range(3, 7)]
