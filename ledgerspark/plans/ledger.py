@@ -24,9 +24,14 @@ from pyspark.sql import functions as F
 from ..functions.accounting import (BS_CLASSES, PL_CLASSES, account_class, balance_a, balance_b,
                                     types_of)
 from ..functions.keys import month_key, year_key
+from ..sources.sinks import UNKNOWN_BYTES, planned_bytes
 
 DEFAULT_SINCE = "2022-01-01"
 
+#: Bytes of the files behind a task of ``spread`` (some 200,000 statement lines), and the bounds of
+#: the number of tasks.
+TASK_BYTES, LEAST_TASKS, MOST_TASKS = 4 << 20, 8, 10_000
+
 
 def is_monthly(statements: DataFrame) -> bool:
     """Whether rows are monthly sums (``gold_store``) in place of statement lines."""
@@ -38,6 +43,16 @@ def line_count(statements: DataFrame) -> Column:
     return F.sum("line_count") if is_monthly(statements) else F.count(F.lit(1))
 
 
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """``rows`` dealt by the columns ``by`` over as many tasks as the files they come from need
+    (``TASK_BYTES`` each), so that the hash maps of a task stay as large however large the ledger
+    is: Parquet packs millions of lines into one split, and AQE joins shuffle blocks by their
+    packed size too. Small inputs, and those of unknown size, stay as they are."""
+    size = planned_bytes(rows)
+    tasks = min(size // TASK_BYTES, MOST_TASKS)
+    return rows if tasks < LEAST_TASKS or size >= UNKNOWN_BYTES else rows.repartition(tasks, *by)
+
+
 def _since(statements: DataFrame, since: str | None, before: str | None = None) -> DataFrame:
     """Rows from ``since`` on and before ``before``: plain date bounds, which reach the scan."""
     for day in (since, before):

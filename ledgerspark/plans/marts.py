@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.accounting import account_class
 from ..functions.keys import month_key
 from ..operators.matching import account_groups_join
-from .ledger import line_count
+from .ledger import is_monthly, line_count, spread
 
 # --- fixed values: report groups that feed the KPI lines -------------------------------------
 KPI_GROUPS = {
@@ -56,11 +56,18 @@ def fact_month(statements: DataFrame, accounts: DataFrame, groups: DataFrame,
                names: bool = True) -> DataFrame:
     """fact_txn pre-aggregated per (month, account): transaction_count, debit, credit,
     report_amount. ``statements`` may be the monthly sums of ``gold_store``. Marts that do not show account names leave them out of the key
-    (``names=False``), which makes far fewer groups."""
-    pre = statements.groupBy(month_key("transaction_date").alias("month"), "account_code",
+    (``names=False``), which makes far fewer groups.
+
+    Where nearly every line is a group of its own, the sums are as many as the lines: lines are
+    dealt over tasks by size before the map-side sums (by their whole content, so that a hot account
+    is spread), and sums by their account before the join."""
+    lines = statements.select("transaction_date", "account_code", *["account_name"] * names,
+                              "debit", "credit", *["line_count"] * is_monthly(statements))
+    pre = spread(lines, *lines.columns).groupBy(month_key("transaction_date").alias("month"), "account_code",
                              *["account_name"] * names).agg(
         line_count(statements).alias("transaction_count"),
         F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
+    pre = spread(pre, "account_code")
     a = dim_account(accounts, groups).select(
         F.col("account_number").alias("__acct"), F.col("account_type").alias("acct_type"),
         F.col("account_subtype").alias("acct_subtype"), "report_group", "report_subgroup",

@@ -20,6 +20,8 @@ from ..functions.keys import month_key
 #: Bytes of a file: one is not larger than the first, and not smaller than the second unless
 #: there is less to write.
 FILE_BYTES, LEAST_FILE_BYTES = 128 << 20, 8 << 20
+#: What ``planned_bytes`` says of tables whose size the optimizer doesn't know.
+UNKNOWN_BYTES = 1 << 50
 
 
 def file_count(n_bytes: int, writers: int) -> int:
@@ -34,7 +36,7 @@ def planned_bytes(df: DataFrame) -> int:
     without running anything."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
-    return min(sum(sizes), 1 << 50)
+    return min(sum(sizes), UNKNOWN_BYTES)
 
 
 def write_silver(df: DataFrame, path: str, date_col: str, key_cols: list[str],

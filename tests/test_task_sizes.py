@@ -28,6 +28,54 @@ def line(i, account="1", journal="J", number="1", day=1, month=1, id="", amount=
             Decimal(amount), "d", Decimal(i), Decimal(1), Decimal(2))
 
 
+def stored_lines(spark, scratch):
+    """Many lines of one account, some of others, and lines without account or date."""
+    lines = [line(i, "hot", month=i % 3 + 1, day=i % 28 + 1) for i in range(300)]
+    lines += [line(i, str(i % 7), month=i % 5 + 1) for i in range(60)]
+    lines += [(None, None, None, dt.date(2024, 1, 1), *x[4:]) for x in lines[:3]]
+    lines += [(*x[:3], None, *x[4:]) for x in lines[:3]]
+    spark.createDataFrame(lines, LINE).write.parquet(f"{scratch}/lines")
+    return spark.read.parquet(f"{scratch}/lines")
+
+
+def dimensions(spark):
+    accounts = spark.createDataFrame(
+        [("hot", "Tekjur", "a", 1), ("1", "Eignir", "b", 1), ("1", "Eignir", "c", 0),
+         ("2", None, None, 1), (None, "Tekjur", "a", 1)],
+        "account_number string, account_type string, account_subtype string, is_active int")
+    groups = spark.createDataFrame(
+        [("Tekjur", None, "Revenue", None, "PL", -1)],
+        "acct_type string, acct_subtype string, report_group string, report_subgroup string, "
+        "statement string, sign int")
+    return accounts, groups
+
+
+def small_tasks(monkeypatch):
+    monkeypatch.setattr(L, "TASK_BYTES", 100)
+    monkeypatch.setattr(L, "LEAST_TASKS", 2)
+    monkeypatch.setattr(L, "MOST_TASKS", 5)
+
+
+def spread_alike(spark, scratch, monkeypatch, mart, names):
+    statements, (accounts, groups) = stored_lines(spark, scratch), dimensions(spark)
+    before = mart(M.fact_month(statements, accounts, groups, names))
+    assert "REPARTITION_BY_NUM" not in plan(before)                    # small tables stay together
+    want = rows(before)
+    small_tasks(monkeypatch)
+    after = mart(M.fact_month(statements, accounts, groups, names))
+    assert plan(after).count("REPARTITION_BY_NUM") == 2                # lines, and sums
+    assert rows(after) == want and len(want) > 4
+
+
+def test_monthly_summary_deals_lines_by_size(spark, scratch, monkeypatch):
+    spread_alike(spark, scratch, monkeypatch, M.v_monthly_summary, False)
+
+
+def test_tables_of_unknown_size_are_not_dealt(spark):
+    small = spark.sparkContext.parallelize([("a", 1)]).toDF("a string, b int")
+    assert L.spread(small, "a") is small
+
+
 def test_buckets_follow_the_rows():
     assert [K.buckets_for(n) for n in (0, 3_600_000, 36_000_000, 216_000_000)] == [4, 4, 18, 108]
 
