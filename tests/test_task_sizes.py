@@ -71,6 +71,10 @@ def test_monthly_summary_deals_lines_by_size(spark, scratch, monkeypatch):
     spread_alike(spark, scratch, monkeypatch, M.v_monthly_summary, False)
 
 
+def test_trial_balance_deals_lines_by_size(spark, scratch, monkeypatch):
+    spread_alike(spark, scratch, monkeypatch, M.v_trial_balance_month, True)
+
+
 def test_tables_of_unknown_size_are_not_dealt(spark):
     small = spark.sparkContext.parallelize([("a", 1)]).toDF("a string, b int")
     assert L.spread(small, "a") is small
