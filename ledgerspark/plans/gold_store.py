@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import month_key
 from ..operators.loading import overwrite_partitions, table_exists
+from .ledger import spread
 
 UNKNOWN = "unknown"
 SCHEMA = ("account_code string, account_name string, transaction_date date, debit decimal(28,2), "
@@ -36,8 +37,10 @@ def _month() -> Column:
 
 def monthly_sums(statements: DataFrame) -> DataFrame:
     """Statement lines per (month, account): map-side sums, so a hot account is one row a task
-    and month before any shuffle."""
-    return statements.groupBy(_month().alias("month"), "account_code", "account_name").agg(
+    and month before any shuffle. Lines of large ledgers are dealt over tasks by size first."""
+    lines = statements.select("account_code", "account_name", "transaction_date", "debit", "credit",
+                              "balance")
+    return spread(lines, *lines.columns).groupBy(_month().alias("month"), "account_code", "account_name").agg(
         F.trunc(F.min("transaction_date"), "month").alias("transaction_date"),
         F.sum("debit").cast("decimal(28,2)").alias("debit"),
         F.sum("credit").cast("decimal(28,2)").alias("credit"),
@@ -73,13 +76,14 @@ def write_gold(statements: DataFrame, path: str) -> None:
     spark = statements.sparkSession
     if table_exists(spark, path):
         raise ValueError(f"{path} exists; refresh_gold keeps it up to date")
-    monthly_sums(statements).repartition("month").write.partitionBy("month").parquet(path)
+    # few files a month; a large one is split over tasks
+    monthly_sums(statements).hint("rebalance", "month").write.partitionBy("month").parquet(path)
 
 
 def refresh_gold(statements: DataFrame, path: str, months: list[str]) -> None:
     """Compute these months anew and replace them; a month without rows is taken out."""
     if months:
-        sums = monthly_sums(in_months(statements, months)).repartition("month")
+        sums = monthly_sums(in_months(statements, months))
         overwrite_partitions(statements.sparkSession, sums, path, "month", months)
 
 

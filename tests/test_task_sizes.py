@@ -159,3 +159,27 @@ def test_stored_page_counts_are_text(spark):
     keyed = LD.statement_keys(paged(spark).where("page > 1"), earlier=earlier)
     n = F.split("occurrence_no", "-")[1].cast("int")
     assert rows(keyed.where("id = ''").select(n)) == [(i,) for i in range(3, 7)]
+
+
+def test_gold_sums_deal_lines_by_size(spark, scratch, monkeypatch):
+    statements = stored_lines(spark, scratch)
+    want = rows(G.monthly_sums(statements))
+    small_tasks(monkeypatch)
+    assert "REPARTITION_BY_NUM" in plan(G.monthly_sums(statements))
+    assert rows(G.monthly_sums(statements)) == want
+
+
+def test_large_month_of_gold_is_written_by_many_tasks(spark, scratch):
+    lines = spark.range(100_000).select(
+        F.col("id").cast("string").alias("account_code"), F.sha2(F.col("id").cast("string"), 256)
+        .alias("account_name"), F.date_add(F.lit("2024-01-01").cast("date"),
+                                     (F.col("id") % 28).cast("int")).alias("transaction_date"),
+        *[F.col("id").cast("decimal(18,2)").alias(c) for c in ("debit", "credit", "balance")])
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        G.write_gold(lines, f"{scratch}/gold")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = [f for f in os.listdir(f"{scratch}/gold/month=2024-01") if f.endswith(".parquet")]
+    assert len(files) > 1 and G.read_gold(spark, f"{scratch}/gold").count() == 100_000
