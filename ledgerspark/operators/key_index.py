@@ -8,8 +8,13 @@ them bucket to bucket: the batch is shuffled, the index is not, and the target i
 A load has an id, and both tables hold its rows in partitions of their own (month, load_id), which
 are overwritten as a whole. A load that failed on the way is repeated with its id: it doesn't see its
 own index entries, finds the same new rows and writes them over what it left. Rows go to
-the target first, so no key is ever known without its row; ``rebuild`` makes the index from the
-target. ``compact`` joins the loads of closed months.
+the target first, so no key is ever known without its row, and the index entries are made from
+what the load wrote there; ``rebuild`` makes the whole index from the target. ``compact`` joins the
+loads of closed months.
+
+On disk a load needs little beside what it adds to the tables: there is no copy of its rows, what one
+step shuffled is deleted before the next, only rows of months that other loads have entered are
+shuffled for the lookup, and files are zstandard (keys are hexadecimal digests, which it halves).
 
 The key has to determine the month (statement keys contain the date), as only touched months
 are looked up.
@@ -17,10 +22,12 @@ are looked up.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .loading import delete_folder, staged
+from .loading import delete_folder, shuffles_dropped, staged
 
 BUCKETS = 256
 ROWS_PER_BUCKET = 2_000_000        # of the target, when its size is known beforehand
@@ -34,7 +41,8 @@ def create(spark: SparkSession, table: str, key: str, path: str | None = None,
     where = f"LOCATION '{path}'" if path else ""
     spark.sql(f"""
         CREATE TABLE {table} ({key} STRING, month STRING, load_id STRING) USING parquet
-        OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY (month, load_id)
+        OPTIONS (partitionOverwriteMode 'dynamic', compression 'zstd')
+        PARTITIONED BY (month, load_id)
         CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS {where}""")
 
 
@@ -56,16 +64,34 @@ def touched_months(batch: DataFrame) -> list[str]:
     return sorted(r[0] for r in batch.select("month").distinct().collect())
 
 
-def unseen(batch: DataFrame, table: str, load_id: str | None = None) -> DataFrame:
-    """The rows of a batch (with ``month``, keys unique) whose key no other load has."""
+def _by_lookup(batch: DataFrame, table: str, load_id: str | None
+               ) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows of months that no other load has entered, all of them new, and the new ones of the
+    rest. None where there are no such months."""
     spark = batch.sparkSession
     key, _ = _buckets(spark, table)
-    known = spark.table(table).where(F.col("month").isin(touched_months(batch)))
+    known = spark.table(table)
     if load_id is not None:
         known = known.where(F.col("load_id") != load_id)
-    if known.isEmpty():              # months that no load has touched: nothing to look up
-        return batch
-    return batch.join(known.select(key), key, "left_anti")
+    if known.isEmpty():
+        return batch, None
+    touched = touched_months(batch)
+    known = known.where(F.col("month").isin(touched))
+    months = touched_months(known)
+    if not months:
+        return batch, None
+    if months == touched:
+        return None, batch.join(known.select(key), key, "left_anti")
+    entered = F.coalesce(F.col("month").isin(months), F.lit(False))
+    return batch.where(~entered), batch.where(entered).join(known.select(key), key, "left_anti")
+
+
+def unseen(batch: DataFrame, table: str, load_id: str | None = None) -> DataFrame:
+    """The rows of a batch (with ``month``, keys unique) whose key no other load has."""
+    fresh, looked_up = _by_lookup(batch, table, load_id)
+    if fresh is None or looked_up is None:
+        return looked_up if fresh is None else fresh
+    return fresh.unionByName(looked_up.select(*fresh.columns))
 
 
 def record(rows: DataFrame, table: str, load_id: str) -> None:
@@ -77,14 +103,42 @@ def record(rows: DataFrame, table: str, load_id: str) -> None:
         .write.mode("overwrite").insertInto(table)
 
 
-def load_new_rows(batch: DataFrame, target_path: str, table: str, load_id: str) -> DataFrame:
+def _folders(spark: SparkSession, path: str, months: list[str | None], load_id: str) -> list[str]:
+    """Folders of a load's partitions as Spark names them."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    part = lambda k, v: names.getPartitionPathString(k, v)
+    return [f"{path}/{part('month', m)}/{part('load_id', load_id)}" for m in months]
+
+
+def _append(rows: DataFrame, path: str, load_id: str) -> DataFrame:
+    """Write the rows of a load to the target. Returns them as the target has them now."""
+    spark, seen = rows.sparkSession, Observation(f"load-{uuid.uuid4().hex}")
+    rows.withColumn("load_id", F.lit(load_id)).observe(
+        seen, F.collect_set("month").alias("months"),             # bounded by the calendar
+        F.count_if(F.col("month").isNull()).alias("without")) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .option("compression", "zstd").partitionBy("month", "load_id").parquet(path)
+    months = [*(seen.get.get("months") or []), *([None] if seen.get.get("without") else [])]
+    if not months:
+        return spark.createDataFrame([], rows.schema)
+    return spark.read.schema(rows.schema).option("basePath", path).parquet(
+        *_folders(spark, path, months, load_id)).select(*rows.columns)
+
+
+def load_new_rows(batch: DataFrame, target_path: str, table: str, load_id: str,
+                  dealt: bool = False) -> DataFrame:
     """J2/J7 with the index: append the rows of a batch whose key is new to the target (layout
-    month, load_id) and to the index. Returns the appended rows."""
-    new = staged(unseen(batch, table, load_id), "new-rows")
-    new.withColumn("load_id", F.lit(load_id)).hint("rebalance", "month").write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("month", "load_id") \
-        .parquet(target_path)
-    record(new, table, load_id)
+    month, load_id) and to the index. Returns the appended rows, read from the target.
+
+    ``dealt``: rows of a month lie in few tasks (``loading.dealt_by_month``), so those that need no
+    lookup are written from there."""
+    with shuffles_dropped(batch.sparkSession):
+        fresh, looked_up = _by_lookup(batch, table, load_id)
+        parts = [x if dealt and x is fresh else x.hint("rebalance", "month")
+                 for x in (fresh, looked_up) if x is not None]
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        new = _append(rows, target_path, load_id)
+        record(new, table, load_id)
     return new
 
 

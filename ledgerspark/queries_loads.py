@@ -129,16 +129,18 @@ def q_merge_invoice_versions(spark, d):
 
 @register("insert_or_ignore_indexed", NEW_LINES_SQL)
 def q_insert_or_ignore_indexed(spark, d):
-    keyed = lambda s: LD.statement_keys(s).withColumn(
-        "month", month_key("transaction_date"))
+    keyed = lambda s: LD.statement_keys(
+        LD.dealt_by_month(s), near=["month", "month_part"]).drop("month_part")
     s = _stm(spark, d)
     table, root = f"line_keys_{uuid.uuid4().hex}", _folder(spark, "indexed")
     key_index.create(spark, table, "line_key", f"{root}/index",
                      buckets=key_index.buckets_for(s.count()))
     first = s.where(F.col("transaction_date") < F.lit("1998-01-01").cast("date"))
     batch = s.where(F.col("transaction_date") >= F.lit("1997-07-01").cast("date"))
-    key_index.load_new_rows(keyed(first), f"{root}/lines", table, "first")
-    return key_index.load_new_rows(keyed(batch), f"{root}/lines", table, "second").drop("month")
+    key_index.load_new_rows(keyed(first), f"{root}/lines", table, "first",
+                            dealt=True)
+    return key_index.load_new_rows(keyed(batch), f"{root}/lines", table, "second",
+                                   dealt=True).drop("month")
 
 
 # ------------------------------------------------------------------ A11 the persisted gold layer
